@@ -251,3 +251,111 @@ SELECT {_ROLLUP_GRAIN},
        round(sum(fe.patient_pay_amount), 2) AS total_patient_pay_amount
 FROM fe_c fe LEFT JOIN fp_c fp ON fe.encounter_id = fp.encounter_id AND fe.date = fp.date
 GROUP BY ALL""")
+
+# ------------------------------------------------------- scalar functions
+_CLEAN = r"""ltrim(regexp_replace({c}, '[^A-Za-z0-9 \t\n\x0B\f\r,.''";:!?()_&%$#@]', '', 'g'))"""
+_TITLE = r"""CASE WHEN {c} IS NOT NULL THEN array_to_string(list_transform(
+    regexp_extract_all(lower({c}), '([a-z0-9_]+|[^a-z0-9_]+)', 1),
+    lambda t: CASE WHEN regexp_matches(t, '^[a-z]') THEN upper(t[1]) || t[2:] ELSE t END), '') END"""
+
+SQL["clean_text"] = f"SELECT doc_id, {_CLEAN.format(c='text')} AS clean_text FROM documents"
+SQL["clean_part_names"] = f"""
+SELECT p_partkey, {_CLEAN.format(c='p_name')} AS clean_name, {_TITLE.format(c='p_name')} AS title_name
+FROM part"""
+SQL["title_case"] = f"SELECT doc_id, {_TITLE.format(c='text')} AS title_text FROM documents"
+
+SQL["upper_lower_concat"] = """
+SELECT c_custkey, upper(c_mktsegment) AS segment_upper, lower(c_name) AS name_lower,
+       CASE WHEN f IS NULL AND l IS NULL THEN NULL
+            WHEN f IS NULL THEN l WHEN l IS NULL THEN f ELSE f || ' ' || l END AS full_name
+FROM (SELECT *, CASE WHEN c_nationkey % 5 <> 0 THEN c_name END AS f,
+             CASE WHEN c_nationkey > 10 THEN c_mktsegment END AS l FROM customer)"""
+
+SQL["decode_labels"] = """
+SELECT o_orderkey,
+       CASE o_orderstatus WHEN 'F' THEN 'FEMALE' WHEN 'M' THEN 'MALE' ELSE '(unknown)' END AS status_label,
+       CASE substr(o_orderpriority, 3, 1) WHEN 'M' THEN 'MARRIED' WHEN 'S' THEN 'SINGLE'
+            WHEN 'D' THEN 'DIVORCE' ELSE '(unknown)' END AS priority_label
+FROM orders"""
+
+SQL["row_hash"] = f"""
+SELECT c_custkey, {_hash(['c_custkey', 'c_name', 'c_nationkey', 'c_acctbal', 'c_mktsegment'])} AS row_hash
+FROM customer"""
+
+# ------------------------------------------------------- slices and dates
+SQL["event_slice"] = with_ctes(["enc"], """
+SELECT CAST(start_time AS DATE) AS slice_date, encounter_id FROM enc
+UNION
+SELECT CAST(stop_time AS DATE), encounter_id FROM enc""")
+
+SQL["day_count"] = "SELECT CAST(ts AS DATE) AS day, count(*) AS n_rows FROM events GROUP BY 1"
+
+SQL["date_math"] = with_ctes(["enc"], """
+SELECT encounter_id, CAST(stop_time AS DATE) AS date, strftime(start_time, '%Y-%m-%d') AS start_day_text,
+       CAST(date_diff('day', CAST(start_time AS DATE), CAST(stop_time AS DATE)) AS INTEGER) AS length_of_stay_num,
+       (CAST(epoch(stop_time) AS BIGINT) - CAST(epoch(start_time) AS BIGINT)) / 60 AS duration_minute_num,
+       CAST(epoch(start_time) AS BIGINT) AS start_epoch,
+       claim_amount - coverage_amount AS patient_pay_amount
+FROM enc""")
+
+SQL["rename_recast"] = """
+SELECT l_orderkey AS l_orderkey, l_linenumber AS l_line_number,
+       CAST(epoch(l_shipdate) AS BIGINT) AS ship_date,
+       CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS ship_day,
+       CAST(CAST(l_extendedprice AS DECIMAL(12, 2)) AS DOUBLE) AS extended_price,
+       TRY_CAST(CAST(l_quantity AS VARCHAR) AS DOUBLE) AS qty,
+       TRY_CAST(l_returnflag AS DOUBLE) AS flag_number
+FROM lineitem"""
+
+# ---------------------------------------------------------------- quality
+_ALNUM = r"^[A-Za-z0-9\s\-'']+$"  # quote doubled inside SQL text
+_ALPHA = r"^[A-Za-z\s\-'']+$"
+_MONEY = r"^-?\d{1,4}\.\d{1,2}$"
+_CUST_RULES = [  # (rule, column, kind, failing-row predicate)
+    ("c_custkey:not_null", "c_custkey", "not_null", "c_custkey IS NULL"),
+    ("c_name:not_null", "c_name", "not_null", "c_name IS NULL"),
+    ("c_mktsegment:not_null", "c_mktsegment", "not_null", "c_mktsegment IS NULL"),
+    ("c_name:pattern_alphanumeric", "c_name", "pattern",
+     f"c_name IS NOT NULL AND NOT regexp_matches(c_name, '{_ALNUM}')"),
+    ("c_mktsegment:pattern_alphabet", "c_mktsegment", "pattern",
+     f"c_mktsegment IS NOT NULL AND NOT regexp_matches(c_mktsegment, '{_ALPHA}')"),
+    ("c_acctbal:type_double", "c_acctbal", "type",
+     "c_acctbal IS NOT NULL AND TRY_CAST(CAST(c_acctbal AS VARCHAR) AS DOUBLE) IS NULL"),
+    ("c_mktsegment:known", "c_mktsegment", "in_set",
+     "c_mktsegment IS NOT NULL AND c_mktsegment NOT IN ('AUTOMOBILE', 'BUILDING', 'FURNITURE', 'MACHINERY')"),
+    ("c_acctbal:money", "c_acctbal", "pattern",
+     f"c_acctbal IS NOT NULL AND NOT regexp_matches(CAST(c_acctbal AS VARCHAR), '{_MONEY}')"),
+]
+
+
+def _counts_sql(table: str, rules) -> str:
+    parts = [f"""SELECT '{r}' AS rule, '{c}' AS "column", '{k}' AS kind,
+       CAST(sum(CASE WHEN {p} THEN 1 ELSE 0 END) AS BIGINT) AS failed_rows,
+       count(*) AS total_rows FROM {table}""" for r, c, k, p in rules]
+    return "\nUNION ALL\n".join(parts)
+
+
+SQL["quality_counts"] = _counts_sql("customer", _CUST_RULES)
+
+SQL["quality_quarantine"] = f"""
+SELECT c_custkey, failed_rules = '' AS is_clean, failed_rules
+FROM (SELECT c_custkey, concat_ws(',', {', '.join(f"CASE WHEN {p} THEN '{r}' END" for r, _, _, p in _CUST_RULES)})
+             AS failed_rules FROM customer)"""
+
+SQL["unique_violations"] = """
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"""
+
+SQL["label_quality"] = _counts_sql("labels", [
+    ("quality:not_null", "quality", "not_null", "quality IS NULL"),
+    ("toxic:not_null", "toxic", "not_null", "toxic IS NULL"),
+    ("quality:binary", "quality", "in_set", "quality IS NOT NULL AND quality NOT IN (0, 1)"),
+    ("toxic:binary", "toxic", "in_set", "toxic IS NOT NULL AND toxic NOT IN (0, 1)"),
+])
+
+SQL["dim_key_unique"] = with_ctes(["dim3"], """
+SELECT 'dim_patient_key' AS "check", dim_patient_key AS "key", count(*) AS n_rows
+FROM dim3 GROUP BY dim_patient_key HAVING count(*) > 1
+UNION ALL
+SELECT 'active_per_patient', CAST(patient_id AS VARCHAR), count(*)
+FROM dim3 WHERE is_active GROUP BY patient_id HAVING count(*) > 1""")

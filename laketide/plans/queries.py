@@ -10,7 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from laketide import functions as LF
+from laketide.functions.names import normalize_columns, recast_for_export
+from laketide.operators import quality as DQ
 from laketide.operators import scd2 as S
+from laketide.operators import slicing as SL
 from laketide.operators.asof import lookup_asof
 from laketide.operators.rollup import daily_rollup, daily_rollup_joined
 from laketide.plans import gold
@@ -109,6 +113,124 @@ def q_daily_rollup_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _round(r, AMOUNTS)
 
 
+
+# ------------------------------------------------------- scalar functions
+def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = si.table(spark, sf_dir, "documents")
+    return d.select("doc_id", LF.clean_string("text").alias("clean_text"))
+
+
+def q_clean_part_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = si.table(spark, sf_dir, "part")
+    return p.select("p_partkey", LF.clean_string("p_name").alias("clean_name"),
+                    LF.title_case("p_name").alias("title_name"))
+
+
+def q_title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = si.table(spark, sf_dir, "documents")
+    return d.select("doc_id", LF.title_case("text").alias("title_text"))
+
+
+def q_upper_lower_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = si.table(spark, sf_dir, "customer")
+    maybe_last = F.when(F.col("c_nationkey") > 10, F.col("c_mktsegment"))
+    maybe_first = F.when(F.col("c_nationkey") % 5 != 0, F.col("c_name"))
+    return c.select("c_custkey",
+                    LF.upper_case("c_mktsegment").alias("segment_upper"),
+                    LF.lower_case("c_name").alias("name_lower"),
+                    LF.full_name(maybe_first, maybe_last).alias("full_name"))
+
+
+def q_decode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = si.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey",
+                    LF.gender("o_orderstatus").alias("status_label"),
+                    LF.marital_status(F.substring("o_orderpriority", 3, 1)).alias("priority_label"))
+
+
+def q_row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = si.table(spark, sf_dir, "customer")
+    cols = LF.hash_columns(c.columns)
+    return c.select("c_custkey", LF.row_hash(cols).alias("row_hash"))
+
+
+# ------------------------------------------------------- slices and dates
+def q_event_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = si.encounters(spark, sf_dir).select("encounter_id", "start_time", "stop_time")
+    return SL.event_slices(e).select("slice_date", "encounter_id")
+
+
+def q_day_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SL.day_counts(si.table(spark, sf_dir, "events"), "ts")
+
+
+def q_date_math(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = si.encounters(spark, sf_dir)
+    return e.select(
+        "encounter_id",
+        LF.to_day("stop_time").alias("date"),
+        LF.day_text("start_time").alias("start_day_text"),
+        LF.days_between("stop_time", "start_time").alias("length_of_stay_num"),
+        LF.minutes_between("stop_time", "start_time").alias("duration_minute_num"),
+        LF.epoch_seconds("start_time").alias("start_epoch"),
+        (F.col("claim_amount") - F.col("coverage_amount")).alias("patient_pay_amount"))
+
+
+def q_rename_recast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = si.table(spark, sf_dir, "lineitem")
+    raw = li.select(F.col("l_orderkey").alias("L-OrderKey"),
+                    F.col("l_linenumber").alias("L Line-Number"),
+                    F.col("l_shipdate").alias("Ship Date"),
+                    F.to_date("l_shipdate").alias("Ship Day"),
+                    F.col("l_extendedprice").cast("decimal(12,2)").alias("Extended Price"),
+                    LF.parse_double(F.col("l_quantity").cast("string")).alias("Qty"),
+                    LF.parse_double("l_returnflag").alias("Flag Number"))
+    return recast_for_export(normalize_columns(raw))
+
+
+# ---------------------------------------------------------------- quality
+CUSTOMER_RULES = [
+    *DQ.not_null("c_custkey", "c_name", "c_mktsegment"),
+    DQ.pattern("c_name", "alphanumeric"),
+    DQ.pattern("c_mktsegment", "alphabet"),
+    DQ.typed("c_acctbal", "double"),
+    DQ.Rule("c_mktsegment", "in_set", ("AUTOMOBILE", "BUILDING", "FURNITURE", "MACHINERY"),
+            name="c_mktsegment:known"),
+    DQ.Rule("c_acctbal", "pattern", r"^-?\d{1,4}\.\d{1,2}$", name="c_acctbal:money"),
+]
+
+
+def q_quality_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DQ.quality_counts(si.table(spark, sf_dir, "customer"), CUSTOMER_RULES)
+
+
+def q_quality_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tagged = DQ.with_failures(si.table(spark, sf_dir, "customer"), CUSTOMER_RULES)
+    return tagged.select("c_custkey", (F.size("dq_failures") == 0).alias("is_clean"),
+                         F.array_join("dq_failures", ",").alias("failed_rules"))
+
+
+def q_unique_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DQ.unique_violations(si.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+def q_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = [*DQ.not_null("quality", "toxic"), DQ.Rule("quality", "in_set", (0, 1), name="quality:binary"),
+             DQ.Rule("toxic", "in_set", (0, 1), name="toxic:binary")]
+    return DQ.quality_counts(si.table(spark, sf_dir, "labels"), rules)
+
+
+def q_dim_key_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCD-2 invariants as quality checks: surrogate key unique over all
+    versions, at most one active version per natural key (both empty)."""
+    dim = q_scd2_iterated(spark, sf_dir)
+    a = DQ.unique_violations(dim, ["dim_patient_key"]).select(
+        F.lit("dim_patient_key").alias("check"), F.col("dim_patient_key").alias("key"), "n_rows")
+    b = DQ.at_most_one_active(dim, "patient_id").select(
+        F.lit("active_per_patient").alias("check"), F.col("patient_id").cast("string").alias("key"), "n_rows")
+    return a.unionByName(b)
+
+
 QUERIES = {
     "scd2_changes": q_scd2_changes,
     "scd2_step": q_scd2_step,
@@ -123,4 +245,19 @@ QUERIES = {
     "fact_procedure": q_fact_procedure,
     "daily_rollup": q_daily_rollup,
     "daily_rollup_joined": q_daily_rollup_joined,
+    "clean_text": q_clean_text,
+    "clean_part_names": q_clean_part_names,
+    "title_case": q_title_case,
+    "upper_lower_concat": q_upper_lower_concat,
+    "decode_labels": q_decode_labels,
+    "row_hash": q_row_hash,
+    "event_slice": q_event_slice,
+    "day_count": q_day_count,
+    "date_math": q_date_math,
+    "rename_recast": q_rename_recast,
+    "quality_counts": q_quality_counts,
+    "quality_quarantine": q_quality_quarantine,
+    "unique_violations": q_unique_violations,
+    "label_quality": q_label_quality,
+    "dim_key_unique": q_dim_key_unique,
 }
