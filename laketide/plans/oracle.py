@@ -359,3 +359,25 @@ FROM dim3 GROUP BY dim_patient_key HAVING count(*) > 1
 UNION ALL
 SELECT 'active_per_patient', CAST(patient_id AS VARCHAR), count(*)
 FROM dim3 WHERE is_active GROUP BY patient_id HAVING count(*) > 1""")
+
+# ----------------------------------------------------- sources and sinks
+SQL["ingest_roundtrip"] = """
+SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, DATE '2024-01-01' AS partition_date
+FROM orders"""
+
+SQL["partition_overwrite"] = """
+SELECT event_id, ts, user_id, event_type, value, CAST(ts AS DATE) AS partition_date
+FROM events
+WHERE CAST(ts AS DATE) <> DATE '2024-01-01' OR event_type = 'click'"""
+
+SQL["materialize_modes"] = """
+SELECT o_orderkey,
+       CASE WHEN CAST(o_orderdate AS DATE) = DATE '1996-06-01' THEN o_totalprice * 2 ELSE o_totalprice END
+         AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS date
+FROM orders"""
+
+SQL["materialize_append"] = """
+SELECT *, 1 AS load FROM supplier UNION ALL SELECT *, 2 AS load FROM supplier"""
+
+SQL["dimension_versions"] = SQL["scd2_step"]

@@ -17,7 +17,11 @@ from laketide.operators import scd2 as S
 from laketide.operators import slicing as SL
 from laketide.operators.asof import lookup_asof
 from laketide.operators.rollup import daily_rollup, daily_rollup_joined
-from laketide.plans import gold
+from laketide.plans import bronze, gold
+from laketide.session import scratch_path
+from laketide.sinks import write as W
+from laketide.sources.files import read_csv
+from laketide.sources.tables import read_table
 from laketide.plans import standins as si
 
 AMOUNTS = ["total_claim_amount", "total_coverage_amount", "total_patient_pay_amount"]
@@ -231,6 +235,73 @@ def q_dim_key_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.unionByName(b)
 
 
+
+# ----------------------------------------------------- sources and sinks
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+LOAD_DAY = "2024-01-01"
+
+
+def q_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders -> raw CSV (all text) -> ING1 read with an all-text schema,
+    stamped with the run date -> typed again in silver style."""
+    path = scratch_path(spark, "orders_csv")
+    o = si.table(spark, sf_dir, "orders")
+    o.select(*[F.col(c).cast("string").alias(c) for c in ORDER_COLS]).write.option("header", True).csv(path)
+    b = bronze.stamp(read_csv(spark, path, ORDER_COLS), LOAD_DAY)
+    return b.select(F.col("o_orderkey").try_cast("long").alias("o_orderkey"),
+                    F.col("o_orderstatus"),
+                    LF.parse_double("o_totalprice").alias("o_totalprice"),
+                    LF.parse_timestamp("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"),
+                    F.col("partition_date"))
+
+
+def q_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK1: all event days written, then the first day rewritten with its
+    clicks only; every other day must be intact."""
+    path = scratch_path(spark, "events_by_day")
+    ev = si.table(spark, sf_dir, "events").withColumn("partition_date", F.to_date("ts"))
+    W.overwrite_partitions(ev, path, "partition_date")
+    day = F.lit(LOAD_DAY).cast("date")
+    redo = ev.where((F.col("partition_date") == day) & (F.col("event_type") == "click"))
+    W.overwrite_partitions(redo, path, "partition_date")
+    return read_table(spark, path).select("event_id", "ts", "user_id", "event_type", "value",
+                                          "partition_date")
+
+
+def q_materialize_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MAT1: create (partitioned by date) from all orders, then overwrite
+    one date with a re-computed query result (doubled prices)."""
+    path = scratch_path(spark, "orders_by_day")
+    o = si.table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice",
+                                                  F.to_date("o_orderdate").alias("date"))
+    first = W.materialize(o, path, "date")
+    day = "1996-06-01"
+    redo = o.where(F.col("date") == F.lit(day).cast("date")).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    second = W.materialize(redo, path, "date", day)
+    assert (first, second) == ("create", "overwrite_partition"), (first, second)
+    return read_table(spark, path).select("o_orderkey", "o_totalprice", "date")
+
+
+def q_materialize_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MAT1 on an unpartitioned table: create, then append (SNK4)."""
+    path = scratch_path(spark, "supplier_appends")
+    s = si.table(spark, sf_dir, "supplier")
+    first = W.materialize(s.withColumn("load", F.lit(1)), path)
+    second = W.materialize(s.withColumn("load", F.lit(2)), path)
+    assert (first, second) == ("create", "append"), (first, second)
+    return read_table(spark, path)
+
+
+def q_dimension_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCD-2 state on plain Parquet: each load writes a new version folder
+    and moves the pointer; the second load reads the first one."""
+    base = scratch_path(spark, "dim_patient")
+    W.write_version(S.scd2_apply(None, si.patients_snapshot(spark, sf_dir, 1), si.PATIENT, si.D1), base)
+    prev = W.read_versioned(spark, base)
+    W.write_version(S.scd2_apply(prev, si.patients_snapshot(spark, sf_dir, 2), si.PATIENT, si.D2), base)
+    return W.read_versioned(spark, base)
+
+
 QUERIES = {
     "scd2_changes": q_scd2_changes,
     "scd2_step": q_scd2_step,
@@ -260,4 +331,9 @@ QUERIES = {
     "unique_violations": q_unique_violations,
     "label_quality": q_label_quality,
     "dim_key_unique": q_dim_key_unique,
+    "ingest_roundtrip": q_ingest_roundtrip,
+    "partition_overwrite": q_partition_overwrite,
+    "materialize_modes": q_materialize_modes,
+    "materialize_append": q_materialize_append,
+    "dimension_versions": q_dimension_versions,
 }

@@ -91,3 +91,10 @@ def env_int(name: str, default: int) -> int:
         return int(os.environ.get(name, default))
     except ValueError:
         return default
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never a
+    machine-local folder on a cluster)."""
+    import uuid
+    return f"{checkpoint_dir(spark).rstrip('/')}/laketide-scratch/{name}-{uuid.uuid4().hex[:12]}"
