@@ -13,7 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laketide.functions.dates import DATE_DMY_FORMAT, parse_double, parse_timestamp
+from laketide.functions.dates import (
+    DATE_DMY_FORMAT, DATE_ISO_FORMAT, parse_date, parse_double, parse_timestamp,
+)
 from laketide.functions.decode import gender, marital_status
 from laketide.functions.text import clean_string, full_name, title_case, upper_case
 from laketide.operators.quality import Rule, not_null, pattern, typed
@@ -106,8 +108,7 @@ def typed_encounters(s: DataFrame) -> DataFrame:
 
 def typed_patients(s: DataFrame) -> DataFrame:
     def dmy(c):
-        return F.coalesce(F.try_to_date(F.col(c), F.lit(DATE_DMY_FORMAT)),
-                          F.try_to_date(F.col(c), F.lit("yyyy-MM-dd"))).alias(c)
+        return F.coalesce(parse_date(c, DATE_DMY_FORMAT), parse_date(c, DATE_ISO_FORMAT)).alias(c)
     cols = [dmy(c) if c in ("birth_date", "death_date") else F.col(c) for c in s.columns]
     return s.select(*cols)
 
