@@ -13,13 +13,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laketide.functions.dates import run_date
-from laketide.operators.joins import broadcast_if_bounded, salted_left_join
+from laketide.operators.joins import (
+    DEFAULT_BROADCAST_ROWS, broadcast_if_bounded, rows_at_most, salted_left_join,
+)
 from laketide.operators.scd2 import DimSpec, valid_on
 
 
 def lookup_asof(fact: DataFrame, dim: DataFrame, spec: DimSpec, fact_key: str,
                 as_of, *, out_key: str | None = None,
-                broadcast_rows: int | None = None,
+                broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
                 salt_buckets: int | None = None) -> DataFrame:
     """Add ``out_key`` (default: the dimension's surrogate key name) to
     ``fact``: the key of the version of ``fact[fact_key]`` valid on
@@ -30,15 +32,17 @@ def lookup_asof(fact: DataFrame, dim: DataFrame, spec: DimSpec, fact_key: str,
 
     Plan:
     * date literal: versions valid on that date are filtered first (at most
-      one per key), then a plain equi left join.  With ``broadcast_rows``
-      the filtered side is broadcast only if its row count is proven below
-      the bound.
-    * date column: hash join on the key with the interval as a residual
+      one per key), then a plain equi left join.
+    * date column: equi join on the key with the interval as a residual
       predicate, evaluated per (fact, version-of-the-same-key) pair; a key
-      has one version per change, so pairs stay bounded.  Skewed keys are
-      split by AQE's skew join, or explicitly by salting
-      (``salt_buckets``), which spreads a hot key over that many tasks and
-      copies its few versions to each.
+      has one version per change, so pairs stay bounded.
+    * The dimension side is broadcast only when a bounded count proves it
+      has at most ``broadcast_rows`` rows (then the fact is not shuffled at
+      all, so a hot key costs nothing extra).  Beyond the bound the join
+      shuffles both sides; a skewed key is split by AQE's skew join, or
+      explicitly by salting (``salt_buckets``), which spreads a hot key
+      over that many tasks and copies its few versions to each.
+      ``broadcast_rows=None`` disables the check.
     """
     out_key = out_key or spec.surrogate_key
     if isinstance(as_of, str) and as_of in fact.columns:
@@ -47,7 +51,10 @@ def lookup_asof(fact: DataFrame, dim: DataFrame, spec: DimSpec, fact_key: str,
                               F.col(spec.start_col).alias("_ds"),
                               F.col(spec.end_col).alias("_de"))
         day = F.col(as_of).cast("date")
-        if salt_buckets:
+        small = broadcast_rows is not None and rows_at_most(versions, broadcast_rows)
+        if small:
+            versions = F.broadcast(versions)
+        if salt_buckets and not small:
             def rng(l, r):
                 return ((r["_r__ds"] <= l[as_of].cast("date")) &
                         (r["_r__de"].isNull() | (r["_r__de"] > l[as_of].cast("date"))))
@@ -62,7 +69,7 @@ def lookup_asof(fact: DataFrame, dim: DataFrame, spec: DimSpec, fact_key: str,
     d = run_date(as_of)
     versions = valid_on(dim, spec, d).select(F.col(spec.natural_key).alias("_dk"),
                                              F.col(spec.surrogate_key).alias(out_key))
-    if broadcast_rows:
+    if broadcast_rows is not None:
         versions = broadcast_if_bounded(versions, broadcast_rows)
     joined = fact.join(versions, fact[fact_key] == versions["_dk"], "left")
     return joined.drop("_dk")

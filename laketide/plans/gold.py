@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from laketide.functions.dates import days_between, minutes_between, run_date, to_day
 from laketide.operators.asof import lookup_asof
+from laketide.operators.joins import DEFAULT_BROADCAST_ROWS
 from laketide.operators.rollup import daily_rollup, daily_rollup_joined  # noqa: F401
 from laketide.operators.scd2 import DimSpec
 
@@ -51,7 +52,8 @@ def _fact_slice(events: DataFrame, d, part_col: str = "partition_date") -> DataF
 
 def fact_encounter(encounters: DataFrame, dim_patient: DataFrame, dim_payer: DataFrame, d=None,
                    *, patient: DimSpec = DIM_PATIENT, payer: DimSpec = DIM_PAYER,
-                   broadcast_rows: int | None = None, salt_buckets: int | None = None) -> DataFrame:
+                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
+                   salt_buckets: int | None = None) -> DataFrame:
     """Encounter fact: one row per encounter on its stop date, with the
     patient and payer versions valid on that date (FCT1).
 
@@ -74,7 +76,8 @@ def fact_encounter(encounters: DataFrame, dim_patient: DataFrame, dim_payer: Dat
 
 
 def fact_procedure(procedures: DataFrame, dim_patient: DataFrame, d=None,
-                   *, patient: DimSpec = DIM_PATIENT, broadcast_rows: int | None = None,
+                   *, patient: DimSpec = DIM_PATIENT,
+                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
                    salt_buckets: int | None = None) -> DataFrame:
     """Procedure fact: one row per procedure on its stop date, with the
     patient version valid on that date (FCT2)."""

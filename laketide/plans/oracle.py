@@ -372,9 +372,9 @@ WHERE CAST(ts AS DATE) <> DATE '2024-01-01' OR event_type = 'click'"""
 
 SQL["materialize_modes"] = """
 SELECT o_orderkey,
-       CASE WHEN CAST(o_orderdate AS DATE) = DATE '1996-06-01' THEN o_totalprice * 2 ELSE o_totalprice END
-         AS o_totalprice,
-       CAST(o_orderdate AS DATE) AS date
+       CASE WHEN date_trunc('month', CAST(o_orderdate AS DATE)) = DATE '1996-06-01'
+            THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+       CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS month
 FROM orders"""
 
 SQL["materialize_append"] = """

@@ -23,7 +23,9 @@ from laketide.functions.dates import run_date
 from laketide.operators import quality as DQ
 from laketide.operators.scd2 import scd2_apply
 from laketide.plans import bronze, gold, silver
-from laketide.sinks.write import materialize, overwrite_partitions, read_versioned, write_version
+from laketide.sinks.write import (
+    cluster_for_write, materialize, overwrite_partitions, read_versioned, write_version,
+)
 from laketide.sources.tables import read_slice, read_table
 
 TABLES = ("patients", "payers", "encounters", "procedures")
@@ -70,13 +72,15 @@ def run_silver(spark: SparkSession, d, layout: Layout, report: DayReport, policy
         if policy == "fail":  # must know before writing: one counting pass first
             counts = DQ.quality_counts(conformed, rules).collect()
             DQ.check({r["rule"]: r["failed_rows"] for r in counts}, "fail")
-        observed, obs = DQ.observe_quality(conformed, rules, name=f"dq_{t}")
+        # observe above the write's exchange: counted once, in the write job
+        clustered = cluster_for_write(conformed, silver.PART_COL)
+        observed, obs = DQ.observe_quality(clustered, rules, name=f"dq_{t}")
         if policy == "quarantine":
             clean, bad = DQ.quarantine(observed, rules)
-            overwrite_partitions(bad, layout.quarantine(t), silver.PART_COL)
-            overwrite_partitions(typed(clean), layout.silver(t), silver.PART_COL)
+            overwrite_partitions(bad, layout.quarantine(t), silver.PART_COL, clustered=True)
+            overwrite_partitions(typed(clean), layout.silver(t), silver.PART_COL, clustered=True)
         else:
-            overwrite_partitions(typed(observed), layout.silver(t), silver.PART_COL)
+            overwrite_partitions(typed(observed), layout.silver(t), silver.PART_COL, clustered=True)
         report.quality[t] = {k: int(v or 0) for k, v in obs.get.items()}
         report.writes[f"silver/{t}"] = "overwrite_partitions"
 

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laketide.operators.scd2 import DimSpec, scd2_apply
+from laketide.session import cut_lineage
 
 # Fixed values of the stand-in scenario: snapshot dates.
 D1 = _dt.date(1996, 1, 1)
@@ -77,10 +78,16 @@ def patient_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def dim_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Patient dimension after the loads of D1 and D2 (SCD4 twice)."""
+def dim_patient(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:
+    """Patient dimension after the loads of D1 and D2 (SCD4 twice).
+
+    In the pipeline a dimension is read from storage; here it is derived
+    from the driver tables, so it is written once to the shared checkpoint
+    folder and every consumer reads that copy instead of re-deriving it.
+    """
     dim = scd2_apply(None, patients_snapshot(spark, sf_dir, 1), PATIENT, D1)
-    return scd2_apply(dim, patients_snapshot(spark, sf_dir, 2), PATIENT, D2, check_gate=False)
+    dim = scd2_apply(dim, patients_snapshot(spark, sf_dir, 2), PATIENT, D2, check_gate=False)
+    return cut_lineage(dim, "dim_patient") if materialized else dim
 
 
 def payers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,8 +96,9 @@ def payers(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("s_nationkey").alias("nation_key"), F.col("s_acctbal").alias("balance"))
 
 
-def dim_payer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2_apply(None, payers(spark, sf_dir), PAYER, D1)
+def dim_payer(spark: SparkSession, sf_dir: str, materialized: bool = True) -> DataFrame:
+    dim = scd2_apply(None, payers(spark, sf_dir), PAYER, D1)
+    return cut_lineage(dim, "dim_payer") if materialized else dim
 
 
 # -------------------------------------------------------------- encounters

@@ -76,14 +76,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return local
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder.
-
-    Survives executor loss (unlike a local checkpoint); used where a plan is
-    read twice or its lineage grows with the number of runs.
+def cut_lineage(df, name: str = "table"):
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it
+    back.
+
+    Used where a derived plan is read several times: it is computed once
+    (a reliable ``checkpoint()`` computes it twice unless cached), the copy
+    survives executor loss (unlike a local checkpoint), and the reader gets
+    file statistics Catalyst and AQE use for their size-checked join
+    choices.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def env_int(name: str, default: int) -> int:

@@ -29,18 +29,30 @@ def _ordered_for(df: DataFrame, target: str, part_col: str | None) -> DataFrame:
     return df.select(*cols)
 
 
-def overwrite_partitions(df: DataFrame, target: str, part_col: str) -> None:
+def cluster_for_write(df: DataFrame, part_col: str) -> DataFrame:
+    """Range-partition rows by (partition value, row hash) before a
+    partitioned write.
+
+    A backfill over many dates then has each task write a contiguous run
+    of dates (few files per date, not one file per date per task), while
+    the hash as second key lets range boundaries fall inside a date, so
+    one big date (a daily load, or a hot day) is still spread over many
+    tasks instead of one.  The partition count is left to AQE.
+    """
+    return df.repartitionByRange(F.col(part_col), F.xxhash64(*[F.col(c) for c in df.columns]))
+
+
+def overwrite_partitions(df: DataFrame, target: str, part_col: str, *, clustered: bool = False) -> None:
     """Replace only the partitions present in ``df`` (SNK1).
 
-    The first write creates the partitioned table.  No repartition by the
-    partition column: a daily load has one date, and clustering by it
-    would funnel the whole day into one task.  Each task writes its own
-    rows (one file per date it holds; cap file size with
-    ``spark.sql.files.maxRecordsPerFile``).
+    The first write creates the partitioned table.  ``clustered=True``
+    when the caller already applied :func:`cluster_for_write` (e.g. to put
+    an ``observe`` above the exchange, so the range-sampling job does not
+    run it).
     """
-    data = df
+    data = df if clustered else cluster_for_write(df, part_col)
     if not table_exists(df.sparkSession, target):
-        create_table_as(data, target, part_col)
+        create_table_as(data, target, part_col, clustered=True)
         return
     if is_path(target):
         (data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -50,8 +62,11 @@ def overwrite_partitions(df: DataFrame, target: str, part_col: str) -> None:
         _ordered_for(data, target, part_col).write.insertInto(target, overwrite=True)
 
 
-def create_table_as(df: DataFrame, target: str, part_col: str | None = None) -> None:
+def create_table_as(df: DataFrame, target: str, part_col: str | None = None,
+                    *, clustered: bool = False) -> None:
     """Create the table from the query's result (SNK2)."""
+    if part_col and not clustered:
+        df = cluster_for_write(df, part_col)
     w = df.write.mode("errorifexists")
     if part_col:
         w = w.partitionBy(part_col)
