@@ -39,6 +39,10 @@ class DimSpec:
     end_col: str = "end_date"
     active_col: str = "is_active"
     hash_columns: tuple[str, ...] = field(default=())
+    # "md5": deterministic MD5(natural key '::' start date) - retry-safe,
+    # testable; "uuid": random key per version, as the original did (a
+    # retried task draws new keys, so only for loads that are never re-run).
+    key_mode: str = "md5"
 
     @property
     def hashed(self) -> list[str]:
@@ -55,7 +59,12 @@ class DimSpec:
 def _version(spec: DimSpec, values: dict[str, Column], start: Column, end: Column,
              active: Column, key: Column | None = None) -> Column:
     """A dimension row as a struct, in dimension column order."""
-    sk = key if key is not None else surrogate_key(values[spec.natural_key], start)
+    if key is not None:
+        sk = key
+    elif spec.key_mode == "uuid":
+        sk = F.uuid()
+    else:
+        sk = surrogate_key(values[spec.natural_key], start)
     cols = [sk.alias(spec.surrogate_key)]
     cols += [values[c].alias(c) for c in (spec.natural_key, *spec.attributes)]
     cols += [start.cast("date").alias(spec.start_col), end.cast("date").alias(spec.end_col),

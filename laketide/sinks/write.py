@@ -63,17 +63,27 @@ def overwrite_partitions(df: DataFrame, target: str, part_col: str, *, clustered
 
 
 def create_table_as(df: DataFrame, target: str, part_col: str | None = None,
-                    *, clustered: bool = False) -> None:
-    """Create the table from the query's result (SNK2)."""
+                    *, clustered: bool = False, table_format: str = "parquet") -> None:
+    """Create the table from the query's result (SNK2).
+
+    ``table_format`` other than parquet (e.g. ``iceberg``, when its runtime
+    is on the classpath) creates a catalog table through the v2 writer.
+    """
     if part_col and not clustered:
         df = cluster_for_write(df, part_col)
+    if table_format != "parquet" and not is_path(target):
+        v2 = df.writeTo(target).using(table_format)
+        if part_col:
+            v2 = v2.partitionedBy(F.col(part_col))
+        v2.create()
+        return
     w = df.write.mode("errorifexists")
     if part_col:
         w = w.partitionBy(part_col)
     if is_path(target):
         w.parquet(target)
     else:
-        w.format("parquet").saveAsTable(target)
+        w.format(table_format).saveAsTable(target)
 
 
 def overwrite_partition(df: DataFrame, target: str, part_col: str, d) -> None:
