@@ -381,3 +381,120 @@ SQL["materialize_append"] = """
 SELECT *, 1 AS load FROM supplier UNION ALL SELECT *, 2 AS load FROM supplier"""
 
 SQL["dimension_versions"] = SQL["scd2_step"]
+
+# ----------------------------------------------------------------- silver
+def _guid(k: str) -> str:
+    h = f"md5(CAST({k} AS VARCHAR))"
+    return (f"substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4) || '-' || "
+            f"substr({h}, 17, 4) || '-' || substr({h}, 21, 12)")
+
+
+_BIRTH = "(DATE '1940-01-01' + CAST(c_custkey % 20000 AS INTEGER))"
+CTE["raw_p"] = f"""
+SELECT upper({_guid('c_custkey')}) AS Id,
+       strftime({_BIRTH}, '%d-%m-%Y') AS BIRTHDATE,
+       CASE WHEN c_custkey % 10 = 0 THEN strftime({_BIRTH} + 25000, '%d-%m-%Y') END AS DEATHDATE,
+       lower(c_mktsegment) AS FIRST, c_name AS LAST,
+       substr('MSDX', CAST(c_custkey % 4 + 1 AS INTEGER), 1) AS MARITAL,
+       'race ' || CAST(c_nationkey AS VARCHAR) AS RACE,
+       CASE WHEN c_custkey % 2 = 0 THEN 'nonhispanic' ELSE 'hispanic' END AS ETHNICITY,
+       substr('FMx', CAST(c_custkey % 3 + 1 AS INTEGER), 1) AS GENDER,
+       '  Zürich-' || n_name AS BIRTHPLACE,
+       CAST(c_custkey AS VARCHAR) || ' Main St. #' || CAST(c_custkey % 7 AS VARCHAR) AS ADDRESS,
+       lower(n_name) AS CITY, 'ST' AS STATE, 'County (€)' AS COUNTY,
+       lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') AS ZIP,
+       {D1} AS partition_date
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey"""
+
+CTE["conf_p"] = f"""
+SELECT lower(trim(Id)) AS patient_id,
+       CASE WHEN FIRST IS NULL AND LAST IS NULL THEN NULL
+            ELSE concat_ws(' ', {_TITLE.format(c='FIRST')}, {_TITLE.format(c='LAST')}) END AS patient_fullname,
+       trim(BIRTHDATE) AS birth_date, trim(DEATHDATE) AS death_date,
+       CASE MARITAL WHEN 'M' THEN 'MARRIED' WHEN 'S' THEN 'SINGLE' WHEN 'D' THEN 'DIVORCE'
+            ELSE '(unknown)' END AS marital_status,
+       {_CLEAN.format(c='RACE')} AS race, {_CLEAN.format(c='ETHNICITY')} AS ethnicity,
+       CASE GENDER WHEN 'F' THEN 'FEMALE' WHEN 'M' THEN 'MALE' ELSE '(unknown)' END AS gender,
+       {_CLEAN.format(c='BIRTHPLACE')} AS birth_place, {_CLEAN.format(c='ADDRESS')} AS address,
+       {_CLEAN.format(c='CITY')} AS city, {_CLEAN.format(c='STATE')} AS state,
+       {_CLEAN.format(c='COUNTY')} AS county, {_CLEAN.format(c='ZIP')} AS zip, partition_date
+FROM raw_p"""
+
+CTE["raw_e"] = f"""
+SELECT {_guid('encounter_id')} AS Id,
+       strftime(start_time, '%Y-%m-%d %H:%M:%S') AS "START", strftime(stop_time, '%Y-%m-%d %H:%M:%S') AS STOP,
+       {_guid('patient_id')} AS PATIENT, {_guid('payer_id')} AS PAYER,
+       lower(encounter_class) AS ENCOUNTERCLASS, code AS CODE, description AS DESCRIPTION,
+       CAST(base_cost_amount AS VARCHAR) AS BASE_ENCOUNTER_COST,
+       CAST(claim_amount AS VARCHAR) AS TOTAL_CLAIM_COST,
+       CASE WHEN encounter_id % 13 = 0 THEN 'n/a' ELSE CAST(coverage_amount AS VARCHAR) END AS PAYER_COVERAGE,
+       reason_code AS REASONCODE, reason_description AS REASONDESCRIPTION, {D1} AS partition_date
+FROM enc"""
+
+CTE["conf_e"] = f"""
+SELECT lower(trim(Id)) AS encounter_id, trim("START") AS start_time, trim(STOP) AS stop_time,
+       lower(trim(PATIENT)) AS patient_id, lower(trim(PAYER)) AS payer_id,
+       upper({_CLEAN.format(c='ENCOUNTERCLASS')}) AS encounter_class,
+       {_CLEAN.format(c='CODE')} AS code, {_CLEAN.format(c='DESCRIPTION')} AS description,
+       trim(BASE_ENCOUNTER_COST) AS base_cost_amount, trim(TOTAL_CLAIM_COST) AS claim_amount,
+       trim(PAYER_COVERAGE) AS coverage_amount,
+       {_CLEAN.format(c='REASONCODE')} AS reason_code,
+       {_CLEAN.format(c='REASONDESCRIPTION')} AS reason_description, partition_date
+FROM raw_e"""
+
+ORDER += ["raw_p", "conf_p", "raw_e", "conf_e"]
+DEPS.update({"conf_p": ["raw_p"], "raw_e": ["enc"], "conf_e": ["raw_e"]})
+
+SQL["conform_patients"] = with_ctes(["conf_p"], """
+SELECT patient_id, patient_fullname,
+       coalesce(CAST(try_strptime(birth_date, '%d-%m-%Y') AS DATE),
+                CAST(try_strptime(birth_date, '%Y-%m-%d') AS DATE)) AS birth_date,
+       coalesce(CAST(try_strptime(death_date, '%d-%m-%Y') AS DATE),
+                CAST(try_strptime(death_date, '%Y-%m-%d') AS DATE)) AS death_date,
+       marital_status, race, ethnicity, gender, birth_place, address, city, state, county, zip, partition_date
+FROM conf_p""")
+
+SQL["conform_encounters"] = with_ctes(["conf_e"], """
+SELECT encounter_id, TRY_CAST(start_time AS TIMESTAMP) AS start_time, TRY_CAST(stop_time AS TIMESTAMP) AS stop_time,
+       patient_id, payer_id, encounter_class, code, description,
+       TRY_CAST(base_cost_amount AS DOUBLE) AS base_cost_amount, TRY_CAST(claim_amount AS DOUBLE) AS claim_amount,
+       TRY_CAST(coverage_amount AS DOUBLE) AS coverage_amount, reason_code, reason_description, partition_date
+FROM conf_e""")
+
+_GUID_RE = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
+_DMY_RE = r"^(0[1-9]|[12][0-9]|3[01])-(0[1-9]|1[0-2])-\d{4}$"
+_ISO_RE = r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$"
+
+
+def _nn(c):
+    return (f"{c}:not_null", c, "not_null", f"{c} IS NULL")
+
+
+def _pat(c, name, rx):
+    return (f"{c}:pattern_{name}", c, "pattern", f"{c} IS NOT NULL AND NOT regexp_matches(CAST({c} AS VARCHAR), '{rx}')")
+
+
+def _typ(c, t):
+    conv = (f"try_strptime(CAST({c} AS VARCHAR), '%Y-%m-%d %H:%M:%S')" if t == "timestamp"
+            else f"TRY_CAST(CAST({c} AS VARCHAR) AS {t.upper()})")
+    return (f"{c}:type_{t}", c, "type", f"{c} IS NOT NULL AND {conv} IS NULL")
+
+
+_ENC_RULES = [*(_nn(c) for c in ("encounter_id", "patient_id", "payer_id", "start_time", "stop_time",
+                                  "base_cost_amount", "claim_amount", "coverage_amount")),
+              _pat("encounter_id", "guid", _GUID_RE), _pat("patient_id", "guid", _GUID_RE),
+              _pat("payer_id", "guid", _GUID_RE),
+              _typ("start_time", "timestamp"), _typ("stop_time", "timestamp"),
+              _pat("encounter_class", "alphabet", _ALPHA),
+              _pat("code", "alphanumeric", _ALNUM), _pat("reason_code", "alphanumeric", _ALNUM),
+              _typ("base_cost_amount", "double"), _typ("claim_amount", "double"),
+              _typ("coverage_amount", "double")]
+SQL["silver_quality"] = with_ctes(["conf_e"], _counts_sql("conf_e", _ENC_RULES))
+
+_PAT_RULES = [*(_nn(c) for c in ("patient_id", "patient_fullname", "birth_date", "city", "state", "county",
+                                  "partition_date")),
+              _pat("patient_id", "guid", _GUID_RE), _pat("patient_fullname", "alphabet", _ALPHA),
+              _pat("birth_date", "date_dmy", _DMY_RE), _pat("death_date", "date_dmy", _DMY_RE),
+              _pat("ethnicity", "alphabet", _ALPHA), _pat("gender", "alphabet", _ALPHA),
+              _pat("birth_place", "alphabet", _ALPHA), _pat("partition_date", "date_iso", _ISO_RE)]
+SQL["patient_quality"] = with_ctes(["conf_p"], _counts_sql("conf_p", _PAT_RULES))

@@ -17,7 +17,7 @@ from laketide.operators import scd2 as S
 from laketide.operators import slicing as SL
 from laketide.operators.asof import lookup_asof
 from laketide.operators.rollup import daily_rollup, daily_rollup_joined
-from laketide.plans import bronze, gold
+from laketide.plans import bronze, gold, silver
 from laketide.session import scratch_path
 from laketide.sinks import write as W
 from laketide.sources.files import read_csv
@@ -311,6 +311,30 @@ def q_dimension_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return W.read_versioned(spark, base)
 
 
+
+# ----------------------------------------------------------------- silver
+def q_conform_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CLN2 + typing on a raw patients extract derived from customer."""
+    return silver.typed_patients(silver.conform_patients(si.raw_patients(spark, sf_dir)))
+
+
+def q_conform_encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CLN1 + typing on a raw encounters extract derived from orders."""
+    return silver.typed_encounters(silver.conform_encounters(si.raw_encounters(spark, sf_dir)))
+
+
+def q_silver_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encounter rule set (DQ6) counted on the conformed extract."""
+    return DQ.quality_counts(silver.conform_encounters(si.raw_encounters(spark, sf_dir)),
+                             silver.ENCOUNTER_RULES)
+
+
+def q_patient_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The patient rule set (DQ6) counted on the conformed extract."""
+    return DQ.quality_counts(silver.conform_patients(si.raw_patients(spark, sf_dir)),
+                             silver.PATIENT_RULES)
+
+
 QUERIES = {
     "scd2_changes": q_scd2_changes,
     "scd2_step": q_scd2_step,
@@ -345,4 +369,8 @@ QUERIES = {
     "materialize_modes": q_materialize_modes,
     "materialize_append": q_materialize_append,
     "dimension_versions": q_dimension_versions,
+    "conform_patients": q_conform_patients,
+    "conform_encounters": q_conform_encounters,
+    "silver_quality": q_silver_quality,
+    "patient_quality": q_patient_quality,
 }

@@ -160,3 +160,64 @@ def procedures(spark: SparkSession, sf_dir: str, coarse: bool = False) -> DataFr
         F.col("l_extendedprice").alias("base_cost_amount"),
         "reason_code", "reason_description",
     )
+
+
+# ------------------------------------------------- raw (bronze) stand-ins
+def guid(c) -> "F.Column":
+    """A GUID-shaped id derived from a key: MD5 hex split 8-4-4-4-12."""
+    h = F.md5(c.cast("string"))
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4),
+                       F.substring(h, 17, 4), F.substring(h, 21, 12))
+
+
+def raw_patients(spark: SparkSession, sf_dir: str, d=D1) -> DataFrame:
+    """customer as a raw patients extract: all text, with the quirks the
+    silver stage must handle (upper/lower case names, day-first dates,
+    unknown codes, non-ASCII text, blank padding)."""
+    c = table(spark, sf_dir, "customer")
+    n = table(spark, sf_dir, "nation")
+    j = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
+    k = F.col("c_custkey")
+    birth = F.date_add(F.lit("1940-01-01").cast("date"), (k % 20000).cast("int"))
+    return j.select(
+        F.upper(guid(k)).alias("Id"),
+        F.date_format(birth, "dd-MM-yyyy").alias("BIRTHDATE"),
+        F.when(k % 10 == 0, F.date_format(F.date_add(birth, 25000), "dd-MM-yyyy")).alias("DEATHDATE"),
+        F.lower(F.col("c_mktsegment")).alias("FIRST"),
+        F.col("c_name").alias("LAST"),
+        F.substring(F.lit("MSDX"), (k % 4 + 1).cast("int"), 1).alias("MARITAL"),
+        F.concat(F.lit("race "), F.col("c_nationkey").cast("string")).alias("RACE"),
+        F.when(k % 2 == 0, F.lit("nonhispanic")).otherwise(F.lit("hispanic")).alias("ETHNICITY"),
+        F.substring(F.lit("FMx"), (k % 3 + 1).cast("int"), 1).alias("GENDER"),
+        F.concat(F.lit("  Zürich-"), F.col("n_name")).alias("BIRTHPLACE"),
+        F.concat(F.col("c_custkey").cast("string"), F.lit(" Main St. #"), (k % 7).cast("string")).alias("ADDRESS"),
+        F.lower(F.col("n_name")).alias("CITY"),
+        F.lit("ST").alias("STATE"),
+        F.lit("County (€)").alias("COUNTY"),
+        F.lpad((k % 100000).cast("string"), 5, "0").alias("ZIP"),
+        F.lit(d).alias("partition_date"),
+    )
+
+
+def raw_encounters(spark: SparkSession, sf_dir: str, d=D1) -> DataFrame:
+    """orders as a raw encounters extract (text times and amounts; every
+    13th coverage is not a number)."""
+    e = encounters(spark, sf_dir)
+    k = F.col("encounter_id")
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    return e.select(
+        guid(k).alias("Id"),
+        F.date_format("start_time", fmt).alias("START"),
+        F.date_format("stop_time", fmt).alias("STOP"),
+        guid(F.col("patient_id")).alias("PATIENT"),
+        guid(F.col("payer_id")).alias("PAYER"),
+        F.lower(F.col("encounter_class")).alias("ENCOUNTERCLASS"),
+        F.col("code").alias("CODE"),
+        F.col("description").alias("DESCRIPTION"),
+        F.col("base_cost_amount").cast("string").alias("BASE_ENCOUNTER_COST"),
+        F.col("claim_amount").cast("string").alias("TOTAL_CLAIM_COST"),
+        F.when(k % 13 == 0, F.lit("n/a")).otherwise(F.col("coverage_amount").cast("string")).alias("PAYER_COVERAGE"),
+        F.col("reason_code").alias("REASONCODE"),
+        F.col("reason_description").alias("REASONDESCRIPTION"),
+        F.lit(d).alias("partition_date"),
+    )
