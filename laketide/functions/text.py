@@ -20,8 +20,9 @@ _WS = " \\t\\n\\x0B\\f\\r"
 CLEAN_DROP_PATTERN = "[^A-Za-z0-9" + _WS + ",.'\";:!?()_&%$#@]"
 
 # A word is a run of ASCII letters, digits and underscore; everything else
-# separates words.  Title case upper-cases the first letter of each word.
-_TOKEN_PATTERN = "([a-z0-9_]+|[^a-z0-9_]+)"
+# separates words.  Title case upper-cases the first letter of each word:
+# the text is split (zero-width) just before every letter that starts a word.
+_WORD_START = "(?<![a-z0-9_])(?=[a-z])"
 
 
 def clean_string(c) -> Column:
@@ -37,7 +38,7 @@ def title_case(c) -> Column:
     works for names joined by apostrophes and hyphens (``initcap`` only
     splits on blanks).
     """
-    tokens = F.regexp_extract_all(F.lower(as_col(c)), F.lit(_TOKEN_PATTERN), 1)
+    tokens = F.split(F.lower(as_col(c)), _WORD_START)
     cap = F.transform(
         tokens,
         lambda t: F.when(t.rlike("^[a-z]"),
