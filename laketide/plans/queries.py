@@ -302,13 +302,13 @@ def q_materialize_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dimension_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCD-2 state on plain Parquet: each load writes a new version folder
-    and moves the pointer; the second load reads the first one."""
-    base = scratch_path(spark, "dim_patient")
-    W.write_version(S.scd2_apply(None, si.patients_snapshot(spark, sf_dir, 1), si.PATIENT, si.D1), base)
-    prev = W.read_versioned(spark, base)
-    W.write_version(S.scd2_apply(prev, si.patients_snapshot(spark, sf_dir, 2), si.PATIENT, si.D2), base)
-    return W.read_versioned(spark, base)
+    """SCD-2 state on plain Parquet (DimensionStore): each load reads only
+    the open versions of the previous load and writes its step once; the
+    dimension read back is all closed versions plus the current open ones."""
+    store = W.DimensionStore(spark, scratch_path(spark, "dim_patient"), si.PATIENT.columns)
+    store.write(S.scd2_apply(None, si.patients_snapshot(spark, sf_dir, 1), si.PATIENT, si.D1))
+    store.write(S.scd2_apply(store.active(), si.patients_snapshot(spark, sf_dir, 2), si.PATIENT, si.D2))
+    return store.read()
 
 
 

@@ -21,11 +21,9 @@ from pyspark.sql import SparkSession
 
 from laketide.functions.dates import run_date
 from laketide.operators import quality as DQ
-from laketide.operators.scd2 import scd2_apply
+from laketide.operators.scd2 import max_active_start, scd2_apply
 from laketide.plans import bronze, gold, silver
-from laketide.sinks.write import (
-    cluster_for_write, materialize, overwrite_partitions, read_versioned, write_version,
-)
+from laketide.sinks.write import DimensionStore, cluster_for_write, materialize, overwrite_partitions
 from laketide.sources.tables import read_slice, read_table
 
 TABLES = ("patients", "payers", "encounters", "procedures")
@@ -85,24 +83,30 @@ def run_silver(spark: SparkSession, d, layout: Layout, report: DayReport, policy
         report.writes[f"silver/{t}"] = "overwrite_partitions"
 
 
+def dimension_store(spark: SparkSession, layout: Layout, name: str) -> DimensionStore:
+    spec = {n: s for n, s in DIMENSIONS.values()}[name]
+    return DimensionStore(spark, layout.gold(name), spec.columns, spec.active_col)
+
+
 def run_dimensions(spark: SparkSession, d, layout: Layout, report: DayReport) -> None:
+    """SCD-2 load of each dimension from the day's snapshot.  Only the
+    open versions are read and rewritten (see DimensionStore)."""
     for t, (name, spec) in DIMENSIONS.items():
         snap = read_slice(spark, layout.silver(t), d, silver.PART_COL).select(
             spec.natural_key, *spec.attributes)
-        current = read_versioned(spark, layout.gold(name))
-        if current is not None:
-            from laketide.operators.scd2 import max_active_start
-            wm = max_active_start(current, spec)
+        store = dimension_store(spark, layout, name)
+        active = store.active()
+        if active is not None:
+            wm = max_active_start(active, spec)
             if wm is not None and run_date(d) <= wm:
                 report.dimensions[name] = "skipped (run date not after last load)"
                 continue
-        nxt = scd2_apply(current, snap, spec, d, check_gate=False)
-        report.dimensions[name] = write_version(nxt, layout.gold(name))
+        report.dimensions[name] = store.write(scd2_apply(active, snap, spec, d, check_gate=False))
 
 
 def run_facts(spark: SparkSession, d, layout: Layout, report: DayReport) -> None:
-    dim_patient = read_versioned(spark, layout.gold("dim_patient"))
-    dim_payer = read_versioned(spark, layout.gold("dim_payer"))
+    dim_patient = dimension_store(spark, layout, "dim_patient").read()
+    dim_payer = dimension_store(spark, layout, "dim_payer").read()
     enc = read_slice(spark, layout.silver("encounters"), d, silver.PART_COL)
     proc = read_slice(spark, layout.silver("procedures"), d, silver.PART_COL)
     fe = gold.fact_encounter(enc, dim_patient, dim_payer, d)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -176,3 +177,75 @@ def read_versioned(spark, base: str) -> DataFrame | None:
     if cur is None:
         return None
     return spark.read.parquet(f"{base.rstrip('/')}/v={cur}")
+
+
+class DimensionStore:
+    """SCD-2 dimension on plain Parquet, stored load by load.
+
+    Every load n writes the result of its step ONCE, to ``loads/v=<n>``,
+    partitioned by ``is_active``:
+
+    * ``is_active=true``  - the complete set of open versions after load n;
+    * ``is_active=false`` - only the versions load n closed.
+
+    The current dimension is the open part of the current load (the
+    pointer, moved after the write succeeded) plus the closed parts of all
+    loads up to it.  A daily load therefore reads and rewrites only the
+    open versions (about one row per key); the history, which grows with
+    every change ever made, is never read, shuffled or rewritten by a load.
+    Open parts of older loads are superseded (safe to delete).
+    """
+
+    def __init__(self, spark, base: str, columns: Sequence[str], active_col: str = "is_active"):
+        self.spark, self.base = spark, base.rstrip("/")
+        self.columns, self.active_col = list(columns), active_col
+
+    @property
+    def loads(self) -> str:
+        return f"{self.base}/loads"
+
+    def version(self) -> int | None:
+        return read_current_version(self.spark, self.base)
+
+    def active(self) -> DataFrame | None:
+        cur = self.version()
+        if cur is None:
+            return None
+        root = f"{self.loads}/v={cur}"
+        try:
+            df = self.spark.read.option("basePath", root).parquet(f"{root}/{self.active_col}=true")
+        except AnalysisException:  # no open version at all
+            return None
+        return self._typed(df)
+
+    def history(self) -> DataFrame | None:
+        cur = self.version()
+        if cur is None:
+            return None
+        try:
+            df = (self.spark.read.option("basePath", self.loads)
+                  .parquet(f"{self.loads}/v=*/{self.active_col}=false"))
+        except AnalysisException:  # nothing closed yet
+            return None
+        return self._typed(df.where(F.col("v") <= F.lit(cur)))
+
+    def _typed(self, df: DataFrame) -> DataFrame:
+        # partition discovery reads true/false folder names as text
+        return df.select(*[F.col(c).cast("boolean").alias(c) if c == self.active_col else F.col(c)
+                           for c in self.columns])
+
+    def read(self) -> DataFrame | None:
+        a, h = self.active(), self.history()
+        if a is None:
+            return h
+        return a if h is None else h.unionByName(a)
+
+    def write(self, stepped: DataFrame) -> str:
+        """Store ``scd2_apply(store.active(), snapshot, spec, d)`` as the
+        next load (one job), then move the pointer."""
+        cur = self.version()
+        nxt = 1 if cur is None else cur + 1
+        path = f"{self.loads}/v={nxt}"
+        stepped.write.mode("overwrite").partitionBy(self.active_col).parquet(path)
+        self.spark.range(1).select(F.lit(nxt).alias("version")).write.mode("overwrite").parquet(_pointer(self.base))
+        return path

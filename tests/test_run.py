@@ -6,10 +6,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from laketide.operators.quality import at_most_one_active
-from laketide.plans.run import Layout, run_day
+from laketide.plans.run import Layout, dimension_store, run_day
 from laketide.sources.schemas import RAW
 from laketide.sources.tables import read_table
-from laketide.sinks.write import read_versioned
 
 P1, P2 = "11111111-1111-4111-8111-111111111111", "22222222-2222-4222-8222-222222222222"
 Y1 = "aaaaaaaa-aaaa-4aaa-8aaa-aaaaaaaaaaaa"
@@ -70,7 +69,7 @@ def snapshot(spark, layout):
     out = {}
     for t in ("fact_encounter", "fact_procedure", "daily_encounter"):
         out[t] = sorted(map(repr, read_table(spark, layout.gold(t)).collect()))
-    out["dim_patient"] = sorted(map(repr, read_versioned(spark, layout.gold("dim_patient")).collect()))
+    out["dim_patient"] = sorted(map(repr, dimension_store(spark, layout, "dim_patient").read().collect()))
     return out
 
 
@@ -89,7 +88,9 @@ def test_three_days_then_rerun(spark, scratch):
     assert r1.quality["patients"]["birth_date:pattern_date_dmy"] == 1
     assert r1.quality["encounters"]["total_rows"] == 2  # events starting or stopping on D1
 
-    dim = read_versioned(spark, layout.gold("dim_patient"))
+    store = dimension_store(spark, layout, "dim_patient")
+    assert store.history().count() == 1 and store.active().count() == 2
+    dim = store.read()
     assert at_most_one_active(dim, "patient_id").count() == 0
     p1 = sorted((r.city, r.start_date, r.end_date, r.is_active) for r in dim.where(F.col("patient_id") == P1).collect())
     assert p1 == [("Boston", D1, D2, False), ("Cambridge", D2, None, True)]
