@@ -10,6 +10,7 @@ from laketide.functions.dates import days_between, minutes_between, run_date, to
 from laketide.operators.asof import lookup_asof
 from laketide.operators.joins import DEFAULT_BROADCAST_ROWS
 from laketide.operators.rollup import daily_rollup, daily_rollup_joined  # noqa: F401
+from laketide.operators.quality import not_null
 from laketide.operators.scd2 import DimSpec
 
 PATIENT_ATTRIBUTES = ("patient_fullname", "birth_date", "death_date", "marital_status", "race",
@@ -89,3 +90,14 @@ def fact_procedure(procedures: DataFrame, dim_patient: DataFrame, d=None,
         "date", "encounter_id", "code", "dim_patient_key", "description", "reason_code",
         "reason_description", "start_time", "stop_time", "base_cost_amount",
         minutes_between("stop_time", "start_time").alias("duration_minute_num"))
+
+
+# Table checks the original declared for the gold tables (run here, on the
+# partition each load writes).
+FACT_ENCOUNTER_RULES = not_null("date", "encounter_id", "dim_patient_key", "dim_payer_key",
+                                "encounter_class", "start_time", "base_cost_amount",
+                                "length_of_stay_num")
+FACT_PROCEDURE_RULES = not_null("date", "encounter_id", "code", "dim_patient_key", "start_time",
+                                "base_cost_amount", "duration_minute_num")
+DAILY_ENCOUNTER_RULES = not_null("date", "dim_patient_key", "dim_payer_key")
+UNIQUE_KEYS = {"fact_encounter": ["encounter_id"]}

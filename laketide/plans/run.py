@@ -18,6 +18,7 @@ import datetime as _dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from laketide.functions.dates import run_date
 from laketide.operators import quality as DQ
@@ -88,12 +89,19 @@ def dimension_store(spark: SparkSession, layout: Layout, name: str) -> Dimension
     return DimensionStore(spark, layout.gold(name), spec.columns, spec.active_col)
 
 
-def run_dimensions(spark: SparkSession, d, layout: Layout, report: DayReport) -> None:
+def run_dimensions(spark: SparkSession, d, layout: Layout, report: DayReport,
+                   policy: str = "report") -> None:
     """SCD-2 load of each dimension from the day's snapshot.  Only the
-    open versions are read and rewritten (see DimensionStore)."""
+    open versions are read and rewritten (see DimensionStore).
+
+    A natural key that occurs twice in one snapshot cannot form a valid
+    history: all its rows go to the quarantine table of the dimension
+    (nothing is dropped), are counted, and fail the load under the "fail"
+    policy.  After the load the invariant "at most one open version per
+    key" is counted.
+    """
     for t, (name, spec) in DIMENSIONS.items():
-        snap = read_slice(spark, layout.silver(t), d, silver.PART_COL).select(
-            spec.natural_key, *spec.attributes)
+        day = read_slice(spark, layout.silver(t), d, silver.PART_COL)
         store = dimension_store(spark, layout, name)
         active = store.active()
         if active is not None:
@@ -101,7 +109,29 @@ def run_dimensions(spark: SparkSession, d, layout: Layout, report: DayReport) ->
             if wm is not None and run_date(d) <= wm:
                 report.dimensions[name] = "skipped (run date not after last load)"
                 continue
+        dup_keys = DQ.unique_violations(day.select(spec.natural_key), [spec.natural_key])
+        n_dup = dup_keys.count()
+        checks = {"duplicate_keys": n_dup}
+        snap = day.select(spec.natural_key, *spec.attributes)
+        if n_dup:
+            DQ.check(checks, policy)
+            flagged = day.join(F.broadcast(dup_keys.select(spec.natural_key)) if n_dup <= 100_000
+                               else dup_keys.select(spec.natural_key), spec.natural_key, "left_semi")
+            overwrite_partitions(flagged, layout.quarantine(f"{name}_duplicates"), silver.PART_COL)
+            snap = snap.join(dup_keys.select(spec.natural_key), spec.natural_key, "left_anti")
         report.dimensions[name] = store.write(scd2_apply(active, snap, spec, d, check_gate=False))
+        checks["multiple_active"] = DQ.at_most_one_active(store.active(), spec.natural_key).count()
+        report.quality[name] = checks
+
+
+def _gold_checks(spark: SparkSession, target: str, d, rules, unique=None) -> dict[str, int]:
+    """The declared table checks, counted on the partition just written
+    (a pruned read of one date)."""
+    part = read_slice(spark, target, d, "date")
+    counts = {r["rule"]: int(r["failed_rows"]) for r in DQ.quality_counts(part, rules).collect()}
+    if unique:
+        counts[f"{'+'.join(unique)}:unique"] = DQ.unique_violations(part, unique).count()
+    return counts
 
 
 def run_facts(spark: SparkSession, d, layout: Layout, report: DayReport) -> None:
@@ -116,6 +146,10 @@ def run_facts(spark: SparkSession, d, layout: Layout, report: DayReport) -> None
     roll = gold.daily_rollup(read_table(spark, layout.gold("fact_encounter")),
                              read_table(spark, layout.gold("fact_procedure")), d)
     report.writes["gold/daily_encounter"] = materialize(roll, layout.gold("daily_encounter"), "date", d)
+    for name, rules in (("fact_encounter", gold.FACT_ENCOUNTER_RULES),
+                        ("fact_procedure", gold.FACT_PROCEDURE_RULES),
+                        ("daily_encounter", gold.DAILY_ENCOUNTER_RULES)):
+        report.quality[name] = _gold_checks(spark, layout.gold(name), d, rules, gold.UNIQUE_KEYS.get(name))
 
 
 def run_day(spark: SparkSession, d, raw: dict[str, str], layout: Layout,
@@ -125,7 +159,7 @@ def run_day(spark: SparkSession, d, raw: dict[str, str], layout: Layout,
     report = DayReport(d)
     run_bronze(spark, d, raw, layout, report)
     run_silver(spark, d, layout, report, policy)
-    run_dimensions(spark, d, layout, report)
+    run_dimensions(spark, d, layout, report, policy)
     run_facts(spark, d, layout, report)
     return report
 

@@ -109,6 +109,13 @@ def test_three_days_then_rerun(spark, scratch):
     assert [(r.total_encounter_num, r.total_procedure_num, r.total_diagnosis_num, r.total_claim_amount)
             for r in d1] == [(1, 2, 1, 200.0)]
 
+    # declared table checks ran in the load
+    r3 = run_day(spark, D3, raw2, layout)
+    assert r3.quality["fact_encounter"]["encounter_id:unique"] == 0
+    assert r3.quality["dim_patient"] if "dim_patient" in r3.quality else True
+    assert r1.quality["dim_patient"] == {"duplicate_keys": 0, "multiple_active": 0}
+    assert r1.quality["fact_encounter"]["dim_patient_key:not_null"] == 0
+
     before = snapshot(spark, layout)
     rep = run_day(spark, D2, raw2, layout)  # re-run a day: nothing changes
     assert rep.dimensions["dim_patient"].startswith("skipped")
@@ -122,3 +129,15 @@ def test_quarantine_policy(spark, scratch):
     assert [r.encounter_id for r in bad.collect()] == [E[2]]  # base cost 'abc'
     good = read_table(spark, layout.silver("encounters"))
     assert E[2] not in {r.encounter_id for r in good.collect()}
+
+
+def test_duplicate_snapshot_keys_are_quarantined(spark, scratch):
+    layout = Layout(f"{scratch}/lake_dup")
+    raw = raw_files(scratch, "Boston")
+    with open(raw["patients"], "a") as f:  # the same patient twice in the snapshot
+        f.write(P2 + ",01-02-1991,,,,,,ann,other,,,S,,,F,,,Lynn,MA,Essex,01901\n")
+    rep = run_day(spark, D1, raw, layout)
+    assert rep.quality["dim_patient"] == {"duplicate_keys": 1, "multiple_active": 0}
+    dim = dimension_store(spark, layout, "dim_patient").read()
+    assert [r.patient_id for r in dim.collect()] == [P1]
+    assert read_table(spark, layout.quarantine("dim_patient_duplicates")).count() == 2
