@@ -498,3 +498,40 @@ _PAT_RULES = [*(_nn(c) for c in ("patient_id", "patient_fullname", "birth_date",
               _pat("ethnicity", "alphabet", _ALPHA), _pat("gender", "alphabet", _ALPHA),
               _pat("birth_place", "alphabet", _ALPHA), _pat("partition_date", "date_iso", _ISO_RE)]
 SQL["patient_quality"] = with_ctes(["conf_p"], _counts_sql("conf_p", _PAT_RULES))
+
+# ---------------------------------------------------------- whole pipeline
+_P_D1 = "DATE '1998-03-01'"
+_DAYS = "(DATE '1998-03-01', DATE '1998-03-02')"
+
+CTE["pipe_fe"] = f"""
+SELECT CAST(TRY_CAST(stop_time AS TIMESTAMP) AS DATE) AS date, encounter_id,
+       md5(patient_id || '::' || CAST({_P_D1} AS VARCHAR)) AS dim_patient_key,
+       md5(payer_id || '::' || CAST({_P_D1} AS VARCHAR)) AS dim_payer_key,
+       encounter_class, coalesce(reason_description, description) AS purpose,
+       TRY_CAST(claim_amount AS DOUBLE) AS claim_amount,
+       TRY_CAST(coverage_amount AS DOUBLE) AS coverage_amount,
+       TRY_CAST(claim_amount AS DOUBLE) - TRY_CAST(coverage_amount AS DOUBLE) AS patient_pay_amount
+FROM conf_e
+WHERE CAST(TRY_CAST(stop_time AS TIMESTAMP) AS DATE) IN {_DAYS}"""
+
+CTE["pipe_pc"] = f"""
+SELECT lower({_guid('encounter_id')}) AS encounter_id, CAST(stop_time AS DATE) AS date,
+       count(*) AS n_procedures,
+       count(CASE WHEN code IS NOT NULL THEN {_CLEAN.format(c='code')} END) AS n_codes
+FROM proc
+WHERE CAST(stop_time AS DATE) IN {_DAYS}
+GROUP BY 1, 2"""
+
+ORDER += ["pipe_fe", "pipe_pc"]
+DEPS.update({"pipe_fe": ["conf_e"], "pipe_pc": ["proc"]})
+
+SQL["daily_pipeline"] = with_ctes(["pipe_fe", "pipe_pc"], """
+SELECT fe.date, fe.dim_patient_key, fe.dim_payer_key, fe.encounter_class, fe.purpose,
+       count(DISTINCT fe.encounter_id) AS total_encounter_num,
+       CAST(coalesce(sum(pc.n_procedures), 0) AS BIGINT) AS total_procedure_num,
+       CAST(coalesce(sum(pc.n_codes), 0) AS BIGINT) AS total_diagnosis_num,
+       round(sum(fe.claim_amount), 2) AS total_claim_amount,
+       round(sum(fe.coverage_amount), 2) AS total_coverage_amount,
+       round(sum(fe.patient_pay_amount), 2) AS total_patient_pay_amount
+FROM pipe_fe fe LEFT JOIN pipe_pc pc ON fe.encounter_id = pc.encounter_id AND fe.date = pc.date
+GROUP BY ALL""")

@@ -221,3 +221,43 @@ def raw_encounters(spark: SparkSession, sf_dir: str, d=D1) -> DataFrame:
         F.col("reason_description").alias("REASONDESCRIPTION"),
         F.lit(d).alias("partition_date"),
     )
+
+
+def raw_payers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = table(spark, sf_dir, "supplier")
+    return s.select(guid(F.col("s_suppkey")).alias("Id"), F.col("s_name").alias("NAME"),
+                    F.concat(F.col("s_suppkey").cast("string"), F.lit(" Payer Road")).alias("ADDRESS"),
+                    F.lit("Baltimore").alias("CITY"),
+                    F.lpad((F.col("s_suppkey") % 100000).cast("string"), 5, "0").alias("ZIP"))
+
+
+def raw_procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = procedures(spark, sf_dir)
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    return p.select(
+        F.date_format("start_time", fmt).alias("START"),
+        F.date_format("stop_time", fmt).alias("STOP"),
+        guid(F.col("patient_id")).alias("PATIENT"),
+        guid(F.col("encounter_id")).alias("ENCOUNTER"),
+        F.col("code").alias("CODE"),
+        F.col("description").alias("DESCRIPTION"),
+        F.col("base_cost_amount").cast("string").alias("BASE_COST"),
+        F.col("reason_code").alias("REASONCODE"),
+        F.col("reason_description").alias("REASONDESCRIPTION"),
+    )
+
+
+def write_raw_extracts(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
+    """Write the four raw source files (CSV with header, the source
+    column layout, all text) derived from the driver tables."""
+    from laketide.sources.schemas import RAW
+    frames = {"patients": raw_patients(spark, sf_dir).drop("partition_date"),
+              "payers": raw_payers(spark, sf_dir),
+              "encounters": raw_encounters(spark, sf_dir).drop("partition_date"),
+              "procedures": raw_procedures(spark, sf_dir)}
+    paths = {}
+    for name, df in frames.items():
+        cols = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in RAW[name]]
+        paths[name] = f"{base.rstrip('/')}/{name}"
+        df.select(*cols).write.option("header", True).csv(paths[name])
+    return paths

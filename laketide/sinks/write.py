@@ -9,12 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laketide.functions.dates import run_date
-from laketide.sources.tables import is_path, read_table, table_exists
+from laketide.sources.tables import glob_matches, is_path, path_exists, read_table, table_exists
 
 
 def _dynamic(df: DataFrame) -> None:
@@ -212,21 +211,21 @@ class DimensionStore:
         if cur is None:
             return None
         root = f"{self.loads}/v={cur}"
-        try:
-            df = self.spark.read.option("basePath", root).parquet(f"{root}/{self.active_col}=true")
-        except AnalysisException:  # no open version at all
+        part = f"{root}/{self.active_col}=true"
+        if not path_exists(self.spark, part):  # no open version at all
             return None
-        return self._typed(df)
+        return self._typed(self.spark.read.option("basePath", root).parquet(part))
 
     def history(self) -> DataFrame | None:
         cur = self.version()
         if cur is None:
             return None
-        try:
-            df = (self.spark.read.option("basePath", self.loads)
-                  .parquet(f"{self.loads}/v=*/{self.active_col}=false"))
-        except AnalysisException:  # nothing closed yet
+        closed = f"{self.loads}/v=*/{self.active_col}=false"
+        if not glob_matches(self.spark, closed):  # nothing closed yet
             return None
+        df = self.spark.read.option("basePath", self.loads).parquet(closed)
+        # a load that failed after writing but before moving the pointer
+        # left a folder above the current version: not part of the table
         return self._typed(df.where(F.col("v") <= F.lit(cur)))
 
     def _typed(self, df: DataFrame) -> DataFrame:

@@ -23,6 +23,31 @@ def is_path(target: str) -> bool:
     return "/" in target or "://" in target
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, through the Hadoop FileSystem of the
+    session's configuration (any scheme the cluster supports).  Without a
+    JVM gateway (Spark Connect) it falls back to resolving the path."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p))
+    try:
+        spark.read.text(path).schema  # noqa: B018
+        return True
+    except AnalysisException:
+        return False
+
+
+def glob_matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether a glob pattern matches anything (one listing call)."""
+    jvm = getattr(spark, "_jvm", None)
+    if jvm is not None:
+        p = jvm.org.apache.hadoop.fs.Path(pattern)
+        found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+        return found is not None and len(found) > 0
+    return path_exists(spark, pattern)
+
+
 def table_exists(spark: SparkSession, target: str) -> bool:
     """Catalog lookup for names; for paths, whether a committed write is
     there: the ``_SUCCESS`` marker every successful Spark write job leaves
@@ -30,11 +55,7 @@ def table_exists(spark: SparkSession, target: str) -> bool:
     10,000 partitions (resolving the table itself would list them all)."""
     if not is_path(target):
         return spark.catalog.tableExists(target)
-    try:
-        spark.read.text(f"{target.rstrip('/')}/_SUCCESS").schema  # noqa: B018
-        return True
-    except AnalysisException:
-        return False
+    return path_exists(spark, f"{target.rstrip('/')}/_SUCCESS")
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:
