@@ -65,7 +65,9 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
         cond = cond & (lsalt[k] == r_ren[f"_r_{k}"])
     if extra_condition is not None:
         cond = cond & extra_condition(lsalt, r_ren)
-    joined = lsalt.join(r_ren, cond, "left")
+    # salting is for a right side too big to broadcast: keep the shuffle
+    # join on (key, salt) even when size statistics would broadcast it
+    joined = lsalt.join(r_ren.hint("merge"), cond, "left")
     right_cols = [c for c in right.columns if c not in keys]
     return joined.select(*[lsalt[c] for c in left.columns],
                          *[F.col(f"_r_{c}").alias(c) for c in right_cols])
