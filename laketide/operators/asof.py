@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from laketide.functions.dates import run_date
 from laketide.operators.joins import (
-    DEFAULT_BROADCAST_ROWS, broadcast_if_bounded, rows_at_most, salted_left_join,
+    DEFAULT_BROADCAST_ROWS, broadcast_if_bounded, null_spread, rows_at_most, salted_left_join,
 )
 from laketide.operators.scd2 import DimSpec, valid_on
 
@@ -61,10 +61,20 @@ def lookup_asof(fact: DataFrame, dim: DataFrame, spec: DimSpec, fact_key: str,
             v = versions.withColumnRenamed("_dk", fact_key)
             joined = salted_left_join(fact, v, [fact_key], rng, salt_buckets=salt_buckets)
             return joined.drop("_ds", "_de").withColumnRenamed("_sk", out_key)
-        cond = ((fact[fact_key] == versions["_dk"]) & (versions["_ds"] <= day) &
-                (versions["_de"].isNull() | (versions["_de"] > day)))
-        joined = fact.join(versions, cond, "left")
-        return joined.select(*[fact[c] for c in fact.columns], F.col("_sk").alias(out_key))
+        if small:
+            cond = ((fact[fact_key] == versions["_dk"]) & (versions["_ds"] <= day) &
+                    (versions["_de"].isNull() | (versions["_de"] > day)))
+            joined = fact.join(versions, cond, "left")
+            return joined.select(*[fact[c] for c in fact.columns], F.col("_sk").alias(out_key))
+        # Shuffle join.  Fact rows without a key can never match, but
+        # hashing NULL would send all of them to one task: a second join
+        # column spreads them (row hash for NULL keys, constant otherwise).
+        f = fact.withColumn("_nk", null_spread(F.col(fact_key), fact.columns))
+        v = versions.withColumn("_nk", F.lit(-1))
+        cond = ((f[fact_key] == v["_dk"]) & (f["_nk"] == v["_nk"]) & (v["_ds"] <= day) &
+                (v["_de"].isNull() | (v["_de"] > day)))
+        joined = f.join(v, cond, "left")
+        return joined.select(*[f[c] for c in fact.columns], F.col("_sk").alias(out_key))
 
     d = run_date(as_of)
     versions = valid_on(dim, spec, d).select(F.col(spec.natural_key).alias("_dk"),

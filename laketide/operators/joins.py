@@ -27,6 +27,18 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
     return F.broadcast(df) if rows_at_most(df, max_rows) else df
 
 
+NULL_SPREAD_BUCKETS = 1024
+
+
+def null_spread(key: Column, row_cols: Sequence[str], buckets: int = NULL_SPREAD_BUCKETS) -> Column:
+    """Extra join column for the probe side of an outer join: a row hash in
+    [0, buckets) when the key is NULL, -1 otherwise (the build side uses
+    -1).  NULL keys never match, so results are unchanged, but their rows
+    are spread over the shuffle instead of all hashing to one task."""
+    return F.when(key.isNull(), F.pmod(F.xxhash64(*[F.col(c) for c in row_cols]), F.lit(buckets))) \
+        .otherwise(F.lit(-1)).cast("long")
+
+
 def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                      extra_condition=None, *, salt_buckets: int = 32,
                      hot_share: float = 0.001, max_hot_keys: int = 10_000,
@@ -51,8 +63,14 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
         raise ValueError("hot-key list exceeds its bound")
     hot = F.broadcast(hot)
     salt_src = [F.col(c) for c in (salt_from or left.columns)]
+    any_null = F.lit(False)
+    for k in keys:
+        any_null = any_null | F.col(k).isNull()
+    # hot keys and NULL keys (which never match, but would all hash to one
+    # task) are spread over the salt buckets
     lsalt = (left.join(hot, keys, "left")
-             .withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(*salt_src), F.lit(salt_buckets)))
+             .withColumn("_salt", F.when(F.col("_hot") | any_null,
+                                         F.pmod(F.xxhash64(*salt_src), F.lit(salt_buckets)))
                          .otherwise(F.lit(0)))
              .drop("_hot"))
     rsalt = (right.join(hot, keys, "left")

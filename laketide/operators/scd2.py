@@ -94,10 +94,15 @@ def scd2_changes(dim: DataFrame | None, snapshot: DataFrame, spec: DimSpec) -> D
     active = (dim.where(_is_active(spec))
               .select(F.col(spec.natural_key).alias("_a_key"),
                       row_hash(spec.hashed).alias("_a_hash")))
-    j = snap.join(active, snap[spec.natural_key] == active["_a_key"], "left")
-    return (j.where(F.col("_a_key").isNull() | (F.col("_a_hash") != F.col("row_hash")))
-            .withColumn("change", F.when(F.col("_a_key").isNull(), F.lit("new")).otherwise(F.lit("changed")))
-            .drop("_a_key", "_a_hash"))
+    keyed = snap.where(F.col(spec.natural_key).isNotNull())
+    j = keyed.join(active, keyed[spec.natural_key] == active["_a_key"], "left")
+    changes = (j.where(F.col("_a_key").isNull() | (F.col("_a_hash") != F.col("row_hash")))
+               .withColumn("change", F.when(F.col("_a_key").isNull(), F.lit("new")).otherwise(F.lit("changed")))
+               .drop("_a_key", "_a_hash"))
+    # a NULL key matches no version: always new, and kept out of the
+    # shuffle (all NULL keys would hash to one task)
+    nullkey = snap.where(F.col(spec.natural_key).isNull()).withColumn("change", F.lit("new"))
+    return changes.unionByName(nullkey)
 
 
 def scd2_close(dim: DataFrame, changed_keys: DataFrame, spec: DimSpec, d) -> DataFrame:
