@@ -13,9 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laketide.functions.dates import run_date
-from laketide.operators.joins import (
-    DEFAULT_BROADCAST_ROWS, broadcast_if_bounded, null_spread, rows_at_most, salted_left_join,
-)
+from laketide.operators.joins import DEFAULT_BROADCAST_ROWS, null_spread, rows_at_most, salted_left_join
 from laketide.operators.scd2 import DimSpec, valid_on
 
 
@@ -79,7 +77,11 @@ def lookup_asof(fact: DataFrame, dim: DataFrame, spec: DimSpec, fact_key: str,
     d = run_date(as_of)
     versions = valid_on(dim, spec, d).select(F.col(spec.natural_key).alias("_dk"),
                                              F.col(spec.surrogate_key).alias(out_key))
-    if broadcast_rows is not None:
-        versions = broadcast_if_bounded(versions, broadcast_rows)
-    joined = fact.join(versions, fact[fact_key] == versions["_dk"], "left")
-    return joined.drop("_dk")
+    if broadcast_rows is not None and rows_at_most(versions, broadcast_rows):
+        versions = F.broadcast(versions)
+        joined = fact.join(versions, fact[fact_key] == versions["_dk"], "left")
+        return joined.drop("_dk")
+    f = fact.withColumn("_nk", null_spread(F.col(fact_key), fact.columns))
+    v = versions.withColumn("_nk", F.lit(-1))
+    joined = f.join(v, (f[fact_key] == v["_dk"]) & (f["_nk"] == v["_nk"]), "left")
+    return joined.select(*[f[c] for c in fact.columns], F.col(out_key))

@@ -206,7 +206,9 @@ def scd2_from_snapshots(snapshots: DataFrame, spec: DimSpec, date_col: str = "sn
     h = snapshots.select(spec.natural_key, *spec.attributes,
                          F.col(date_col).cast("date").alias("_d"),
                          row_hash(spec.hashed).alias("_h"))
-    w = Window.partitionBy(spec.natural_key).orderBy("_d")
+    # the hash breaks ties, so a key listed twice in one snapshot still
+    # gives the same result on every run (DQ5 flags such snapshots)
+    w = Window.partitionBy(spec.natural_key).orderBy("_d", "_h")
     kept = (h.withColumn("_prev", F.lag("_h").over(w))
             .where(F.col("_prev").isNull() | (F.col("_prev") != F.col("_h"))))
     ended = kept.withColumn("_end", F.lead("_d").over(w))

@@ -65,3 +65,11 @@ def test_changes_with_null_keys(spark):
     dim = S.scd2_apply(None, spark.createDataFrame([(1, "x")], "k long, a string"), SPEC, dt.date(2022, 1, 1))
     ch = S.scd2_changes(dim, spark.createDataFrame([(1, "x"), (None, "n"), (2, "z")], "k long, a string"), SPEC)
     assert sorted(((r.k or 0), r.change) for r in ch.collect()) == [(0, "new"), (2, "new")]
+
+
+def test_run_date_lookup_paths_agree(spark):
+    facts, dim = skewed_facts(spark), dimension(spark)
+    for d in (dt.date(2021, 12, 31), dt.date(2022, 1, 5), dt.date(2022, 1, 10)):
+        a = collect(lookup_asof(facts, dim, SPEC, "k", d))
+        b = collect(lookup_asof(facts, dim, SPEC, "k", d, broadcast_rows=None))
+        assert a == b and len(a) == facts.count()
