@@ -42,7 +42,8 @@ def cluster_for_write(df: DataFrame, part_col: str) -> DataFrame:
     return df.repartitionByRange(F.col(part_col), F.xxhash64(*[F.col(c) for c in df.columns]))
 
 
-def overwrite_partitions(df: DataFrame, target: str, part_col: str, *, clustered: bool = False) -> None:
+def overwrite_partitions(df: DataFrame, target: str, part_col: str, *, clustered: bool = False,
+                         table_format: str = "parquet") -> None:
     """Replace only the partitions present in ``df`` (SNK1).
 
     The first write creates the partitioned table.  ``clustered=True``
@@ -52,9 +53,11 @@ def overwrite_partitions(df: DataFrame, target: str, part_col: str, *, clustered
     """
     data = df if clustered else cluster_for_write(df, part_col)
     if not table_exists(df.sparkSession, target):
-        create_table_as(data, target, part_col, clustered=True)
+        create_table_as(data, target, part_col, clustered=True, table_format=table_format)
         return
-    if is_path(target):
+    if table_format != "parquet" and not is_path(target):
+        _ordered_for(data, target, part_col).writeTo(target).overwritePartitions()
+    elif is_path(target):
         (data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(part_col).parquet(target))
     else:
@@ -86,11 +89,12 @@ def create_table_as(df: DataFrame, target: str, part_col: str | None = None,
         w.format(table_format).saveAsTable(target)
 
 
-def overwrite_partition(df: DataFrame, target: str, part_col: str, d) -> None:
+def overwrite_partition(df: DataFrame, target: str, part_col: str, d, *,
+                        table_format: str = "parquet") -> None:
     """Static overwrite of one partition: every row gets partition value
     ``d``, whatever it had (SNK3)."""
     stamped = df.drop(part_col).withColumn(part_col, F.lit(run_date(d)))
-    overwrite_partitions(stamped, target, part_col)
+    overwrite_partitions(stamped, target, part_col, table_format=table_format)
 
 
 def append(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> None:
@@ -107,7 +111,7 @@ def append(df: DataFrame, target: str, columns: Sequence[str] | None = None) ->
 
 def materialize(df: DataFrame, target: str, partition_by: str | None = None, d=None,
                 *, before: Callable[[], None] | None = None,
-                after: Callable[[], None] | None = None) -> str:
+                after: Callable[[], None] | None = None, table_format: str = "parquet") -> str:
     """Incremental materialization (MAT1; SNK6, SNK7).
 
     * table missing            -> create it from the query (partitioned
@@ -117,20 +121,22 @@ def materialize(df: DataFrame, target: str, partition_by: str | None = None, d=N
     * partitioned, no ``d``    -> overwrite the partitions the query has;
     * not partitioned          -> append.
 
-    ``before`` / ``after`` run around the write.  Returns the action taken.
+    ``before`` / ``after`` run around the write; ``table_format`` picks the
+    catalog table format (v2 writer for formats other than parquet).
+    Returns the action taken.
     """
     if before:
         before()
     if not table_exists(df.sparkSession, target):
         create_table_as(df if d is None or not partition_by
                         else df.drop(partition_by).withColumn(partition_by, F.lit(run_date(d))),
-                        target, partition_by)
+                        target, partition_by, table_format=table_format)
         action = "create"
     elif partition_by and d is not None:
-        overwrite_partition(df, target, partition_by, d)
+        overwrite_partition(df, target, partition_by, d, table_format=table_format)
         action = "overwrite_partition"
     elif partition_by:
-        overwrite_partitions(df, target, partition_by)
+        overwrite_partitions(df, target, partition_by, table_format=table_format)
         action = "overwrite_partitions"
     else:
         append(df, target)
