@@ -32,13 +32,19 @@ def ingest_events(spark: SparkSession, path: str, table: str, d) -> DataFrame:
     The raw times are parsed only for the filter; the row stays text.  An
     event spanning midnight lands in both days' slices; the fact layer
     keeps it once, on its stop date.
+
+    Events whose start and stop both fail to parse belong to no day; they
+    are kept (not dropped) in the undated partition (``partition_date``
+    NULL), which every run rewrites with the file's current undatable rows
+    in the same pass.
     """
     start, stop = EVENT_TABLES[table]
     day = F.lit(run_date(d))
     raw = read_csv(spark, path, raw_schema(table))
-    sliced = raw.where((F.to_date(parse_timestamp(start)) == day) |
-                       (F.to_date(parse_timestamp(stop)) == day))
-    return stamp(sliced, d)
+    s_day, e_day = F.to_date(parse_timestamp(start)), F.to_date(parse_timestamp(stop))
+    undated = s_day.isNull() & e_day.isNull()
+    sliced = raw.where((s_day == day) | (e_day == day) | undated)
+    return sliced.withColumn(PART_COL, F.when(~undated, day))
 
 
 def ingest(spark: SparkSession, path: str, table: str, d) -> DataFrame:

@@ -62,6 +62,9 @@ def run_bronze(spark: SparkSession, d, raw: dict[str, str], layout: Layout, repo
     for t in TABLES:
         overwrite_partitions(bronze.ingest(spark, raw[t], t, d), layout.bronze(t), bronze.PART_COL)
         report.writes[f"bronze/{t}"] = "overwrite_partitions"
+        if t in bronze.EVENT_TABLES:  # rows that belong to no day (pruned read)
+            undated = read_table(spark, layout.bronze(t)).where(F.col(bronze.PART_COL).isNull())
+            report.quality[f"bronze_{t}"] = {"undated_rows": undated.count()}
 
 
 def run_silver(spark: SparkSession, d, layout: Layout, report: DayReport, policy: str = "report") -> None:
@@ -141,6 +144,10 @@ def run_facts(spark: SparkSession, d, layout: Layout, report: DayReport) -> None
     proc = read_slice(spark, layout.silver("procedures"), d, silver.PART_COL)
     fe = gold.fact_encounter(enc, dim_patient, dim_payer, d)
     fp = gold.fact_procedure(proc, dim_patient, d)
+    # events still open (no stop time): not in a fact until they stop
+    report.quality["open_events"] = {
+        "encounters": enc.where(F.col("stop_time").isNull()).count(),
+        "procedures": proc.where(F.col("stop_time").isNull()).count()}
     report.writes["gold/fact_encounter"] = materialize(fe, layout.gold("fact_encounter"), "date", d)
     report.writes["gold/fact_procedure"] = materialize(fp, layout.gold("fact_procedure"), "date", d)
     roll = gold.daily_rollup(read_table(spark, layout.gold("fact_encounter")),

@@ -10,10 +10,12 @@ from laketide.sources.schemas import raw_schema
 
 
 def event_days(df, start_col: str, stop_col: str, out_col: str = PART_COL):
-    """Each event once per distinct day among its start and stop days."""
+    """Each event once per distinct day among its start and stop days; an
+    event with no usable time is kept once, in the undated (NULL)
+    partition."""
     days = F.array_distinct(F.array(F.to_date(parse_timestamp(start_col)),
                                     F.to_date(parse_timestamp(stop_col))))
-    return df.select("*", F.explode(F.filter(days, lambda d: d.isNotNull())).alias(out_col))
+    return df.select("*", F.explode_outer(F.filter(days, lambda d: d.isNotNull())).alias(out_col))
 
 
 def start_event_ingest(spark: SparkSession, source_dir: str, table: str, target: str,

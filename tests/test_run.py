@@ -48,6 +48,11 @@ def raw_files(tmp, city_p1):
         dict(Id=E[3], START="2022-01-03T08:00:00Z", STOP="2022-01-03T08:45:00Z", PATIENT=P1, PAYER=Y1,
              ENCOUNTERCLASS="ambulatory", CODE="2", DESCRIPTION="Visit", BASE_ENCOUNTER_COST="10",
              TOTAL_CLAIM_COST="20", PAYER_COVERAGE="5"),
+        # no usable time at all: kept in bronze's undated partition
+        dict(Id=E[4], START="someday", STOP="", PATIENT=P2, PAYER=Y1, TOTAL_CLAIM_COST="1"),
+        # still open (no stop yet)
+        dict(Id="99999999-9999-4999-8999-999999999999", START="2022-01-03 07:00:00", STOP="",
+             PATIENT=P2, PAYER=Y1, TOTAL_CLAIM_COST="1"),
     ]
     proc = [
         dict(START="2022-01-01 10:10:00", STOP="2022-01-01 10:40:00", PATIENT=P1, ENCOUNTER=E[0], CODE="A1",
@@ -111,6 +116,8 @@ def test_three_days_then_rerun(spark, scratch):
 
     # declared table checks ran in the load
     r3 = run_day(spark, D3, raw2, layout)
+    assert r3.quality["bronze_encounters"] == {"undated_rows": 1}
+    assert r3.quality["open_events"]["encounters"] == 1
     assert r3.quality["fact_encounter"]["encounter_id:unique"] == 0
     assert r3.quality["dim_patient"] if "dim_patient" in r3.quality else True
     assert r1.quality["dim_patient"] == {"duplicate_keys": 0, "multiple_active": 0}

@@ -22,9 +22,11 @@ def test_stream_ingest_is_incremental_and_exactly_once(spark, scratch):
 
     write_csv(f"{src}/day2.csv", "encounters", [
         dict(Id=E[2], START="2022-01-02 09:00:00", STOP="2022-01-02 09:30:00", PATIENT=P1, PAYER=Y1),
+        dict(Id=E[3], START="bad", STOP="", PATIENT=P1, PAYER=Y1),
     ])
     q = start_event_ingest(spark, src, "encounters", target, ckpt)  # next "day": only the new file
     q.awaitTermination(120)
     df = spark.read.parquet(target)
-    assert df.count() == 4
+    assert df.count() == 5
+    assert [r.Id for r in df.where(F.col("partition_date").isNull()).collect()] == [E[3]]
     assert df.where(F.col("partition_date") == dt.date(2022, 1, 2)).count() == 2
