@@ -42,7 +42,8 @@ def null_spread(key: Column, row_cols: Sequence[str], buckets: int = NULL_SPREAD
 def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                      extra_condition=None, *, salt_buckets: int = 32,
                      hot_share: float = 0.001, max_hot_keys: int = 10_000,
-                     salt_from: Sequence[str] | None = None) -> DataFrame:
+                     salt_from: Sequence[str] | None = None,
+                     hot_keys: DataFrame | None = None) -> DataFrame:
     """Left join that splits hot keys of the left side over ``salt_buckets``
     tasks and copies the matching right rows to each bucket.
 
@@ -52,13 +53,16 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     such keys, so the hot-key list has a proven size bound and is broadcast.
     Cold keys keep salt 0 and are joined exactly as a plain join would.
     ``extra_condition(l, r)`` may add a residual predicate (e.g. a date
-    range); it is evaluated on the renamed right columns.
+    range); it is evaluated on the renamed right columns.  ``hot_keys``
+    (key columns only) skips the detection passes when the caller already
+    knows them, e.g. from the previous load's statistics.
     """
     keys = list(keys)
-    total = left.count()
-    threshold = max(1, int(total * hot_share))
-    hot = (left.groupBy(*keys).count().where(F.col("count") > threshold)
-           .select(*keys).withColumn("_hot", F.lit(True)))
+    if hot_keys is None:
+        total = left.count()
+        threshold = max(1, int(total * hot_share))
+        hot_keys = left.groupBy(*keys).count().where(F.col("count") > threshold)
+    hot = hot_keys.select(*keys).distinct().withColumn("_hot", F.lit(True))
     if not rows_at_most(hot, max_hot_keys):  # cannot happen for hot_share >= 1 / max_hot_keys
         raise ValueError("hot-key list exceeds its bound")
     hot = F.broadcast(hot)

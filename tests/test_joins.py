@@ -73,3 +73,12 @@ def test_run_date_lookup_paths_agree(spark):
         a = collect(lookup_asof(facts, dim, SPEC, "k", d))
         b = collect(lookup_asof(facts, dim, SPEC, "k", d, broadcast_rows=None))
         assert a == b and len(a) == facts.count()
+
+
+def test_salted_join_with_known_hot_keys(spark):
+    facts = skewed_facts(spark)
+    right = spark.createDataFrame([(k, f"v{k}") for k in range(50)], "k long, v string")
+    known = spark.createDataFrame([(0,)], "k long")
+    a = salted_left_join(facts, right, ["k"], salt_buckets=8, hot_keys=known)
+    b = facts.join(right, "k", "left")
+    assert sorted(map(repr, a.select("id", "k", "v").collect())) == sorted(map(repr, b.select("id", "k", "v").collect()))
