@@ -89,7 +89,7 @@ def run_silver(spark: SparkSession, d, layout: Layout, report: DayReport, policy
 
 def dimension_store(spark: SparkSession, layout: Layout, name: str) -> DimensionStore:
     spec = {n: s for n, s in DIMENSIONS.values()}[name]
-    return DimensionStore(spark, layout.gold(name), spec.columns, spec.active_col)
+    return DimensionStore(spark, layout.gold(name), spec.columns, spec.active_col, spec.end_col)
 
 
 def run_dimensions(spark: SparkSession, d, layout: Layout, report: DayReport,

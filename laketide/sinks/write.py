@@ -188,10 +188,16 @@ class DimensionStore:
     """SCD-2 dimension on plain Parquet, stored load by load.
 
     Every load n writes the result of its step ONCE, to ``loads/v=<n>``,
-    partitioned by ``is_active``:
+    partitioned by ``is_active`` and ``end_date``:
 
     * ``is_active=true``  - the complete set of open versions after load n;
-    * ``is_active=false`` - only the versions load n closed.
+    * ``is_active=false/end_date=<d>`` - only the versions load n closed
+      (their end date is that load's run date).
+
+    Because closed versions are partitioned by their end date, the
+    point-in-time filter ``end_date > d OR end_date IS NULL`` prunes
+    history partitions at planning time: a lookup on the latest run date
+    opens no history file at all.
 
     The current dimension is the open part of the current load (the
     pointer, moved after the write succeeded) plus the closed parts of all
@@ -201,9 +207,10 @@ class DimensionStore:
     Open parts of older loads are superseded (safe to delete).
     """
 
-    def __init__(self, spark, base: str, columns: Sequence[str], active_col: str = "is_active"):
+    def __init__(self, spark, base: str, columns: Sequence[str], active_col: str = "is_active",
+                 end_col: str = "end_date"):
         self.spark, self.base = spark, base.rstrip("/")
-        self.columns, self.active_col = list(columns), active_col
+        self.columns, self.active_col, self.end_col = list(columns), active_col, end_col
 
     @property
     def loads(self) -> str:
@@ -235,8 +242,10 @@ class DimensionStore:
         return self._typed(df.where(F.col("v") <= F.lit(cur)))
 
     def _typed(self, df: DataFrame) -> DataFrame:
-        # partition discovery reads true/false folder names as text
-        return df.select(*[F.col(c).cast("boolean").alias(c) if c == self.active_col else F.col(c)
+        # partition discovery reads true/false folder names as text, and an
+        # all-NULL end date partition as text
+        casts = {self.active_col: "boolean", self.end_col: "date"}
+        return df.select(*[F.col(c).cast(casts[c]).alias(c) if c in casts else F.col(c)
                            for c in self.columns])
 
     def read(self) -> DataFrame | None:
@@ -251,6 +260,6 @@ class DimensionStore:
         cur = self.version()
         nxt = 1 if cur is None else cur + 1
         path = f"{self.loads}/v={nxt}"
-        stepped.write.mode("overwrite").partitionBy(self.active_col).parquet(path)
+        stepped.write.mode("overwrite").partitionBy(self.active_col, self.end_col).parquet(path)
         self.spark.range(1).select(F.lit(nxt).alias("version")).write.mode("overwrite").parquet(_pointer(self.base))
         return path
