@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laketide.functions.dates import run_date
-from laketide.sources.tables import glob_matches, is_path, path_exists, read_table, table_exists
+from laketide.sources.tables import glob_matches, is_path, path_exists, read_table, save_schema, table_exists
 
 
 def _dynamic(df: DataFrame) -> None:
@@ -85,6 +85,7 @@ def create_table_as(df: DataFrame, target: str, part_col: str | None = None,
         w = w.partitionBy(part_col)
     if is_path(target):
         w.parquet(target)
+        save_schema(df.sparkSession, target, df.schema)
     else:
         w.format(table_format).saveAsTable(target)
 

@@ -8,6 +8,7 @@ directories.
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Iterable, Mapping
 
@@ -58,9 +59,37 @@ def table_exists(spark: SparkSession, target: str) -> bool:
     return path_exists(spark, f"{target.rstrip('/')}/_SUCCESS")
 
 
+SCHEMA_FILE = "_schema"  # hidden from Spark's reader (leading underscore)
+_schemas: dict[str, T.StructType] = {}
+
+
+def save_schema(spark: SparkSession, target: str, schema: T.StructType) -> None:
+    """Keep a path table's schema next to its data, written at creation:
+    a table whose partitions are all empty (a day without events) has no
+    data file to infer it from."""
+    path = f"{target.rstrip('/')}/{SCHEMA_FILE}"
+    spark.createDataFrame([(schema.json(),)], "s string").coalesce(1).write.mode("overwrite").text(path)
+    _schemas[target.rstrip("/")] = schema
+
+
+def table_schema(spark: SparkSession, target: str) -> T.StructType | None:
+    key = target.rstrip("/")
+    if key not in _schemas:
+        path = f"{key}/{SCHEMA_FILE}"
+        if not path_exists(spark, path):
+            return None
+        _schemas[key] = T.StructType.fromJson(json.loads(spark.read.text(path).first()[0]))
+    return _schemas[key]
+
+
 def read_table(spark: SparkSession, target: str) -> DataFrame:
-    """Whole table (SRC3)."""
-    return spark.read.parquet(target) if is_path(target) else spark.table(target)
+    """Whole table (SRC3).  Path tables are read with the schema saved at
+    creation (no footer inference; empty tables read as empty)."""
+    if not is_path(target):
+        return spark.table(target)
+    schema = table_schema(spark, target)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(target)
 
 
 def read_slice(spark: SparkSession, target: str, d, part_col: str = "partition_date") -> DataFrame:

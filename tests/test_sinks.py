@@ -71,3 +71,13 @@ def test_schema_helpers():
     conf = T.object_store_conf("http://minio:9000", access_key_env="NOPE_A", secret_key_env="NOPE_B")
     assert conf["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert "spark.sql.catalog.lake" in T.catalog_conf("lake", "s3a://bucket/wh")
+
+
+def test_empty_partitioned_table_reads_back(spark, scratch):
+    path = f"{scratch}/empty"
+    empty = frame(spark, [(1, "a", D1)]).where("k < 0")
+    W.materialize(empty, path, "d", D1)
+    back = T.read_table(spark, path)
+    assert back.count() == 0 and back.columns == ["k", "v", "d"]
+    assert W.materialize(frame(spark, [(2, "b", D2)]), path, "d", D2) == "overwrite_partition"
+    assert content(spark, path) == [(2, "b", D2)]
