@@ -503,7 +503,7 @@ SQL["patient_quality"] = with_ctes(["conf_p"], _counts_sql("conf_p", _PAT_RULES)
 _P_D1 = "DATE '1998-03-01'"
 _DAYS = "(DATE '1998-03-01', DATE '1998-03-02')"
 
-CTE["pipe_fe"] = f"""
+CTE["run_fe"] = f"""
 SELECT CAST(TRY_CAST(stop_time AS TIMESTAMP) AS DATE) AS date, encounter_id,
        md5(patient_id || '::' || CAST({_P_D1} AS VARCHAR)) AS dim_patient_key,
        md5(payer_id || '::' || CAST({_P_D1} AS VARCHAR)) AS dim_payer_key,
@@ -514,7 +514,7 @@ SELECT CAST(TRY_CAST(stop_time AS TIMESTAMP) AS DATE) AS date, encounter_id,
 FROM conf_e
 WHERE CAST(TRY_CAST(stop_time AS TIMESTAMP) AS DATE) IN {_DAYS}"""
 
-CTE["pipe_pc"] = f"""
+CTE["run_pc"] = f"""
 SELECT lower({_guid('encounter_id')}) AS encounter_id, CAST(stop_time AS DATE) AS date,
        count(*) AS n_procedures,
        count(CASE WHEN code IS NOT NULL THEN {_CLEAN.format(c='code')} END) AS n_codes
@@ -522,10 +522,10 @@ FROM proc
 WHERE CAST(stop_time AS DATE) IN {_DAYS}
 GROUP BY 1, 2"""
 
-ORDER += ["pipe_fe", "pipe_pc"]
-DEPS.update({"pipe_fe": ["conf_e"], "pipe_pc": ["proc"]})
+ORDER += ["run_fe", "run_pc"]
+DEPS.update({"run_fe": ["conf_e"], "run_pc": ["proc"]})
 
-SQL["daily_pipeline"] = with_ctes(["pipe_fe", "pipe_pc"], """
+SQL["daily_run"] = with_ctes(["run_fe", "run_pc"], """
 SELECT fe.date, fe.dim_patient_key, fe.dim_payer_key, fe.encounter_class, fe.purpose,
        count(DISTINCT fe.encounter_id) AS total_encounter_num,
        CAST(coalesce(sum(pc.n_procedures), 0) AS BIGINT) AS total_procedure_num,
@@ -533,5 +533,5 @@ SELECT fe.date, fe.dim_patient_key, fe.dim_payer_key, fe.encounter_class, fe.pur
        round(sum(fe.claim_amount), 2) AS total_claim_amount,
        round(sum(fe.coverage_amount), 2) AS total_coverage_amount,
        round(sum(fe.patient_pay_amount), 2) AS total_patient_pay_amount
-FROM pipe_fe fe LEFT JOIN pipe_pc pc ON fe.encounter_id = pc.encounter_id AND fe.date = pc.date
+FROM run_fe fe LEFT JOIN run_pc pc ON fe.encounter_id = pc.encounter_id AND fe.date = pc.date
 GROUP BY ALL""")

@@ -337,19 +337,19 @@ def q_patient_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------- whole pipeline
-PIPELINE_DAYS = ("1998-03-01", "1998-03-02")
+RUN_DAYS = ("1998-03-01", "1998-03-02")
 
 
-def q_daily_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RUN1 end to end on the driver tables: raw CSV extracts of customer,
     supplier, orders and lineitem -> bronze -> silver (cleaned, typed,
     validated) -> SCD-2 dimensions -> point-in-time facts -> daily rollup,
     for two run dates; returns the daily_encounter table."""
     from laketide.plans.run import Layout, run_days
-    base = scratch_path(spark, "pipeline")
+    base = scratch_path(spark, "daily_run")
     raw = si.write_raw_extracts(spark, sf_dir, f"{base}/raw")
     layout = Layout(f"{base}/lake")
-    run_days(spark, PIPELINE_DAYS[0], PIPELINE_DAYS[1], raw, layout)
+    run_days(spark, RUN_DAYS[0], RUN_DAYS[1], raw, layout)
     out = read_table(spark, layout.gold("daily_encounter")).select(
         "date", "dim_patient_key", "dim_payer_key", "encounter_class", "purpose", "total_encounter_num",
         "total_procedure_num", "total_diagnosis_num", *AMOUNTS)
@@ -394,5 +394,5 @@ QUERIES = {
     "conform_encounters": q_conform_encounters,
     "silver_quality": q_silver_quality,
     "patient_quality": q_patient_quality,
-    "daily_pipeline": q_daily_pipeline,
+    "daily_run": q_daily_run,
 }

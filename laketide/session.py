@@ -13,7 +13,7 @@ import tempfile
 from pyspark.sql import SparkSession
 
 # Settings every job of the pipeline expects, whatever the cluster size.
-PIPELINE_CONF = {
+SESSION_CONF = {
     # Spark 4 defaults to ANSI mode; cleaning uses try_* forms so bad
     # input becomes NULL instead of failing the job.
     "spark.sql.ansi.enabled": "true",
@@ -37,7 +37,7 @@ def build_session(master: str | None = None, app: str = "laketide",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(PIPELINE_CONF)
+    conf = dict(SESSION_CONF)
     conf["spark.ui.enabled"] = "false"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -49,9 +49,9 @@ def build_session(master: str | None = None, app: str = "laketide",
     return spark
 
 
-def apply_pipeline_conf(spark: SparkSession) -> None:
+def apply_session_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable pipeline settings to an existing session."""
-    for k, v in PIPELINE_CONF.items():
+    for k, v in SESSION_CONF.items():
         try:
             spark.conf.set(k, v)
         except Exception:  # static conf on a shared session: leave it
