@@ -30,16 +30,17 @@ def _ordered_for(df: DataFrame, target: str, part_col: str | None) -> DataFrame:
 
 
 def cluster_for_write(df: DataFrame, part_col: str) -> DataFrame:
-    """Range-partition rows by (partition value, row hash) before a
-    partitioned write.
-
-    A backfill over many dates then has each task write a contiguous run
-    of dates (few files per date, not one file per date per task), while
-    the hash as second key lets range boundaries fall inside a date, so
-    one big date (a daily load, or a hot day) is still spread over many
-    tasks instead of one.  The partition count is left to AQE.
+    """Rebalance rows by the partition column before a partitioned write
+    (the ``REBALANCE`` hint).
+
+    Rows of one date meet in one shuffle partition, so a backfill over many
+    dates writes about one file per date instead of one per date per task;
+    AQE then splits any partition above the advisory size (one big date: a
+    daily load, or a hot day) over several tasks and coalesces small ones.
+    No sampling pass over the input is needed (a range repartition would
+    scan it twice).
     """
-    return df.repartitionByRange(F.col(part_col), F.xxhash64(*[F.col(c) for c in df.columns]))
+    return df.hint("rebalance", part_col)
 
 
 def overwrite_partitions(df: DataFrame, target: str, part_col: str, *, clustered: bool = False,
