@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from laketide.session import cut_lineage
+
 # Default row bound under which a dimension-like side may be broadcast.
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
@@ -61,9 +63,14 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     if hot_keys is None:
         total = left.count()
         threshold = max(1, int(total * hot_share))
-        hot_keys = left.groupBy(*keys).count().where(F.col("count") > threshold)
+        detected = left.groupBy(*keys).count().where(F.col("count") > threshold).select(*keys)
+        if not rows_at_most(detected, max_hot_keys):  # cannot happen for hot_share >= 1 / max_hot_keys
+            raise ValueError("hot-key list exceeds its bound")
+        # written once (small, bounded): the salting of both sides reads the
+        # copy instead of aggregating the left side again
+        hot_keys = cut_lineage(detected, "hot_keys")
     hot = hot_keys.select(*keys).distinct().withColumn("_hot", F.lit(True))
-    if not rows_at_most(hot, max_hot_keys):  # cannot happen for hot_share >= 1 / max_hot_keys
+    if not rows_at_most(hot, max_hot_keys):
         raise ValueError("hot-key list exceeds its bound")
     hot = F.broadcast(hot)
     salt_src = [F.col(c) for c in (salt_from or left.columns)]
