@@ -69,7 +69,9 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
         # written once (small, bounded): the salting of both sides reads the
         # copy instead of aggregating the left side again
         hot_keys = cut_lineage(detected, "hot_keys")
-    hot = hot_keys.select(*keys).distinct().withColumn("_hot", F.lit(True))
+    else:  # caller's list: de-duplicated once, not per use
+        hot_keys = cut_lineage(hot_keys.select(*keys).distinct(), "hot_keys")
+    hot = hot_keys.select(*keys).withColumn("_hot", F.lit(True))
     if not rows_at_most(hot, max_hot_keys):
         raise ValueError("hot-key list exceeds its bound")
     hot = F.broadcast(hot)
