@@ -140,7 +140,7 @@ def scd2_apply(dim: DataFrame | None, snapshot: DataFrame, spec: DimSpec, d,
     (unchanged, or missing from the snapshot) + versions closed on ``d`` +
     new versions starting on ``d``.
 
-    Plan: the active versions and the snapshot meet in ONE full outer join
+    Plan: the keyed active versions and the snapshot meet in ONE full outer join
     on the natural key (each side has at most one row per key, so no key
     can fan out or dominate a task); every joined row emits its 1 or 2
     output versions through ``inline`` in the same pass.  Closed history is
@@ -162,7 +162,10 @@ def scd2_apply(dim: DataFrame | None, snapshot: DataFrame, spec: DimSpec, d,
             return dim
 
     history = dim.where(~_is_active(spec))
-    active = dim.where(_is_active(spec))
+    # a NULL natural key matches nothing: such versions pass through like
+    # history (and stay out of the shuffle, where they would share a task)
+    active_nullkey = dim.where(_is_active(spec) & F.col(spec.natural_key).isNull())
+    active = dim.where(_is_active(spec) & F.col(spec.natural_key).isNotNull())
 
     a = active.select(*[F.col(c).alias(f"_o_{c}") for c in spec.columns],
                       row_hash(spec.hashed).alias("_o_hash"))
@@ -187,7 +190,7 @@ def scd2_apply(dim: DataFrame | None, snapshot: DataFrame, spec: DimSpec, d,
     stepped = j.select(F.inline(F.filter(F.array(old_row, new_row), lambda x: x.isNotNull())))
 
     nullkey_new = scd2_open(snap.where(F.col(spec.natural_key).isNull()), spec, d)
-    return history.unionByName(stepped).unionByName(nullkey_new)
+    return history.unionByName(active_nullkey).unionByName(stepped).unionByName(nullkey_new)
 
 
 def scd2_from_snapshots(snapshots: DataFrame, spec: DimSpec, date_col: str = "snapshot_date") -> DataFrame:

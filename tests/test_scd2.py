@@ -79,6 +79,10 @@ def test_null_keys_become_new_versions(spark):
     dim2 = S.scd2_apply(dim, snap(spark, [(1, "a", "x"), (None, "n", "n")]), SPEC, D2)
     got = sorted(((r.id or 0), r.name, r.start_date, r.is_active) for r in dim2.collect())
     assert got == [(0, "n", D2, True), (1, "a", D1, True)]
+    # the NULL-key version survives later loads untouched
+    dim3 = S.scd2_apply(dim2, snap(spark, [(1, "a", "y")]), SPEC, D3)
+    got = sorted(((r.id or 0), r.name, r.start_date, r.is_active) for r in dim3.collect())
+    assert got == [(0, "n", D2, True), (1, "a", D1, False), (1, "a", D3, True)]
 
 
 def _random_history(seed, n_keys=25, n_days=5):
