@@ -13,7 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laketide.functions.dates import run_date
-from laketide.operators.joins import DEFAULT_BROADCAST_ROWS, null_spread, rows_at_most, salted_left_join
+from laketide.operators.joins import (
+    DEFAULT_BROADCAST_ROWS, hashable_columns, null_spread, rows_at_most, salted_left_join,
+)
 from laketide.operators.scd2 import DimSpec, valid_on
 
 
@@ -67,7 +69,7 @@ def lookup_asof(fact: DataFrame, dim: DataFrame, spec: DimSpec, fact_key: str,
         # Shuffle join.  Fact rows without a key can never match, but
         # hashing NULL would send all of them to one task: a second join
         # column spreads them (row hash for NULL keys, constant otherwise).
-        f = fact.withColumn("_nk", null_spread(F.col(fact_key), fact.columns))
+        f = fact.withColumn("_nk", null_spread(F.col(fact_key), hashable_columns(fact)))
         v = versions.withColumn("_nk", F.lit(-1))
         cond = ((f[fact_key] == v["_dk"]) & (f["_nk"] == v["_nk"]) & (v["_ds"] <= day) &
                 (v["_de"].isNull() | (v["_de"] > day)))
@@ -81,7 +83,7 @@ def lookup_asof(fact: DataFrame, dim: DataFrame, spec: DimSpec, fact_key: str,
         versions = F.broadcast(versions)
         joined = fact.join(versions, fact[fact_key] == versions["_dk"], "left")
         return joined.drop("_dk")
-    f = fact.withColumn("_nk", null_spread(F.col(fact_key), fact.columns))
+    f = fact.withColumn("_nk", null_spread(F.col(fact_key), hashable_columns(fact)))
     v = versions.withColumn("_nk", F.lit(-1))
     joined = f.join(v, (f[fact_key] == v["_dk"]) & (f["_nk"] == v["_nk"]), "left")
     return joined.select(*[f[c] for c in fact.columns], F.col(out_key))

@@ -32,6 +32,11 @@ def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS)
 NULL_SPREAD_BUCKETS = 1024
 
 
+def hashable_columns(df: DataFrame) -> list[str]:
+    """Columns ``xxhash64`` accepts (anything without a map inside)."""
+    return [f.name for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+
+
 def null_spread(key: Column, row_cols: Sequence[str], buckets: int = NULL_SPREAD_BUCKETS) -> Column:
     """Extra join column for the probe side of an outer join: a row hash in
     [0, buckets) when the key is NULL, -1 otherwise (the build side uses
@@ -75,7 +80,7 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     if not rows_at_most(hot, max_hot_keys):
         raise ValueError("hot-key list exceeds its bound")
     hot = F.broadcast(hot)
-    salt_src = [F.col(c) for c in (salt_from or left.columns)]
+    salt_src = [F.col(c) for c in (salt_from or hashable_columns(left))]
     any_null = F.lit(False)
     for k in keys:
         any_null = any_null | F.col(k).isNull()

@@ -82,3 +82,11 @@ def test_salted_join_with_known_hot_keys(spark):
     a = salted_left_join(facts, right, ["k"], salt_buckets=8, hot_keys=known)
     b = facts.join(right, "k", "left")
     assert sorted(map(repr, a.select("id", "k", "v").collect())) == sorted(map(repr, b.select("id", "k", "v").collect()))
+
+
+def test_lookup_with_map_column(spark):
+    facts = skewed_facts(spark, 300).withColumn("props", F.create_map(F.lit("a"), F.col("id")))
+    dim = dimension(spark)
+    a = lookup_asof(facts, dim, SPEC, "k", "d", broadcast_rows=None)
+    b = lookup_asof(facts, dim, SPEC, "k", "d", broadcast_rows=None, salt_buckets=4)
+    assert a.count() == b.count() == 300
