@@ -149,24 +149,33 @@ def materialize(df: DataFrame, target: str, partition_by: str | None = None, d=N
 
 
 # ------------------------------------------------- versioned dimension state
-def _pointer(base: str) -> str:
-    return f"{base.rstrip('/')}/_current"
+def _commits(base: str) -> str:
+    return f"{base.rstrip('/')}/_commits"
 
 
 def read_current_version(spark, base: str) -> int | None:
-    """Current version number of a versioned table (one value)."""
-    if not table_exists(spark, _pointer(base)):
+    """Current version number of a versioned table: the highest committed
+    version (one value reaches the driver)."""
+    if not table_exists(spark, _commits(base)):
         return None
-    row = spark.read.parquet(_pointer(base)).agg(F.max("version").alias("v")).first()
+    row = spark.read.parquet(_commits(base)).agg(F.max("version").alias("v")).first()
     return None if row is None else row["v"]
 
 
+def _commit(spark, base: str, version: int) -> None:
+    """Record a finished version.  Append-only: an overwrite would delete
+    the previous record before writing the new one, and a failure in
+    between would leave no current version at all."""
+    spark.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(_commits(base))
+
+
 def write_version(df: DataFrame, base: str) -> str:
     """Write a new full version of a table that is read and rewritten in
     the same job (an SCD-2 dimension on plain Parquet).
 
     Parquet cannot be overwritten from a plan that reads it, so each load
-    writes ``base/v=<n+1>`` and only then moves the ``_current`` pointer;
+    writes ``base/v=<n+1>`` and only then records version n+1 in the
+    append-only ``_commits``;
     readers see either the old or the new version, never a half-written
     one.  (With a table format that has MERGE, use that instead.)
     """
@@ -175,7 +184,7 @@ def write_version(df: DataFrame, base: str) -> str:
     nxt = 1 if cur is None else cur + 1
     path = f"{base.rstrip('/')}/v={nxt}"
     df.write.mode("overwrite").parquet(path)
-    spark.range(1).select(F.lit(nxt).alias("version")).write.mode("overwrite").parquet(_pointer(base))
+    _commit(spark, base, nxt)
     return path
 
 
@@ -202,8 +211,9 @@ class DimensionStore:
     opens no history file at all.
 
     The current dimension is the open part of the current load (the
-    pointer, moved after the write succeeded) plus the closed parts of all
-    loads up to it.  A daily load therefore reads and rewrites only the
+    highest version recorded in the append-only ``_commits``, recorded
+    after the write succeeded) plus the closed parts of all loads up to
+    it.  A daily load therefore reads and rewrites only the
     open versions (about one row per key); the history, which grows with
     every change ever made, is never read, shuffled or rewritten by a load.
     Open parts of older loads are superseded (safe to delete).
@@ -263,5 +273,5 @@ class DimensionStore:
         nxt = 1 if cur is None else cur + 1
         path = f"{self.loads}/v={nxt}"
         stepped.write.mode("overwrite").partitionBy(self.active_col, self.end_col).parquet(path)
-        self.spark.range(1).select(F.lit(nxt).alias("version")).write.mode("overwrite").parquet(_pointer(self.base))
+        _commit(self.spark, self.base, nxt)
         return path
