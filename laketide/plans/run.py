@@ -24,7 +24,7 @@ from laketide.functions.dates import run_date
 from laketide.operators import quality as DQ
 from laketide.operators.scd2 import max_active_start, scd2_apply
 from laketide.plans import bronze, gold, silver
-from laketide.sinks.write import DimensionStore, cluster_for_write, materialize, overwrite_partitions
+from laketide.sinks.write import DimensionStore, materialize, overwrite_partition, overwrite_partitions
 from laketide.sources.tables import read_slice, read_table
 
 TABLES = ("patients", "payers", "encounters", "procedures")
@@ -60,8 +60,13 @@ class DayReport:
 
 def run_bronze(spark: SparkSession, d, raw: dict[str, str], layout: Layout, report: DayReport) -> None:
     for t in TABLES:
-        overwrite_partitions(bronze.ingest(spark, raw[t], t, d), layout.bronze(t), bronze.PART_COL)
-        report.writes[f"bronze/{t}"] = "overwrite_partitions"
+        if t in bronze.EVENT_TABLES:
+            # the day's slice and the undated rows, in one pass over the file
+            overwrite_partitions(bronze.ingest(spark, raw[t], t, d), layout.bronze(t), bronze.PART_COL)
+            report.writes[f"bronze/{t}"] = "overwrite_partitions"
+        else:
+            overwrite_partition(bronze.ingest(spark, raw[t], t, d), layout.bronze(t), bronze.PART_COL, d)
+            report.writes[f"bronze/{t}"] = "overwrite_partition"
         if t in bronze.EVENT_TABLES:  # rows that belong to no day (pruned read)
             undated = read_table(spark, layout.bronze(t)).where(F.col(bronze.PART_COL).isNull())
             report.quality[f"bronze_{t}"] = {"undated_rows": undated.count()}
@@ -74,15 +79,14 @@ def run_silver(spark: SparkSession, d, layout: Layout, report: DayReport, policy
         if policy == "fail":  # must know before writing: one counting pass first
             counts = DQ.quality_counts(conformed, rules).collect()
             DQ.check({r["rule"]: r["failed_rows"] for r in counts}, "fail")
-        # observe above the write's exchange: counted once, in the write job
-        clustered = cluster_for_write(conformed, silver.PART_COL)
-        observed, obs = DQ.observe_quality(clustered, rules, name=f"dq_{t}")
+        observed, obs = DQ.observe_quality(conformed, rules, name=f"dq_{t}")
+        # static overwrite of the day: a re-run replaces the day completely
         if policy == "quarantine":
             clean, bad = DQ.quarantine(observed, rules)
-            overwrite_partitions(bad, layout.quarantine(t), silver.PART_COL, clustered=True)
-            overwrite_partitions(typed(clean), layout.silver(t), silver.PART_COL, clustered=True)
+            overwrite_partition(bad, layout.quarantine(t), silver.PART_COL, d)
+            overwrite_partition(typed(clean), layout.silver(t), silver.PART_COL, d)
         else:
-            overwrite_partitions(typed(observed), layout.silver(t), silver.PART_COL, clustered=True)
+            overwrite_partition(typed(observed), layout.silver(t), silver.PART_COL, d)
         report.quality[t] = {k: int(v or 0) for k, v in obs.get.items()}
         report.writes[f"silver/{t}"] = "overwrite_partitions"
 

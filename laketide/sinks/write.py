@@ -93,10 +93,35 @@ def create_table_as(df: DataFrame, target: str, part_col: str | None = None,
 
 def overwrite_partition(df: DataFrame, target: str, part_col: str, d, *,
                         table_format: str = "parquet") -> None:
-    """Static overwrite of one partition: every row gets partition value
-    ``d``, whatever it had (SNK3)."""
-    stamped = df.drop(part_col).withColumn(part_col, F.lit(run_date(d)))
-    overwrite_partitions(stamped, target, part_col, table_format=table_format)
+    """Static overwrite of one partition (SNK3): the partition ``d`` ends up
+    holding exactly the rows of ``df`` (each stamped with ``d``, whatever
+    partition value it had) - also when ``df`` is empty, so re-running a
+    day whose source lost its rows clears the day instead of keeping stale
+    rows (a dynamic overwrite only replaces partitions present in the
+    output).  Other partitions are untouched.
+
+    Path tables: the rows are written straight into the partition folder.
+    Catalog tables: ``INSERT OVERWRITE ... PARTITION (col = d)``.
+    """
+    spark = df.sparkSession
+    day = run_date(d)
+    stamped = df.drop(part_col).withColumn(part_col, F.lit(day))
+    if not table_exists(spark, target):
+        create_table_as(stamped, target, part_col, table_format=table_format)
+        return
+    cols = [c for c in read_table(spark, target).columns if c != part_col]
+    if is_path(target):
+        # no partition column inside the folder; rebalance sizes the files
+        (stamped.select(*cols).hint("rebalance").write.mode("overwrite")
+         .parquet(f"{target.rstrip('/')}/{part_col}={day.isoformat()}"))
+    elif table_format != "parquet":
+        stamped.select(*cols, part_col).writeTo(target).overwrite(F.col(part_col) == F.lit(day))
+    else:
+        view = f"_laketide_{abs(hash((target, day.isoformat())))}"
+        stamped.select(*cols).createOrReplaceTempView(view)
+        spark.sql(f"INSERT OVERWRITE TABLE {target} PARTITION (`{part_col}` = DATE'{day.isoformat()}') "
+                  f"SELECT {', '.join(f'`{c}`' for c in cols)} FROM {view}")
+        spark.catalog.dropTempView(view)
 
 
 def append(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> None:

@@ -52,6 +52,9 @@ def test_catalog_table_paths(spark, scratch):
     got = sorted((r.k, r.v, r.d) for r in spark.table(name).collect())
     assert got == [(1, "a", D1), (3, "c", D2)]
     assert T.columns_except(spark, name, ["d"]) == ["k", "v"]
+    W.materialize(frame(spark, [(1, "a", D1)]).where("k < 0"), name, "d", D2)  # static, no rows
+    got = sorted((r.k, r.v, r.d) for r in spark.table(name).collect())
+    assert got == [(1, "a", D1)]
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
@@ -81,3 +84,12 @@ def test_empty_partitioned_table_reads_back(spark, scratch):
     assert back.count() == 0 and back.columns == ["k", "v", "d"]
     assert W.materialize(frame(spark, [(2, "b", D2)]), path, "d", D2) == "overwrite_partition"
     assert content(spark, path) == [(2, "b", D2)]
+
+
+def test_static_overwrite_with_no_rows_clears_the_day(spark, scratch):
+    path = f"{scratch}/s"
+    W.materialize(frame(spark, [(1, "a", D1), (2, "b", D2)]), path, "d")
+    W.materialize(frame(spark, [(9, "z", D1)]).where("k < 0"), path, "d", D2)  # day 2 re-run, no rows
+    assert content(spark, path) == [(1, "a", D1)]
+    W.materialize(frame(spark, [(3, "c", D1)]), path, "d", D2)                 # stamped with D2
+    assert content(spark, path) == [(1, "a", D1), (3, "c", D2)]
