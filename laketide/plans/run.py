@@ -17,6 +17,7 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +25,7 @@ from laketide.functions.dates import run_date
 from laketide.operators import quality as DQ
 from laketide.operators.scd2 import max_active_start, scd2_apply
 from laketide.plans import bronze, gold, silver
-from laketide.sinks.write import DimensionStore, materialize, overwrite_partition, overwrite_partitions
+from laketide.sinks.write import DimensionStore, materialize, overwrite_partition
 from laketide.sources.tables import read_slice, read_table
 
 TABLES = ("patients", "payers", "encounters", "procedures")
@@ -61,9 +62,15 @@ class DayReport:
 def run_bronze(spark: SparkSession, d, raw: dict[str, str], layout: Layout, report: DayReport) -> None:
     for t in TABLES:
         if t in bronze.EVENT_TABLES:
-            # the day's slice and the undated rows, in one pass over the file
-            overwrite_partitions(bronze.ingest(spark, raw[t], t, d), layout.bronze(t), bronze.PART_COL)
-            report.writes[f"bronze/{t}"] = "overwrite_partitions"
+            # one scan of the file: the day's slice and the undated rows are
+            # kept (recomputable if an executor is lost), then each of the
+            # two partitions is replaced exactly
+            sliced = bronze.ingest(spark, raw[t], t, d).persist(StorageLevel.MEMORY_AND_DISK)
+            part = F.col(bronze.PART_COL)
+            overwrite_partition(sliced.where(part.isNotNull()), layout.bronze(t), bronze.PART_COL, d)
+            overwrite_partition(sliced.where(part.isNull()), layout.bronze(t), bronze.PART_COL, None)
+            sliced.unpersist()
+            report.writes[f"bronze/{t}"] = "overwrite_partition (day and undated)"
         else:
             overwrite_partition(bronze.ingest(spark, raw[t], t, d), layout.bronze(t), bronze.PART_COL, d)
             report.writes[f"bronze/{t}"] = "overwrite_partition"
@@ -88,7 +95,7 @@ def run_silver(spark: SparkSession, d, layout: Layout, report: DayReport, policy
         else:
             overwrite_partition(typed(observed), layout.silver(t), silver.PART_COL, d)
         report.quality[t] = {k: int(v or 0) for k, v in obs.get.items()}
-        report.writes[f"silver/{t}"] = "overwrite_partitions"
+        report.writes[f"silver/{t}"] = "overwrite_partition"
 
 
 def dimension_store(spark: SparkSession, layout: Layout, name: str) -> DimensionStore:
@@ -124,7 +131,7 @@ def run_dimensions(spark: SparkSession, d, layout: Layout, report: DayReport,
             DQ.check(checks, policy)
             flagged = day.join(F.broadcast(dup_keys.select(spec.natural_key)) if n_dup <= 100_000
                                else dup_keys.select(spec.natural_key), spec.natural_key, "left_semi")
-            overwrite_partitions(flagged, layout.quarantine(f"{name}_duplicates"), silver.PART_COL)
+            overwrite_partition(flagged, layout.quarantine(f"{name}_duplicates"), silver.PART_COL, d)
             snap = snap.join(dup_keys.select(spec.natural_key), spec.natural_key, "left_anti")
         report.dimensions[name] = store.write(scd2_apply(active, snap, spec, d, check_gate=False))
         checks["multiple_active"] = DQ.at_most_one_active(store.active(), spec.natural_key).count()

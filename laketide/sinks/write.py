@@ -91,6 +91,10 @@ def create_table_as(df: DataFrame, target: str, part_col: str | None = None,
         w.format(table_format).saveAsTable(target)
 
 
+# folder name Spark gives a NULL partition value
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def overwrite_partition(df: DataFrame, target: str, part_col: str, d, *,
                         table_format: str = "parquet") -> None:
     """Static overwrite of one partition (SNK3): the partition ``d`` ends up
@@ -102,18 +106,20 @@ def overwrite_partition(df: DataFrame, target: str, part_col: str, d, *,
 
     Path tables: the rows are written straight into the partition folder.
     Catalog tables: ``INSERT OVERWRITE ... PARTITION (col = d)``.
+    ``d=None`` (path tables only) is the NULL partition.
     """
     spark = df.sparkSession
-    day = run_date(d)
-    stamped = df.drop(part_col).withColumn(part_col, F.lit(day))
+    day = None if d is None else run_date(d)
+    stamped = df.drop(part_col).withColumn(part_col, F.lit(day).cast("date") if day else F.lit(None).cast("date"))
     if not table_exists(spark, target):
         create_table_as(stamped, target, part_col, table_format=table_format)
         return
     cols = [c for c in read_table(spark, target).columns if c != part_col]
     if is_path(target):
+        folder = day.isoformat() if day else NULL_PARTITION
         # no partition column inside the folder; rebalance sizes the files
         (stamped.select(*cols).hint("rebalance").write.mode("overwrite")
-         .parquet(f"{target.rstrip('/')}/{part_col}={day.isoformat()}"))
+         .parquet(f"{target.rstrip('/')}/{part_col}={folder}"))
     elif table_format != "parquet":
         stamped.select(*cols, part_col).writeTo(target).overwrite(F.col(part_col) == F.lit(day))
     else:
