@@ -148,3 +148,19 @@ def test_duplicate_snapshot_keys_are_quarantined(spark, scratch):
     dim = dimension_store(spark, layout, "dim_patient").read()
     assert [r.patient_id for r in dim.collect()] == [P1]
     assert read_table(spark, layout.quarantine("dim_patient_duplicates")).count() == 2
+
+
+def test_bronze_rerun_after_source_lost_the_day(spark, scratch):
+    from laketide.plans.run import DayReport, run_bronze
+    layout = Layout(f"{scratch}/lake_b")
+    raw = raw_files(scratch, "Boston")
+    run_bronze(spark, D1, raw, layout, DayReport(D1))
+    enc = read_table(spark, layout.bronze("encounters"))
+    assert enc.where(F.col("partition_date") == D1).count() == 2
+    # the source is corrected: no encounter touches D1 any more
+    write_csv(raw["encounters"], "encounters", [
+        dict(Id=E[2], START="2022-01-02 09:00:00", STOP="2022-01-02 09:30:00", PATIENT=P2, PAYER=Y1)])
+    run_bronze(spark, D1, raw, layout, DayReport(D1))
+    enc = read_table(spark, layout.bronze("encounters"))
+    assert enc.where(F.col("partition_date") == D1).count() == 0   # the day was replaced, not kept
+    assert enc.where(F.col("partition_date").isNull()).count() == 0  # so was the undated partition
