@@ -50,7 +50,8 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                      extra_condition=None, *, salt_buckets: int = 32,
                      hot_share: float = 0.001, max_hot_keys: int = 10_000,
                      salt_from: Sequence[str] | None = None,
-                     hot_keys: DataFrame | None = None) -> DataFrame:
+                     hot_keys: DataFrame | None = None,
+                     hot_rows: int | None = None) -> DataFrame:
     """Left join that splits hot keys of the left side over ``salt_buckets``
     tasks and copies the matching right rows to each bucket.
 
@@ -62,12 +63,13 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     ``extra_condition(l, r)`` may add a residual predicate (e.g. a date
     range); it is evaluated on the renamed right columns.  ``hot_keys``
     (key columns only) skips the detection passes when the caller already
-    knows them, e.g. from the previous load's statistics.
+    knows them, e.g. from the previous load's statistics.  ``hot_rows``
+    (an absolute row count) replaces ``hot_share`` and saves the count of
+    the left side.
     """
     keys = list(keys)
     if hot_keys is None:
-        total = left.count()
-        threshold = max(1, int(total * hot_share))
+        threshold = hot_rows if hot_rows else max(1, int(left.count() * hot_share))
         detected = left.groupBy(*keys).count().where(F.col("count") > threshold).select(*keys)
         if not rows_at_most(detected, max_hot_keys):  # cannot happen for hot_share >= 1 / max_hot_keys
             raise ValueError("hot-key list exceeds its bound")

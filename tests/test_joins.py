@@ -90,3 +90,11 @@ def test_lookup_with_map_column(spark):
     a = lookup_asof(facts, dim, SPEC, "k", "d", broadcast_rows=None)
     b = lookup_asof(facts, dim, SPEC, "k", "d", broadcast_rows=None, salt_buckets=4)
     assert a.count() == b.count() == 300
+
+
+def test_salted_join_with_absolute_threshold(spark):
+    facts = skewed_facts(spark)
+    right = spark.createDataFrame([(k, f"v{k}") for k in range(50)], "k long, v string")
+    a = salted_left_join(facts, right, ["k"], salt_buckets=8, hot_rows=500)
+    assert sorted(map(repr, a.select("id", "v").collect())) == \
+        sorted(map(repr, facts.join(right, "k", "left").select("id", "v").collect()))
