@@ -27,7 +27,7 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Operator 10: a line that ten documents hold stays in the first of
     them only; n_chars follows the text."""
     prepare(spark)
-    drops = written(line_dedup.line_drops(docs, min_docs=10, keep_first=True), "line_drops")
+    drops = line_dedup.line_drops(docs, min_docs=10, keep_first=True)
     done = line_dedup.drop_lines(docs, drops)
     return (done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
             .select(*docs.columns))

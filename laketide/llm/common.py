@@ -69,7 +69,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     with _shuffles_dropped(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by :func:`written` that no later plan reads."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._written_to)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stripped(c: Column) -> Column:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from laketide.llm.common import lower_ascii, stripped, written
+from laketide.llm.common import discard, lower_ascii, stripped, written
 
 SALTS = 64
 WORD = 32
@@ -70,9 +70,12 @@ def line_drops(docs: DataFrame, min_docs: int = 10, keep_first: bool = False,
     # distinct positions: a repeated row must not count its lines twice
     words = (hit.groupBy("doc_id", "text_hash", F.floor(F.col("pos") / WORD).cast("int").alias("word"))
              .agg(F.bit_or(bit).alias("bits")))
-    return words.groupBy("doc_id", "text_hash").agg(
+    bitmaps = words.groupBy("doc_id", "text_hash").agg(
         F.sum(F.bit_count("bits")).cast("long").alias("n_dropped"),
         F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("drop_bits"))
+    out = written(bitmaps, "line_drops")
+    discard(marks)
+    return out
 
 
 def drop_lines(docs: DataFrame, drops: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from laketide.llm.common import written
+from laketide.llm.common import discard, written
 
 BLOCKS = 256
 STEPS = 40
@@ -183,6 +183,7 @@ def mix(docs: DataFrame, target: Target = Target()) -> DataFrame:
     slim = written(docs.select(source.alias("source"), token_count(F.col("text")).alias("n_tokens"),
                                block_key(F.col("doc_id")).alias("key")), "tokens")
     plan = written(_plan(slim.withColumn("block", block_of(F.col("key"))), target), "plan")
+    discard(slim)
     p = plan.select(*[F.col(c).alias(f"_plan_{c}") for c in plan.columns])
     both = docs.withColumn("_plan_key", block_key(F.col("doc_id"))).join(p, source == F.col("_plan_source"), "left")
     rank = block_rank(F.col("_plan_source"), block_of(F.col("_plan_key")))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laketide.llm.common import in_pieces, mixed, odd_constants, utf8, written
+from laketide.llm.common import discard, in_pieces, mixed, odd_constants, utf8, written
 from laketide.llm.shingles import shingle_hashes
 
 COORDS = 128
@@ -170,33 +170,39 @@ def _meet_first(large: DataFrame, least: float) -> DataFrame:
 
 
 def _candidates(vertices: DataFrame, least: float) -> DataFrame:
-    """Distinct pairs (a < b) of vertices whose sketches agree."""
+    """Distinct pairs (a < b) of vertices whose sketches agree, written."""
     sketches = vertices.select("v", "sketch", "mark")
     at = vertices.select("v", F.explode("nodes").alias("node"))
-    found = []
+    found, made = [], []
     for depth in range(FIRST_DEPTH, DEPTH + 1):
         sizes = at.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("pivot")).where("n > 1")
         shared = written(at.join(sizes, "node"), "nodes")
+        made.append(shared)
         small = (shared.where(F.col("n") <= SMALL).join(sketches.select("v", "mark"), "v")
                  .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("v", "mark"))).alias("m"))
                  # the same members in several nodes are compared once
                  .select(F.col("m.v").alias("vs"), F.col("m.mark").alias("marks")).dropDuplicates(["vs"]))
         found.append(written(_compare_groups(small, least).distinct(), "small_pairs"))
+        made.append(found[-1])
         large = shared.where(F.col("n") > SMALL)
         if large.isEmpty():
             break
         if depth == DEPTH:
             found.append(written(_compare_groups(_blocks(large, sketches), least).distinct(), "block_pairs"))
+            made.append(found[-1])
             break
         first = sketches.select(F.col("v").alias("pivot"), F.col("mark").alias("pivot_mark"))
         met = written(_meet_first(large.join(sketches.select("v", "sketch"), "v").join(first, "pivot"), least),
                       "met_first")
+        made.append(met)
         found.append(met.where("child is null").select("a", "b"))
         at = met.where("child is not null").select(F.col("a").alias("v"), F.col("child").alias("node")).distinct()
     pairs = found[0]
     for f in found[1:]:
         pairs = pairs.union(f)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+    discard(*made)
+    return pairs
 
 
 def _blocks(large: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -253,9 +259,10 @@ def components(links: DataFrame) -> DataFrame:
     of n vertices takes about log n rounds.
     """
     both = written(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
-    labels = written(both.groupBy("a").agg(F.min("b").alias("near"))
-                     .select(F.col("a").alias("v"), F.least("a", "near").alias("label")), "labels")
+    last = written(both.groupBy("a").agg(F.min("b").alias("near"))
+                   .select(F.col("a").alias("v"), F.least("a", "near").alias("next")), "labels")
     while True:
+        labels = last.select("v", F.col("next").alias("label"))
         near = (both.join(labels.select(F.col("v").alias("b"), F.col("label")), "b")
                 .groupBy(F.col("a").alias("v")).agg(F.min("label").alias("near")))
         stepped = labels.join(near, "v").select("v", "label", F.least("label", "near").alias("next"))
@@ -266,9 +273,11 @@ def components(links: DataFrame) -> DataFrame:
                  .select("v", "label", F.coalesce("r_next", "next").alias("next")))
         moved = written(moved, "moved")
         changed = moved.where(F.col("next") != F.col("label")).count()
-        labels = moved.select("v", F.col("next").alias("label"))
+        discard(last)
+        last = moved
         if not changed:
-            return labels
+            discard(both)
+            return last.select("v", F.col("next").alias("label"))
 
 
 def near_dedup(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (80, 100)) -> DataFrame:
@@ -305,11 +314,13 @@ def near_dedup(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (8
     heads = written(heads.select("v", "doc_id", "text_hash", "sketch", "nodes").mapInArrow(
         low_bytes, f"v binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash bigint, "
                    "sketch binary, nodes array<bigint>, mark binary"), "vertices")
-    pairs = written(_candidates(heads, least), "pairs")
+    pairs = _candidates(heads, least)
     ends = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
     wanted = heads.select("v", "doc_id", "text_hash").join(ends, "v", "left_semi")
     sets = written(_sets(plain, wanted, words), "sets")
-    labels = components(written(_confirmed(pairs, sets, num, den), "confirmed"))
+    confirmed = written(_confirmed(pairs, sets, num, den), "confirmed")
+    discard(heads, pairs, sets)
+    labels = components(confirmed)
 
     own = full.select("doc_id", "text_hash", "n_shingles", "v").join(labels, "v", "left")
     own = own.withColumn("label", F.coalesce("label", "v"))
