@@ -21,12 +21,12 @@ from laketide.llm.common import in_pieces, mixed, utf8, written
 from laketide.llm.shingles import shingle_hashes
 
 BINS = 256
-BITS = 8
+BITS = 4
 WORDS = 5
 
 
 def fingerprints(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> np.ndarray:
-    """(texts, BINS) array of uint8; texts without a word get zeros only."""
+    """(texts, BINS) array of BITS-bit values; texts without a word get zeros."""
     n = len(offsets) - 1
     hashes, ends = shingle_hashes(data, offsets, words)
     out = np.zeros((n, BINS), np.uint8)
@@ -63,6 +63,12 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> n
     return out
 
 
+def packed(prints: np.ndarray) -> pa.Array:
+    """Fingerprints as hex text, one digit for each bin."""
+    pairs = (prints[:, ::2] << 4) | prints[:, 1::2]
+    return pa.array([p.tobytes().hex() for p in pairs], pa.string())
+
+
 def likeness(a: np.ndarray, b: np.ndarray, a_empty, b_empty) -> np.ndarray:
     """Row-wise estimates of the Jaccard similarity, corrected for chance."""
     chance = 2.0 ** -BITS
@@ -92,7 +98,7 @@ def fingerprint(docs: DataFrame, words: int = WORDS) -> DataFrame:
     def run(batches):
         for b in in_pieces(batches):
             prints = fingerprints(*utf8(b.column("text")), words)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([p.tobytes().hex() for p in prints])],
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), packed(prints)],
                                              ["doc_id", "fingerprint"])
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, fingerprint string")
 
@@ -187,7 +193,7 @@ def _compared(ids, texts, following, words, id_type) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(ids, _ARROW[id_type]), pa.array([len(t) for t in texts], pa.int64()),
          pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited]),
-         pa.array([p.tobytes().hex() for p in mine]), pa.array([p.tobytes().hex() for p in theirs]),
+         packed(mine), packed(theirs),
          pa.array(likeness(mine, theirs, mine_empty, theirs_empty)),
          pa.array(likeness(mine, nxt, mine_empty, nxt_empty))],
         ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
