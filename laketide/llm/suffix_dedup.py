@@ -27,17 +27,19 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laketide.llm.common import in_pieces, mixed, odd_constants, utf8, written
+from laketide.llm.common import discard, in_pieces, mixed, odd_constants, utf8, written
 from laketide.llm.shingles import _power_tables
 
 DEPTH = 50
-GRAM = 20
+GRAM = 16
 PIECE = 2 << 20             # bytes of text combined at a time
 SEGMENT = 4 << 20           # a longer text is cut, with an overlap of depth - 1
-BUCKET_BYTES = 24 << 20     # text bytes a bucket stands for
+BUCKET_BYTES = 16 << 20     # text bytes a bucket stands for
+SLICE = 1 << 19             # windows a bucket orders at a time
 _BYTE = odd_constants(21, 256)
 
 # a run on its way: 56 bits of the anchor, its first window, its windows
@@ -136,23 +138,27 @@ def _joined(group):
     return np.array([p[0] for p in group]), np.array([p[1] for p in group], np.int64), data, offs
 
 
-_RECORDS = "bucket int, doc_ids array<bigint>, hashes array<bigint>, doc array<int>, runs binary, bodies binary"
+# a row: runs for one bucket, with the documents they are in (``doc`` holds
+# an index into doc_ids for every run), or runs that are settled already
+_RECORDS = ("bucket int, settled boolean, doc_ids array<bigint>, hashes array<bigint>, doc binary, runs binary, "
+            "bodies binary")
+_SCHEMA = pa.schema([("bucket", pa.int32()), ("settled", pa.bool_()), ("doc_ids", pa.list_(pa.int64())),
+                     ("hashes", pa.list_(pa.int64())), ("doc", pa.binary()), ("runs", pa.binary()),
+                     ("bodies", pa.binary())])
 
 
 def _bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _rows(bucket, docs, hashes, doc, runs, bodies):
-    return pa.RecordBatch.from_arrays(
-        [pa.array(bucket, pa.int32()), pa.array(docs, pa.list_(pa.int64())), pa.array(hashes, pa.list_(pa.int64())),
-         pa.array(doc, pa.list_(pa.int32())), pa.array(runs, pa.binary()), pa.array(bodies, pa.binary())],
-        ["bucket", "doc_ids", "hashes", "doc", "runs", "bodies"])
+def _spread(hashes: list, doc: np.ndarray, buckets: int) -> np.ndarray:
+    """Settled runs need no meeting place: they are dealt by document."""
+    return np.array([h % buckets for h in hashes], np.int64)[doc]
 
 
 def _anchor_records(texts: DataFrame, depth: int, buckets: int) -> DataFrame:
-    """Rows of one bucket and batch (runs for the first pass), and rows with
-    bucket -1: runs whose anchor two documents of the batch share."""
+    """The runs for the first pass; settled are those whose anchor two
+    documents of the batch share."""
     def run(batches):
         for batch in in_pieces(batches, "text", PIECE):
             ids = batch.column("doc_id").to_pylist()
@@ -174,54 +180,69 @@ def _anchor_records(texts: DataFrame, depth: int, buckets: int) -> DataFrame:
                 shared = (lo != hi)[group]
                 head = np.ones(len(runs), bool)
                 head[1:] = group[1:] != group[:-1]
-                yield from _packed(np.full(int(shared.sum()), -1), ids, hashes, doc[shared], runs[shared])
+                yield from _packed(_spread(hashes, doc[shared], buckets), ids, hashes, doc[shared], runs[shared], True)
                 out = ~shared | head
-                yield from _packed(_bucket_of(runs["key"][out], buckets), ids, hashes, doc[out], runs[out])
+                yield from _packed(_bucket_of(runs["key"][out], buckets), ids, hashes, doc[out], runs[out], False)
     return texts.mapInArrow(run, _RECORDS)
 
 
-def _packed(bucket, ids, hashes, doc, runs, bodies=None):
-    """One row per bucket: the runs with the documents they name."""
+def _packed(bucket, ids, hashes, doc, runs, settled, bodies=None):
+    """One row per bucket."""
     if not len(runs):
         return
     order = np.argsort(bucket, kind="stable")
     cuts = np.flatnonzero(np.diff(bucket[order], prepend=bucket[order[0]] - 1))
-    cols: list[list] = [[], [], [], [], [], []]
+    cols: list[list] = [[], [], [], [], [], [], []]
     for part in np.split(order, cuts[1:]):
         named, local = np.unique(doc[part], return_inverse=True)
-        cols[0].append(int(bucket[part[0]]))
-        cols[1].append([ids[i] for i in named])
-        cols[2].append([hashes[i] for i in named])
-        cols[3].append(local.astype(np.int32))
-        cols[4].append(runs[part].tobytes())
-        cols[5].append(b"".join([bodies[i] for i in part.tolist()]) if bodies is not None else None)
-    yield _rows(*cols)
-
-
-def _shared_runs(records: DataFrame) -> DataFrame:
-    """First pass, in a bucket: (doc_id, text_hash, runs) of the runs whose
-    anchor two documents hold."""
+        for col, value in zip(cols, (
+                int(bucket[part[0]]), settled, [ids[i] for i in named], [hashes[i] for i in named],
+                local.astype(np.int32).tobytes(), runs[part].tobytes(),
+                b"".join([bodies[i] for i in part.tolist()]) if bodies is not None else None)):
+            col.append(value)
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, _SCHEMA.types)], _SCHEMA.names)
+
+
+def _in_buckets(records: DataFrame, judge, buckets: int) -> DataFrame:
+    """(doc_id, text_hash, runs), a row per document: the settled runs, and
+    of the others those that ``judge(runs, documents, names, bodies)``
+    returns, bucket by bucket."""
     def bucket(table):
-        runs, doc, names = _unpacked([table])
-        order = np.argsort(runs["key"], kind="stable")
-        runs, doc = runs[order], doc[order]
-        heads = np.flatnonzero(np.diff(_groups(runs["key"]), prepend=-1))
-        lo, hi = np.minimum.reduceat(doc, heads), np.maximum.reduceat(doc, heads)
-        keep = (lo != hi)[_groups(runs["key"])]
-        return pa.Table.from_batches([_by_document(runs[keep], doc[keep], names)])
-    return records.groupBy("bucket").applyInArrow(
-        bucket, "doc_id bigint, text_hash bigint, runs binary")
-
-
-def _unpacked(tables):
+        out = []
+        for settled in (True, False):
+            part = table.filter(table.column("settled") if settled else pc.invert(table.column("settled")))
+            if part.num_rows:
+                runs, doc, names = _unpacked(part)
+                if not settled:
+                    runs, doc = judge(runs, doc, names, part.column("bodies"))
+                ids, hashes = [x[0] for x in names], [x[1] for x in names]
+                out.extend(_packed(_spread(hashes, doc, buckets), ids, hashes, doc, runs, True))
+        return pa.Table.from_batches(out, _SCHEMA)
+
+    def home(table):
+        return pa.Table.from_batches([_by_document(*_unpacked(table))])
+    # the results go home by document, packed per bucket and home
+    return (records.groupBy("bucket").applyInArrow(bucket, _RECORDS)
+            .groupBy("bucket").applyInArrow(home, "doc_id bigint, text_hash bigint, runs binary"))
+
+
+def _shared_anchors(runs, doc, names, _):
+    """First pass: the runs whose anchor two documents hold."""
+    order = np.argsort(runs["key"], kind="stable")
+    runs, doc = runs[order], doc[order]
+    group = _groups(runs["key"])
+    heads = np.flatnonzero(np.diff(group, prepend=-1))
+    keep = (np.minimum.reduceat(doc, heads) != np.maximum.reduceat(doc, heads))[group]
+    return runs[keep], doc[keep]
+
+
+def _unpacked(table):
     """(runs, number of each run's document, names of the documents)."""
     runs, doc, seen = [], [], {}
-    for t in tables:
-        for ids, hashes, local, raw in zip(t.column("doc_ids").to_pylist(), t.column("hashes").to_pylist(),
-                                           t.column("doc").to_pylist(), t.column("runs").to_pylist()):
-            numbers = np.array([seen.setdefault(x, len(seen)) for x in zip(ids, hashes)])
-            runs.append(np.frombuffer(raw, _RUN))
-            doc.append(numbers[np.array(local)])
+    for ids, hashes, local, raw in zip(*[table.column(c).to_pylist() for c in ("doc_ids", "hashes", "doc", "runs")]):
+        numbers = np.array([seen.setdefault(x, len(seen)) for x in zip(ids, hashes)])
+        runs.append(np.frombuffer(raw, _RUN))
+        doc.append(numbers[np.frombuffer(local, np.int32)])
     return np.concatenate(runs), np.concatenate(doc), list(seen)
 
 
@@ -237,16 +258,16 @@ def _by_document(runs, doc, names) -> pa.RecordBatch:
 
 
 def _with_bodies(texts: DataFrame, depth: int, buckets: int) -> DataFrame:
-    """Second pass, in a task: rows (doc_id, text_hash, text, parts) -> the
-    runs with their bytes, by bucket; runs whose bytes a smaller document of
-    the batch holds are settled (bucket -1: all their windows go)."""
+    """Rows (doc_id, text_hash, text, runs) -> the runs with their bytes for
+    the second pass; settled are those whose bytes a smaller document of the
+    batch holds: all their windows go."""
     def run(batches):
         for batch in in_pieces(batches, "text", PIECE):
             ids, hashes = batch.column("doc_id").to_pylist(), batch.column("text_hash").to_pylist()
             raw = [(t or "").encode() for t in batch.column("text").to_pylist()]
             runs, doc = [], []
-            for i, parts in enumerate(batch.column("parts").to_pylist()):
-                own = np.unique(np.frombuffer(b"".join(parts), _RUN))
+            for i, own in enumerate(batch.column("runs").to_pylist()):
+                own = np.unique(np.frombuffer(own, _RUN))
                 runs.append(own)
                 doc.append(np.full(len(own), i))
             runs, doc = np.concatenate(runs), np.concatenate(doc)
@@ -260,42 +281,50 @@ def _with_bodies(texts: DataFrame, depth: int, buckets: int) -> DataFrame:
                 if other is None or ids[i] < other:
                     first[body] = ids[i]
             settled = np.array([ids[i] > first[body] for i, body in zip(doc.tolist(), bodies)])
-            yield from _packed(np.full(int(settled.sum()), -1), ids, hashes, doc[settled], runs[settled])
+            yield from _packed(_spread(hashes, doc[settled], buckets), ids, hashes, doc[settled], runs[settled], True)
             out = np.flatnonzero(~settled)
-            yield from _packed(_bucket_of(runs["key"][out], buckets), ids, hashes, doc[out], runs[out],
+            yield from _packed(_bucket_of(runs["key"][out], buckets), ids, hashes, doc[out], runs[out], False,
                                [bodies[i] for i in out.tolist()])
-    return texts.select("doc_id", "text_hash", "text", "parts").mapInArrow(run, _RECORDS)
+    return texts.select("doc_id", "text_hash", "text", "runs").mapInArrow(run, _RECORDS)
 
 
-def _repeated(records: DataFrame, depth: int) -> DataFrame:
-    """Second pass, in a bucket: (doc_id, text_hash, runs) of the windows that
-    a smaller document holds, as runs of windows."""
-    def bucket(table):
-        runs, doc, names = _unpacked([table])
-        data = np.frombuffer(b"".join(table.column("bodies").to_pylist()), np.uint8)
-        order = np.argsort(np.array([x[0] for x in names], np.int64), kind="stable")
-        rank = np.empty(len(names), np.int64)
+def _repeated(depth: int):
+    def judge(runs, doc, names, bodies):
+        """Second pass: the windows that a smaller document holds, as runs."""
+        data = np.frombuffer(b"".join(bodies.to_pylist()), np.uint8)
+        # documents by doc_id, equal ids having equal ranks
         ids = np.array([x[0] for x in names], np.int64)
-        rank[order] = np.cumsum(np.diff(ids[order], prepend=ids[order[0]]) != 0)   # by doc_id, equal if it is equal
-        n = runs["n"].astype(np.int64)
-        base = np.cumsum(n + depth - 1) - (n + depth - 1)
-        # all windows of the bucket: key and bytes together
-        owner = np.repeat(np.arange(len(runs)), n)
-        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        gone = np.zeros(len(owner), bool)
-        prefix = _prefix(data)
-        digest = mixed(_hash_at(prefix, base[owner] + step, depth) ^ mixed(runs["key"][owner]))
-        at = np.argsort(digest, kind="stable")
-        group = _groups(digest[at])
-        heads = np.flatnonzero(np.diff(group, prepend=-1))
-        least = np.minimum.reduceat(rank[doc[owner[at]]], heads)[group]
-        gone[at] = rank[doc[owner[at]]] > least
-        o, s = owner[gone], step[gone]
-        out = np.empty(len(o), _RUN)
-        out["key"], out["at"], out["n"] = 0, runs["at"][o] + s, 1
-        return pa.Table.from_batches([_by_document(*_merged_windows(out, doc[o]), names)])
-    return records.groupBy("bucket").applyInArrow(
-        bucket, "doc_id bigint, text_hash bigint, runs binary")
+        rank = np.unique(ids, return_inverse=True)[1][doc]
+        size = runs["n"].astype(np.int64) + depth - 1
+        base = np.cumsum(size) - size
+        # equal windows have equal anchors: the bucket is gone through in
+        # slices of whole anchors, of about SLICE windows
+        order = np.argsort(runs["key"], kind="stable")
+        done = np.cumsum(runs["n"][order].astype(np.int64))
+        heads = np.flatnonzero(np.diff(_groups(runs["key"][order]), prepend=-1))
+        begin = np.where(heads > 0, done[heads - 1], 0)
+        cuts = heads[np.flatnonzero(np.diff(begin // SLICE, prepend=-1))]
+        found = [_repeated_in(part, runs, rank, doc, data, base, size, depth) for part in np.split(order, cuts[1:])]
+        return _merged_windows(np.concatenate([x[0] for x in found]), np.concatenate([x[1] for x in found]))
+    return judge
+
+
+def _repeated_in(part, runs, rank, doc, data, base, size, depth):
+    """Single windows (as runs, with their documents) of some runs."""
+    runs, rank, doc, size = runs[part], rank[part], doc[part], size[part]
+    start = np.cumsum(size) - size
+    prefix = _prefix(data[np.repeat(base[part] - start, size) + np.arange(size.sum())])
+    n = runs["n"].astype(np.int64)
+    owner = np.repeat(np.arange(len(runs)), n)
+    step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    digest = mixed(_hash_at(prefix, start[owner] + step, depth) ^ mixed(runs["key"])[owner])
+    at = np.argsort(digest, kind="stable")
+    group = _groups(digest[at])
+    ranks = rank[owner[at]]
+    gone = at[ranks > np.minimum.reduceat(ranks, np.flatnonzero(np.diff(group, prepend=-1)))[group]]
+    out = np.empty(len(gone), _RUN)
+    out["key"], out["at"], out["n"] = 0, runs["at"][owner[gone]] + step[gone], 1
+    return out, doc[owner[gone]]
 
 
 def _merged_windows(runs: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -319,10 +348,11 @@ def _merged_windows(runs: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.n
 
 
 def repeated_windows(docs: DataFrame, depth: int = DEPTH, buckets: int | None = None) -> DataFrame:
-    """(doc_id, text_hash, parts) per document that holds a window which also
-    starts in a document with a smaller doc_id; ``parts`` is a list of packed
-    runs (see ``_RUN``) of such windows.  Rows with a null doc_id have no
-    place in the order and take no part."""
+    """(doc_id, text_hash, runs, whole) per document that holds a window which
+    also starts in a document with a smaller doc_id.  ``runs`` packs the runs
+    of such windows (see ``_RUN``); ``whole`` marks copies of the whole text
+    of a smaller document, whose windows are all repeated.  Rows with a null
+    doc_id have no place in the order and take no part."""
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     texts = (docs.where("doc_id is not null")
@@ -331,25 +361,18 @@ def repeated_windows(docs: DataFrame, depth: int = DEPTH, buckets: int | None =
     if buckets is None:
         size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES + 1)
-    first = written(_anchor_records(texts, depth, buckets), "anchors")
-    here = _settled(first)
-    there = written(_shared_runs(first.where("bucket >= 0")), "shared_runs")
-    shared = here.unionByName(there).groupBy("doc_id", "text_hash").agg(F.collect_list("runs").alias("parts"))
-    some = texts.join(shared, ["doc_id", "text_hash"])
-    second = written(_with_bodies(some, depth, buckets), "run_bodies")
-    gone = _settled(second).unionByName(_repeated(second.where("bucket >= 0"), depth))
-    return gone.groupBy("doc_id", "text_hash").agg(F.collect_list("runs").alias("parts"))
-
-
-def _settled(records: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, runs) of the rows with bucket -1."""
-    def run(batches):
-        for b in batches:
-            for i in range(b.num_rows):
-                one = b.slice(i, 1)
-                runs, doc, names = _unpacked([one])
-                yield _by_document(runs, doc, names)
-    return records.where("bucket = -1").mapInArrow(run, "doc_id bigint, text_hash bigint, runs binary")
+    # a copy is a suffix equal to another in all its length: it needs no
+    # passes, and nothing that it could show is missing from the first copy
+    digests = texts.select("doc_id", "text_hash", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"))
+    firsts = digests.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    copies = written(digests.join(firsts, "sha").where("doc_id > first").select("doc_id", "text_hash").distinct(), "copies")
+
+    shared = written(_in_buckets(_anchor_records(texts, depth, buckets), _shared_anchors, buckets), "shared_runs")
+    some = texts.join(shared.join(copies, ["doc_id", "text_hash"], "left_anti"), ["doc_id", "text_hash"])
+    gone = written(_in_buckets(_with_bodies(some, depth, buckets), _repeated(depth), buckets), "repeated_windows")
+    discard(shared)
+    return (gone.withColumn("whole", F.lit(False))
+            .unionByName(copies.withColumn("whole", F.lit(True)), allowMissingColumns=True))
 
 
 def remove_repeats(docs: DataFrame, depth: int = DEPTH, keep_bytes: bool = False,
@@ -367,20 +390,22 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, keep_bytes: bool = False
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     gone = repeated_windows(docs, depth, buckets).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th"), "parts")
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th"), "runs", "whole")
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash"))
     both = (rows.join(gone, (rows["doc_id"].cast("long") == gone["_id"]) & (rows["text_hash"] == gone["_th"]), "left")
-            .select("doc_id", "text", "parts"))
+            .select("doc_id", "text", "runs", "whole"))
 
     def run(batches):
         for b in in_pieces(batches):
             cols: list[list] = [[], [], [], [], []]
-            for t, parts in zip(b.column("text").to_pylist(), b.column("parts").to_pylist()):
+            for t, runs, whole in zip(*[b.column(c).to_pylist() for c in ("text", "runs", "whole")]):
                 raw = t.encode()
                 left, removed, spans = raw, 0, 0
-                if parts:
-                    runs = np.frombuffer(b"".join(parts), _RUN)
+                if whole and len(raw) >= depth:
+                    left, removed, spans = b"", len(raw), 1
+                elif runs:
+                    runs = np.frombuffer(runs, _RUN)
                     cover = np.zeros(len(raw) + 1, np.int32)
                     np.add.at(cover, runs["at"], 1)
                     np.add.at(cover, runs["at"].astype(np.int64) + runs["n"] + depth - 1, -1)
