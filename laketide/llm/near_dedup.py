@@ -8,17 +8,20 @@ coordinate, named by the minwise token there.  Two sets of similarity s
 part at a node only if they differ in all chosen coordinates, so with two
 branches they still share a node at any depth of one tree with probability
 q = 1 - (1 - s q)^2 (0.97 for s = 0.85, 0.94 for 0.8), and miss each other
-in all four trees with probability below 1e-5.
+in all three trees with probability below 3e-5 (0.85) and 3e-4 (0.8).
 
-* Nodes of up to ``SMALL`` vertices are compared exhaustively, by sketch.
+* Nodes of up to ``SMALL`` vertices are compared exhaustively: by sketch,
+  which parts them into clusters of possible partners, and then cluster by
+  cluster on the full sets, of 64-bit shingle hashes made from the whole
+  texts.  A cluster is searched breadth first, a vertex against all that no
+  link has reached yet, so a cluster of n vertices gives at most n - 1 links.
 * In a larger node every vertex is compared with the node's first vertex.
   Clear partners of it are linked to it and leave the node, so a large
   group of near copies costs one comparison a member; the others branch on.
 * What is still large at ``DEPTH`` is compared block by block.
 
-Pairs whose sketches agree are confirmed on the full sets, of 64-bit shingle
-hashes made from the whole texts.  Components are found by label
-propagation with pointer jumping; only counts reach the driver.
+Components are found by label propagation with pointer jumping; only counts
+reach the driver.
 """
 
 from __future__ import annotations
@@ -34,11 +37,12 @@ from laketide.llm.common import discard, in_pieces, mixed, odd_constants, utf8,
 from laketide.llm.shingles import shingle_hashes
 
 COORDS = 128
-TREES = 4
+TREES = 3
 BRANCHES = 2
-FIRST_DEPTH = 2     # nodes of this depth are made in the first pass
+FIRST_DEPTH = 3     # nodes of this depth are made in the first pass
 DEPTH = 8
-SMALL = 64
+SMALL = 2048
+TOKENS = 2_000_000  # shingles of a cluster that is compared in one go
 
 _MULT = odd_constants(5, COORDS).astype(np.uint32) | np.uint32(1)
 _XOR = odd_constants(6, COORDS).astype(np.uint32)
@@ -113,34 +117,54 @@ def _profiles(docs: DataFrame, words: int) -> DataFrame:
 _PAIR = "a binary, b binary"
 
 
-def _pairs_batch(a: list, b: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+def _clusters(found: list[list[bytes]]) -> pa.RecordBatch:
+    """Clusters with a key made of their members."""
+    found = [sorted(c) for c in found]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([hashlib.blake2b(b"".join(c), digest_size=16).digest() for c in found], pa.binary()),
+         pa.array(found, pa.list_(pa.binary()))], ["c", "vs"])
 
 
 def _compare_groups(groups: DataFrame, least: float) -> DataFrame:
-    """All pairs of a group (columns vs, marks, at most 2 * SMALL members)
-    whose sketches agree.  Pairs of two clear partners of one earlier member
-    are left out: both are linked to it already."""
+    """Clusters (c, vs) of the vertices of a group (columns vs, marks, sizes;
+    at most SMALL) whose sketches agree, directly or through others.  A
+    cluster with more than TOKENS shingles is given pair by pair instead; a
+    pair of two clear partners of one earlier vertex is then left out, as
+    both are linked to that."""
     low, clear = _margins(least)
 
     def run(batches):
         for batch in batches:
-            a, b = [], []
-            for vs, marks in zip(batch.column("vs").to_pylist(), batch.column("marks").to_pylist()):
+            found: list[list[bytes]] = []
+            for vs, marks, sizes in zip(*[batch.column(c).to_pylist() for c in ("vs", "marks", "sizes")]):
                 m = np.frombuffer(b"".join(marks), np.uint8).reshape(len(vs), COORDS)
-                leader = [-1] * len(vs)
-                for i in range(len(vs) - 1):
-                    est = _agreement(m[i], m[i + 1:])
-                    for k in np.flatnonzero(est >= low).tolist():
-                        j = i + 1 + k
-                        if leader[i] >= 0 and leader[i] == leader[j]:
-                            continue
-                        a.append(vs[i])
-                        b.append(vs[j])
-                        if est[k] >= clear and leader[j] < 0 and leader[i] < 0:
-                            leader[j] = i
-            yield _pairs_batch(a, b)
-    return groups.select("vs", "marks").mapInArrow(run, _PAIR)
+                rest = np.arange(len(vs))
+                while len(rest) > 1:
+                    members, front, rest = [rest[0]], [rest[0]], rest[1:]
+                    while front and len(rest):
+                        x = front.pop()
+                        near = _agreement(m[x], m[rest]) >= low
+                        members.extend(rest[near])
+                        front.extend(rest[near])
+                        rest = rest[~near]
+                    if len(members) > 2 and sum(sizes[i] for i in members) > TOKENS:
+                        found.extend([vs[i], vs[j]] for i, j in _loose_pairs(m, members, low, clear))
+                    elif len(members) > 1:
+                        found.append([vs[i] for i in members])
+            yield _clusters(found)
+    return groups.select("vs", "marks", "sizes").mapInArrow(run, "c binary, vs array<binary>")
+
+
+def _loose_pairs(m, members, low, clear):
+    leader = {}
+    for k, i in enumerate(members[:-1]):
+        est = _agreement(m[i], m[members[k + 1:]])
+        for e, j in zip(est.tolist(), members[k + 1:]):
+            if e < low or (i in leader and leader.get(j) == leader[i]):
+                continue
+            yield i, j
+            if e >= clear and j not in leader and i not in leader:
+                leader[j] = i
 
 
 def _meet_first(large: DataFrame, least: float) -> DataFrame:
@@ -170,52 +194,55 @@ def _meet_first(large: DataFrame, least: float) -> DataFrame:
 
 
 def _candidates(vertices: DataFrame, least: float) -> DataFrame:
-    """Distinct pairs (a < b) of vertices whose sketches agree, written."""
-    sketches = vertices.select("v", "sketch", "mark")
+    """Distinct clusters (c, vs) of vertices whose sketches agree, written."""
+    sketches = vertices.select("v", "sketch", "mark", "n_shingles")
     at = vertices.select("v", F.explode("nodes").alias("node"))
     found, made = [], []
     for depth in range(FIRST_DEPTH, DEPTH + 1):
         sizes = at.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("pivot")).where("n > 1")
         shared = written(at.join(sizes, "node"), "nodes")
         made.append(shared)
-        small = (shared.where(F.col("n") <= SMALL).join(sketches.select("v", "mark"), "v")
-                 .groupBy("node").agg(F.sort_array(F.collect_list(F.struct("v", "mark"))).alias("m"))
-                 # the same members in several nodes are compared once
-                 .select(F.col("m.v").alias("vs"), F.col("m.mark").alias("marks")).dropDuplicates(["vs"]))
-        found.append(written(_compare_groups(small, least).distinct(), "small_pairs"))
-        made.append(found[-1])
+        # the same members in several nodes are compared once
+        small = (_members(shared.where(F.col("n") <= SMALL), sketches, ["node"]).dropDuplicates(["vs"]))
+        found.append(_compare_groups(small, least))
         large = shared.where(F.col("n") > SMALL)
         if large.isEmpty():
             break
         if depth == DEPTH:
-            found.append(written(_compare_groups(_blocks(large, sketches), least).distinct(), "block_pairs"))
-            made.append(found[-1])
+            found.append(_compare_groups(_blocks(large, sketches), least))
             break
         first = sketches.select(F.col("v").alias("pivot"), F.col("mark").alias("pivot_mark"))
         met = written(_meet_first(large.join(sketches.select("v", "sketch"), "v").join(first, "pivot"), least),
                       "met_first")
         made.append(met)
-        found.append(met.where("child is null").select("a", "b"))
+        pair = F.array_sort(F.array("a", "b"))
+        found.append(met.where("child is null").select(
+            F.unhex(F.md5(F.concat(pair[0], pair[1]))).alias("c"), pair.alias("vs")))
         at = met.where("child is not null").select(F.col("a").alias("v"), F.col("child").alias("node")).distinct()
-    pairs = found[0]
+    clusters = found[0]
     for f in found[1:]:
-        pairs = pairs.union(f)
-    pairs = written(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
+        clusters = clusters.union(f)
+    clusters = written(clusters.dropDuplicates(["c"]), "clusters")
     discard(*made)
-    return pairs
+    return clusters
+
+
+def _members(nodes: DataFrame, sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """(vs, marks, sizes) of every node."""
+    member = F.struct("v", "mark", "n_shingles")
+    return (nodes.join(sketches.select("v", "mark", "n_shingles"), "v")
+            .groupBy(*keys).agg(F.sort_array(F.collect_list(member)).alias("m"))
+            .select(F.col("m.v").alias("vs"), F.col("m.mark").alias("marks"), F.col("m.n_shingles").alias("sizes")))
 
 
 def _blocks(large: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Groups that bring together every two blocks of SMALL vertices of a
-    node, blocks being dealt by hash."""
-    parts = F.ceil(F.col("n") / F.lit(SMALL / 2)).cast("int")
-    own = F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")
-    return (large.withColumn("parts", parts).withColumn("own", own)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-            .select("node", "v", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
-            .join(sketches.select("v", "mark"), "v")
-            .groupBy("node", "x", "y").agg(F.sort_array(F.collect_list(F.struct("v", "mark"))).alias("m"))
-            .select(F.col("m.v").alias("vs"), F.col("m.mark").alias("marks")))
+    """Groups that bring together every two blocks of a node, blocks being
+    dealt by hash."""
+    dealt = (large.withColumn("parts", F.ceil(F.col("n") / F.lit(SMALL / 2)).cast("int"))
+             .withColumn("own", F.pmod(F.xxhash64("v"), F.col("parts")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+             .select("node", "v", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y")))
+    return _members(dealt, sketches, ["node", "x", "y"])
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -234,20 +261,42 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return some.select("text").mapInArrow(run, "v binary, tokens binary").dropDuplicates(["v"])
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def _linked(sets: list[np.ndarray], num: int, den: int):
+    """Index pairs that link all of a cluster's vertices that links reach."""
+    sizes = np.array([len(x) for x in sets])
+    _, tokens = np.unique(np.concatenate(sets), return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    flag = np.zeros(tokens.max() + 1, np.int64)
+    rest = np.arange(len(sets))
+    while len(rest) > 1:
+        front, rest = [int(rest[0])], rest[1:]
+        while front and len(rest):
+            x = front.pop()
+            own = tokens[starts[x]:starts[x] + sizes[x]]
+            flag[own] = 1
+            n = sizes[rest]
+            at = np.cumsum(n) - n
+            shared = np.add.reduceat(flag[tokens[np.repeat(starts[rest] - at, n) + np.arange(n.sum())]], at)
+            flag[own] = 0
+            link = den * shared >= num * (n + sizes[x] - shared)
+            for y in rest[link].tolist():
+                yield x, y
+                front.append(y)
+            rest = rest[~link]
+
+
+def _confirmed(clusters: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     def run(batches):
-        for batch in in_pieces(batches, "y", 8 << 20):
-            keep = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(den * shared >= num * (len(both) - shared))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    x = sets.select(F.col("v").alias("a"), F.col("tokens").alias("x"))
-    y = sets.select(F.col("v").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(run, _PAIR)
+        for batch in batches:
+            a, b = [], []
+            for vs, tokens in zip(batch.column("vs").to_pylist(), batch.column("tokens").to_pylist()):
+                for x, y in _linked([np.frombuffer(t, np.uint64) for t in tokens], num, den):
+                    a.append(vs[x])
+                    b.append(vs[y])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+    full = (clusters.select("c", F.explode("vs").alias("v")).join(sets, "v")
+            .groupBy("c").agg(F.collect_list(F.struct("v", "tokens")).alias("m")))
+    return full.select(F.col("m.v").alias("vs"), F.col("m.tokens").alias("tokens")).mapInArrow(run, _PAIR)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -311,15 +360,15 @@ def near_dedup(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (8
             s = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint32).astype(np.uint8).reshape(-1, COORDS)
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array([r.tobytes() for r in s], pa.binary())], [*b.schema.names, "mark"])
-    heads = written(heads.select("v", "doc_id", "text_hash", "sketch", "nodes").mapInArrow(
+    heads = written(heads.select("v", "doc_id", "text_hash", "n_shingles", "sketch", "nodes").mapInArrow(
         low_bytes, f"v binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash bigint, "
-                   "sketch binary, nodes array<bigint>, mark binary"), "vertices")
-    pairs = _candidates(heads, least)
-    ends = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
+                   "n_shingles bigint, sketch binary, nodes array<bigint>, mark binary"), "vertices")
+    clusters = _candidates(heads, least)
+    ends = clusters.select(F.explode("vs").alias("v")).distinct()
     wanted = heads.select("v", "doc_id", "text_hash").join(ends, "v", "left_semi")
     sets = written(_sets(plain, wanted, words), "sets")
-    confirmed = written(_confirmed(pairs, sets, num, den), "confirmed")
-    discard(heads, pairs, sets)
+    confirmed = written(_confirmed(clusters, sets, num, den), "confirmed")
+    discard(heads, clusters, sets)
     labels = components(confirmed)
 
     own = full.select("doc_id", "text_hash", "n_shingles", "v").join(labels, "v", "left")
