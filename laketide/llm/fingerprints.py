@@ -105,6 +105,9 @@ def fingerprint(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 _OUT = ("doc_id {id}, n_chars bigint, edited_sha256 string, fingerprint string, "
         "edited_fingerprint string, near_edited double, near_next double")
+# ids sampled for the bounds of the ranges (the only thing they decide is
+# how even the ranges are)
+BOUND_SAMPLE = 20_000
 
 
 def compare_neighbours(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -120,95 +123,77 @@ def compare_neighbours(docs: DataFrame, words: int = WORDS) -> DataFrame:
     single row is its own next.  Other columns are not read; an empty table
     gives no rows.
 
-    Rows are range-partitioned once and streamed in order.  What a partition
-    cannot know is its last row's next text: each partition hands on its
-    first and last text (two rows), and these pairs are finished apart.
+    Rows are dealt by ranges of doc_id with fixed bounds, sorted and
+    streamed.  The first row of every range is found beforehand, by a
+    map-side minimum, and stands at the end of the range before it, so that
+    every row meets its next in its own task; texts move once.
     """
+    spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    order = [F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first()]
-    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    ranged = (docs.select("doc_id", text).repartitionByRange(*order).sortWithinPartitions(*order)
-              .select(F.spark_partition_id().alias("part"), "doc_id", "text"))
-    out = _OUT.format(id=id_type)
+    ids = docs.select("doc_id").where("doc_id is not null")
+    some = sorted(r.doc_id for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(BOUND_SAMPLE).collect())
+    ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bounds = sorted({some[i * len(some) // ranges] for i in range(1, ranges)}) if some else []
+    part = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1))
+    if bounds:
+        # how many bounds are not above the id: a binary search on constants
+        part = part.otherwise(_rank(F.col("doc_id"), bounds))
+    else:
+        part = part.otherwise(F.lit(0))
+    rows = docs.select(part.cast("int").alias("part"), F.col("doc_id").isNull().alias("z"), "doc_id",
+                       F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    heads = written(rows.groupBy("part").agg(F.min(F.struct("z", "doc_id", "text")).alias("h"))
+                    .select("part", "h.z", "h.doc_id", "h.text"), "range_heads")
+    parts = sorted(r.part for r in heads.select("part").collect())      # one number a range
+    before = dict(zip(parts, parts[-1:] + parts[:-1]))
+    if before:
+        previous = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
+        heads = heads.withColumn("part", previous[F.col("part")])
+    both = (rows.withColumn("ghost", F.lit(False)).unionByName(heads.withColumn("ghost", F.lit(True)))
+            .repartition("part").sortWithinPartitions("part", "ghost", "z", "doc_id", "text")
+            .select("doc_id", "text", "ghost"))
 
     def run(batches):
-        held = None                     # the last row so far, still without its next
-        part, first = 0, None
+        held_id, held = None, None          # the last row, still without its next
         for b in in_pieces(batches):
-            part = b.column("part")[0].as_py()
-            ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
-            if first is None:
-                first = (ids[0], texts[0])
-            else:
-                ids, texts = [held[0], *ids], [held[1], *texts]
-            held = (ids[-1], texts[-1])
-            if len(ids) > 1:
-                done = _compared(ids[:-1], texts[:-1], texts[1:], words, id_type)
-                n = done.num_rows
-                none = pa.nulls(n)
-                yield pa.RecordBatch.from_arrays(
-                    [*done.columns, none.cast(pa.int32()), none.cast(pa.bool_()), none.cast(pa.string())],
-                    [*done.schema.names, "part", "head", "text"])
-        if first is not None:
-            yield _ends(part, first, held, id_type, out)
-    # computed once: the pairs between partitions are taken from the same run
-    rows = written(ranged.mapInArrow(run, f"{out}, part int, head boolean, text string"), "neighbours")
-    columns = [c.split()[0] for c in out.split(", ")]
-    inner = rows.where("part is null").select(columns)
-    ends = rows.where("part is not null").select("part", "head", "doc_id", "text")
-
-    heads = ends.where("head").select("part", "text")
-    parts = sorted(r.part for r in heads.select("part").collect())   # one number a partition
-    after = dict(zip(parts, parts[1:] + parts[:1]))
-    if not after:
-        return inner
-    following = F.create_map(*[F.lit(x) for pair in after.items() for x in pair])
-    pairs = (ends.where("not head").select("doc_id", "text", following[F.col("part")].alias("next_part"))
-             .join(heads.select(F.col("part").alias("next_part"), F.col("text").alias("next_text")), "next_part"))
-
-    def finish(batches):
-        for b in batches:
-            if b.num_rows:
-                yield _compared(b.column("doc_id").to_pylist(), b.column("text").to_pylist(),
-                                b.column("next_text").to_pylist(), words, id_type)
-    return inner.unionByName(pairs.select("doc_id", "text", "next_text").mapInArrow(finish, out))
-
-
-_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-
-
-def _compared(ids, texts, following, words, id_type) -> pa.RecordBatch:
+            texts, ghost = b.column("text").to_pylist(), b.column("ghost").to_pylist()
+            ids = b.column("doc_id").to_pylist()
+            if held is not None:
+                ids, texts, ghost = [held_id, *ids], [held, *texts], [False, *ghost]
+            at = [i for i in range(len(texts) - 1) if not ghost[i]]
+            if at:
+                yield _compared(ids, texts, at, words, b.schema.field("doc_id").type)
+            held_id, held = (ids[-1], texts[-1]) if not ghost[-1] else (None, None)
+    return both.mapInArrow(run, _OUT.format(id=id_type))
+
+
+def _rank(c: Column, bounds: list) -> Column:
+    """Number of ``bounds`` (sorted) that are not above ``c``."""
+    if len(bounds) == 1:
+        return (c >= F.lit(bounds[0])).cast("int")
+    half = len(bounds) // 2
+    low, high = bounds[:half], bounds[half:]
+    return F.when(c < F.lit(high[0]), _rank(c, low)).otherwise(F.lit(half) + _rank(c, high))
+
+
+def _compared(ids, texts, at, words, id_type) -> pa.RecordBatch:
+    """The rows at the positions ``at``, each with the row after it."""
     edited = []
-    for t, n in zip(texts, following):
-        half = len(t) // 2
-        edited.append(t[:len(t) - half] + n[:half])
-    mine, mine_empty = _marks([*texts, following[-1]], words)
+    for i in at:
+        half = len(texts[i]) // 2
+        edited.append(texts[i][:len(texts[i]) - half] + texts[i + 1][:half])
+    prints, empty = _marks(texts, words)
     theirs, theirs_empty = _marks(edited, words)
-    # ``following`` is ``texts`` moved by one, but for rows finished apart
-    if all(a is b or a == b for a, b in zip(texts[1:], following)):
-        nxt, nxt_empty = mine[1:], mine_empty[1:]
-    else:
-        nxt, nxt_empty = _marks(following, words)
-    mine, mine_empty = mine[:-1], mine_empty[:-1]
+    at = np.array(at)
+    mine, mine_empty = prints[at], empty[at]
     return pa.RecordBatch.from_arrays(
-        [pa.array(ids, _ARROW[id_type]), pa.array([len(t) for t in texts], pa.int64()),
-         pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited]),
-         packed(mine), packed(theirs),
+        [pa.array([ids[i] for i in at], id_type), pa.array([len(texts[i]) for i in at], pa.int64()),
+         pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited]), packed(mine), packed(theirs),
          pa.array(likeness(mine, theirs, mine_empty, theirs_empty)),
-         pa.array(likeness(mine, nxt, mine_empty, nxt_empty))],
+         pa.array(likeness(mine, prints[at + 1], mine_empty, empty[at + 1]))],
         ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"])
 
 
-def _ends(part, first, last, id_type, out) -> pa.RecordBatch:
-    ids = pa.array([first[0], last[0]], _ARROW[id_type])
-    kinds = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}
-    fields = [c.split() for c in out.split(", ")][1:]
-    return pa.RecordBatch.from_arrays(
-        [ids, *[pa.nulls(2).cast(kinds[k]) for _, k in fields],
-         pa.array([part, part], pa.int32()), pa.array([True, False]), pa.array([first[1], last[1]])],
-        ["doc_id", *[n for n, _ in fields], "part", "head", "text"])
-
-
 def likeness_of(a: Column, b: Column) -> Column:
     """Likeness of two hex fingerprints as a Spark expression (for joins on
     stored fingerprints of texts with words)."""
