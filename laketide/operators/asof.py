@@ -13,15 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laketide.functions.dates import run_date
-from laketide.operators.joins import (
-    DEFAULT_BROADCAST_ROWS, hashable_columns, null_spread, rows_at_most, salted_left_join,
-)
+from laketide.operators.joins import hashable_columns, null_spread, salted_left_join
 from laketide.operators.scd2 import DimSpec, valid_on
 
 
 def lookup_asof(fact: DataFrame, dim: DataFrame, spec: DimSpec, fact_key: str,
                 as_of, *, out_key: str | None = None,
-                broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
                 salt_buckets: int | None = None) -> DataFrame:
     """Add ``out_key`` (default: the dimension's surrogate key name) to
     ``fact``: the key of the version of ``fact[fact_key]`` valid on
@@ -36,13 +33,11 @@ def lookup_asof(fact: DataFrame, dim: DataFrame, spec: DimSpec, fact_key: str,
     * date column: equi join on the key with the interval as a residual
       predicate, evaluated per (fact, version-of-the-same-key) pair; a key
       has one version per change, so pairs stay bounded.
-    * The dimension side is broadcast only when a bounded count proves it
-      has at most ``broadcast_rows`` rows (then the fact is not shuffled at
-      all, so a hot key costs nothing extra).  Beyond the bound the join
-      shuffles both sides; a skewed key is split by AQE's skew join, or
-      explicitly by salting (``salt_buckets``), which spreads a hot key
-      over that many tasks and copies its few versions to each.
-      ``broadcast_rows=None`` disables the check.
+    * Spark's byte threshold and AQE decide whether the dimension side is
+      broadcast.  Otherwise both sides are shuffled; a skewed key is split by
+      AQE's skew join, or explicitly by salting (``salt_buckets``, always
+      done when given), which spreads a hot key over that many tasks and
+      copies its few versions to each.
     """
     out_key = out_key or spec.surrogate_key
     if isinstance(as_of, str) and as_of in fact.columns:
@@ -51,22 +46,14 @@ def lookup_asof(fact: DataFrame, dim: DataFrame, spec: DimSpec, fact_key: str,
                               F.col(spec.start_col).alias("_ds"),
                               F.col(spec.end_col).alias("_de"))
         day = F.col(as_of).cast("date")
-        small = broadcast_rows is not None and rows_at_most(versions, broadcast_rows)
-        if small:
-            versions = F.broadcast(versions)
-        if salt_buckets and not small:
+        if salt_buckets:
             def rng(l, r):
                 return ((r["_r__ds"] <= l[as_of].cast("date")) &
                         (r["_r__de"].isNull() | (r["_r__de"] > l[as_of].cast("date"))))
             v = versions.withColumnRenamed("_dk", fact_key)
             joined = salted_left_join(fact, v, [fact_key], rng, salt_buckets=salt_buckets)
             return joined.drop("_ds", "_de").withColumnRenamed("_sk", out_key)
-        if small:
-            cond = ((fact[fact_key] == versions["_dk"]) & (versions["_ds"] <= day) &
-                    (versions["_de"].isNull() | (versions["_de"] > day)))
-            joined = fact.join(versions, cond, "left")
-            return joined.select(*[fact[c] for c in fact.columns], F.col("_sk").alias(out_key))
-        # Shuffle join.  Fact rows without a key can never match, but
+        # Fact rows without a key can never match, but
         # hashing NULL would send all of them to one task: a second join
         # column spreads them (row hash for NULL keys, constant otherwise).
         f = fact.withColumn("_nk", null_spread(F.col(fact_key), hashable_columns(fact)))
@@ -79,10 +66,9 @@ def lookup_asof(fact: DataFrame, dim: DataFrame, spec: DimSpec, fact_key: str,
     d = run_date(as_of)
     versions = valid_on(dim, spec, d).select(F.col(spec.natural_key).alias("_dk"),
                                              F.col(spec.surrogate_key).alias(out_key))
-    if broadcast_rows is not None and rows_at_most(versions, broadcast_rows):
-        versions = F.broadcast(versions)
-        joined = fact.join(versions, fact[fact_key] == versions["_dk"], "left")
-        return joined.drop("_dk")
+    if salt_buckets:
+        v = versions.withColumnRenamed("_dk", fact_key)
+        return salted_left_join(fact, v, [fact_key], salt_buckets=salt_buckets)
     f = fact.withColumn("_nk", null_spread(F.col(fact_key), hashable_columns(fact)))
     v = versions.withColumn("_nk", F.lit(-1))
     joined = f.join(v, (f[fact_key] == v["_dk"]) & (f["_nk"] == v["_nk"]), "left")

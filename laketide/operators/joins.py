@@ -1,9 +1,7 @@
-"""Join helpers: size-checked broadcast and salting of hot keys.
+"""Join helpers: spreading of NULL keys and salting of hot keys.
 
-Broadcast only behind a proven bound: :func:`rows_at_most` runs a bounded
-count (``limit(n + 1).count()``), so the check itself never reads more than
-``n + 1`` rows past the filters.  Beyond the bound the plain shuffle join
-stays, and AQE re-plans it at run time with real sizes.
+Whether a side is broadcast is left to Spark's byte threshold and AQE,
+which know its size; nothing here counts rows to decide on a plan.
 """
 
 from __future__ import annotations
@@ -15,20 +13,6 @@ from pyspark.sql import functions as F
 
 from laketide.session import cut_lineage
 
-# Default row bound under which a dimension-like side may be broadcast.
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def rows_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (bounded count)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when the row count is proven below the bound."""
-    return F.broadcast(df) if rows_at_most(df, max_rows) else df
-
-
 NULL_SPREAD_BUCKETS = 1024
 
 
@@ -48,7 +32,7 @@ def null_spread(key: Column, row_cols: Sequence[str], buckets: int = NULL_SPREAD
 
 def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
                      extra_condition=None, *, salt_buckets: int = 32,
-                     hot_share: float = 0.001, max_hot_keys: int = 10_000,
+                     hot_share: float = 0.001,
                      salt_from: Sequence[str] | None = None,
                      hot_keys: DataFrame | None = None,
                      hot_rows: int | None = None) -> DataFrame:
@@ -56,9 +40,9 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     tasks and copies the matching right rows to each bucket.
 
     Hot keys are found with a partial-aggregated count (map-side combine, no
-    group is ever collected): a key is hot when it holds more than
-    ``hot_share`` of the left rows.  There are at most ``1 / hot_share``
-    such keys, so the hot-key list has a proven size bound and is broadcast.
+    group is ever collected), written once: a key is hot when it holds more
+    than ``hot_share`` of the left rows.  The list is joined like any other
+    table, whatever its length.
     Cold keys keep salt 0 and are joined exactly as a plain join would.
     ``extra_condition(l, r)`` may add a residual predicate (e.g. a date
     range); it is evaluated on the renamed right columns.  ``hot_keys``
@@ -69,19 +53,12 @@ def salted_left_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     if hot_keys is None:
-        threshold = hot_rows if hot_rows else max(1, int(left.count() * hot_share))
-        detected = left.groupBy(*keys).count().where(F.col("count") > threshold).select(*keys)
-        if not rows_at_most(detected, max_hot_keys):  # cannot happen for hot_share >= 1 / max_hot_keys
-            raise ValueError("hot-key list exceeds its bound")
-        # written once (small, bounded): the salting of both sides reads the
-        # copy instead of aggregating the left side again
-        hot_keys = cut_lineage(detected, "hot_keys")
+        counts = cut_lineage(left.groupBy(*keys).count(), "key_counts")
+        threshold = hot_rows if hot_rows else max(1, int((counts.agg(F.sum("count")).first()[0] or 0) * hot_share))
+        hot_keys = counts.where(F.col("count") > threshold)
     else:  # caller's list: de-duplicated once, not per use
         hot_keys = cut_lineage(hot_keys.select(*keys).distinct(), "hot_keys")
     hot = hot_keys.select(*keys).withColumn("_hot", F.lit(True))
-    if not rows_at_most(hot, max_hot_keys):
-        raise ValueError("hot-key list exceeds its bound")
-    hot = F.broadcast(hot)
     salt_src = [F.col(c) for c in (salt_from or hashable_columns(left))]
     any_null = F.lit(False)
     for k in keys:

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from laketide.functions.dates import days_between, minutes_between, run_date, to_day
 from laketide.operators.asof import lookup_asof
-from laketide.operators.joins import DEFAULT_BROADCAST_ROWS
 from laketide.operators.rollup import daily_rollup, daily_rollup_joined  # noqa: F401
 from laketide.operators.quality import not_null
 from laketide.operators.scd2 import DimSpec
@@ -53,7 +52,6 @@ def _fact_slice(events: DataFrame, d, part_col: str = "partition_date") -> DataF
 
 def fact_encounter(encounters: DataFrame, dim_patient: DataFrame, dim_payer: DataFrame, d=None,
                    *, patient: DimSpec = DIM_PATIENT, payer: DimSpec = DIM_PAYER,
-                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
                    salt_buckets: int | None = None) -> DataFrame:
     """Encounter fact: one row per encounter on its stop date, with the
     patient and payer versions valid on that date (FCT1).
@@ -65,9 +63,9 @@ def fact_encounter(encounters: DataFrame, dim_patient: DataFrame, dim_payer: Dat
     fe = _fact_slice(encounters, d)
     as_of = "date" if d is None else d
     fe = lookup_asof(fe, dim_patient, patient, "patient_id", as_of,
-                     broadcast_rows=broadcast_rows, salt_buckets=salt_buckets)
+                     salt_buckets=salt_buckets)
     fe = lookup_asof(fe, dim_payer, payer, "payer_id", as_of,
-                     broadcast_rows=broadcast_rows, salt_buckets=salt_buckets)
+                     salt_buckets=salt_buckets)
     return fe.select(
         "date", "encounter_id", "dim_patient_key", "dim_payer_key", "encounter_class", "code",
         "description", "reason_code", "reason_description", "start_time", "stop_time",
@@ -78,14 +76,13 @@ def fact_encounter(encounters: DataFrame, dim_patient: DataFrame, dim_payer: Dat
 
 def fact_procedure(procedures: DataFrame, dim_patient: DataFrame, d=None,
                    *, patient: DimSpec = DIM_PATIENT,
-                   broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS,
                    salt_buckets: int | None = None) -> DataFrame:
     """Procedure fact: one row per procedure on its stop date, with the
     patient version valid on that date (FCT2)."""
     fp = _fact_slice(procedures, d)
     as_of = "date" if d is None else d
     fp = lookup_asof(fp, dim_patient, patient, "patient_id", as_of,
-                     broadcast_rows=broadcast_rows, salt_buckets=salt_buckets)
+                     salt_buckets=salt_buckets)
     return fp.select(
         "date", "encounter_id", "code", "dim_patient_key", "description", "reason_code",
         "reason_description", "start_time", "stop_time", "base_cost_amount",

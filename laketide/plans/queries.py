@@ -85,7 +85,7 @@ def q_asof_event_date_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     enc = si.encounters(spark, sf_dir, coarse=True).select(
         "encounter_id", "patient_id", F.to_date("start_time").alias("event_date"))
     return lookup_asof(enc, si.dim_patient(spark, sf_dir), si.PATIENT, "patient_id", "event_date",
-                       broadcast_rows=None, salt_buckets=8)
+                       salt_buckets=8)
 
 
 # ------------------------------------------------------------------ facts

@@ -84,7 +84,7 @@ def test_daily_fact_equals_slice_of_all_dates(spark):
     dp, dy = dims(spark)
     allf = gold.fact_encounter(encounters(spark), dp, dy, patient=PSPEC, payer=YSPEC)
     for d in (dt.date(2022, 1, 3), dt.date(2022, 1, 4)):
-        day = gold.fact_encounter(encounters(spark), dp, dy, d, patient=PSPEC, payer=YSPEC, broadcast_rows=1000)
+        day = gold.fact_encounter(encounters(spark), dp, dy, d, patient=PSPEC, payer=YSPEC)
         assert sorted(map(tuple, day.collect())) == sorted(map(tuple, allf.where(F.col("date") == d).collect()))
 
 

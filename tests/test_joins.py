@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from laketide.operators import scd2 as S
 from laketide.operators.asof import lookup_asof
-from laketide.operators.joins import broadcast_if_bounded, rows_at_most, salted_left_join
+from laketide.operators.joins import salted_left_join
 
 SPEC = S.DimSpec("k", ("a",), surrogate_key="sk")
 
@@ -29,8 +29,8 @@ def collect(df):
 def test_lookup_paths_agree_under_skew(spark):
     facts, dim = skewed_facts(spark), dimension(spark)
     bcast = lookup_asof(facts, dim, SPEC, "k", "d")                       # proven small: broadcast
-    shuffled = lookup_asof(facts, dim, SPEC, "k", "d", broadcast_rows=None)
-    salted = lookup_asof(facts, dim, SPEC, "k", "d", broadcast_rows=None, salt_buckets=8)
+    shuffled = lookup_asof(facts, dim, SPEC, "k", "d")
+    salted = lookup_asof(facts, dim, SPEC, "k", "d", salt_buckets=8)
     a = collect(bcast)
     assert a == collect(shuffled) == collect(salted)
     assert len(a) == facts.count()
@@ -48,10 +48,14 @@ def test_salting_spreads_the_hot_key_and_null_keys(spark):
     assert hot.select("k").distinct().collect()[0].k == 0
 
 
-def test_bounded_count(spark):
-    df = spark.range(100)
-    assert rows_at_most(df, 100) and not rows_at_most(df, 99)
-    assert "Broadcast" in broadcast_if_bounded(df, 1000).join(spark.range(5), "id")._jdf.queryExecution().executedPlan().toString()
+def test_no_single_task_count_and_many_hot_keys(spark):
+    facts, dim = skewed_facts(spark), dimension(spark)
+    plan = lookup_asof(facts, dim, SPEC, "k", "d")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "GlobalLimit" not in plan
+    many = spark.range(30_000).select((F.col("id") % 15_000).alias("k"), F.col("id"))
+    right = spark.range(15_000).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    out = salted_left_join(many, right, ["k"], salt_buckets=2, hot_rows=1)
+    assert out.count() == 30_000 and out.where("v is null").count() == 0
 
 
 def test_uuid_key_mode(spark):
@@ -71,7 +75,7 @@ def test_run_date_lookup_paths_agree(spark):
     facts, dim = skewed_facts(spark), dimension(spark)
     for d in (dt.date(2021, 12, 31), dt.date(2022, 1, 5), dt.date(2022, 1, 10)):
         a = collect(lookup_asof(facts, dim, SPEC, "k", d))
-        b = collect(lookup_asof(facts, dim, SPEC, "k", d, broadcast_rows=None))
+        b = collect(lookup_asof(facts, dim, SPEC, "k", d))
         assert a == b and len(a) == facts.count()
 
 
@@ -87,8 +91,8 @@ def test_salted_join_with_known_hot_keys(spark):
 def test_lookup_with_map_column(spark):
     facts = skewed_facts(spark, 300).withColumn("props", F.create_map(F.lit("a"), F.col("id")))
     dim = dimension(spark)
-    a = lookup_asof(facts, dim, SPEC, "k", "d", broadcast_rows=None)
-    b = lookup_asof(facts, dim, SPEC, "k", "d", broadcast_rows=None, salt_buckets=4)
+    a = lookup_asof(facts, dim, SPEC, "k", "d")
+    b = lookup_asof(facts, dim, SPEC, "k", "d", salt_buckets=4)
     assert a.count() == b.count() == 300
 
 
