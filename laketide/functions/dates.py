@@ -21,8 +21,8 @@ def run_date(d) -> _dt.date:
         return d.date()
     if isinstance(d, _dt.date):
         return d
-    text = str(d).strip().replace("T", " ")
-    return _dt.date.fromisoformat(text[:10])
+    # strict: trailing text is an error, not cut off
+    return _dt.datetime.fromisoformat(str(d).strip()).date()
 
 
 def to_day(c) -> Column:

@@ -19,10 +19,11 @@ CLEAN_KEEP_PUNCTUATION = ",.'\";:!?()_&%$#@"
 _WS = " \\t\\n\\x0B\\f\\r"
 CLEAN_DROP_PATTERN = "[^A-Za-z0-9" + _WS + ",.'\";:!?()_&%$#@]"
 
-# A word is a run of ASCII letters, digits and underscore; everything else
-# separates words.  Title case upper-cases the first letter of each word:
-# the text is split (zero-width) just before every letter that starts a word.
-_WORD_START = "(?<![a-z0-9_])(?=[a-z])"
+# A word is a run of letters (of any script, with their marks), digits and
+# underscore; everything else separates words.  Title case upper-cases the
+# first letter of each word: the text is split (zero-width) just before every
+# letter that starts a word.
+_WORD_START = r"(?<![\p{L}\p{M}\p{N}_])(?=\p{L})"
 
 
 def clean_string(c) -> Column:
@@ -33,18 +34,18 @@ def clean_string(c) -> Column:
 def title_case(c) -> Column:
     """Lower-case, then capitalise the first letter of every word.
 
-    ``o'brien mary-ann`` -> ``O'Brien Mary-Ann``.  Words are split on any
-    character that is not an ASCII letter, digit or underscore, so the rule
+    ``o'brien mary-ann renée`` -> ``O'Brien Mary-Ann Renée``.  Words are split
+    on any character that is not a letter, digit or underscore, so the rule
     works for names joined by apostrophes and hyphens (``initcap`` only
-    splits on blanks).
+    splits on blanks).  A letter whose upper case is several letters stays.
     """
     tokens = F.split(F.lower(as_col(c)), _WORD_START)
-    cap = F.transform(
-        tokens,
-        lambda t: F.when(t.rlike("^[a-z]"),
-                         F.concat(F.upper(F.substring(t, 1, 1)), F.substring(t, 2, 1 << 30)))
-        .otherwise(t),
-    )
+
+    def capital(t: Column) -> Column:
+        first = F.substring(t, 1, 1)
+        big = F.upper(first)
+        return F.concat(F.when(F.length(big) == 1, big).otherwise(first), F.substring(t, 2, 1 << 30))
+    cap = F.transform(tokens, capital)
     return F.when(as_col(c).isNotNull(), F.array_join(cap, ""))
 
 

@@ -255,8 +255,8 @@ GROUP BY ALL""")
 # ------------------------------------------------------- scalar functions
 _CLEAN = r"""ltrim(regexp_replace({c}, '[^A-Za-z0-9 \t\n\x0B\f\r,.''";:!?()_&%$#@]', '', 'g'))"""
 _TITLE = r"""CASE WHEN {c} IS NOT NULL THEN array_to_string(list_transform(
-    regexp_extract_all(lower({c}), '([a-z0-9_]+|[^a-z0-9_]+)', 1),
-    lambda t: CASE WHEN regexp_matches(t, '^[a-z]') THEN upper(t[1]) || t[2:] ELSE t END), '') END"""
+    regexp_extract_all(lower({c}), '([\p{{L}}\p{{M}}\p{{N}}_]+|[^\p{{L}}\p{{M}}\p{{N}}_]+)', 1),
+    lambda t: CASE WHEN t[1] = 'ß' THEN t WHEN regexp_matches(t, '^\p{{L}}') THEN upper(t[1]) || t[2:] ELSE t END), '') END"""
 
 SQL["clean_text"] = f"SELECT doc_id, {_CLEAN.format(c='text')} AS clean_text FROM documents"
 SQL["clean_part_names"] = f"""
@@ -434,11 +434,11 @@ FROM enc"""
 CTE["conf_e"] = f"""
 SELECT lower(trim(Id)) AS encounter_id, trim("START") AS start_time, trim(STOP) AS stop_time,
        lower(trim(PATIENT)) AS patient_id, lower(trim(PAYER)) AS payer_id,
-       upper({_CLEAN.format(c='ENCOUNTERCLASS')}) AS encounter_class,
-       {_CLEAN.format(c='CODE')} AS code, {_CLEAN.format(c='DESCRIPTION')} AS description,
+       upper(ENCOUNTERCLASS) AS encounter_class,
+       CODE AS code, {_CLEAN.format(c='DESCRIPTION')} AS description,
        trim(BASE_ENCOUNTER_COST) AS base_cost_amount, trim(TOTAL_CLAIM_COST) AS claim_amount,
        trim(PAYER_COVERAGE) AS coverage_amount,
-       {_CLEAN.format(c='REASONCODE')} AS reason_code,
+       REASONCODE AS reason_code,
        {_CLEAN.format(c='REASONDESCRIPTION')} AS reason_description, partition_date
 FROM raw_e"""
 
@@ -517,7 +517,7 @@ WHERE CAST(TRY_CAST(stop_time AS TIMESTAMP) AS DATE) IN {_DAYS}"""
 CTE["run_pc"] = f"""
 SELECT lower({_guid('encounter_id')}) AS encounter_id, CAST(stop_time AS DATE) AS date,
        count(*) AS n_procedures,
-       count(CASE WHEN code IS NOT NULL THEN {_CLEAN.format(c='code')} END) AS n_codes
+       count(code) AS n_codes
 FROM proc
 WHERE CAST(stop_time AS DATE) IN {_DAYS}
 GROUP BY 1, 2"""

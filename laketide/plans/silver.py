@@ -36,13 +36,13 @@ def conform_encounters(b: DataFrame) -> DataFrame:
         F.trim("STOP").alias("stop_time"),
         clean_id("PATIENT").alias("patient_id"),
         clean_id("PAYER").alias("payer_id"),
-        upper_case(clean_string("ENCOUNTERCLASS")).alias("encounter_class"),
-        clean_string("CODE").alias("code"),
+        upper_case("ENCOUNTERCLASS").alias("encounter_class"),
+        F.col("CODE").alias("code"),
         clean_string("DESCRIPTION").alias("description"),
         F.trim("BASE_ENCOUNTER_COST").alias("base_cost_amount"),
         F.trim("TOTAL_CLAIM_COST").alias("claim_amount"),
         F.trim("PAYER_COVERAGE").alias("coverage_amount"),
-        clean_string("REASONCODE").alias("reason_code"),
+        F.col("REASONCODE").alias("reason_code"),
         clean_string("REASONDESCRIPTION").alias("reason_description"),
         PART_COL)
 
@@ -85,10 +85,10 @@ def conform_procedures(b: DataFrame) -> DataFrame:
         F.trim("STOP").alias("stop_time"),
         clean_id("PATIENT").alias("patient_id"),
         clean_id("ENCOUNTER").alias("encounter_id"),
-        clean_string("CODE").alias("code"),
+        F.col("CODE").alias("code"),
         clean_string("DESCRIPTION").alias("description"),
         F.trim("BASE_COST").alias("base_cost_amount"),
-        clean_string("REASONCODE").alias("reason_code"),
+        F.col("REASONCODE").alias("reason_code"),
         clean_string("REASONDESCRIPTION").alias("reason_description"),
         PART_COL)
 

@@ -82,3 +82,29 @@ def test_normalize_and_recast(spark):
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["bigint", "string", "int", "double"]
     r = out.first()
     assert (r.start_time, r.birth_day, r.amount) == (1640995210, "2022-01-02", 12.34)
+
+
+def test_title_case_knows_accents_and_run_dates_are_strict(spark):
+    import datetime as dt
+
+    import pytest
+
+    from laketide.functions import text as LT
+    from laketide.functions.dates import run_date
+    df = spark.createDataFrame([("renée o'brien FRANÇOIS müller-élan ßx",)], "s string")
+    assert df.select(LT.title_case("s").alias("t")).first().t == "Renée O'Brien François Müller-Élan ßx"
+    assert run_date("2022-01-01") == dt.date(2022, 1, 1) and run_date("2022-01-01 10:00:00") == dt.date(2022, 1, 1)
+    with pytest.raises(ValueError):
+        run_date("2022-01-01garbage")
+
+
+def test_csv_columns_are_found_by_name(spark, scratch):
+    import pytest
+
+    from laketide.sources.files import read_csv
+    with open(f"{scratch}/a.csv", "w") as f:
+        f.write("extra,b,a\n9,2,1\n")
+    df = read_csv(spark, f"{scratch}/a.csv", ["a", "b"])
+    assert df.columns == ["a", "b", "extra"] and tuple(df.first()) == ("1", "2", "9")
+    with pytest.raises(ValueError, match="lacks c"):
+        read_csv(spark, f"{scratch}/a.csv", ["a", "c"])
