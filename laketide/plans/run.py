@@ -123,14 +123,15 @@ def run_dimensions(spark: SparkSession, d, layout: Layout, report: DayReport,
             if wm is not None and run_date(d) <= wm:
                 report.dimensions[name] = "skipped (run date not after last load)"
                 continue
+        # exactly repeated rows are one row; only conflicting ones are duplicates
+        day = day.distinct()
         dup_keys = DQ.unique_violations(day.select(spec.natural_key), [spec.natural_key])
         n_dup = dup_keys.count()
         checks = {"duplicate_keys": n_dup}
         snap = day.select(spec.natural_key, *spec.attributes)
         if n_dup:
             DQ.check(checks, policy)
-            flagged = day.join(F.broadcast(dup_keys.select(spec.natural_key)) if n_dup <= 100_000
-                               else dup_keys.select(spec.natural_key), spec.natural_key, "left_semi")
+            flagged = day.join(dup_keys.select(spec.natural_key), spec.natural_key, "left_semi")
             overwrite_partition(flagged, layout.quarantine(f"{name}_duplicates"), silver.PART_COL, d)
             snap = snap.join(dup_keys.select(spec.natural_key), spec.natural_key, "left_anti")
         report.dimensions[name] = store.write(scd2_apply(active, snap, spec, d, check_gate=False))

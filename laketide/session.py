@@ -7,7 +7,6 @@ the bench and local runs only.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -69,8 +68,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
-    # Unset: a local run or a test.  On a cluster the setting is always
-    # present and points at shared storage.
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir is unset: name a folder that driver and executors share")
+    # a local run or a test
     local = tempfile.mkdtemp(prefix="laketide-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
@@ -92,13 +92,6 @@ def cut_lineage(df, name: str = "table"):
     return spark.read.parquet(path)
 
 
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never a
     machine-local folder on a cluster)."""

@@ -81,7 +81,11 @@ def create_table_as(df: DataFrame, target: str, part_col: str | None = None,
             v2 = v2.partitionedBy(F.col(part_col))
         v2.create()
         return
+    # a folder without a committed table is what a failed create left behind
+    retry = is_path(target) and not table_exists(df.sparkSession, target)
     w = df.write.mode("errorifexists")
+    if retry:
+        w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if part_col:
         w = w.partitionBy(part_col)
     if is_path(target):
