@@ -22,7 +22,8 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    # the optional training-data queries have SQL where SQL can express them
+    assert set(E.QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_queries_match_oracle(spark):
