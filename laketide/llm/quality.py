@@ -25,6 +25,7 @@ SAMPLE = 3000        # labelled rows learned from, at most half of each label
 DIMS = 48
 NEIGHBOURS = 15
 BLOCK = 512          # documents of one cosine product
+STRETCH = 2000       # words among which repeats are counted
 
 # classes: 0 upper, 1 lower or beyond ASCII, 2 digit, 3 blank, 4 line feed,
 # 5 control, 6 and up a punctuation sign each
@@ -64,8 +65,9 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         w = len(own)
         if w:
             same = np.count_nonzero(own[1:] == own[:-1])
-            distinct = len(np.unique(own[:2000]))
-            out[i, _TERMS:] = (4 * same / w, 2 * (1 - distinct / min(w, 2000)),
+            # distinct words of every stretch, so that length alone is no repetition
+            distinct = sum(len(np.unique(own[x:x + STRETCH])) for x in range(0, w, STRETCH))
+            out[i, _TERMS:] = (4 * same / w, 2 * (1 - distinct / w),
                                0.5 * np.log1p((b - a) / w), 0.1 * np.log1p(w))
     return out
 
@@ -91,10 +93,14 @@ class Model:
         _, _, vt = np.linalg.svd(x @ q, full_matrices=False)
         self.base = (q @ vt[:dims].T).astype(np.float32)
         self.vectors = _unit(x @ self.base)
+        bare = ~counts.any(axis=1)
+        self.bare = float(self.labels[bare].mean() if bare.any() else self.labels.mean())
 
     def score(self, counts: np.ndarray) -> np.ndarray:
         """Share of label 1 among the nearest, weighted by similarity; 0.5
-        without any labelled row."""
+        without any labelled row.  A text without terms is near to none: it
+        takes the share among the labelled texts without terms, or among all
+        if there are none."""
         if not len(self.labels):
             return np.full(len(counts), 0.5)
         out = np.empty(len(counts))
@@ -103,7 +109,8 @@ class Model:
             cos = v @ self.vectors.T
             near = np.argpartition(-cos, self.k - 1, axis=1)[:, :self.k]
             w = np.maximum(np.take_along_axis(cos, near, axis=1).astype(np.float64), 0) ** 8 + 1e-9
-            out[a:a + BLOCK] = (w * self.labels[near]).sum(axis=1) / w.sum(axis=1)
+            vote = (w * self.labels[near]).sum(axis=1) / w.sum(axis=1)
+            out[a:a + BLOCK] = np.where(counts[a:a + BLOCK].any(axis=1), vote, self.bare)
         return out
 
 
