@@ -8,8 +8,9 @@
 3. The weights are realised by block permutations: a document's key (a hash
    of its id) puts it into one of ``BLOCKS`` blocks of its source, a
    source's blocks have a permuted order, whole epochs take all blocks, and
-   the last epoch takes blocks in this order until the budget is met.  Only
-   the block in which the budget ends is gone through document by document.
+   the last epoch takes blocks in this order until the budget is met.  Of
+   the block in which the budget ends, a million parts are gone through by
+   their sums, and only the part in which it ends document by document.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import functions as F
 from laketide.llm.common import discard, written
 
 BLOCKS = 256
+PART_SHIFT = 32     # a block's keys fall into 2 ** 20 parts
 STEPS = 40
 FAN = 32        # exponents tried in one pass: five halvings
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -155,12 +157,26 @@ def _plan(made: DataFrame, target: Target) -> DataFrame:
               .withColumn("before", F.coalesce(F.sum("tokens").over(run), F.lit(0))))
     edge = (ranked.where((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("tokens") > F.col("rest")))
             .select("source", "block", F.col("rank").alias("edge_rank"), (F.col("rest") - F.col("before")).alias("room")))
-    inside = Window.partitionBy("source", "block").orderBy("key")
-    upto = (made.join(edge, ["source", "block"])
+    # the block in which the budget ends: by parts of its keys, then by the
+    # keys of one part, so that no window grows with the documents of a block
+    part = F.shiftright("key", PART_SHIFT)
+    parts = (made.join(edge.select("source", "block", "room"), ["source", "block"])
+             .groupBy("source", part.alias("part"))
+             .agg(F.sum("n_tokens").alias("tokens"), F.first("room").alias("room")))
+    in_order = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    ends = (parts.withColumn("before", F.coalesce(F.sum("tokens").over(in_order), F.lit(0)))
+            .where((F.col("before") <= F.col("room")) & (F.col("before") + F.col("tokens") > F.col("room")))
+            .select("source", "part", (F.col("room") - F.col("before")).alias("room")))
+    inside = Window.partitionBy("source", "part").orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
+    upto = (made.withColumn("part", part).join(ends, ["source", "part"])
             # documents of one key go together
-            .groupBy("source", "block", "key").agg(F.sum("n_tokens").alias("n_tokens"), F.first("room").alias("room"))
-            .withColumn("through", F.sum("n_tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0))))
-    edge_key = upto.where("through <= room").groupBy("source").agg(F.max("key").alias("edge_key"))
+            .groupBy("source", "part", "key").agg(F.sum("n_tokens").alias("n_tokens"), F.first("room").alias("room"))
+            .withColumn("through", F.sum("n_tokens").over(inside)))
+    # without a key that fits, all keys before the part are taken
+    before_part = F.shiftleft(F.col("part"), PART_SHIFT) - 1
+    edge_key = (upto.withColumn("fits", F.when(F.col("through") <= F.col("room"), F.col("key")))
+                .groupBy("source", "part").agg(F.max("fits").alias("fits"))
+                .select("source", F.coalesce("fits", before_part).alias("edge_key")))
     return (q.select("source", "source_weight", "epochs")
             .join(edge.select("source", "edge_rank"), "source", "left").join(edge_key, "source", "left"))
 
