@@ -132,6 +132,19 @@ def test_quality(spark, rows):
     assert all(r.score == 0.5 for r in none.collect())
 
 
+def test_quality_reads_whole_texts_and_empty_ones():
+    import numpy as np
+    from laketide.llm.common import utf8
+    import pyarrow as pa
+    distinct = " ".join(f"w{i}" for i in range(3000))
+    tail = distinct + " same" * 3000
+    f = quality.features(*utf8(pa.array([distinct, tail, "", None])))
+    assert f[0, -3] == 0 and f[1, -3] > 0.5        # repeats behind the first 2,000 words count
+    assert not f[2:].any()
+    model = quality.Model(np.concatenate([f[:2], f[2:3]]), np.array([1, 0, 0]), dims=2, k=1)
+    assert model.score(f).tolist() == [1.0, 0.0, 0.0, 0.0]
+
+
 def test_quality_held_out(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
@@ -161,6 +174,27 @@ def test_mixing_meets_the_weights(spark):
         assert max(r.copies for r in own) <= 4
 
 
+@pytest.mark.parametrize("shift", [32, 50])
+def test_mixing_takes_documents_up_to_the_budget(spark, monkeypatch, shift):
+    monkeypatch.setattr(mixing, "PART_SHIFT", shift)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    # keys of 52 bits: one block, so that the budget ends among many documents
+    slim = docs.select(F.lit("s").alias("source"), mixing.token_count(F.col("text")).alias("n_tokens"),
+                       F.shiftright(mixing.block_key(F.col("doc_id")), 8).alias("key"))
+    rows = sorted((r.key, r.n_tokens) for r in slim.collect())
+    total = sum(n for _, n in rows)
+    for budget in (1, total // 3, total - 1):
+        plan = mixing._plan(slim.withColumn("block", mixing.block_of(F.col("key"))),
+                            mixing.Target(budget=budget, max_epochs=9.0)).first()
+        through, fit = 0, []
+        for key, n in rows:
+            through += n
+            if through <= budget:
+                fit.append(key)
+        assert plan.epochs == 0
+        assert [k for k, _ in rows if k <= plan.edge_key] == fit
+
+
 def test_bpe(spark, rows):
     import tiktoken
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
