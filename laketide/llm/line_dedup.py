@@ -6,7 +6,8 @@
    position, and streamed: a row knows whether it is the first of its
    document and the first of all.  The salt is a hash of the document, so a
    line that every document holds is spread over all its salts; per (hash,
-   salt) one row goes on, and the rows of a hash are added up.
+   salt) one row goes on, the rows of a hash are added up, and the result
+   meets the lines again by (hash, salt).
 3. The lines to drop come back as a compressed bitmap per document (words of
    32 lines; words without a dropped line are left out).
 """
@@ -61,9 +62,13 @@ def line_drops(docs: DataFrame, min_docs: int = 10, keep_first: bool = False,
                      F.col("text_hash").alias("t"), F.col("pos").alias("p"))
     per_salt = seen.groupBy("h1", "h2", "salt").agg(
         F.sum("new_doc").alias("docs"), F.min(F.when(F.col("nth") == 1, place)).alias("first"))
-    common = (per_salt.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.min("first").alias("first"))
-              .where(F.col("docs") >= min_docs).select("h1", "h2", "first"))
-    hit = marks.join(common, ["h1", "h2"])
+    # at most SALTS rows a hash; they go back to the lines salt by salt, so
+    # that a line of many documents is not joined in one task
+    of_hash = Window.partitionBy("h1", "h2")
+    common = (per_salt.withColumn("all_docs", F.sum("docs").over(of_hash))
+              .withColumn("first", F.min("first").over(of_hash))
+              .where(F.col("all_docs") >= min_docs).select("h1", "h2", "salt", "first"))
+    hit = marks.join(common, ["h1", "h2", "salt"])
     if keep_first:
         hit = hit.where(~place.eqNullSafe(F.col("first")))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("pos") % WORD)
