@@ -13,7 +13,9 @@ end_date)``; the open version has ``end_date`` NULL and ``is_active`` true.
 
 All are pure DataFrame functions; storing the result is the sink's job.
 Only changed keys are closed, in place; keys missing from a snapshot stay
-open; NULL natural keys never match an existing version.
+open.  A row without a natural key has no history: every function leaves it
+out, and :func:`unusable_rows` gives these rows for a quarantine.  A
+snapshot holds a key once; :func:`one_row_per_key` makes one that does.
 """
 
 from __future__ import annotations
@@ -81,6 +83,29 @@ def empty_dimension(spark, spec: DimSpec, snapshot: DataFrame) -> DataFrame:
     return scd2_open(snapshot.limit(0), spec, _dt.date(1970, 1, 1))
 
 
+def unusable_rows(snapshot: DataFrame, spec: DimSpec) -> DataFrame:
+    """Snapshot rows that cannot form a version: those with a NULL key."""
+    return snapshot.where(F.col(spec.natural_key).isNull())
+
+
+def one_row_per_key(snapshot: DataFrame, spec: DimSpec, *by: str) -> DataFrame:
+    """One row per natural key (and per value of the columns ``by``, such as
+    a snapshot date): key, attributes and ``conflict``.
+
+    Rows that repeat a key with the same attributes are one row.  Of rows
+    that differ, the one with the smallest attributes in declared order
+    (NULL first) stays and ``conflict`` is true.  Rows with a NULL key are
+    left out.  Both sides of the choice are minima and maxima, so a hot key
+    is combined map-side.
+    """
+    row = F.struct(*spec.attributes)
+    keys = [*by, spec.natural_key]
+    ends = (snapshot.where(F.col(spec.natural_key).isNotNull())
+            .groupBy(*keys).agg(F.min(row).alias("_least"), F.max(row).alias("_most")))
+    return ends.select(*keys, *[F.col("_least")[c].alias(c) for c in spec.attributes],
+                       (~F.col("_least").eqNullSafe(F.col("_most"))).alias("conflict"))
+
+
 def scd2_changes(dim: DataFrame | None, snapshot: DataFrame, spec: DimSpec) -> DataFrame:
     """Snapshot rows whose (natural key, row hash) has no active version.
 
@@ -88,21 +113,17 @@ def scd2_changes(dim: DataFrame | None, snapshot: DataFrame, spec: DimSpec) -> D
     version, 'changed' when its attributes differ).  One shuffle join on
     the natural key; the active side has at most one row per key.
     """
-    snap = snapshot.withColumn("row_hash", row_hash(spec.hashed))
+    snap = (snapshot.where(F.col(spec.natural_key).isNotNull())
+            .withColumn("row_hash", row_hash(spec.hashed)))
     if dim is None:
         return snap.withColumn("change", F.lit("new"))
     active = (dim.where(_is_active(spec))
               .select(F.col(spec.natural_key).alias("_a_key"),
                       row_hash(spec.hashed).alias("_a_hash")))
-    keyed = snap.where(F.col(spec.natural_key).isNotNull())
-    j = keyed.join(active, keyed[spec.natural_key] == active["_a_key"], "left")
-    changes = (j.where(F.col("_a_key").isNull() | (F.col("_a_hash") != F.col("row_hash")))
-               .withColumn("change", F.when(F.col("_a_key").isNull(), F.lit("new")).otherwise(F.lit("changed")))
-               .drop("_a_key", "_a_hash"))
-    # a NULL key matches no version: always new, and kept out of the
-    # shuffle (all NULL keys would hash to one task)
-    nullkey = snap.where(F.col(spec.natural_key).isNull()).withColumn("change", F.lit("new"))
-    return changes.unionByName(nullkey)
+    j = snap.join(active, snap[spec.natural_key] == active["_a_key"], "left")
+    return (j.where(F.col("_a_key").isNull() | (F.col("_a_hash") != F.col("row_hash")))
+            .withColumn("change", F.when(F.col("_a_key").isNull(), F.lit("new")).otherwise(F.lit("changed")))
+            .drop("_a_key", "_a_hash"))
 
 
 def scd2_close(dim: DataFrame, changed_keys: DataFrame, spec: DimSpec, d) -> DataFrame:
@@ -140,19 +161,19 @@ def scd2_apply(dim: DataFrame | None, snapshot: DataFrame, spec: DimSpec, d,
     (unchanged, or missing from the snapshot) + versions closed on ``d`` +
     new versions starting on ``d``.
 
-    Plan: the keyed active versions and the snapshot meet in ONE full outer join
+    Plan: the active versions and the snapshot meet in ONE full outer join
     on the natural key (each side has at most one row per key, so no key
     can fan out or dominate a task); every joined row emits its 1 or 2
     output versions through ``inline`` in the same pass.  Closed history is
-    not shuffled at all.  Snapshot rows with a NULL key skip the join (they
-    would all hash to one task) and become new versions directly.
+    not shuffled at all.
 
     The gate of the original pipeline is kept: when ``d`` is not after the
     latest active start date the dimension is returned unchanged (a
     back-dated run is a no-op; rebuild with :func:`scd2_from_snapshots`).
     """
     d = run_date(d)
-    snap = snapshot.select(spec.natural_key, *spec.attributes)
+    snap = (snapshot.where(F.col(spec.natural_key).isNotNull())
+            .select(spec.natural_key, *spec.attributes))
     if dim is None:
         return scd2_open(snap, spec, d)
     dim = dim.select(*spec.columns)
@@ -162,16 +183,12 @@ def scd2_apply(dim: DataFrame | None, snapshot: DataFrame, spec: DimSpec, d,
             return dim
 
     history = dim.where(~_is_active(spec))
-    # a NULL natural key matches nothing: such versions pass through like
-    # history (and stay out of the shuffle, where they would share a task)
-    active_nullkey = dim.where(_is_active(spec) & F.col(spec.natural_key).isNull())
-    active = dim.where(_is_active(spec) & F.col(spec.natural_key).isNotNull())
+    active = dim.where(_is_active(spec))
 
     a = active.select(*[F.col(c).alias(f"_o_{c}") for c in spec.columns],
                       row_hash(spec.hashed).alias("_o_hash"))
-    keyed = snap.where(F.col(spec.natural_key).isNotNull())
-    s = keyed.select(*[F.col(c).alias(f"_n_{c}") for c in (spec.natural_key, *spec.attributes)],
-                     row_hash(spec.hashed).alias("_n_hash"))
+    s = snap.select(*[F.col(c).alias(f"_n_{c}") for c in (spec.natural_key, *spec.attributes)],
+                    row_hash(spec.hashed).alias("_n_hash"))
     j = a.join(s, a[f"_o_{spec.natural_key}"] == s[f"_n_{spec.natural_key}"], "full_outer")
 
     has_old = F.col(f"_o_{spec.natural_key}").isNotNull()
@@ -188,9 +205,7 @@ def scd2_apply(dim: DataFrame | None, snapshot: DataFrame, spec: DimSpec, d,
     new_row = F.when(has_new & (~has_old | changed), _version(
         spec, new_vals, F.lit(d), F.lit(None), F.lit(True)))
     stepped = j.select(F.inline(F.filter(F.array(old_row, new_row), lambda x: x.isNotNull())))
-
-    nullkey_new = scd2_open(snap.where(F.col(spec.natural_key).isNull()), spec, d)
-    return history.unionByName(active_nullkey).unionByName(stepped).unionByName(nullkey_new)
+    return history.unionByName(stepped)
 
 
 def scd2_from_snapshots(snapshots: DataFrame, spec: DimSpec, date_col: str = "snapshot_date") -> DataFrame:
@@ -206,7 +221,7 @@ def scd2_from_snapshots(snapshots: DataFrame, spec: DimSpec, date_col: str = "sn
     partitioning, so the second adds no exchange.  A key's group holds one
     row per snapshot, so its size is bounded by the number of snapshots.
     """
-    h = snapshots.select(spec.natural_key, *spec.attributes,
+    h = snapshots.where(F.col(spec.natural_key).isNotNull()).select(spec.natural_key, *spec.attributes,
                          F.col(date_col).cast("date").alias("_d"),
                          row_hash(spec.hashed).alias("_h"))
     # the hash breaks ties, so a key listed twice in one snapshot still

@@ -97,4 +97,9 @@ FACT_ENCOUNTER_RULES = not_null("date", "encounter_id", "dim_patient_key", "dim_
 FACT_PROCEDURE_RULES = not_null("date", "encounter_id", "code", "dim_patient_key", "start_time",
                                 "base_cost_amount", "duration_minute_num")
 DAILY_ENCOUNTER_RULES = not_null("date", "dim_patient_key", "dim_payer_key")
-UNIQUE_KEYS = {"fact_encounter": ["encounter_id"]}
+GOLD_RULES = {"fact_encounter": FACT_ENCOUNTER_RULES, "fact_procedure": FACT_PROCEDURE_RULES,
+              "daily_encounter": DAILY_ENCOUNTER_RULES}
+UNIQUE_KEYS = {"fact_encounter": [["encounter_id"]]}
+DIMENSION_RULES = {
+    "dim_patient": not_null("dim_patient_key", "patient_id", "patient_fullname", "birth_date", "start_date"),
+    "dim_payer": not_null("dim_payer_key", "payer_id", "payer_name", "start_date")}

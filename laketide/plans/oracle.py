@@ -35,7 +35,7 @@ SELECT patient_id, patient_fullname, nation_key, balance,
        CASE WHEN patient_id % 10 = 0 THEN 'MACHINERY' ELSE segment END AS segment
 FROM p_base WHERE patient_id % 97 <> 0
 UNION ALL
-SELECT patient_id + 1000000, patient_fullname, nation_key, balance, segment
+SELECT -patient_id - 1, patient_fullname, nation_key, balance, segment
 FROM p_base WHERE patient_id % 50 = 0"""
 
 CTE["s3"] = """
@@ -45,7 +45,7 @@ SELECT patient_id, patient_fullname,
        CASE WHEN patient_id % 10 = 0 AND patient_id % 20 <> 0 THEN 'MACHINERY' ELSE segment END AS segment
 FROM p_base
 UNION ALL
-SELECT patient_id + 1000000, patient_fullname, nation_key, balance, segment
+SELECT -patient_id - 1, patient_fullname, nation_key, balance, segment
 FROM p_base WHERE patient_id % 50 = 0 AND patient_id % 100 <> 0"""
 
 CTE["dim1"] = f"""
@@ -382,6 +382,22 @@ SELECT *, 1 AS load FROM supplier UNION ALL SELECT *, 2 AS load FROM supplier"""
 
 SQL["dimension_versions"] = SQL["scd2_step"]
 
+# untidy snapshots: of the rows of a key the first by its attributes counts
+for _n in (1, 2):
+    _rest = ", ".join(PATIENT_COLS[1:])
+    CTE[f"untidy{_n}"] = f"""
+SELECT {", ".join(PATIENT_COLS)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY {", ".join(c + " NULLS FIRST" for c in PATIENT_COLS[1:])}) AS nth
+  FROM (SELECT * FROM s{_n} WHERE patient_id % 13 <> 0 UNION ALL
+        SELECT patient_id, patient_fullname, nation_key, balance - {_n} + 1, 'ANY' FROM s{_n}
+        WHERE patient_id % 13 <> 0 AND patient_id % 11 = 0) x) y
+WHERE nth = 1"""
+CTE["untidy_dim1"] = CTE["dim1"].replace("FROM s1", "FROM untidy1")
+CTE["untidy_dim2"] = _scd_step("untidy_dim1", "untidy2", D2)
+ORDER += ["untidy1", "untidy2", "untidy_dim1", "untidy_dim2"]
+DEPS |= {"untidy1": ["s1"], "untidy2": ["s2"], "untidy_dim1": ["untidy1"], "untidy_dim2": ["untidy_dim1", "untidy2"]}
+SQL["scd2_null_duplicate_keys"] = with_ctes(["untidy_dim2"], f"SELECT {_cols(DIM_COLS)}, CAST(2 AS BIGINT) AS sides FROM untidy_dim2")
+
 # ----------------------------------------------------------------- silver
 def _guid(k: str) -> str:
     h = f"md5(CAST({k} AS VARCHAR))"

@@ -18,8 +18,9 @@ from laketide.operators import slicing as SL
 from laketide.operators.asof import lookup_asof
 from laketide.operators.rollup import daily_rollup, daily_rollup_joined
 from laketide.plans import bronze, gold, silver
-from laketide.session import scratch_path
+from laketide.session import scratch_path, stored
 from laketide.sinks import write as W
+from laketide.sinks.dimension import DimensionTables
 from laketide.sources.files import read_csv
 from laketide.sources.tables import read_table
 from laketide.plans import standins as si
@@ -302,13 +303,28 @@ def q_materialize_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_dimension_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SCD-2 state on plain Parquet (DimensionStore): each load reads only
-    the open versions of the previous load and writes its step once; the
-    dimension read back is all closed versions plus the current open ones."""
-    store = W.DimensionStore(spark, scratch_path(spark, "dim_patient"), si.PATIENT.columns)
-    store.write(S.scd2_apply(None, si.patients_snapshot(spark, sf_dir, 1), si.PATIENT, si.D1))
-    store.write(S.scd2_apply(store.active(), si.patients_snapshot(spark, sf_dir, 2), si.PATIENT, si.D2))
-    return store.read()
+    """SCD-2 state in two ordinary tables, read as the catalog view that
+    any SQL reader gets (SNK8).  The second load is run twice, the first
+    time from the wrong snapshot."""
+    tables = DimensionTables(spark, scratch_path(spark, "dim_patient"), si.PATIENT)
+    for n, d in ((1, si.D1), (3, si.D2), (2, si.D2)):
+        with stored(tables.step(si.patients_snapshot(spark, sf_dir, n), d)) as step:
+            tables.store(step, d)
+    return spark.table(tables.create_views("laketide_gold", "dim_patient"))
+
+
+def q_scd2_null_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCD4 and SCD5 on snapshots with NULL keys, repeated rows and rows
+    that differ for one key: two loads by steps, whose versions must be
+    those of the one-pass history (a version of only one side would show as
+    a row with ``sides`` 1)."""
+    one, two = (si.untidy_snapshot(spark, sf_dir, n) for n in (1, 2))
+    tidy1, tidy2 = (S.one_row_per_key(s, si.PATIENT) for s in (one, two))
+    steps = S.scd2_apply(S.scd2_apply(None, tidy1, si.PATIENT, si.D1), tidy2, si.PATIENT, si.D2, check_gate=False)
+    stacked = one.withColumn("d", F.lit(si.D1)).unionByName(two.withColumn("d", F.lit(si.D2)))
+    history = S.scd2_from_snapshots(S.one_row_per_key(stacked, si.PATIENT, "d"), si.PATIENT, "d")
+    return (steps.unionByName(history).groupBy(*si.PATIENT.columns)
+            .agg(F.count(F.lit(1)).alias("sides")))
 
 
 
@@ -390,6 +406,7 @@ QUERIES = {
     "materialize_modes": q_materialize_modes,
     "materialize_append": q_materialize_append,
     "dimension_versions": q_dimension_versions,
+    "scd2_null_duplicate_keys": q_scd2_null_duplicate_keys,
     "conform_patients": q_conform_patients,
     "conform_encounters": q_conform_encounters,
     "silver_quality": q_silver_quality,

@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 
 from laketide.functions.dates import run_date
 from laketide.operators import quality as DQ
-from laketide.operators.scd2 import max_active_start, scd2_apply
+from laketide.operators.scd2 import one_row_per_key, unusable_rows
 from laketide.plans import bronze, gold, silver
-from laketide.sinks.write import DimensionStore, materialize, overwrite_partition
-from laketide.sources.tables import read_slice, read_table
+from laketide.session import stored
+from laketide.sinks.dimension import DimensionTables, catalog_table
+from laketide.sinks.write import materialize, overwrite_partition
+from laketide.sources.tables import read_slice, read_table, table_exists
 
 TABLES = ("patients", "payers", "encounters", "procedures")
 DIMENSIONS = {"patients": ("dim_patient", gold.DIM_PATIENT), "payers": ("dim_payer", gold.DIM_PAYER)}
@@ -98,77 +100,97 @@ def run_silver(spark: SparkSession, d, layout: Layout, report: DayReport, policy
         report.writes[f"silver/{t}"] = "overwrite_partition"
 
 
-def dimension_store(spark: SparkSession, layout: Layout, name: str) -> DimensionStore:
+def dimension(spark: SparkSession, layout: Layout, name: str) -> DimensionTables:
     spec = {n: s for n, s in DIMENSIONS.values()}[name]
-    return DimensionStore(spark, layout.gold(name), spec.columns, spec.active_col, spec.end_col)
+    return DimensionTables(spark, layout.gold(name), spec)
+
+
+def _rule_counts(df, rules, unique=()) -> dict[str, int]:
+    """Failed rows per rule, and key values that are not unique."""
+    counts = {r["rule"]: int(r["failed_rows"]) for r in DQ.quality_counts(df, rules).collect()}
+    for keys in unique:
+        counts[f"{'+'.join(keys)}:unique"] = DQ.unique_violations(df, keys).count()
+    return counts
 
 
 def run_dimensions(spark: SparkSession, d, layout: Layout, report: DayReport,
                    policy: str = "report") -> None:
-    """SCD-2 load of each dimension from the day's snapshot.  Only the
-    open versions are read and rewritten (see DimensionStore).
-
-    A natural key that occurs twice in one snapshot cannot form a valid
-    history: all its rows go to the quarantine table of the dimension
-    (nothing is dropped), are counted, and fail the load under the "fail"
-    policy.  After the load the invariant "at most one open version per
-    key" is counted.
+    """SCD-2 load of each dimension from the day's snapshot.  Only the open
+    versions are read and rewritten (see :class:`DimensionTables`).
+
+    Repeated rows are one row.  Rows without a natural key are counted and
+    kept in the quarantine table ``<dimension>_rejected``.  A key with rows
+    that differ is counted; under ``report`` the row that
+    :func:`one_row_per_key` names is loaded, under ``quarantine`` all rows of
+    the key go to the quarantine table.  The declared checks of the dimension
+    (keys unique and not null, one open version a key) are counted on what
+    the load will store; under ``fail`` any count raises before anything is
+    written.
     """
     for t, (name, spec) in DIMENSIONS.items():
+        tables = dimension(spark, layout, name)
+        if tables.too_late(d):
+            report.dimensions[name] = "skipped (a later day is loaded)"
+            continue
         day = read_slice(spark, layout.silver(t), d, silver.PART_COL)
-        store = dimension_store(spark, layout, name)
-        active = store.active()
-        if active is not None:
-            wm = max_active_start(active, spec)
-            if wm is not None and run_date(d) <= wm:
-                report.dimensions[name] = "skipped (run date not after last load)"
-                continue
-        # exactly repeated rows are one row; only conflicting ones are duplicates
-        day = day.distinct()
-        dup_keys = DQ.unique_violations(day.select(spec.natural_key), [spec.natural_key])
-        n_dup = dup_keys.count()
-        checks = {"duplicate_keys": n_dup}
-        snap = day.select(spec.natural_key, *spec.attributes)
-        if n_dup:
+        key = spec.natural_key
+        with stored(one_row_per_key(day, spec), name) as rows:
+            clash = rows.where("conflict").select(key)
+            checks = {"null_keys": unusable_rows(day, spec).count(), "duplicate_keys": clash.count()}
             DQ.check(checks, policy)
-            flagged = day.join(dup_keys.select(spec.natural_key), spec.natural_key, "left_semi")
-            overwrite_partition(flagged, layout.quarantine(f"{name}_duplicates"), silver.PART_COL, d)
-            snap = snap.join(dup_keys.select(spec.natural_key), spec.natural_key, "left_anti")
-        report.dimensions[name] = store.write(scd2_apply(active, snap, spec, d, check_gate=False))
-        checks["multiple_active"] = DQ.at_most_one_active(store.active(), spec.natural_key).count()
+            rejected = unusable_rows(day, spec)
+            if policy == "quarantine":
+                rejected = rejected.unionByName(day.join(clash, key, "left_semi"))
+                rows = rows.where(~F.col("conflict"))
+            if any(checks.values()) or table_exists(spark, layout.quarantine(f"{name}_rejected")):
+                overwrite_partition(rejected, layout.quarantine(f"{name}_rejected"), silver.PART_COL, d)
+            with stored(tables.step(rows.drop("conflict"), d), name) as step:
+                checks |= _rule_counts(step, gold.DIMENSION_RULES[name], [[spec.surrogate_key]])
+                checks["multiple_active"] = DQ.at_most_one_active(step, key).count()
+                DQ.check(checks, policy)
+                tables.store(step, d)
+        report.dimensions[name] = "loaded"
         report.quality[name] = checks
 
 
-def _gold_checks(spark: SparkSession, target: str, d, rules, unique=None) -> dict[str, int]:
-    """The declared table checks, counted on the partition just written
-    (a pruned read of one date)."""
-    part = read_slice(spark, target, d, "date")
-    counts = {r["rule"]: int(r["failed_rows"]) for r in DQ.quality_counts(part, rules).collect()}
-    if unique:
-        counts[f"{'+'.join(unique)}:unique"] = DQ.unique_violations(part, unique).count()
-    return counts
-
-
-def run_facts(spark: SparkSession, d, layout: Layout, report: DayReport) -> None:
-    dim_patient = dimension_store(spark, layout, "dim_patient").read()
-    dim_payer = dimension_store(spark, layout, "dim_payer").read()
+def _store_gold(spark: SparkSession, df, name: str, d, layout: Layout, report: DayReport, policy: str) -> None:
+    """One gold table's day, with its declared checks: counted on the
+    partition just written (a pruned read of one date), or under ``fail`` on
+    a stored copy, so that a failing day is never written."""
+    rules, unique = gold.GOLD_RULES[name], gold.UNIQUE_KEYS.get(name, [])
+    target = layout.gold(name)
+    if policy == "fail":
+        with stored(df, name) as rows:
+            report.quality[name] = _rule_counts(rows, rules, unique)
+            DQ.check(report.quality[name], policy)
+            report.writes[f"gold/{name}"] = materialize(rows, target, "date", d)
+    else:
+        report.writes[f"gold/{name}"] = materialize(df, target, "date", d)
+        report.quality[name] = _rule_counts(read_slice(spark, target, d, "date"), rules, unique)
+
+
+def run_facts(spark: SparkSession, d, layout: Layout, report: DayReport, policy: str = "report") -> None:
+    dim_patient = dimension(spark, layout, "dim_patient").read()
+    dim_payer = dimension(spark, layout, "dim_payer").read()
     enc = read_slice(spark, layout.silver("encounters"), d, silver.PART_COL)
     proc = read_slice(spark, layout.silver("procedures"), d, silver.PART_COL)
-    fe = gold.fact_encounter(enc, dim_patient, dim_payer, d)
-    fp = gold.fact_procedure(proc, dim_patient, d)
     # events still open (no stop time): not in a fact until they stop
     report.quality["open_events"] = {
         "encounters": enc.where(F.col("stop_time").isNull()).count(),
         "procedures": proc.where(F.col("stop_time").isNull()).count()}
-    report.writes["gold/fact_encounter"] = materialize(fe, layout.gold("fact_encounter"), "date", d)
-    report.writes["gold/fact_procedure"] = materialize(fp, layout.gold("fact_procedure"), "date", d)
+    _store_gold(spark, gold.fact_encounter(enc, dim_patient, dim_payer, d), "fact_encounter", d, layout, report, policy)
+    _store_gold(spark, gold.fact_procedure(proc, dim_patient, d), "fact_procedure", d, layout, report, policy)
     roll = gold.daily_rollup(read_table(spark, layout.gold("fact_encounter")),
                              read_table(spark, layout.gold("fact_procedure")), d)
-    report.writes["gold/daily_encounter"] = materialize(roll, layout.gold("daily_encounter"), "date", d)
-    for name, rules in (("fact_encounter", gold.FACT_ENCOUNTER_RULES),
-                        ("fact_procedure", gold.FACT_PROCEDURE_RULES),
-                        ("daily_encounter", gold.DAILY_ENCOUNTER_RULES)):
-        report.quality[name] = _gold_checks(spark, layout.gold(name), d, rules, gold.UNIQUE_KEYS.get(name))
+    _store_gold(spark, roll, "daily_encounter", d, layout, report, policy)
+
+
+def publish_gold(spark: SparkSession, layout: Layout, database: str = "gold") -> list[str]:
+    """Gold in the session's catalog, for any SQL reader: external tables
+    over the facts and the rollup, a view for each dimension (SNK8).  Returns
+    their names; run it again after a load."""
+    views = [dimension(spark, layout, n).create_views(database, n) for n, _ in DIMENSIONS.values()]
+    return views + [catalog_table(spark, layout.gold(n), database, n, "date") for n in gold.GOLD_RULES]
 
 
 def run_day(spark: SparkSession, d, raw: dict[str, str], layout: Layout,
@@ -179,7 +201,7 @@ def run_day(spark: SparkSession, d, raw: dict[str, str], layout: Layout,
     run_bronze(spark, d, raw, layout, report)
     run_silver(spark, d, layout, report, policy)
     run_dimensions(spark, d, layout, report, policy)
-    run_facts(spark, d, layout, report)
+    run_facts(spark, d, layout, report, policy)
     return report
 
 

@@ -24,7 +24,6 @@ from laketide.session import cut_lineage
 D1 = _dt.date(1996, 1, 1)
 D2 = _dt.date(1998, 1, 1)
 D3 = _dt.date(2000, 1, 1)
-NEW_KEY_OFFSET = 1_000_000
 
 PATIENT = DimSpec("patient_id", ("patient_fullname", "nation_key", "balance", "segment"),
                   surrogate_key="dim_patient_key")
@@ -46,7 +45,7 @@ def _patients_base(spark, sf_dir) -> DataFrame:
 def patients_snapshot(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     """Snapshot 1: customers as they are.  Snapshot 2: every 10th key moves
     to MACHINERY, every 97th key is missing, every 50th key gets a new twin
-    key.  Snapshot 3: the missing keys return, every 20th key moves back
+    key (-k - 1, so that no twin is a customer).  Snapshot 3: the missing keys return, every 20th key moves back
     (A -> B -> A), every 7th key changes nation, the twins of every 100th
     key are gone."""
     base = _patients_base(spark, sf_dir)
@@ -56,18 +55,28 @@ def patients_snapshot(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     if n == 2:
         moved = base.withColumn("segment", F.when(k % 10 == 0, F.lit("MACHINERY")).otherwise(F.col("segment")))
         kept = moved.where(k % 97 != 0)
-        twins = base.where(k % 50 == 0).withColumn("patient_id", k + F.lit(NEW_KEY_OFFSET))
+        twins = base.where(k % 50 == 0).withColumn("patient_id", -k - 1)
         return kept.unionByName(twins)
     if n == 3:
         seg = F.when((k % 10 == 0) & (k % 20 != 0), F.lit("MACHINERY")).otherwise(F.col("segment"))
         nat = F.when(k % 7 == 0, F.col("nation_key") + 1).otherwise(F.col("nation_key"))
         main = base.withColumn("segment", seg).withColumn("nation_key", nat)
         twins = (base.where((k % 50 == 0) & (k % 100 != 0))
-                 .withColumn("patient_id", k + F.lit(NEW_KEY_OFFSET)))
+                 .withColumn("patient_id", -k - 1))
         return main.unionByName(twins)
     raise ValueError("snapshot number must be 1, 2 or 3")
 
 
+def untidy_snapshot(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """Snapshot ``n`` with every 13th key NULL, every 17th row twice, and for
+    every 11th key a second row with another segment and balance."""
+    s = patients_snapshot(spark, sf_dir, n)
+    k = F.col("patient_id")
+    other = s.where(k % 11 == 0).withColumn("segment", F.lit("ANY")).withColumn("balance", F.col("balance") - n + 1)
+    return (s.unionByName(s.where(k % 17 == 0)).unionByName(other)
+            .withColumn("patient_id", F.when(k % 13 != 0, k)))
+
+
 def patient_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three snapshots stacked, with their dates (input of SCD5)."""
     parts = [patients_snapshot(spark, sf_dir, i).withColumn("snapshot_date", F.lit(d))

@@ -7,6 +7,7 @@ the bench and local runs only.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -92,6 +93,20 @@ def cut_lineage(df, name: str = "table"):
     return spark.read.parquet(path)
 
 
+@contextlib.contextmanager
+def stored(df, name: str = "table"):
+    """:func:`cut_lineage` for as long as the block runs; the copy is deleted
+    behind it."""
+    from laketide.sources.tables import delete_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        delete_path(spark, path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (never a
     machine-local folder on a cluster)."""

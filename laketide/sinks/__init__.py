@@ -1,6 +1,6 @@
-"""Writers: the only module that writes (SNK1-SNK7, MAT1)."""
+"""Writers: the only package that writes (SNK1-SNK8, MAT1)."""
 
+from laketide.sinks.dimension import DimensionTables  # noqa: F401
 from laketide.sinks.write import (  # noqa: F401
     overwrite_partitions, create_table_as, overwrite_partition, append, materialize,
-    write_version, read_current_version,
 )

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laketide.functions.dates import run_date
-from laketide.sources.tables import glob_matches, is_path, path_exists, read_table, save_schema, table_exists
+from laketide.sources.tables import is_path, read_table, save_schema, table_exists
 
 
 def _dynamic(df: DataFrame) -> None:
@@ -21,12 +21,15 @@ def _dynamic(df: DataFrame) -> None:
 
 
 def _ordered_for(df: DataFrame, target: str, part_col: str | None) -> DataFrame:
-    """Columns in the target table's order, partition column last
-    (``insertInto`` matches by position)."""
-    cols = [c for c in read_table(df.sparkSession, target).columns if c != part_col]
-    if part_col:
-        cols.append(part_col)
-    return df.select(*cols)
+    """Columns by name in the target table's order and types, the partition
+    column last (``insertInto`` matches by position).  A column that the
+    table lacks, or that the rows lack, raises instead of going missing."""
+    types = {f.name: f.dataType for f in read_table(df.sparkSession, target).schema.fields}
+    if set(types) != set(df.columns):
+        raise ValueError(f"columns differ from {target}: only in the rows {sorted(set(df.columns) - set(types))}, "
+                         f"only in the table {sorted(set(types) - set(df.columns))}")
+    cols = [c for c in types if c != part_col] + ([part_col] if part_col else [])
+    return df.select(*[F.col(c).cast(types[c]).alias(c) for c in cols])
 
 
 def cluster_for_write(df: DataFrame, part_col: str) -> DataFrame:
@@ -59,7 +62,7 @@ def overwrite_partitions(df: DataFrame, target: str, part_col: str, *, clustered
     if table_format != "parquet" and not is_path(target):
         _ordered_for(data, target, part_col).writeTo(target).overwritePartitions()
     elif is_path(target):
-        (data.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (_ordered_for(data, target, part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(part_col).parquet(target))
     else:
         _dynamic(df)
@@ -118,7 +121,8 @@ def overwrite_partition(df: DataFrame, target: str, part_col: str, d, *,
     if not table_exists(spark, target):
         create_table_as(stamped, target, part_col, table_format=table_format)
         return
-    cols = [c for c in read_table(spark, target).columns if c != part_col]
+    stamped = _ordered_for(stamped, target, part_col)
+    cols = [c for c in stamped.columns if c != part_col]
     if is_path(target):
         folder = day.isoformat() if day else NULL_PARTITION
         # no partition column inside the folder; rebalance sizes the files
@@ -141,7 +145,7 @@ def append(df: DataFrame, target: str, columns: Sequence[str] | None = None) ->
     if not table_exists(df.sparkSession, target):
         create_table_as(df, target)
     elif is_path(target):
-        df.write.mode("append").parquet(target)
+        _ordered_for(df, target, None).write.mode("append").parquet(target)
     else:
         _ordered_for(df, target, None).write.insertInto(target, overwrite=False)
 
@@ -181,132 +185,3 @@ def materialize(df: DataFrame, target: str, partition_by: str | None = None, d=N
     if after:
         after()
     return action
-
-
-# ------------------------------------------------- versioned dimension state
-def _commits(base: str) -> str:
-    return f"{base.rstrip('/')}/_commits"
-
-
-def read_current_version(spark, base: str) -> int | None:
-    """Current version number of a versioned table: the highest committed
-    version (one value reaches the driver)."""
-    if not table_exists(spark, _commits(base)):
-        return None
-    row = spark.read.parquet(_commits(base)).agg(F.max("version").alias("v")).first()
-    return None if row is None else row["v"]
-
-
-def _commit(spark, base: str, version: int) -> None:
-    """Record a finished version.  Append-only: an overwrite would delete
-    the previous record before writing the new one, and a failure in
-    between would leave no current version at all."""
-    spark.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(_commits(base))
-
-
-def write_version(df: DataFrame, base: str) -> str:
-    """Write a new full version of a table that is read and rewritten in
-    the same job (an SCD-2 dimension on plain Parquet).
-
-    Parquet cannot be overwritten from a plan that reads it, so each load
-    writes ``base/v=<n+1>`` and only then records version n+1 in the
-    append-only ``_commits``;
-    readers see either the old or the new version, never a half-written
-    one.  (With a table format that has MERGE, use that instead.)
-    """
-    spark = df.sparkSession
-    cur = read_current_version(spark, base)
-    nxt = 1 if cur is None else cur + 1
-    path = f"{base.rstrip('/')}/v={nxt}"
-    df.write.mode("overwrite").parquet(path)
-    _commit(spark, base, nxt)
-    return path
-
-
-def read_versioned(spark, base: str) -> DataFrame | None:
-    cur = read_current_version(spark, base)
-    if cur is None:
-        return None
-    return spark.read.parquet(f"{base.rstrip('/')}/v={cur}")
-
-
-class DimensionStore:
-    """SCD-2 dimension on plain Parquet, stored load by load.
-
-    Every load n writes the result of its step ONCE, to ``loads/v=<n>``,
-    partitioned by ``is_active`` and ``end_date``:
-
-    * ``is_active=true``  - the complete set of open versions after load n;
-    * ``is_active=false/end_date=<d>`` - only the versions load n closed
-      (their end date is that load's run date).
-
-    Because closed versions are partitioned by their end date, the
-    point-in-time filter ``end_date > d OR end_date IS NULL`` prunes
-    history partitions at planning time: a lookup on the latest run date
-    opens no history file at all.
-
-    The current dimension is the open part of the current load (the
-    highest version recorded in the append-only ``_commits``, recorded
-    after the write succeeded) plus the closed parts of all loads up to
-    it.  A daily load therefore reads and rewrites only the
-    open versions (about one row per key); the history, which grows with
-    every change ever made, is never read, shuffled or rewritten by a load.
-    Open parts of older loads are superseded (safe to delete).
-    """
-
-    def __init__(self, spark, base: str, columns: Sequence[str], active_col: str = "is_active",
-                 end_col: str = "end_date"):
-        self.spark, self.base = spark, base.rstrip("/")
-        self.columns, self.active_col, self.end_col = list(columns), active_col, end_col
-
-    @property
-    def loads(self) -> str:
-        return f"{self.base}/loads"
-
-    def version(self) -> int | None:
-        return read_current_version(self.spark, self.base)
-
-    def active(self) -> DataFrame | None:
-        cur = self.version()
-        if cur is None:
-            return None
-        root = f"{self.loads}/v={cur}"
-        part = f"{root}/{self.active_col}=true"
-        if not path_exists(self.spark, part):  # no open version at all
-            return None
-        return self._typed(self.spark.read.option("basePath", root).parquet(part))
-
-    def history(self) -> DataFrame | None:
-        cur = self.version()
-        if cur is None:
-            return None
-        closed = f"{self.loads}/v=*/{self.active_col}=false"
-        if not glob_matches(self.spark, closed):  # nothing closed yet
-            return None
-        df = self.spark.read.option("basePath", self.loads).parquet(closed)
-        # a load that failed after writing but before moving the pointer
-        # left a folder above the current version: not part of the table
-        return self._typed(df.where(F.col("v") <= F.lit(cur)))
-
-    def _typed(self, df: DataFrame) -> DataFrame:
-        # partition discovery reads true/false folder names as text, and an
-        # all-NULL end date partition as text
-        casts = {self.active_col: "boolean", self.end_col: "date"}
-        return df.select(*[F.col(c).cast(casts[c]).alias(c) if c in casts else F.col(c)
-                           for c in self.columns])
-
-    def read(self) -> DataFrame | None:
-        a, h = self.active(), self.history()
-        if a is None:
-            return h
-        return a if h is None else h.unionByName(a)
-
-    def write(self, stepped: DataFrame) -> str:
-        """Store ``scd2_apply(store.active(), snapshot, spec, d)`` as the
-        next load (one job), then move the pointer."""
-        cur = self.version()
-        nxt = 1 if cur is None else cur + 1
-        path = f"{self.loads}/v={nxt}"
-        stepped.write.mode("overwrite").partitionBy(self.active_col, self.end_col).parquet(path)
-        _commit(self.spark, self.base, nxt)
-        return path

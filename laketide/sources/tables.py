@@ -39,14 +39,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def glob_matches(spark: SparkSession, pattern: str) -> bool:
-    """Whether a glob pattern matches anything (one listing call)."""
-    jvm = getattr(spark, "_jvm", None)
-    if jvm is not None:
-        p = jvm.org.apache.hadoop.fs.Path(pattern)
-        found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
-        return found is not None and len(found) > 0
-    return path_exists(spark, pattern)
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if there, through the Hadoop FileSystem."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def table_exists(spark: SparkSession, target: str) -> bool:
@@ -60,7 +56,6 @@ def table_exists(spark: SparkSession, target: str) -> bool:
 
 
 SCHEMA_FILE = "_schema"  # hidden from Spark's reader (leading underscore)
-_schemas: dict[str, T.StructType] = {}
 
 
 def save_schema(spark: SparkSession, target: str, schema: T.StructType) -> None:
@@ -69,17 +64,13 @@ def save_schema(spark: SparkSession, target: str, schema: T.StructType) -> None:
     data file to infer it from."""
     path = f"{target.rstrip('/')}/{SCHEMA_FILE}"
     spark.createDataFrame([(schema.json(),)], "s string").coalesce(1).write.mode("overwrite").text(path)
-    _schemas[target.rstrip("/")] = schema
 
 
 def table_schema(spark: SparkSession, target: str) -> T.StructType | None:
-    key = target.rstrip("/")
-    if key not in _schemas:
-        path = f"{key}/{SCHEMA_FILE}"
-        if not path_exists(spark, path):
-            return None
-        _schemas[key] = T.StructType.fromJson(json.loads(spark.read.text(path).first()[0]))
-    return _schemas[key]
+    path = f"{target.rstrip('/')}/{SCHEMA_FILE}"
+    if not path_exists(spark, path):
+        return None
+    return T.StructType.fromJson(json.loads(spark.read.text(path).first()[0]))
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:

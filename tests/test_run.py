@@ -5,10 +5,12 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from laketide.operators.quality import at_most_one_active
-from laketide.plans.run import Layout, dimension_store, run_day
+import pytest
+
+from laketide.operators.quality import QualityError, at_most_one_active
+from laketide.plans.run import DayReport, Layout, dimension, publish_gold, run_bronze, run_day, run_dimensions, run_facts, run_silver
 from laketide.sources.schemas import RAW
-from laketide.sources.tables import read_table
+from laketide.sources.tables import read_table, table_exists
 
 P1, P2 = "11111111-1111-4111-8111-111111111111", "22222222-2222-4222-8222-222222222222"
 Y1 = "aaaaaaaa-aaaa-4aaa-8aaa-aaaaaaaaaaaa"
@@ -74,7 +76,7 @@ def snapshot(spark, layout):
     out = {}
     for t in ("fact_encounter", "fact_procedure", "daily_encounter"):
         out[t] = sorted(map(repr, read_table(spark, layout.gold(t)).collect()))
-    out["dim_patient"] = sorted(map(repr, dimension_store(spark, layout, "dim_patient").read().collect()))
+    out["dim_patient"] = sorted(map(repr, dimension(spark, layout, "dim_patient").read().collect()))
     return out
 
 
@@ -93,7 +95,7 @@ def test_three_days_then_rerun(spark, scratch):
     assert r1.quality["patients"]["birth_date:pattern_date_dmy"] == 1
     assert r1.quality["encounters"]["total_rows"] == 2  # events starting or stopping on D1
 
-    store = dimension_store(spark, layout, "dim_patient")
+    store = dimension(spark, layout, "dim_patient")
     assert store.history().count() == 1 and store.active().count() == 2
     dim = store.read()
     assert at_most_one_active(dim, "patient_id").count() == 0
@@ -119,8 +121,13 @@ def test_three_days_then_rerun(spark, scratch):
     assert r3.quality["bronze_encounters"] == {"undated_rows": 1}
     assert r3.quality["open_events"]["encounters"] == 1
     assert r3.quality["fact_encounter"]["encounter_id:unique"] == 0
-    assert r3.quality["dim_patient"] if "dim_patient" in r3.quality else True
-    assert r1.quality["dim_patient"] == {"duplicate_keys": 0, "multiple_active": 0}
+    for rep in (r1, r3):
+        assert len(rep.quality["dim_patient"]) == 9 and not any(rep.quality["dim_patient"].values())
+    assert r3.dimensions["dim_patient"] == "loaded"     # the last day again
+    names = publish_gold(spark, layout, "laketide_run")
+    assert spark.table("laketide_run.dim_patient").count() == 3
+    assert {n: spark.table(n).count() for n in names}["`laketide_run`.`fact_encounter`"] == 4
+    spark.sql("DROP DATABASE laketide_run CASCADE")
     assert r1.quality["fact_encounter"]["dim_patient_key:not_null"] == 0
 
     before = snapshot(spark, layout)
@@ -138,20 +145,46 @@ def test_quarantine_policy(spark, scratch):
     assert E[2] not in {r.encounter_id for r in good.collect()}
 
 
-def test_duplicate_snapshot_keys_are_quarantined(spark, scratch):
+def test_duplicate_and_null_snapshot_keys(spark, scratch):
     layout = Layout(f"{scratch}/lake_dup")
     raw = raw_files(scratch, "Boston")
-    with open(raw["patients"], "a") as f:  # the same patient twice in the snapshot
+    with open(raw["patients"], "a") as f:
+        # the same patient twice in the snapshot, and one without an id
         f.write(P2 + ",01-02-1991,,,,,,ann,other,,,S,,,F,,,Lynn,MA,Essex,01901\n")
-    rep = run_day(spark, D1, raw, layout)
-    assert rep.quality["dim_patient"] == {"duplicate_keys": 1, "multiple_active": 0}
-    dim = dimension_store(spark, layout, "dim_patient").read()
+        f.write(",01-02-1991,,,,,,no,id,,,S,,,F,,,Lynn,MA,Essex,01901\n")
+    report = DayReport(D1)
+    run_bronze(spark, D1, raw, layout, report)
+    run_silver(spark, D1, layout, report)
+    with pytest.raises(QualityError):
+        run_dimensions(spark, D1, layout, report, "fail")
+    assert dimension(spark, layout, "dim_patient").read() is None
+
+    run_dimensions(spark, D1, layout, report)       # report: the patient stays, once
+    assert report.quality["dim_patient"]["duplicate_keys"] == 1
+    assert report.quality["dim_patient"]["null_keys"] == 1
+    dim = dimension(spark, layout, "dim_patient").read()
+    assert sorted((r.patient_id, r.patient_fullname) for r in dim.collect()) == [(P1, "O'Brien Mary-Ann"), (P2, "Ann Other")]
+    assert read_table(spark, layout.quarantine("dim_patient_rejected")).count() == 1
+
+    run_dimensions(spark, D1, layout, report, "quarantine")
+    dim = dimension(spark, layout, "dim_patient").read()
     assert [r.patient_id for r in dim.collect()] == [P1]
-    assert read_table(spark, layout.quarantine("dim_patient_duplicates")).count() == 2
+    assert read_table(spark, layout.quarantine("dim_patient_rejected")).count() == 3
+
+
+def test_fail_reaches_gold(spark, scratch):
+    layout = Layout(f"{scratch}/lake_fail")
+    raw = raw_files(scratch, "Boston")
+    report = DayReport(D2)
+    run_bronze(spark, D2, raw, layout, report)
+    run_silver(spark, D2, layout, report)           # base cost 'abc' becomes NULL
+    run_dimensions(spark, D2, layout, report)
+    with pytest.raises(QualityError, match="base_cost_amount"):
+        run_facts(spark, D2, layout, report, "fail")
+    assert not table_exists(spark, layout.gold("fact_encounter"))
 
 
 def test_bronze_rerun_after_source_lost_the_day(spark, scratch):
-    from laketide.plans.run import DayReport, run_bronze
     layout = Layout(f"{scratch}/lake_b")
     raw = raw_files(scratch, "Boston")
     run_bronze(spark, D1, raw, layout, DayReport(D1))

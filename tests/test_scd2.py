@@ -74,15 +74,20 @@ def test_back_dated_run_is_noop(spark):
     assert rows(S.scd2_apply(dim, snap(spark, [(1, "a", "CHANGED")]), SPEC, D1)) == rows(dim)
 
 
-def test_null_keys_become_new_versions(spark):
-    dim = S.scd2_apply(None, snap(spark, [(1, "a", "x")]), SPEC, D1)
-    dim2 = S.scd2_apply(dim, snap(spark, [(1, "a", "x"), (None, "n", "n")]), SPEC, D2)
-    got = sorted(((r.id or 0), r.name, r.start_date, r.is_active) for r in dim2.collect())
-    assert got == [(0, "n", D2, True), (1, "a", D1, True)]
-    # the NULL-key version survives later loads untouched
-    dim3 = S.scd2_apply(dim2, snap(spark, [(1, "a", "y")]), SPEC, D3)
-    got = sorted(((r.id or 0), r.name, r.start_date, r.is_active) for r in dim3.collect())
-    assert got == [(0, "n", D2, True), (1, "a", D1, False), (1, "a", D3, True)]
+def test_null_and_repeated_keys(spark):
+    raw = snap(spark, [(1, "a", "x"), (None, "n", "n"), (None, "n", "n"), (2, "b", "z"), (2, "b", "y"), (3, "c", "q"),
+                       (3, "c", "q"), (4, "d", None), (4, "d", "")])
+    one = S.one_row_per_key(raw, SPEC)
+    assert sorted(map(tuple, one.collect())) == [
+        (1, "a", "x", False), (2, "b", "y", True), (3, "c", "q", False), (4, "d", None, True)]
+    assert S.unusable_rows(raw, SPEC).count() == 2
+    # no function makes a version without a key
+    null = snap(spark, [(None, "n", "n"), (1, "a", "x")])
+    dim = S.scd2_apply(None, null, SPEC, D1)
+    assert [r.id for r in dim.collect()] == [1]
+    assert rows(S.scd2_apply(dim, null, SPEC, D2)) == rows(dim)
+    assert S.scd2_changes(dim, null, SPEC).count() == 0 and S.scd2_changes(None, null, SPEC).count() == 1
+    assert rows(S.scd2_from_snapshots(null.withColumn("snapshot_date", F.lit(D1)), SPEC)) == rows(dim)
 
 
 def _random_history(seed, n_keys=25, n_days=5):
@@ -94,6 +99,8 @@ def _random_history(seed, n_keys=25, n_days=5):
         for k in range(n_keys):
             if rnd.random() < 0.15:
                 continue  # key missing from this snapshot
+            if rnd.random() < 0.1:
+                rows_.append((None, "n", rnd.choice("xy")))
             rows_.append((k, rnd.choice("ab"), rnd.choice(["x", "y", None])))
         snaps.append((d, rows_))
     return snaps

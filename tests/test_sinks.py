@@ -1,7 +1,11 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
+from laketide.operators.scd2 import DimSpec, scd2_apply
+from laketide.session import stored
+from laketide.sinks import DimensionTables, dimension
 from laketide.sinks import write as W
 from laketide.sources import tables as T
 
@@ -58,14 +62,81 @@ def test_catalog_table_paths(spark, scratch):
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def test_versions(spark, scratch):
-    base = f"{scratch}/dim"
-    assert W.read_versioned(spark, base) is None
-    W.write_version(frame(spark, [(1, "a", D1)]), base)
-    prev = W.read_versioned(spark, base)
-    W.write_version(prev.withColumn("v", F.lit("b")), base)  # reads v1, writes v2
-    assert W.read_current_version(spark, base) == 2
-    assert [r.v for r in W.read_versioned(spark, base).collect()] == ["b"]
+SPEC = DimSpec("id", ("city",), surrogate_key="dim_key")
+DAYS = [dt.date(2022, 1, d) for d in (1, 2, 3, 4)]
+SNAPSHOTS = [[(1, "a"), (2, "b")], [(1, "A"), (2, "b"), (3, "c")], [(1, "A"), (3, "C")], [(1, "a"), (2, "B")]]
+
+
+def load(spark, tables, i, rows=None):
+    snap = spark.createDataFrame(rows or SNAPSHOTS[i], "id long, city string")
+    with stored(tables.step(snap, DAYS[i])) as step:
+        tables.store(step, DAYS[i])
+
+
+def dim_rows(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+def clean(spark, loads):
+    dim = None
+    for i in loads:
+        dim = scd2_apply(dim, spark.createDataFrame(SNAPSHOTS[i], "id long, city string"), SPEC, DAYS[i])
+    return dim_rows(dim)
+
+
+def test_dimension_loads_can_be_repeated_and_die(spark, scratch, monkeypatch):
+    tables = DimensionTables(spark, f"{scratch}/dim", SPEC)
+    assert tables.read() is None and tables.last_load() is None
+    load(spark, tables, 0)
+    load(spark, tables, 1, [(1, "wrong"), (2, "wrong")])
+    load(spark, tables, 1)                          # the day again, source corrected
+    assert dim_rows(tables.read()) == clean(spark, [0, 1])
+    assert tables.too_late(DAYS[0]) and not tables.too_late(DAYS[1])
+
+    real = dimension.overwrite_partition
+
+    def dies(df, target, *args):
+        if target == tables.open_table and df.count():
+            raise RuntimeError("lost between the two writes")
+        return real(df, target, *args)
+    monkeypatch.setattr(dimension, "overwrite_partition", dies)
+    with pytest.raises(RuntimeError):
+        load(spark, tables, 2, [(1, "half"), (2, "half")])
+    assert dim_rows(tables.read()) == clean(spark, [0, 1])      # no effect
+    monkeypatch.setattr(dimension, "overwrite_partition", real)
+    again = DimensionTables(spark, f"{scratch}/dim", SPEC)
+    load(spark, again, 3)                           # the next date, without the lost one
+    assert dim_rows(again.read()) == clean(spark, [0, 1, 3])
+
+    monkeypatch.setattr(dimension, "overwrite_partition", dies)
+    with pytest.raises(RuntimeError):
+        load(spark, again, 3, [(1, "half")])        # a repeated load dies
+    monkeypatch.setattr(dimension, "overwrite_partition", real)
+    assert dim_rows(again.read()) == clean(spark, [0, 1])
+    load(spark, again, 3)
+    assert dim_rows(again.read()) == clean(spark, [0, 1, 3])
+
+
+def test_dimension_view(spark, scratch):
+    tables = DimensionTables(spark, f"{scratch}/dim_view", SPEC)
+    load(spark, tables, 0)                          # nothing closed yet
+    assert dim_rows(spark.table(tables.create_views("laketide_test", "dim"))) == clean(spark, [0])
+    load(spark, tables, 1)
+    tables.create_views("laketide_test", "dim")
+    assert dim_rows(spark.sql("select * from laketide_test.dim")) == clean(spark, [0, 1])
+    spark.sql("DROP DATABASE laketide_test CASCADE")
+
+
+def test_columns_are_matched_by_name(spark, scratch):
+    path = f"{scratch}/names"
+    W.append(frame(spark, [(1, "a", D1)]), path)
+    W.append(frame(spark, [(2, "b", D1)]).select("d", "v", "k"), path)
+    assert content(spark, path) == [(1, "a", D1), (2, "b", D1)]
+    for changed in (frame(spark, [(3, "c", D1)]).withColumn("new", F.lit(1)), frame(spark, [(3, "c", D1)]).drop("v")):
+        with pytest.raises(ValueError, match="columns differ"):
+            W.append(changed, path)
+        with pytest.raises(ValueError, match="columns differ"):
+            W.overwrite_partition(changed, path, "d", D1)
 
 
 def test_schema_helpers():
