@@ -355,10 +355,11 @@ SQL["label_quality"] = _counts_sql("labels", [
 
 SQL["dim_key_unique"] = with_ctes(["dim3"], """
 SELECT 'dim_patient_key' AS "check", dim_patient_key AS "key", count(*) AS n_rows
-FROM dim3 GROUP BY dim_patient_key HAVING count(*) > 1
+FROM (SELECT * FROM dim3 UNION ALL SELECT * FROM dim3 WHERE patient_id % 10 = 0) x GROUP BY dim_patient_key HAVING count(*) > 1
 UNION ALL
 SELECT 'active_per_patient', CAST(patient_id AS VARCHAR), count(*)
-FROM dim3 WHERE is_active GROUP BY patient_id HAVING count(*) > 1""")
+FROM (SELECT * FROM dim3 UNION ALL SELECT * FROM dim3 WHERE patient_id % 10 = 0) x
+WHERE is_active GROUP BY patient_id HAVING count(*) > 1""")
 
 # ----------------------------------------------------- sources and sinks
 SQL["ingest_roundtrip"] = """
@@ -372,9 +373,9 @@ WHERE CAST(ts AS DATE) <> DATE '2024-01-01' OR event_type = 'click'"""
 
 SQL["materialize_modes"] = """
 SELECT o_orderkey,
-       CASE WHEN date_trunc('month', CAST(o_orderdate AS DATE)) = DATE '1996-06-01'
+       CASE WHEN CAST(o_orderdate AS DATE) = DATE '1996-06-01'
             THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
-       CAST(date_trunc('month', CAST(o_orderdate AS DATE)) AS DATE) AS month
+       CAST(o_orderdate AS DATE) AS day
 FROM orders"""
 
 SQL["materialize_append"] = """
@@ -384,7 +385,6 @@ SQL["dimension_versions"] = SQL["scd2_step"]
 
 # untidy snapshots: of the rows of a key the first by its attributes counts
 for _n in (1, 2):
-    _rest = ", ".join(PATIENT_COLS[1:])
     CTE[f"untidy{_n}"] = f"""
 SELECT {", ".join(PATIENT_COLS)} FROM (
   SELECT *, row_number() OVER (PARTITION BY patient_id ORDER BY {", ".join(c + " NULLS FIRST" for c in PATIENT_COLS[1:])}) AS nth
@@ -436,11 +436,14 @@ SELECT lower(trim(Id)) AS patient_id,
        {_CLEAN.format(c='COUNTY')} AS county, {_CLEAN.format(c='ZIP')} AS zip, partition_date
 FROM raw_p"""
 
+_ODD_CODE = ("CASE WHEN encounter_id % 17 = 0 THEN code || '/*' WHEN encounter_id % 19 = 0 THEN code || '-2' "
+             "ELSE code END")
+
 CTE["raw_e"] = f"""
 SELECT {_guid('encounter_id')} AS Id,
        strftime(start_time, '%Y-%m-%d %H:%M:%S') AS "START", strftime(stop_time, '%Y-%m-%d %H:%M:%S') AS STOP,
        {_guid('patient_id')} AS PATIENT, {_guid('payer_id')} AS PAYER,
-       lower(encounter_class) AS ENCOUNTERCLASS, code AS CODE, description AS DESCRIPTION,
+       lower(encounter_class) AS ENCOUNTERCLASS, {_ODD_CODE} AS CODE, description AS DESCRIPTION,
        CAST(base_cost_amount AS VARCHAR) AS BASE_ENCOUNTER_COST,
        CAST(claim_amount AS VARCHAR) AS TOTAL_CLAIM_COST,
        CASE WHEN encounter_id % 13 = 0 THEN 'n/a' ELSE CAST(coverage_amount AS VARCHAR) END AS PAYER_COVERAGE,
@@ -458,8 +461,32 @@ SELECT lower(trim(Id)) AS encounter_id, trim("START") AS start_time, trim(STOP)
        {_CLEAN.format(c='REASONDESCRIPTION')} AS reason_description, partition_date
 FROM raw_e"""
 
-ORDER += ["raw_p", "conf_p", "raw_e", "conf_e"]
-DEPS.update({"conf_p": ["raw_p"], "raw_e": ["enc"], "conf_e": ["raw_e"]})
+CTE["raw_y"] = f"""
+SELECT {_guid('s_suppkey')} AS Id, s_name AS NAME, CAST(s_suppkey AS VARCHAR) || ' Payer Road' AS ADDRESS,
+       'Baltimore' AS CITY, lpad(CAST(s_suppkey % 100000 AS VARCHAR), 5, '0') AS ZIP, {D1} AS partition_date
+FROM supplier"""
+
+CTE["conf_y"] = f"""
+SELECT lower(trim(Id)) AS payer_id, NAME AS payer_name, {_CLEAN.format(c='ADDRESS')} AS address,
+       {_CLEAN.format(c='CITY')} AS city, {_CLEAN.format(c='ZIP')} AS zip, partition_date
+FROM raw_y"""
+
+CTE["conf_r"] = f"""
+SELECT strftime(start_time, '%Y-%m-%d %H:%M:%S') AS start_time, strftime(stop_time, '%Y-%m-%d %H:%M:%S') AS stop_time,
+       {_guid('patient_id')} AS patient_id, {_guid('encounter_id')} AS encounter_id, {_ODD_CODE} AS code,
+       {_CLEAN.format(c='description')} AS description,
+       CASE WHEN encounter_id % 29 <> 0 THEN CAST(base_cost_amount AS VARCHAR) END AS base_cost_amount,
+       reason_code, {_CLEAN.format(c='reason_description')} AS reason_description, {D1} AS partition_date
+FROM proc"""
+
+ORDER += ["raw_p", "conf_p", "raw_e", "conf_e", "raw_y", "conf_y", "conf_r"]
+DEPS.update({"conf_p": ["raw_p"], "raw_e": ["enc"], "conf_e": ["raw_e"], "conf_y": ["raw_y"], "conf_r": ["proc"]})
+
+SQL["conform_payers"] = with_ctes(["conf_y"], "SELECT * FROM conf_y")
+SQL["conform_procedures"] = with_ctes(["conf_r"], """
+SELECT * REPLACE (TRY_CAST(start_time AS TIMESTAMP) AS start_time, TRY_CAST(stop_time AS TIMESTAMP) AS stop_time,
+                  TRY_CAST(base_cost_amount AS DOUBLE) AS base_cost_amount)
+FROM conf_r""")
 
 SQL["conform_patients"] = with_ctes(["conf_p"], """
 SELECT patient_id, patient_fullname,
@@ -515,6 +542,21 @@ _PAT_RULES = [*(_nn(c) for c in ("patient_id", "patient_fullname", "birth_date",
               _pat("birth_place", "alphabet", _ALPHA), _pat("partition_date", "date_iso", _ISO_RE)]
 SQL["patient_quality"] = with_ctes(["conf_p"], _counts_sql("conf_p", _PAT_RULES))
 
+_PAY_RULES = [_nn("payer_id"), _nn("payer_name"), _pat("payer_id", "guid", _GUID_RE),
+              _pat("payer_name", "alphabet", _ALPHA)]
+SQL["payer_quality"] = with_ctes(["conf_y"], _counts_sql("conf_y", _PAY_RULES))
+
+_PROC_RULES = [*(_nn(c) for c in ("start_time", "stop_time", "patient_id", "encounter_id", "base_cost_amount")),
+               _typ("start_time", "timestamp"), _typ("stop_time", "timestamp"),
+               _pat("patient_id", "guid", _GUID_RE), _pat("encounter_id", "guid", _GUID_RE),
+               _pat("code", "alphanumeric", _ALNUM), _pat("reason_code", "alphanumeric", _ALNUM),
+               _typ("base_cost_amount", "double")]
+SQL["procedure_quality"] = with_ctes(["conf_r"], _counts_sql("conf_r", _PROC_RULES))
+
+_FACT_RULES = [_nn(c) for c in ("date", "encounter_id", "dim_patient_key", "dim_payer_key", "encounter_class",
+                                "start_time", "base_cost_amount", "length_of_stay_num")]
+SQL["gold_quality"] = with_ctes(["fe"], _counts_sql("fe", _FACT_RULES))
+
 # ---------------------------------------------------------- whole pipeline
 _P_D1 = "DATE '1998-03-01'"
 _DAYS = "(DATE '1998-03-01', DATE '1998-03-02')"

@@ -230,8 +230,10 @@ def q_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dim_key_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCD-2 invariants as quality checks: surrogate key unique over all
-    versions, at most one active version per natural key (both empty)."""
+    versions, at most one active version per natural key; on a dimension
+    where the versions of every 10th key were appended twice."""
     dim = q_scd2_iterated(spark, sf_dir)
+    dim = dim.unionByName(dim.where(F.col("patient_id") % 10 == 0))
     a = DQ.unique_violations(dim, ["dim_patient_key"]).select(
         F.lit("dim_patient_key").alias("check"), F.col("dim_patient_key").alias("key"), "n_rows")
     b = DQ.at_most_one_active(dim, "patient_id").select(
@@ -273,23 +275,19 @@ def q_partition_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_materialize_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """MAT1: create a table partitioned by order month from all orders,
+    """MAT1: create a table partitioned by order date from all orders,
     then overwrite one partition with a re-computed query result (doubled
-    prices); all other partitions stay as created.
-
-    (Month, not day, as the partition grain of this demonstration: the
-    operator is the same, and 80 partitions instead of 2,400 keep the
-    per-file cost of a local file system out of the check.)"""
-    path = scratch_path(spark, "orders_by_month")
+    prices); all other partitions stay as created."""
+    path = scratch_path(spark, "orders_by_day")
     o = si.table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_totalprice", F.trunc(F.to_date("o_orderdate"), "month").alias("month"))
-    first = W.materialize(o, path, "month")
-    month = "1996-06-01"
-    redo = (o.where(F.col("month") == F.lit(month).cast("date"))
+        "o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("day"))
+    first = W.materialize(o, path, "day")
+    day = "1996-06-01"
+    redo = (o.where(F.col("day") == F.lit(day).cast("date"))
             .withColumn("o_totalprice", F.col("o_totalprice") * 2))
-    second = W.materialize(redo, path, "month", month)
+    second = W.materialize(redo, path, "day", day)
     assert (first, second) == ("create", "overwrite_partition"), (first, second)
-    return read_table(spark, path).select("o_orderkey", "o_totalprice", "month")
+    return read_table(spark, path).select("o_orderkey", "o_totalprice", "day")
 
 
 def q_materialize_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,6 +350,36 @@ def q_patient_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def _day_one(df: DataFrame) -> DataFrame:
+    return df.withColumn("partition_date", F.lit(si.D1))
+
+
+def q_conform_payers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CLN3 on a raw payers extract derived from supplier."""
+    return silver.typed_payers(silver.conform_payers(_day_one(si.raw_payers(spark, sf_dir))))
+
+
+def q_conform_procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CLN4 + typing on a raw procedures extract derived from lineitem."""
+    return silver.typed_procedures(silver.conform_procedures(_day_one(si.raw_procedures(spark, sf_dir))))
+
+
+def q_payer_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payer rule set (DQ6) counted on the conformed extract."""
+    return DQ.quality_counts(silver.conform_payers(_day_one(si.raw_payers(spark, sf_dir))), silver.PAYER_RULES)
+
+
+def q_procedure_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The procedure rule set (DQ6) counted on the conformed extract."""
+    return DQ.quality_counts(silver.conform_procedures(_day_one(si.raw_procedures(spark, sf_dir))),
+                             silver.PROCEDURE_RULES)
+
+
+def q_gold_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encounter fact's declared checks, counted on all dates."""
+    return DQ.quality_counts(q_fact_encounter(spark, sf_dir), gold.FACT_ENCOUNTER_RULES)
+
+
 # ---------------------------------------------------------- whole pipeline
 RUN_DAYS = ("1998-03-01", "1998-03-02")
 
@@ -411,5 +439,10 @@ QUERIES = {
     "conform_encounters": q_conform_encounters,
     "silver_quality": q_silver_quality,
     "patient_quality": q_patient_quality,
+    "conform_payers": q_conform_payers,
+    "conform_procedures": q_conform_procedures,
+    "payer_quality": q_payer_quality,
+    "procedure_quality": q_procedure_quality,
+    "gold_quality": q_gold_quality,
     "daily_run": q_daily_run,
 }

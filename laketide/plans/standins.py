@@ -208,6 +208,13 @@ def raw_patients(spark: SparkSession, sf_dir: str, d=D1) -> DataFrame:
     )
 
 
+def odd_code(k) -> "F.Column":
+    """The code, for some keys with a sign that codes may hold (a hyphen) or
+    may not hold (a slash, a star)."""
+    return (F.when(k % 17 == 0, F.concat("code", F.lit("/*")))
+            .when(k % 19 == 0, F.concat("code", F.lit("-2"))).otherwise(F.col("code")))
+
+
 def raw_encounters(spark: SparkSession, sf_dir: str, d=D1) -> DataFrame:
     """orders as a raw encounters extract (text times and amounts; every
     13th coverage is not a number)."""
@@ -221,7 +228,7 @@ def raw_encounters(spark: SparkSession, sf_dir: str, d=D1) -> DataFrame:
         guid(F.col("patient_id")).alias("PATIENT"),
         guid(F.col("payer_id")).alias("PAYER"),
         F.lower(F.col("encounter_class")).alias("ENCOUNTERCLASS"),
-        F.col("code").alias("CODE"),
+        odd_code(k).alias("CODE"),
         F.col("description").alias("DESCRIPTION"),
         F.col("base_cost_amount").cast("string").alias("BASE_ENCOUNTER_COST"),
         F.col("claim_amount").cast("string").alias("TOTAL_CLAIM_COST"),
@@ -248,9 +255,9 @@ def raw_procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("stop_time", fmt).alias("STOP"),
         guid(F.col("patient_id")).alias("PATIENT"),
         guid(F.col("encounter_id")).alias("ENCOUNTER"),
-        F.col("code").alias("CODE"),
+        odd_code(F.col("encounter_id")).alias("CODE"),
         F.col("description").alias("DESCRIPTION"),
-        F.col("base_cost_amount").cast("string").alias("BASE_COST"),
+        F.when(F.col("encounter_id") % 29 != 0, F.col("base_cost_amount").cast("string")).alias("BASE_COST"),
         F.col("reason_code").alias("REASONCODE"),
         F.col("reason_description").alias("REASONDESCRIPTION"),
     )
