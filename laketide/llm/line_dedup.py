@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from laketide.llm.common import discard, lower_ascii, stripped, written
 
-SALTS = 64
+SALTS = 64      # a bit each in a long
 WORD = 32
 
 
@@ -56,18 +56,23 @@ def line_drops(docs: DataFrame, min_docs: int = 10, keep_first: bool = False,
     stream = Window.partitionBy("h1", "h2", "salt").orderBy(*order)
     doc = F.struct("doc_id", "text_hash")
     seen = (marks.repartitionByRange("h1", "h2", "salt").sortWithinPartitions("h1", "h2", "salt", *order)
-            .withColumn("new_doc", (~F.lag(doc).over(stream).eqNullSafe(doc)).cast("long"))
-            .withColumn("nth", F.row_number().over(stream)))
+            .withColumn("new_doc", (~F.lag(doc).over(stream).eqNullSafe(doc)).cast("long")))
     place = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"),
                      F.col("text_hash").alias("t"), F.col("pos").alias("p"))
-    per_salt = seen.groupBy("h1", "h2", "salt").agg(
-        F.sum("new_doc").alias("docs"), F.min(F.when(F.col("nth") == 1, place)).alias("first"))
-    # at most SALTS rows a hash; they go back to the lines salt by salt, so
-    # that a line of many documents is not joined in one task
-    of_hash = Window.partitionBy("h1", "h2")
-    common = (per_salt.withColumn("all_docs", F.sum("docs").over(of_hash))
-              .withColumn("first", F.min("first").over(of_hash))
-              .where(F.col("all_docs") >= min_docs).select("h1", "h2", "salt", "first"))
+    per_salt, least = [F.sum("new_doc").alias("docs")], []
+    if keep_first:
+        seen = seen.withColumn("nth", F.row_number().over(stream))
+        per_salt.append(F.min(F.when(F.col("nth") == 1, place)).alias("first"))
+        least.append(F.min("first").alias("first"))
+    # at most SALTS rows a hash; what is found goes back to the lines salt by
+    # salt, so that a line of many documents is not joined in one task
+    salt_bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("salt"))
+    common = (seen.groupBy("h1", "h2", "salt").agg(*per_salt)
+              .groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.bit_or(salt_bit).alias("salts"), *least)
+              .where(F.col("docs") >= min_docs)
+              .withColumn("salt", F.explode(F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)),
+                                                     lambda x: F.getbit(F.col("salts"), x) == 1)))
+              .drop("docs", "salts"))
     hit = marks.join(common, ["h1", "h2", "salt"])
     if keep_first:
         hit = hit.where(~place.eqNullSafe(F.col("first")))
