@@ -15,9 +15,10 @@ in all three trees with probability below 3e-5 (0.85) and 3e-4 (0.8).
   cluster on the full sets, of 64-bit shingle hashes made from the whole
   texts.  A cluster is searched breadth first, a vertex against all that no
   link has reached yet, so a cluster of n vertices gives at most n - 1 links.
-* In a larger node every vertex is compared with the node's first vertex.
-  Clear partners of it are linked to it and leave the node, so a large
-  group of near copies costs one comparison a member; the others branch on.
+* In a larger node every vertex is compared with the node's first vertex,
+  by sketch and then on the full sets.  Clear and confirmed partners of it
+  leave the node, so a large group of near copies costs one comparison a
+  member; all others, refused ones included, branch on.
 * What is still large at ``DEPTH`` is compared block by block.
 
 Components are found by label propagation with pointer jumping; only counts
@@ -167,37 +168,49 @@ def _loose_pairs(m, members, low, clear):
                 leader[j] = i
 
 
-def _meet_first(large: DataFrame, least: float) -> DataFrame:
-    """Rows (v, sketch, pivot, pivot_mark, node) of large nodes -> pairs
-    (a, b) with the node's first vertex, and rows (v, child) that go on."""
-    low, clear = _margins(least)
+def _meet_first(large: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """Rows (node, v, pivot) of large nodes -> distinct pairs (pivot, v, est)
+    of the node's first vertex and a possible partner of it."""
+    low, _ = _margins(least)
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            vs, pivots = batch.column("v").to_pylist(), batch.column("pivot").to_pylist()
+            marks, first = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, COORDS)
+                            for c in ("mark", "pivot_mark"))
+            est = _agreement(marks, first)
+            yield pa.RecordBatch.from_arrays([*batch.select(["pivot", "v"]).columns, pa.array(est)],
+                                             ["pivot", "v", "est"]).filter(pa.array(est >= low))
+    first = sketches.select(F.col("v").alias("pivot"), F.col("mark").alias("pivot_mark"))
+    pairs = large.where("v <> pivot").select("pivot", "v").distinct()
+    return (pairs.join(sketches.select("v", "mark"), "v").join(first, "pivot")
+            .select("pivot", "v", "mark", "pivot_mark").mapInArrow(run, "pivot binary, v binary, est double"))
+
+
+def _branched(staying: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Rows (node, v) -> distinct rows (v, node) of the children."""
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
             full = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint32).reshape(-1, COORDS)
-            first = np.frombuffer(b"".join(batch.column("pivot_mark").to_pylist()), np.uint8).reshape(-1, COORDS)
-            est = _agreement(full.astype(np.uint8), first)
-            own = np.array([v == p for v, p in zip(vs, pivots)])
-            link = np.flatnonzero((est >= low) & ~own)
-            on = np.flatnonzero((est < clear) & ~own)
             nodes = batch.column("node").to_numpy(zero_copy_only=False).view(np.uint64)
-            kids = children(nodes[on, None], full[on])
-            a = [pivots[i] for i in link] + [vs[i] for i in np.repeat(on, BRANCHES)]
-            b = [vs[i] for i in link] + [None] * (len(on) * BRANCHES)
-            child = [None] * len(link) + kids.reshape(-1).view(np.int64).tolist()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(child, pa.int64())], ["a", "b", "child"])
-    return large.select("v", "sketch", "pivot", "pivot_mark", "node").mapInArrow(run, f"{_PAIR}, child bigint")
-
-
-def _candidates(vertices: DataFrame, least: float) -> DataFrame:
-    """Distinct clusters (c, vs) of vertices whose sketches agree, written."""
+            kids = children(nodes[:, None], full).view(np.int64)
+            v = batch.column("v").take(pa.array(np.repeat(np.arange(len(kids)), BRANCHES)))
+            yield pa.RecordBatch.from_arrays([v, pa.array(kids.reshape(-1), pa.int64())], ["v", "node"])
+    return (staying.join(sketches.select("v", "sketch"), "v").select("v", "sketch", "node")
+            .mapInArrow(run, "v binary, node bigint").distinct())
+
+
+def _candidates(vertices: DataFrame, least: float, confirm) -> tuple[DataFrame, list[DataFrame]]:
+    """Distinct clusters (c, vs) of vertices whose sketches agree, written,
+    and tables of links that ``confirm`` (clusters -> links, written) has
+    found in large nodes."""
+    clear = _margins(least)[1]
     sketches = vertices.select("v", "sketch", "mark", "n_shingles")
     at = vertices.select("v", F.explode("nodes").alias("node"))
-    found, made = [], []
+    found, made, links = [], [], []
     for depth in range(FIRST_DEPTH, DEPTH + 1):
         sizes = at.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("pivot")).where("n > 1")
         shared = written(at.join(sizes, "node"), "nodes")
@@ -211,20 +224,22 @@ def _candidates(vertices: DataFrame, least: float) -> DataFrame:
         if depth == DEPTH:
             found.append(_compare_groups(_blocks(large, sketches), least))
             break
-        first = sketches.select(F.col("v").alias("pivot"), F.col("mark").alias("pivot_mark"))
-        met = written(_meet_first(large.join(sketches.select("v", "sketch"), "v").join(first, "pivot"), least),
-                      "met_first")
-        made.append(met)
-        pair = F.array_sort(F.array("a", "b"))
-        found.append(met.where("child is null").select(
-            F.unhex(F.md5(F.concat(pair[0], pair[1]))).alias("c"), pair.alias("vs")))
-        at = met.where("child is not null").select(F.col("a").alias("v"), F.col("child").alias("node")).distinct()
+        met = written(_meet_first(large, sketches, least), "met_first")
+        pair = F.array_sort(F.array("pivot", "v"))
+        links.append(confirm(met.select(F.unhex(F.md5(F.concat(pair[0], pair[1]))).alias("c"), pair.alias("vs"))
+                             .dropDuplicates(["c"])))
+        linked = links[-1].select(F.col("a").alias("pivot"), F.col("b").alias("v"))
+        linked = linked.union(linked.select("v", "pivot"))
+        leaving = linked.join(met.where(F.col("est") >= clear), ["pivot", "v"], "left_semi")
+        staying = large.where("v <> pivot").join(leaving, ["pivot", "v"], "left_anti")
+        at = written(_branched(staying, sketches), "children")
+        made += [met, at]
     clusters = found[0]
     for f in found[1:]:
         clusters = clusters.union(f)
     clusters = written(clusters.dropDuplicates(["c"]), "clusters")
     discard(*made)
-    return clusters
+    return clusters, links
 
 
 def _members(nodes: DataFrame, sketches: DataFrame, keys: list[str]) -> DataFrame:
@@ -363,12 +378,19 @@ def near_dedup(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (8
     heads = written(heads.select("v", "doc_id", "text_hash", "n_shingles", "sketch", "nodes").mapInArrow(
         low_bytes, f"v binary, doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash bigint, "
                    "n_shingles bigint, sketch binary, nodes array<bigint>, mark binary"), "vertices")
-    clusters = _candidates(heads, least)
-    ends = clusters.select(F.explode("vs").alias("v")).distinct()
-    wanted = heads.select("v", "doc_id", "text_hash").join(ends, "v", "left_semi")
-    sets = written(_sets(plain, wanted, words), "sets")
-    confirmed = written(_confirmed(clusters, sets, num, den), "confirmed")
-    discard(heads, clusters, sets)
+
+    def confirm(clusters):
+        ends = clusters.select(F.explode("vs").alias("v")).distinct()
+        wanted = heads.select("v", "doc_id", "text_hash").join(ends, "v", "left_semi")
+        sets = written(_sets(plain, wanted, words), "sets")
+        links = written(_confirmed(clusters, sets, num, den), "confirmed")
+        discard(sets)
+        return links
+    clusters, links = _candidates(heads, least, confirm)
+    confirmed = confirm(clusters)
+    for more in links:
+        confirmed = confirmed.union(more)
+    discard(heads, clusters)
     labels = components(confirmed)
 
     own = full.select("doc_id", "text_hash", "n_shingles", "v").join(labels, "v", "left")

@@ -3,6 +3,7 @@ texts, repeated rows, ties, empty tables, columns with clashing names."""
 
 import base64
 import hashlib
+import random
 import re
 
 import public_tokenizers
@@ -240,6 +241,35 @@ def test_near_dedup(spark, rows, monkeypatch):
             components(rows, 3, 85), key=str)
 
 
+def near_copies(n, seed, words, most):
+    """Variants of one text in two families; similarities spread around the
+    threshold."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    other = [("o" + w if rng.random() < 0.02 else w) for w in base]
+    rows = []
+    for i in range(n):
+        text = list(base if i % 2 else other)
+        for j in rng.sample(range(words), rng.randint(1, most)):
+            text[j] = f"x{i}_{j}"
+        rows.append((i, " ".join(text)))
+    return rows
+
+
+def test_near_dedup_refused_partners(spark, monkeypatch):
+    """A vertex whose link with a large node's first vertex fails goes on."""
+    monkeypatch.setattr(near_dedup, "SMALL", 4)
+    asked, compare = [], near_dedup._confirmed
+
+    def refuse(clusters, *args):
+        asked.append({frozenset(map(bytes, r.vs)) for r in clusters.collect()})
+        return compare(clusters, *args).where(F.lit(len(asked) > 1))
+    monkeypatch.setattr(near_dedup, "_confirmed", refuse)
+    near_dedup.near_dedup(frame(spark, near_copies(20, 3, 150, 1)), words=3, similarity=(85, 100)).collect()
+    assert len(asked) > 1
+    assert {max(pair) for pair in asked[0]} <= set().union(*(c for later in asked[1:] for c in later))
+
+
 @pytest.mark.parametrize("keep_first", [False, True])
 def test_line_dedup(spark, rows, keep_first):
     rows = rows + [(200 + i, f" Same Line \nown {i}\n\nsame line\t") for i in range(12)] * bool(rows)
