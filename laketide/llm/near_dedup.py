@@ -16,9 +16,13 @@ in all three trees with probability below 3e-5 (0.85) and 3e-4 (0.8).
   texts.  A cluster is searched breadth first, a vertex against all that no
   link has reached yet, so a cluster of n vertices gives at most n - 1 links.
 * In a larger node every vertex is compared with the node's first vertex,
-  by sketch and then on the full sets.  Clear and confirmed partners of it
-  leave the node, so a large group of near copies costs one comparison a
-  member; all others, refused ones included, branch on.
+  by sketch and then on the full sets.  Confirmed partners of it leave the
+  node, so a large group of near copies costs one comparison a member; all
+  others, refused ones included, branch on.  A partner can link only to a
+  vertex whose distance from the first one is at most twice that of the
+  threshold (Jaccard distance is a metric).  If a refused vertex is so near,
+  all that are so near are compared block by block, once for a first vertex
+  and depth, whatever the number of its nodes.
 * What is still large at ``DEPTH`` is compared block by block.
 
 Components are found by label propagation with pointer jumping; only counts
@@ -170,8 +174,9 @@ def _loose_pairs(m, members, low, clear):
 
 def _meet_first(large: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     """Rows (node, v, pivot) of large nodes -> distinct pairs (pivot, v, est)
-    of the node's first vertex and a possible partner of it."""
-    low, _ = _margins(least)
+    of the node's first vertex and a vertex that is, or can be linked to, a
+    partner of it."""
+    floor = _margins(max(2 * least - 1, 0))[0]
 
     def run(batches):
         for batch in batches:
@@ -181,7 +186,7 @@ def _meet_first(large: DataFrame, sketches: DataFrame, least: float) -> DataFram
                             for c in ("mark", "pivot_mark"))
             est = _agreement(marks, first)
             yield pa.RecordBatch.from_arrays([*batch.select(["pivot", "v"]).columns, pa.array(est)],
-                                             ["pivot", "v", "est"]).filter(pa.array(est >= low))
+                                             ["pivot", "v", "est"]).filter(pa.array(est >= floor))
     first = sketches.select(F.col("v").alias("pivot"), F.col("mark").alias("pivot_mark"))
     pairs = large.where("v <> pivot").select("pivot", "v").distinct()
     return (pairs.join(sketches.select("v", "mark"), "v").join(first, "pivot")
@@ -207,7 +212,7 @@ def _candidates(vertices: DataFrame, least: float, confirm) -> tuple[DataFrame,
     """Distinct clusters (c, vs) of vertices whose sketches agree, written,
     and tables of links that ``confirm`` (clusters -> links, written) has
     found in large nodes."""
-    clear = _margins(least)[1]
+    low, _ = _margins(least)
     sketches = vertices.select("v", "sketch", "mark", "n_shingles")
     at = vertices.select("v", F.explode("nodes").alias("node"))
     found, made, links = [], [], []
@@ -226,12 +231,17 @@ def _candidates(vertices: DataFrame, least: float, confirm) -> tuple[DataFrame,
             break
         met = written(_meet_first(large, sketches, least), "met_first")
         pair = F.array_sort(F.array("pivot", "v"))
-        links.append(confirm(met.select(F.unhex(F.md5(F.concat(pair[0], pair[1]))).alias("c"), pair.alias("vs"))
+        links.append(confirm(met.where(F.col("est") >= low).select(F.unhex(F.md5(F.concat(pair[0], pair[1]))).alias("c"), pair.alias("vs"))
                              .dropDuplicates(["c"])))
         linked = links[-1].select(F.col("a").alias("pivot"), F.col("b").alias("v"))
         linked = linked.union(linked.select("v", "pivot"))
-        leaving = linked.join(met.where(F.col("est") >= clear), ["pivot", "v"], "left_semi")
-        staying = large.where("v <> pivot").join(leaving, ["pivot", "v"], "left_anti")
+        staying = large.where("v <> pivot").join(linked, ["pivot", "v"], "left_anti")
+        # links of those that leave to those that stay
+        refused = met.join(linked, ["pivot", "v"], "left_anti").select("pivot").distinct()
+        partners = linked.join(refused, "pivot", "left_semi").select("pivot").distinct()
+        near = met.join(partners, "pivot", "left_semi").select(F.col("pivot").alias("node"), "v")
+        near = near.join(near.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "node")
+        found.append(_compare_groups(_blocks(near, sketches), least))
         at = written(_branched(staying, sketches), "children")
         made += [met, at]
     clusters = found[0]

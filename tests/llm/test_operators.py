@@ -270,6 +270,15 @@ def test_near_dedup_refused_partners(spark, monkeypatch):
     assert {max(pair) for pair in asked[0]} <= set().union(*(c for later in asked[1:] for c in later))
 
 
+@pytest.mark.parametrize("small", [8, 64])
+def test_near_dedup_large_nodes(spark, monkeypatch, small):
+    rows = near_copies(400, 1, 150, 7)
+    want = components(rows, 3, 85)
+    monkeypatch.setattr(near_dedup, "SMALL", small)
+    got = near_dedup.near_dedup(frame(spark, rows), words=3, similarity=(85, 100)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == sorted(want)
+
+
 @pytest.mark.parametrize("keep_first", [False, True])
 def test_line_dedup(spark, rows, keep_first):
     rows = rows + [(200 + i, f" Same Line \nown {i}\n\nsame line\t") for i in range(12)] * bool(rows)
