@@ -47,7 +47,7 @@ BRANCHES = 2
 FIRST_DEPTH = 3     # nodes of this depth are made in the first pass
 DEPTH = 8
 SMALL = 2048
-TOKENS = 2_000_000  # shingles of a cluster that is compared in one go
+TOKENS = 2_000_000  # shingles of a cluster that are looked at in one go
 
 _MULT = odd_constants(5, COORDS).astype(np.uint32) | np.uint32(1)
 _XOR = odd_constants(6, COORDS).astype(np.uint32)
@@ -82,11 +82,10 @@ def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((a == b).mean(axis=-1) - 1 / 256) / (1 - 1 / 256)
 
 
-def _margins(least: float) -> tuple[float, float]:
-    """(agreement below which a pair is given up: four standard deviations
-    under the threshold; agreement that counts as a clear partner)."""
-    sd = (least * (1 - least) / COORDS) ** 0.5
-    return least - 4 * sd, least + 1.5 * sd
+def _margin(least: float) -> float:
+    """Agreement below which a pair is given up: four standard deviations
+    under the threshold."""
+    return least - 4 * (least * (1 - least) / COORDS) ** 0.5
 
 
 def _profiles(docs: DataFrame, words: int) -> DataFrame:
@@ -131,17 +130,14 @@ def _clusters(found: list[list[bytes]]) -> pa.RecordBatch:
 
 
 def _compare_groups(groups: DataFrame, least: float) -> DataFrame:
-    """Clusters (c, vs) of the vertices of a group (columns vs, marks, sizes;
-    at most SMALL) whose sketches agree, directly or through others.  A
-    cluster with more than TOKENS shingles is given pair by pair instead; a
-    pair of two clear partners of one earlier vertex is then left out, as
-    both are linked to that."""
-    low, clear = _margins(least)
+    """Clusters (c, vs) of the vertices of a group (columns vs, marks)
+    whose sketches agree, directly or through others."""
+    low = _margin(least)
 
     def run(batches):
         for batch in batches:
             found: list[list[bytes]] = []
-            for vs, marks, sizes in zip(*[batch.column(c).to_pylist() for c in ("vs", "marks", "sizes")]):
+            for vs, marks in zip(*[batch.column(c).to_pylist() for c in ("vs", "marks")]):
                 m = np.frombuffer(b"".join(marks), np.uint8).reshape(len(vs), COORDS)
                 rest = np.arange(len(vs))
                 while len(rest) > 1:
@@ -152,31 +148,17 @@ def _compare_groups(groups: DataFrame, least: float) -> DataFrame:
                         members.extend(rest[near])
                         front.extend(rest[near])
                         rest = rest[~near]
-                    if len(members) > 2 and sum(sizes[i] for i in members) > TOKENS:
-                        found.extend([vs[i], vs[j]] for i, j in _loose_pairs(m, members, low, clear))
-                    elif len(members) > 1:
+                    if len(members) > 1:
                         found.append([vs[i] for i in members])
             yield _clusters(found)
-    return groups.select("vs", "marks", "sizes").mapInArrow(run, "c binary, vs array<binary>")
-
-
-def _loose_pairs(m, members, low, clear):
-    leader = {}
-    for k, i in enumerate(members[:-1]):
-        est = _agreement(m[i], m[members[k + 1:]])
-        for e, j in zip(est.tolist(), members[k + 1:]):
-            if e < low or (i in leader and leader.get(j) == leader[i]):
-                continue
-            yield i, j
-            if e >= clear and j not in leader and i not in leader:
-                leader[j] = i
+    return groups.select("vs", "marks").mapInArrow(run, "c binary, vs array<binary>")
 
 
 def _meet_first(large: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     """Rows (node, v, pivot) of large nodes -> distinct pairs (pivot, v, est)
     of the node's first vertex and a vertex that is, or can be linked to, a
     partner of it."""
-    floor = _margins(max(2 * least - 1, 0))[0]
+    floor = _margin(max(2 * least - 1, 0))
 
     def run(batches):
         for batch in batches:
@@ -212,8 +194,8 @@ def _candidates(vertices: DataFrame, least: float, confirm) -> tuple[DataFrame,
     """Distinct clusters (c, vs) of vertices whose sketches agree, written,
     and tables of links that ``confirm`` (clusters -> links, written) has
     found in large nodes."""
-    low, _ = _margins(least)
-    sketches = vertices.select("v", "sketch", "mark", "n_shingles")
+    low = _margin(least)
+    sketches = vertices.select("v", "sketch", "mark")
     at = vertices.select("v", F.explode("nodes").alias("node"))
     found, made, links = [], [], []
     for depth in range(FIRST_DEPTH, DEPTH + 1):
@@ -253,11 +235,10 @@ def _candidates(vertices: DataFrame, least: float, confirm) -> tuple[DataFrame,
 
 
 def _members(nodes: DataFrame, sketches: DataFrame, keys: list[str]) -> DataFrame:
-    """(vs, marks, sizes) of every node."""
-    member = F.struct("v", "mark", "n_shingles")
-    return (nodes.join(sketches.select("v", "mark", "n_shingles"), "v")
-            .groupBy(*keys).agg(F.sort_array(F.collect_list(member)).alias("m"))
-            .select(F.col("m.v").alias("vs"), F.col("m.mark").alias("marks"), F.col("m.n_shingles").alias("sizes")))
+    """(vs, marks) of every node."""
+    return (nodes.join(sketches.select("v", "mark"), "v")
+            .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("v", "mark"))).alias("m"))
+            .select(F.col("m.v").alias("vs"), F.col("m.mark").alias("marks")))
 
 
 def _blocks(large: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -286,12 +267,30 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return some.select("text").mapInArrow(run, "v binary, tokens binary").dropDuplicates(["v"])
 
 
-def _linked(sets: list[np.ndarray], num: int, den: int):
-    """Index pairs that link all of a cluster's vertices that links reach."""
+def _numbered(sets: list[np.ndarray], piece: int) -> tuple[np.ndarray, int]:
+    """(all sets one after the other, their tokens as numbers; how many)."""
+    known, part, n = np.zeros(0, np.uint64), [], 0
+    for x in sets:
+        part.append(x)
+        n += len(x)
+        if n > piece:
+            known, part, n = np.unique(np.concatenate([known, *part])), [], 0
+    known = np.unique(np.concatenate([known, *part]))
+    return np.concatenate([np.searchsorted(known, x).astype(np.int32) for x in sets]), len(known)
+
+
+def _linked(sets: list[np.ndarray], num: int, den: int, piece: int = TOKENS):
+    """Index pairs that link all of a cluster's vertices that links reach;
+    about ``piece`` tokens are looked at in one go."""
     sizes = np.array([len(x) for x in sets])
-    _, tokens = np.unique(np.concatenate(sets), return_inverse=True)
+    tokens, n_tokens = _numbered(sets, piece)
     starts = np.cumsum(sizes) - sizes
-    flag = np.zeros(tokens.max() + 1, np.int64)
+    flag = np.zeros(n_tokens, np.int32)
+
+    def shared(some):
+        n = sizes[some]
+        at = np.cumsum(n) - n
+        return np.add.reduceat(flag[tokens[np.repeat(starts[some] - at, n) + np.arange(n.sum())]], at)
     rest = np.arange(len(sets))
     while len(rest) > 1:
         front, rest = [int(rest[0])], rest[1:]
@@ -299,11 +298,10 @@ def _linked(sets: list[np.ndarray], num: int, den: int):
             x = front.pop()
             own = tokens[starts[x]:starts[x] + sizes[x]]
             flag[own] = 1
-            n = sizes[rest]
-            at = np.cumsum(n) - n
-            shared = np.add.reduceat(flag[tokens[np.repeat(starts[rest] - at, n) + np.arange(n.sum())]], at)
+            parts = np.split(rest, np.flatnonzero(np.diff(np.cumsum(sizes[rest]) // piece)) + 1)
+            both = np.concatenate([shared(part) for part in parts])
             flag[own] = 0
-            link = den * shared >= num * (n + sizes[x] - shared)
+            link = den * both.astype(np.int64) >= num * (sizes[rest] + sizes[x] - both)
             for y in rest[link].tolist():
                 yield x, y
                 front.append(y)
@@ -311,17 +309,35 @@ def _linked(sets: list[np.ndarray], num: int, den: int):
 
 
 def _confirmed(clusters: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    def run(batches):
+    """Links of the clusters.  A cluster's sets come one row each, so that
+    no row grows with it."""
+    piece = TOKENS
+
+    def of_clusters(batches):
+        last, vs, sets = None, [], []
         for batch in batches:
-            a, b = [], []
-            for vs, tokens in zip(batch.column("vs").to_pylist(), batch.column("tokens").to_pylist()):
-                for x, y in _linked([np.frombuffer(t, np.uint64) for t in tokens], num, den):
-                    a.append(vs[x])
-                    b.append(vs[y])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-    full = (clusters.select("c", F.explode("vs").alias("v")).join(sets, "v")
-            .groupBy("c").agg(F.collect_list(F.struct("v", "tokens")).alias("m")))
-    return full.select(F.col("m.v").alias("vs"), F.col("m.tokens").alias("tokens")).mapInArrow(run, _PAIR)
+            for c, v, tokens in zip(*[batch.column(x).to_pylist() for x in ("c", "v", "tokens")]):
+                if c != last and vs:
+                    yield vs, sets
+                    vs, sets = [], []
+                last = c
+                vs.append(v)
+                sets.append(np.frombuffer(tokens, np.uint64))
+        if vs:
+            yield vs, sets
+
+    def run(batches):
+        a, b = [], []
+        for vs, sets in of_clusters(batches):
+            for x, y in _linked(sets, num, den, piece):
+                a.append(vs[x])
+                b.append(vs[y])
+            if len(a) >= 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+                a, b = [], []
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+    full = clusters.select("c", F.explode("vs").alias("v")).join(sets, "v").select("c", "v", "tokens")
+    return full.repartition("c").sortWithinPartitions("c").mapInArrow(run, _PAIR)
 
 
 def components(links: DataFrame) -> DataFrame:

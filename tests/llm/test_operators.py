@@ -6,11 +6,15 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from laketide.llm import bpe, chat, exact_dedup, line_dedup, mixing, near_dedup, pii, quality, suffix_dedup
+from laketide.llm.common import utf8
+from laketide.llm.shingles import shingle_hashes
 
 SCHEMA = ("doc_id bigint, text string, lang string, source string, n_chars bigint, "
           "score double, n_lines string, key string, n int")
@@ -279,6 +283,25 @@ def test_near_dedup_large_nodes(spark, monkeypatch, small):
     assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == sorted(want)
 
 
+def test_near_dedup_large_clusters(spark, monkeypatch):
+    """A cluster of many shingles has the links of a small one."""
+    monkeypatch.setattr(near_dedup, "TOKENS", 2000)
+    rows = near_copies(400, 10, 150, 8)
+    hashes, ends = shingle_hashes(*utf8(pa.array([t for _, t in rows])), 3)
+    sets = sorted((np.unique(hashes[x:y]) for x, y in zip(ends, ends[1:])), key=lambda x: x.tobytes())
+    vs = [i.to_bytes(2, "big") for i in range(len(sets))]
+    marks = [near_dedup.sketch(x).astype(np.uint8).tobytes() for x in sets]
+    group = spark.createDataFrame([(vs, marks, [len(x) for x in sets])],
+                                  "vs array<binary>, marks array<binary>, sizes array<bigint>")
+    full = spark.createDataFrame([(v, x.tobytes()) for v, x in zip(vs, sets)], "v binary, tokens binary")
+    links = near_dedup._confirmed(near_dedup._compare_groups(group, 0.85), full, 85, 100).collect()
+    root = {v: v for v in vs}
+    for r in links:
+        x, y = root[bytes(r.a)], root[bytes(r.b)]
+        root = {v: y if z == x else z for v, z in root.items()}
+    assert len(set(root.values())) == len({r[2] for r in components(rows, 3, 85)})
+
+
 @pytest.mark.parametrize("keep_first", [False, True])
 def test_line_dedup(spark, rows, keep_first):
     rows = rows + [(200 + i, f" Same Line \nown {i}\n\nsame line\t") for i in range(12)] * bool(rows)
