@@ -8,7 +8,8 @@ coordinate, named by the minwise token there.  Two sets of similarity s
 part at a node only if they differ in all chosen coordinates, so with two
 branches they still share a node at any depth of one tree with probability
 q = 1 - (1 - s q)^2 (0.97 for s = 0.85, 0.94 for 0.8), and miss each other
-in all three trees with probability below 3e-5 (0.85) and 3e-4 (0.8).
+in the first nodes of all four trees with probability below 1e-6 (0.85) and
+2e-5 (0.8).
 
 * Nodes of up to ``SMALL`` vertices are compared exhaustively: by sketch,
   which parts them into clusters of possible partners, and then cluster by
@@ -42,7 +43,7 @@ from laketide.llm.common import discard, in_pieces, mixed, odd_constants, utf8,
 from laketide.llm.shingles import shingle_hashes
 
 COORDS = 128
-TREES = 3
+TREES = 4
 BRANCHES = 2
 FIRST_DEPTH = 3     # nodes of this depth are made in the first pass
 DEPTH = 8

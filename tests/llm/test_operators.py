@@ -302,6 +302,15 @@ def test_near_dedup_large_clusters(spark, monkeypatch):
     assert len(set(root.values())) == len({r[2] for r in components(rows, 3, 85)})
 
 
+@pytest.mark.parametrize("similarity, missed", [(0.85, 1e-6), (0.8, 2e-5)])
+def test_near_dedup_recall(similarity, missed):
+    """Chance that a pair at the threshold shares none of the first nodes."""
+    q = 1.0
+    for _ in range(near_dedup.FIRST_DEPTH):
+        q = 1 - (1 - similarity * q) ** near_dedup.BRANCHES
+    assert (1 - q) ** near_dedup.TREES < missed
+
+
 @pytest.mark.parametrize("keep_first", [False, True])
 def test_line_dedup(spark, rows, keep_first):
     rows = rows + [(200 + i, f" Same Line \nown {i}\n\nsame line\t") for i in range(12)] * bool(rows)
