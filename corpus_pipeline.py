@@ -65,7 +65,8 @@ STAGES = [
 # Voting over a decomposition, set similarity and BPE are beyond SQL.  The
 # tests hold the rows of the near-dedup and BPE stages against brute force
 # at the settings used here; of the other stages they compare columns and
-# row counts, and the rows of their operators in tests/llm/test_operators.py.
+# row counts only.  tests/llm/test_operators.py holds line dedup against
+# brute force, and of quality and mixing some properties, not whole rows.
 ORACLE_SQL = None
 
 
