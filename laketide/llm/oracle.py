@@ -109,3 +109,54 @@ select doc_id, count(*) as n_lines, count(c.key) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by pos) filter (c.key is null), '')) as kept_sha256
 from k left join c on k.key = c.key group by doc_id
 """
+
+# a field of a leaf; crc32 by its eight shifts a byte
+_FIELD = "coalesce(cast(octet_length(encode(cast({0} as varchar))) as varchar) || ':' || cast({0} as varchar), '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+_CRC = """xor(4294967295, list_reduce([4294967295] || [ascii(c) for c in string_split(cast(doc_id as varchar), '')],
+    lambda acc, b: list_reduce([xor(acc, b), 0, 0, 0, 0, 0, 0, 0, 0],
+                               lambda c, z: xor(c >> 1, (c & 1) * 3988292384))))"""
+_UP = """
+  union all
+  select {0}, i // 3, any_value((n + 2) // 3), sha256(string_agg(d, '' order by i)), level + 1
+  from {1} where n > 1 group by {0}, level, i // 3)"""
+
+SQL["op12_merkle"] = r"""
+with recursive
+l as (
+  select row_number() over () as row, doc_id, source, """ + _LEAF.format("text") + r""" as leaf,
+         case when """ + _CRC + r""" % 2 = 0 then """ + _LEAF.format("replace(text, chr(10), '')") + r"""
+              else """ + _LEAF.format("text") + r""" end as received
+  from documents),
+p as (
+  select *, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as pos,
+         count(*) over (partition by source) as size from l),
+t(source, i, n, d, level) as (
+  select source, pos, size, leaf, 0 from p""" + _UP.format("source", "t") + r""",
+s as (
+  select source, d as subroot, row_number() over (order by source nulls first) - 1 as pos, count(*) over () as size
+  from t where n = 1),
+u(i, n, d, level) as (
+  select pos, size, subroot, 0 from s""" + _UP.format("source", "u").replace("source, ", "") + r""",
+r as (select d as root from u where n = 1),
+f(row, source, i, n, folded, proof, level) as (
+  select row, source, pos, size, received, '', 0 from p
+  union all
+  select f.row, f.source, f.i // 3, (f.n + 2) // 3,
+         sha256(string_agg(case when x.i = f.i then f.folded else x.d end, '' order by x.i)),
+         any_value(f.proof) || coalesce(string_agg(x.d, '' order by x.i) filter (x.i <> f.i), ''), f.level + 1
+  from f join t x on x.source is not distinct from f.source and x.level = f.level and x.i // 3 = f.i // 3
+  where f.n > 1 group by f.row, f.source, f.level, f.i, f.n),
+g(row, i, n, folded, proof, level) as (
+  select f.row, s.pos, s.size, f.folded, f.proof, 0
+  from f join s on s.source is not distinct from f.source where f.n = 1
+  union all
+  select g.row, g.i // 3, (g.n + 2) // 3,
+         sha256(string_agg(case when x.i = g.i then g.folded else x.d end, '' order by x.i)),
+         any_value(g.proof) || coalesce(string_agg(x.d, '' order by x.i) filter (x.i <> g.i), ''), g.level + 1
+  from g join u x on x.level = g.level and x.i // 3 = g.i // 3
+  where g.n > 1 group by g.row, g.level, g.i, g.n)
+select doc_id, leaf, subroot, root, sha256(proof) as proof_sha256, folded as folded_root, folded = root as verified
+from p join g on g.row = p.row and g.n = 1
+     join s on s.source is not distinct from p.source, r
+"""

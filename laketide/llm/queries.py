@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laketide.llm import bpe, chat, exact_dedup, fingerprints, line_dedup, mixing, near_dedup, pii, quality, suffix_dedup
+from laketide.llm import (bpe, chat, exact_dedup, fingerprints, line_dedup, merkle, mixing, near_dedup, pii, quality,
+                          suffix_dedup)
 from laketide.llm.common import prepare, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -93,6 +94,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    cut = F.pmod(F.crc32(docs["doc_id"].cast("string").cast("binary")), F.lit(2)) == 0
+    text = F.when(cut, F.translate(docs["text"], "\n", "")).otherwise(docs["text"])
+    received = merkle.leaf_digest(docs["doc_id"], docs["source"], docs["lang"], docs["n_chars"], text)
+    done = merkle.manifest(docs, also={"received": received})
+    folded = done.withColumn("folded_root", merkle.fold(F.col("received"), F.col("proof")))
+    return folded.select("doc_id", "leaf", "subroot", "root",
+                         F.sha2(merkle.siblings(F.col("proof")).cast("binary"), 256).alias("proof_sha256"),
+                         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_pii, op3_chat_format, op4_suffix_dedup, op5_fingerprints, op6_quality, op7_mixing,
-    op8_bpe, op9_near_dedup, op10_line_dedup)}
+    op8_bpe, op9_near_dedup, op10_line_dedup, op12_merkle)}
