@@ -122,7 +122,10 @@ def ranked(rows: DataFrame, *order: str) -> tuple[DataFrame, DataFrame]:
     the columns ``order``, and ``n``, the rows of the group; and the written
     table below.  Rows are dealt by ranges, so a group may be of any size;
     only the counts of (group, range) are summed up."""
-    dealt = (rows.repartitionByRange("grp", *order).sortWithinPartitions("grp", *order)
+    # ranges are cut by the first column and the start of the second, a
+    # digest: what Spark samples of a row to place the cuts stays small
+    cut = [F.col(order[0]), *[F.substring(c, 1, 8) for c in order[1:2]]]
+    dealt = (rows.repartitionByRange("grp", *cut).sortWithinPartitions("grp", *order)
              .withColumn("_at", F.monotonically_increasing_id()))
     placed = written(dealt, "ranked")
     with_part = placed.withColumn("_part", F.shiftright("_at", 33))
@@ -196,9 +199,10 @@ def manifest(docs: DataFrame, columns: tuple[str, ...] = COLUMNS, group: str = "
         leaf_digest(*[docs[c] for c in columns]).alias("digest"),
         *[c.alias(f"_also_{name}") for name, c in also.items()])
     kept = [f"_also_{name}" for name in also]
-    nodes, placed = ranked(leaves, "_order", "digest", *kept)
+    hashed = written(leaves, "merkle_hashes")       # placing the ranges reads it twice
+    nodes, placed = ranked(hashed, "_order", "digest", *kept)
     nodes = written(nodes, "merkle_leaves")
-    discard(placed)
+    discard(hashed, placed)
     stages = _tree(nodes, levels)
     subroots = stages[-1].where("pos = 0").select(F.lit("all").alias("grp"), F.col("grp").alias("_source"),
                                                   F.col("top").alias("digest"))

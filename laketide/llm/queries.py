@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laketide.llm import (bpe, chat, exact_dedup, fingerprints, line_dedup, merkle, mixing, near_dedup, pii, quality,
-                          suffix_dedup)
+from laketide.llm import (align, bpe, chat, exact_dedup, fingerprints, line_dedup, merkle, mixing, near_dedup, pii,
+                          quality, suffix_dedup)
 from laketide.llm.common import prepare, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -107,6 +107,12 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return align.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                       public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_pii, op3_chat_format, op4_suffix_dedup, op5_fingerprints, op6_quality, op7_mixing,
-    op8_bpe, op9_near_dedup, op10_line_dedup, op12_merkle)}
+    op8_bpe, op9_near_dedup, op10_line_dedup, op12_merkle, op13_align)}
