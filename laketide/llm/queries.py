@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laketide.llm import (align, bpe, chat, exact_dedup, fingerprints, line_dedup, merkle, mixing, near_dedup, pii,
-                          quality, suffix_dedup)
+from laketide.llm import (align, bpe, chat, exact_dedup, fingerprints, line_dedup, merkle, mixing, near_dedup,
+                          ngram_join, pii, quality, suffix_dedup)
 from laketide.llm.common import prepare, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -94,6 +94,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    done = ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_shingles", "component_id")
+
+
 def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     docs = table(spark, sf_dir, "documents")
@@ -115,4 +121,4 @@ def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_exact_dedup, op2_pii, op3_chat_format, op4_suffix_dedup, op5_fingerprints, op6_quality, op7_mixing,
-    op8_bpe, op9_near_dedup, op10_line_dedup, op12_merkle, op13_align)}
+    op8_bpe, op9_near_dedup, op10_line_dedup, op11_ngram_join, op12_merkle, op13_align)}
