@@ -34,6 +34,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,7 +44,8 @@ from laketide.llm.words import exact_set, shingle_sets, texts, words_of
 
 RARE = 32           # sets up to which a token is a signature by itself
 COMMON = 1024       # sets from which combinations of three are taken
-PART = 4_000_000    # tokens that are counted in one go
+PART = 2_000_000    # tokens that are counted in one go
+SENT = 1_000_000    # tokens that a task deals out in one go
 STARS = 4
 PAIRS_A_TASK = 64   # comparisons with one set before it is sent to another task
 
@@ -68,74 +70,116 @@ def _profiles(docs: DataFrame, words: int) -> DataFrame:
 
 def _dealt(rows: DataFrame, column: str, words: int, parts: int, share: float) -> DataFrame:
     """Tokens of the lowest ``share`` of all hashes, dealt to ``parts`` ranges
-    of hashes: rows (part, vs, counts, tokens) that hold the tokens of many
-    sets."""
+    of hashes: rows (piece, part, vs, counts, tokens) that hold the tokens of
+    many sets."""
     top = int(share * 2 ** 64) - 1
     bounds = np.array([top // parts * i for i in range(1, parts)], np.uint64)
 
+    def sent(piece, held):
+        cuts = np.array([[0, *np.searchsorted(s, bounds, "right"), len(s)] for s in held.values()])
+        out = []
+        for p in range(parts):
+            some = [(v, s[x:y]) for (v, s), x, y in zip(held.items(), cuts[:, p].tolist(), cuts[:, p + 1].tolist()) if y > x]
+            if some:
+                out.append((piece, p, b"".join([v for v, _ in some]), np.array([len(t) for _, t in some], np.int32).tobytes(),
+                            np.concatenate([t for _, t in some]).tobytes()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array([o[i] for o in out], kind) for i, kind in enumerate((pa.int64(), pa.int32(), *[pa.binary()] * 3))],
+            ["piece", "part", "vs", "counts", "tokens"])
+
     def run(batches):
+        piece, n, held = TaskContext.get().partitionId() << 32, 0, {}
         for b in in_pieces(batches, column):
             bodies = texts(b.column(column).cast(pa.string()))
-            seen, vs, sets = set(), [], []
             for body, s in zip(bodies, shingle_sets(bodies, words)):
                 v = hashlib.blake2b(b" ".join(body), digest_size=16).digest()
-                if len(s) and v not in seen:
-                    seen.add(v)
-                    vs.append(v)
-                    sets.append(s[:np.searchsorted(s, np.uint64(top), "right")])
-            if not sets:
-                continue
-            cuts = np.array([[0, *np.searchsorted(s, bounds, "right"), len(s)] for s in sets])
-            out = []
-            for p in range(parts):
-                some = [(v, s[x:y]) for v, s, x, y in zip(vs, sets, cuts[:, p].tolist(), cuts[:, p + 1].tolist()) if y > x]
-                if some:
-                    out.append((p, b"".join([v for v, _ in some]), np.array([len(t) for _, t in some], np.int32).tobytes(),
-                                np.concatenate([t for _, t in some]).tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([o[i] for o in out], kind) for i, kind in enumerate((pa.int32(), *[pa.binary()] * 3))],
-                ["part", "vs", "counts", "tokens"])
-    return (rows.select(column).mapInArrow(run, "part int, vs binary, counts binary, tokens binary")
+                if len(s) and v not in held:
+                    held[v] = s[:np.searchsorted(s, np.uint64(top), "right")]
+                    n += len(held[v])
+            if n > SENT:
+                yield sent(piece, held)
+                piece, n, held = piece + 1, 0, {}
+        if held:
+            yield sent(piece, held)
+    return (rows.select(column).mapInArrow(run, "piece bigint, part int, vs binary, counts binary, tokens binary")
             .repartition(parts, "part").sortWithinPartitions("part"))
 
 
+_REPLY = "piece bigint, part int, vs binary, counts binary, tokens binary, dfs binary"
+
+
 def _counted(dealt: DataFrame, reply: bool) -> DataFrame:
-    """(v, part, singles, dfs): how many of a set's tokens in a part no other
-    set holds, and with ``reply`` in how many sets each of them is."""
-    def finish(part, held):
-        seen, vs, keep, tokens = set(), [], [], []
-        for own, counts, blob in held:      # a set that several pieces sent counts once
-            at = 0
-            for i, n in enumerate(counts.tolist()):
-                v = own[16 * i:16 * i + 16]
-                if v not in seen:
-                    seen.add(v)
-                    vs.append(v)
-                    keep.append(n)
-                    tokens.append(blob[at:at + n])
-                at += n
-        _, at, df = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
-        df = df[at].astype(np.int32)
-        ends = np.cumsum(keep)
-        singles = np.add.reduceat((df == 1).astype(np.int64), ends - keep)
-        dfs = [df[e - n:e].tobytes() for e, n in zip(ends.tolist(), keep)] if reply else [None] * len(vs)
-        out = pa.RecordBatch.from_arrays(
-            [pa.array(vs, pa.binary()), pa.array([part] * len(vs), pa.int32()), pa.array(singles, pa.int64()),
-             pa.array(dfs, pa.binary())], ["v", "part", "singles", "dfs"])
-        return out if reply else out.filter(pa.array(singles > 0))
+    """The rows of ``dealt`` back, for their pieces: with ``reply`` the tokens
+    and (dfs) how many sets hold each, else instead of the counts how many of
+    a set's tokens no other set holds."""
+    def finish(held):
+        seen, keep, tokens = set(), [], []
+        for row in held:            # a set that several pieces sent counts once
+            vs, counts, blob = row["vs"], np.frombuffer(row["counts"], np.int32), np.frombuffer(row["tokens"], np.uint64)
+            first = np.ones(len(counts), bool)
+            for i in range(len(counts)):
+                v = vs[16 * i:16 * i + 16]
+                first[i] = v not in seen
+                seen.add(v)
+            keep.append(np.repeat(first, counts))
+            tokens.append(blob)
+        mask, all_tokens = np.concatenate(keep), np.concatenate(tokens)
+        _, at, df = np.unique(all_tokens[mask], return_inverse=True, return_counts=True)
+        dfs = np.zeros(len(all_tokens), np.int32)       # 0 in a repeated set
+        dfs[mask] = df[at]
+        end = 0
+        for row, blob in zip(held, tokens):
+            own = dfs[end:end + len(blob)]
+            end += len(blob)
+            if not reply:
+                counts = np.frombuffer(row["counts"], np.int32)
+                row["counts"] = np.add.reduceat((own == 1).astype(np.int32), np.cumsum(counts) - counts, dtype=np.int32).tobytes()
+                row["tokens"] = None
+            row["dfs"] = own.tobytes() if reply else None
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([row[c]], kind) for c, kind in
+                 (("piece", pa.int64()), ("part", pa.int32()), *[(c, pa.binary()) for c in ("vs", "counts", "tokens", "dfs")])],
+                ["piece", "part", "vs", "counts", "tokens", "dfs"])
 
     def run(batches):
-        last, held = None, []
+        held = []
         for batch in batches:
-            for part, vs, counts, tokens in zip(*[batch.column(c).to_pylist() for c in ("part", "vs", "counts", "tokens")]):
-                if part != last and held:
-                    yield finish(last, held)
+            for row in batch.to_pylist():
+                if held and held[0]["part"] != row["part"]:
+                    yield from finish(held)
                     held = []
-                last = part
-                held.append((vs, np.frombuffer(counts, np.int32), np.frombuffer(tokens, np.uint64)))
+                held.append(row)
         if held:
-            yield finish(last, held)
-    return dealt.mapInArrow(run, "v binary, part int, singles bigint, dfs binary")
+            yield from finish(held)
+    return dealt.mapInArrow(run, _REPLY).repartition("piece").sortWithinPartitions("piece", "part")
+
+
+def _by_piece(batches):
+    """Lists of the rows of a piece, in the order of its parts."""
+    held = []
+    for batch in batches:
+        for row in batch.to_pylist():
+            if held and held[0]["piece"] != row["piece"]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _singles(counted: DataFrame) -> DataFrame:
+    """(v, singles): tokens that no other set holds."""
+    def run(batches):
+        for rows in _by_piece(batches):
+            total: dict[bytes, int] = {}
+            for row in rows:
+                vs = row["vs"]
+                for i, n in enumerate(np.frombuffer(row["counts"], np.int32).tolist()):
+                    v = vs[16 * i:16 * i + 16]
+                    total[v] = total.get(v, 0) + n
+            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.binary()), pa.array(list(total.values()), pa.int64())],
+                                             ["v", "singles"])
+    return counted.mapInArrow(run, "v binary, singles bigint").groupBy("v").agg(F.sum("singles").alias("singles"))
 
 
 def signatures(tokens: np.ndarray, dfs: np.ndarray, num: int, den: int, classes=(RARE, COMMON)) -> np.ndarray:
@@ -178,23 +222,29 @@ def signatures(tokens: np.ndarray, dfs: np.ndarray, num: int, den: int, classes=
     return np.unique(np.concatenate(out)).view(np.int64)
 
 
-def _signed(sets: DataFrame, counted: DataFrame, words: int, num: int, den: int, classes) -> DataFrame:
+def _signed(counted: DataFrame, num: int, den: int, classes) -> DataFrame:
     """Rows (sig, v, n)."""
-    told = counted.groupBy("v").agg(F.sort_array(F.collect_list(F.struct("part", "dfs"))).alias("told"))
-
     def run(batches):
-        for b in in_pieces(batches, "body"):
-            vs, told = b.column("v").to_pylist(), b.column("told").to_pylist()
-            v, sig, n = [], [], []
-            for i, s in enumerate(shingle_sets([x.split() for x in b.column("body").to_pylist()], words)):
-                dfs = np.frombuffer(b"".join([t["dfs"] for t in told[i]]), np.int32)
-                own = signatures(s, dfs, num, den, classes)
-                sig.append(own)
-                v += [vs[i]] * len(own)
-                n += [len(s)] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sig), pa.int64()), pa.array(v, pa.binary()),
-                                              pa.array(n, pa.int64())], ["sig", "v", "n"])
-    return sets.join(told, "v").select("v", "body", "told").mapInArrow(run, "sig bigint, v binary, n bigint")
+        for rows in _by_piece(batches):
+            parts: dict[bytes, list] = {}
+            for row in rows:
+                vs, at = row["vs"], 0
+                tokens, dfs = np.frombuffer(row["tokens"], np.uint64), np.frombuffer(row["dfs"], np.int32)
+                for i, n in enumerate(np.frombuffer(row["counts"], np.int32).tolist()):
+                    parts.setdefault(vs[16 * i:16 * i + 16], []).append((tokens[at:at + n], dfs[at:at + n]))
+                    at += n
+            done = []
+            for v, own in parts.items():
+                s = np.concatenate([x for x, _ in own])
+                done.append((v, len(s), signatures(s, np.concatenate([x for _, x in own]), num, den, classes)))
+            for start in range(0, len(done), 500):
+                some = done[start:start + 500]
+                size = [len(sig) for _, _, sig in some]
+                v = pa.array([v for v, _, _ in some], pa.binary()).take(pa.array(np.repeat(np.arange(len(some)), size)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([sig for _, _, sig in some]), pa.int64()), v,
+                     pa.array(np.repeat([n for _, n, _ in some], size), pa.int64())], ["sig", "v", "n"])
+    return counted.mapInArrow(run, "sig bigint, v binary, n bigint")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -297,7 +347,7 @@ def ngram_join(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (8
     total = made.agg(F.sum("n_shingles").alias("n")).first()["n"] or 0
 
     singles = _counted(_dealt(plain, "text", words, total // 2 // PART + 1, 0.5), False)
-    singles = written(singles.groupBy("v").agg(F.sum("singles").alias("singles")), "singles")
+    singles = written(_singles(singles), "singles")
     place = F.min(F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "text_hash"))
     vertices = full.groupBy("v").agg(place.alias("k"), F.first("n_shingles").alias("n"))
     may = F.col("n") - F.ceil(F.col("n") * num / den)
@@ -314,9 +364,9 @@ def ngram_join(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (8
     # rows that repeat a document give the same body
     sets = written(some.select("text").mapInArrow(bodies, "v binary, body binary").dropDuplicates(["v"]), "sets")
     left = sets.agg(F.sum(F.octet_length("body")).alias("n")).first()["n"] or 0
-    counted = written(_counted(_dealt(sets, "body", words, left // 4 // PART + 1, 1.0), True), "counted")
-    signed = written(_signed(sets, counted, words, num, den, classes), "signatures")
-    discard(singles, counted)
+    counted = _counted(_dealt(sets, "body", words, left // 4 // PART + 1, 1.0), True)
+    signed = written(_signed(counted, num, den, classes), "signatures")
+    discard(singles)
     links = _links(signed, sets, words, num, den)
     discard(signed, sets)
     labels = components(links)

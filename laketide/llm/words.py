@@ -15,7 +15,7 @@ import xxhash
 
 from laketide.llm.common import mixed
 
-REMEMBERED = 500_000    # words a worker remembers; dropped when full
+REMEMBERED = 150_000    # words a worker remembers; dropped when full
 
 
 class _Words(dict):
