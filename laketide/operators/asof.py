@@ -9,7 +9,7 @@ key (left outer join), so no fact row is ever lost.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from laketide.functions.dates import run_date
@@ -73,3 +73,41 @@ def lookup_asof(fact: DataFrame, dim: DataFrame, spec: DimSpec, fact_key: str,
     v = versions.withColumn("_nk", F.lit(-1))
     joined = f.join(v, (f[fact_key] == v["_dk"]) & (f["_nk"] == v["_nk"]), "left")
     return joined.select(*[f[c] for c in fact.columns], F.col(out_key))
+
+
+def lookup_asof_merge(fact: DataFrame, dim: DataFrame, spec: DimSpec, fact_key: str, as_of: str, *,
+                      out_key: str | None = None, salt_buckets: int = 1) -> DataFrame:
+    """:func:`lookup_asof` for a date column, by merging instead of joining.
+
+    Facts and versions are united and sorted by (key, date), and the last
+    version that has started is carried forward to the facts behind it; it
+    counts if it has not ended by the fact's date.  The work is linear in
+    facts and versions, where the join forms every (fact, version of its key)
+    pair first: use it when keys have many versions.  Versions of a key do
+    not overlap.
+
+    A key's rows are sorted in one task (and spill); ``salt_buckets`` deals
+    the facts of every key over that many tasks, each with a copy of the
+    key's versions.  Facts without a key match nothing; they are dealt by a
+    hash of the row, not gathered.  A fact without a date has no version.
+    """
+    out_key = out_key or spec.surrogate_key
+    cols = fact.columns
+    row_hash_ = F.xxhash64(*[F.col(c) for c in hashable_columns(fact)])
+    # null keys: any bucket at all, since no version has a null key
+    salt = F.when(F.col(fact_key).isNull(), row_hash_).otherwise(F.pmod(row_hash_, F.lit(salt_buckets)))
+    key_type = fact.schema[fact_key].dataType
+    f = fact.select(F.col(fact_key).alias("_key"), salt.alias("_salt"), F.col(as_of).cast("date").alias("_day"),
+                    F.lit(1).alias("_kind"), F.struct(*cols).alias("_fact"))
+    carried = F.struct(F.col(spec.surrogate_key).alias("sk"), F.col(spec.end_col).alias("end"))
+    v = dim.where(F.col(spec.natural_key).isNotNull()).select(
+        F.col(spec.natural_key).cast(key_type).alias("_key"), F.col(spec.start_col).cast("date").alias("_day"),
+        F.lit(0).alias("_kind"), carried.alias("_version"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salt_buckets - 1).cast("long"))).alias("_salt"))
+    w = (Window.partitionBy("_key", "_salt").orderBy("_day", "_kind")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    merged = (f.unionByName(v, allowMissingColumns=True)
+              .withColumn("_last", F.last("_version", ignorenulls=True).over(w)).where("_kind = 1"))
+    last = F.col("_last")
+    valid = F.col("_day").isNotNull() & (last["end"].isNull() | (last["end"] > F.col("_day")))
+    return merged.select(*[F.col("_fact")[c].alias(c) for c in cols], F.when(valid, last["sk"]).alias(out_key))

@@ -10,6 +10,8 @@ end_date)``; the open version has ``end_date`` NULL and ``is_active`` true.
 * :func:`scd2_apply`   - one daily step: unchanged + closed + new (SCD4).
 * :func:`scd2_from_snapshots` - the same history from many snapshots in
   one window pass (SCD5).
+* :func:`scd2_continue` - the same, continued from the stored open versions.
+* :func:`scd2_splice` - a late snapshot put into its place in the history.
 
 All are pure DataFrame functions; storing the result is the sink's job.
 Only changed keys are closed, in place; keys missing from a snapshot stay
@@ -235,6 +237,130 @@ def scd2_from_snapshots(snapshots: DataFrame, spec: DimSpec, date_col: str = "sn
     return ended.select(v.alias("_v")).select("_v.*")
 
 
+def scd2_continue(open_versions: DataFrame, snapshots: DataFrame, spec: DimSpec,
+                  date_col: str = "snapshot_date") -> DataFrame:
+    """What many later snapshots change in a stored dimension, in one pass.
+
+    ``open_versions`` are the stored active versions (one a key);
+    ``snapshots`` hold one row per (natural key, snapshot date), all dates
+    after the last load.  A stored version is row zero of its key's window:
+    it has no predecessor, and the first snapshot row that differs closes it.
+    The result has the stored versions that are closed now (with the keys
+    and start dates they had) and all new versions; versions that stay open
+    as they are do not leave, so what is returned follows the changes.
+    :func:`replace_versions` puts it into a dimension; that equals
+    :func:`scd2_apply` iterated over the dates.  Rows without a natural key
+    are left out.
+
+    One shuffle on the natural key; a key's window has one row per snapshot
+    and one more.  The closed history is not read.
+    """
+    key = spec.natural_key
+    attrs = [key, *spec.attributes]
+    none = F.lit(None)
+    new = (snapshots.where(F.col(key).isNotNull())
+           .select(*attrs, F.col(date_col).cast("date").alias("_d"), row_hash(spec.hashed).alias("_h"),
+                   F.lit(1).alias("_new"), none.cast("string").alias("_sk")))
+    stored = (open_versions.where(_is_active(spec))
+              .select(*attrs, F.col(spec.start_col).alias("_d"), row_hash(spec.hashed).alias("_h"),
+                      F.lit(0).alias("_new"), F.col(spec.surrogate_key).cast("string").alias("_sk")))
+    w = Window.partitionBy(key).orderBy("_new", "_d", "_h")
+    kept = (stored.unionByName(new).withColumn("_prev", F.lag("_h").over(w))
+            .where((F.col("_new") == 0) | F.col("_prev").isNull() | (F.col("_prev") != F.col("_h"))))
+    ended = kept.withColumn("_end", F.lead("_d").over(w)).where((F.col("_new") == 1) | F.col("_end").isNotNull())
+    values = {c: F.col(c) for c in attrs}
+    sk = F.uuid() if spec.key_mode == "uuid" else surrogate_key(F.col(key), F.col("_d"))
+    v = _version(spec, values, F.col("_d"), F.col("_end"), F.col("_end").isNull(), key=F.coalesce("_sk", sk))
+    return ended.select(v.alias("_v")).select("_v.*")
+
+
+def replace_versions(dim: DataFrame, changed: DataFrame, spec: DimSpec, removed: DataFrame | None = None) -> DataFrame:
+    """``dim`` with the versions ``changed`` in place of those with the same
+    surrogate key, and without the surrogate keys ``removed``."""
+    gone = changed.select(spec.surrogate_key)
+    if removed is not None:
+        gone = gone.union(removed.select(spec.surrogate_key))
+    return (dim.select(*spec.columns).join(gone, spec.surrogate_key, "left_anti")
+            .select(*spec.columns).unionByName(changed.select(*spec.columns)))
+
+
+def scd2_late_changes(dim: DataFrame, snapshot: DataFrame, later: DataFrame, spec: DimSpec, d,
+                      date_col: str = "snapshot_date") -> DataFrame:
+    """What a snapshot of the past date ``d`` changes in a dimension that has
+    later loads: its versions with ``_removed`` true (to take out, by
+    surrogate key) or false (to put in).  Arguments as in
+    :func:`scd2_splice`."""
+    d = run_date(d)
+    key, day = spec.natural_key, F.lit(d)
+    attrs = [key, *spec.attributes]
+    late = snapshot.where(F.col(key).isNotNull()).select(
+        F.col(key).alias("_k"), F.struct(*attrs).alias("_row"), row_hash(spec.hashed).alias("_h"))
+    start, end = F.col(spec.start_col), F.col(spec.end_col)
+    version = F.struct(start.alias("_s"), *[F.col(c).alias(c) for c in spec.columns], row_hash(spec.hashed).alias("_h"))
+    covers = (start < day) & (end.isNull() | (end > day))
+    around = (dim.where(covers | (start > day)).groupBy(F.col(key).alias("_dk"))
+              .agg(F.max(F.when(covers, version)).alias("_now"), F.min(F.when(start > day, version)).alias("_next")))
+    seen = (later.where(F.col(key).isNotNull() & (F.col(date_col).cast("date") > day))
+            .groupBy(F.col(key).alias("_lk")).agg(F.min(F.col(date_col).cast("date")).alias("_seen")))
+    j = late.join(around, F.col("_k") == F.col("_dk"), "left")
+    now, nxt, h = F.col("_now"), F.col("_next"), F.col("_h")
+    # most keys say what the history says: only the others meet the later snapshots
+    touched = j.where(now.isNull() | (now["_h"] != h)).join(seen, F.col("_k") == F.col("_lk"), "left")
+
+    def made(row, start, end, removed, sk=None):
+        values = {c: row[c] for c in attrs}
+        v = _version(spec, values, start, end, end.isNull(), key=sk)
+        return F.struct(F.lit(removed).alias("_removed"), *[v[c].alias(c) for c in spec.columns])
+
+    def old(row, removed=True):
+        return made(row, row[spec.start_col], row[spec.end_col], removed, sk=row[spec.surrogate_key])
+    after = nxt["_s"]                                   # null: nothing starts later
+    same_next = nxt.isNotNull() & (nxt["_h"] == h)
+    # the version of that day is seen again before it ends: it comes back
+    back = now.isNotNull() & F.col("_seen").isNotNull() & (after.isNull() | (F.col("_seen") < after))
+    joined = same_next & ~back                          # the next version starts on d already
+    rows = F.array(
+        F.when(now.isNotNull(), old(now)),
+        F.when(now.isNotNull(), made(now, now[spec.start_col], day, False, sk=now[spec.surrogate_key])),
+        F.when(joined, old(nxt)),
+        F.when(joined, made(F.col("_row"), day, nxt[spec.end_col], False))
+        .otherwise(made(F.col("_row"), day, F.when(back, F.col("_seen")).otherwise(after), False)),
+        F.when(back, made(now, F.col("_seen"), now[spec.end_col], False)))
+    return touched.select(F.inline(F.filter(rows, lambda x: x.isNotNull())))
+
+
+def scd2_splice(dim: DataFrame, snapshot: DataFrame, later: DataFrame, spec: DimSpec, d,
+                date_col: str = "snapshot_date") -> DataFrame:
+    """The dimension after a snapshot of the past date ``d``: equal to a
+    rebuild from all snapshots in order.
+
+    ``snapshot`` holds a key once; ``later`` holds at least the key and date
+    of every row of the snapshots after ``d`` (the silver table itself will
+    do): the history alone does not say whether a key was seen again
+    unchanged, and a value that the late snapshot interrupts comes back on
+    the day it is seen again.  Keys that the late snapshot lacks, or for
+    which it says what the history says, keep their versions.  For the others
+
+    * the version valid on ``d`` ends on ``d``; it comes back as a version of
+      its own when its key is seen again before its old end;
+    * a next version with the late row's values starts on ``d`` instead
+      (with the surrogate key of its new start), otherwise the late row is a
+      version of its own until the key is seen again or the next one starts.
+
+    A date that is loaded already raises: run that day's load again instead.
+    Facts from ``d`` on that hold a changed surrogate key are to be looked up
+    again.  One shuffle of the versions that end after ``d`` (earlier ones
+    are not aggregated), joined to the snapshot by key; minima and maxima are
+    combined map-side, and only keys that differ meet ``later``.
+    """
+    if not dim.where(F.col(spec.start_col) == F.lit(run_date(d))).isEmpty():
+        raise ValueError(f"{run_date(d)} is loaded already")
+    changes = scd2_late_changes(dim, snapshot, later, spec, d, date_col)
+    # a version that is taken out and put in again stands in both
+    put = changes.where(~F.col("_removed")).drop("_removed")
+    return replace_versions(dim, put, spec, changes.where("_removed"))
+
+
 def valid_on(dim: DataFrame, spec: DimSpec, d) -> DataFrame:
     """Versions valid on date ``d``: start <= d < end (end NULL = open).
 

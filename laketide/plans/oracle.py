@@ -398,6 +398,32 @@ ORDER += ["untidy1", "untidy2", "untidy_dim1", "untidy_dim2"]
 DEPS |= {"untidy1": ["s1"], "untidy2": ["s2"], "untidy_dim1": ["untidy1"], "untidy_dim2": ["untidy_dim1", "untidy2"]}
 SQL["scd2_null_duplicate_keys"] = with_ctes(["untidy_dim2"], f"SELECT {_cols(DIM_COLS)}, CAST(2 AS BIGINT) AS sides FROM untidy_dim2")
 
+# later and late snapshots: one step after another, in the order of dates
+CTE["s4"] = """
+SELECT patient_id, patient_fullname, nation_key, balance,
+       CASE WHEN patient_id % 6 = 0 THEN 'HOUSEHOLD' ELSE segment END AS segment
+FROM p_base WHERE patient_id % 89 <> 0"""
+CTE["dim4"] = _scd_step("dim3", "s4", "DATE '2000-06-01'")
+ORDER += ["s4", "dim4"]
+DEPS |= {"s4": ["p_base"], "dim4": ["dim3", "s4"]}
+SQL["scd2_continued"] = with_ctes(["dim4"], f"SELECT {_cols(DIM_COLS)} FROM dim4")
+SQL["scd2_late_snapshot"] = SQL["scd2_continued"]
+
+SQL["asof_event_date_merge"] = """
+WITH v AS (
+  SELECT l_returnflag AS flag, CAST(l_shipdate AS DATE) AS start_date FROM lineitem GROUP BY 1, 2),
+t AS (
+  SELECT flag, start_date, md5(flag || '::' || CAST(start_date AS VARCHAR)) AS tariff_key,
+         CASE WHEN dayofyear(start_date) % 11 = 0 THEN start_date
+              ELSE lead(start_date) OVER (PARTITION BY flag ORDER BY start_date) END AS end_date
+  FROM v)
+SELECT l.l_orderkey, l.l_linenumber, l.flag, l.day,
+       CASE WHEN t.end_date IS NULL OR t.end_date > l.day THEN t.tariff_key END AS tariff_key
+FROM (SELECT l_orderkey, l_linenumber, l_returnflag AS flag,
+             CAST(l_shipdate AS DATE) + CAST(l_orderkey % 30 AS INTEGER) AS day FROM lineitem) l
+ASOF LEFT JOIN t ON l.flag = t.flag AND l.day >= t.start_date
+"""
+
 # ----------------------------------------------------------------- silver
 def _guid(k: str) -> str:
     h = f"md5(CAST({k} AS VARCHAR))"

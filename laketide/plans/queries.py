@@ -15,10 +15,10 @@ from laketide.functions.names import normalize_columns, recast_for_export
 from laketide.operators import quality as DQ
 from laketide.operators import scd2 as S
 from laketide.operators import slicing as SL
-from laketide.operators.asof import lookup_asof
+from laketide.operators.asof import lookup_asof, lookup_asof_merge
 from laketide.operators.rollup import daily_rollup, daily_rollup_joined
 from laketide.plans import bronze, gold, silver
-from laketide.session import scratch_path, stored
+from laketide.session import cut_lineage, scratch_path, stored
 from laketide.sinks import write as W
 from laketide.sinks.dimension import DimensionTables
 from laketide.sources.files import read_csv
@@ -326,6 +326,30 @@ def q_scd2_null_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def q_scd2_continued(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCD5 continued from stored state: the first load's open versions and
+    three later snapshots in one pass, put into the stored dimension."""
+    dim = cut_lineage(S.scd2_apply(None, si.patients_snapshot(spark, sf_dir, 1), si.PATIENT, si.D1), "dim")
+    later = si.patient_snapshots(spark, sf_dir, ((2, si.D2), (3, si.D3), (4, si.D4)))
+    return S.replace_versions(dim, S.scd2_continue(dim, later, si.PATIENT), si.PATIENT)
+
+
+def q_scd2_late_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second of four snapshots arrives last and is put into its place."""
+    stacked = si.patient_snapshots(spark, sf_dir, ((1, si.D1), (3, si.D3), (4, si.D4)))
+    dim = cut_lineage(S.scd2_from_snapshots(stacked, si.PATIENT), "dim")
+    return S.scd2_splice(dim, si.patients_snapshot(spark, sf_dir, 2), stacked, si.PATIENT, si.D2)
+
+
+def q_asof_event_date_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN4 by merging: line items, up to 30 days after their ship date,
+    against three keys with thousands of versions each."""
+    li = si.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_returnflag").alias("flag"),
+        F.date_add(F.to_date("l_shipdate"), (F.col("l_orderkey") % 30).cast("int")).alias("day"))
+    return lookup_asof_merge(li, si.tariffs(spark, sf_dir), si.TARIFF, "flag", "day", salt_buckets=16)
+
+
 # ----------------------------------------------------------------- silver
 def q_conform_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CLN2 + typing on a raw patients extract derived from customer."""
@@ -406,10 +430,13 @@ QUERIES = {
     "scd2_close_open": q_scd2_close_open,
     "scd2_history": q_scd2_history,
     "scd2_iterated": q_scd2_iterated,
+    "scd2_continued": q_scd2_continued,
+    "scd2_late_snapshot": q_scd2_late_snapshot,
     "last_date": q_last_date,
     "asof_run_date": q_asof_run_date,
     "asof_event_date": q_asof_event_date,
     "asof_event_date_salted": q_asof_event_date_salted,
+    "asof_event_date_merge": q_asof_event_date_merge,
     "fact_encounter": q_fact_encounter,
     "fact_procedure": q_fact_procedure,
     "daily_rollup": q_daily_rollup,

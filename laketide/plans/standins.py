@@ -14,9 +14,10 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from laketide.functions.hashing import surrogate_key
 from laketide.operators.scd2 import DimSpec, scd2_apply
 from laketide.session import cut_lineage
 
@@ -24,6 +25,7 @@ from laketide.session import cut_lineage
 D1 = _dt.date(1996, 1, 1)
 D2 = _dt.date(1998, 1, 1)
 D3 = _dt.date(2000, 1, 1)
+D4 = _dt.date(2000, 6, 1)
 
 PATIENT = DimSpec("patient_id", ("patient_fullname", "nation_key", "balance", "segment"),
                   surrogate_key="dim_patient_key")
@@ -47,7 +49,8 @@ def patients_snapshot(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
     to MACHINERY, every 97th key is missing, every 50th key gets a new twin
     key (-k - 1, so that no twin is a customer).  Snapshot 3: the missing keys return, every 20th key moves back
     (A -> B -> A), every 7th key changes nation, the twins of every 100th
-    key are gone."""
+    key are gone.  Snapshot 4: customers as they are, but every 6th key in
+    HOUSEHOLD; every 89th key is missing."""
     base = _patients_base(spark, sf_dir)
     k = F.col("patient_id")
     if n == 1:
@@ -64,7 +67,10 @@ def patients_snapshot(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
         twins = (base.where((k % 50 == 0) & (k % 100 != 0))
                  .withColumn("patient_id", -k - 1))
         return main.unionByName(twins)
-    raise ValueError("snapshot number must be 1, 2 or 3")
+    if n == 4:
+        return (base.where(k % 89 != 0)
+                .withColumn("segment", F.when(k % 6 == 0, F.lit("HOUSEHOLD")).otherwise(F.col("segment"))))
+    raise ValueError("snapshot number must be 1 to 4")
 
 
 def untidy_snapshot(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
@@ -77,10 +83,9 @@ def untidy_snapshot(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
             .withColumn("patient_id", F.when(k % 13 != 0, k)))
 
 
-def patient_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three snapshots stacked, with their dates (input of SCD5)."""
-    parts = [patients_snapshot(spark, sf_dir, i).withColumn("snapshot_date", F.lit(d))
-             for i, d in ((1, D1), (2, D2), (3, D3))]
+def patient_snapshots(spark: SparkSession, sf_dir: str, which=((1, D1), (2, D2), (3, D3))) -> DataFrame:
+    """Snapshots stacked, with their dates (input of SCD5)."""
+    parts = [patients_snapshot(spark, sf_dir, i).withColumn("snapshot_date", F.lit(d)) for i, d in which]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -99,6 +104,24 @@ def dim_patient(spark: SparkSession, sf_dir: str, materialized: bool = True) ->
     return cut_lineage(dim, "dim_patient") if materialized else dim
 
 
+TARIFF = DimSpec("flag", ("quantity",), surrogate_key="tariff_key")
+
+
+def tariffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension of few keys and thousands of versions: a version of every
+    return flag for each ship date, valid until the next but gone every
+    eleventh day."""
+    li = table(spark, sf_dir, "lineitem")
+    day = F.to_date("l_shipdate")
+    own = li.groupBy(F.col("l_returnflag").alias("flag"), day.alias("start_date")).agg(F.sum("l_quantity").alias("quantity"))
+    w = Window.partitionBy("flag").orderBy("start_date")
+    end = F.lead("start_date").over(w)
+    gone = F.dayofyear("start_date") % 11 == 0
+    return (own.withColumn("end_date", F.when(gone, F.col("start_date")).otherwise(end))
+            .select(surrogate_key(F.col("flag"), F.col("start_date")).alias("tariff_key"), "flag", "quantity",
+                    "start_date", "end_date", F.col("end_date").isNull().alias("is_active")))
+
+
 def payers(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier")
     return s.select(F.col("s_suppkey").alias("payer_id"), F.col("s_name").alias("payer_name"),
