@@ -11,13 +11,9 @@ from pyspark.sql import functions as F
 
 from laketide.functions._util import as_col
 
-# The characters clean_string keeps besides ASCII letters,
-# digits and whitespace (blank, tab, newline, vertical tab, form feed,
-# carriage return).  The apostrophe is kept explicitly.
-CLEAN_KEEP_PUNCTUATION = ",.'\";:!?()_&%$#@"
-
-_WS = " \\t\\n\\x0B\\f\\r"
-CLEAN_DROP_PATTERN = "[^A-Za-z0-9" + _WS + ",.'\";:!?()_&%$#@]"
+# Fixed value: what clean_string drops, that is all but ASCII letters, digits,
+# white space and the listed punctuation (the apostrophe is kept).
+CLEAN_DROP_PATTERN = "[^A-Za-z0-9 \\t\\n\\x0B\\f\\r,.'\";:!?()_&%$#@]"
 
 # A word is a run of letters (of any script, with their marks), digits and
 # underscore; everything else separates words.  Title case upper-cases the

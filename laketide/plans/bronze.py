@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +49,51 @@ def ingest_events(spark: SparkSession, path: str, table: str, d) -> DataFrame:
     return sliced.withColumn(PART_COL, F.when(~undated, day))
 
 
+def path_on(source, d) -> str:
+    """File of a raw table on a day: one path, or {date: path}, each valid
+    from its date on."""
+    if isinstance(source, str):
+        return source
+    starts = {run_date(k): v for k, v in source.items()}
+    known = [k for k in starts if k <= run_date(d)]
+    if not known:
+        raise ValueError(f"no file for {run_date(d)}, the first one starts on {min(starts)}")
+    return starts[max(known)]
+
+
+def periods(source, first, last) -> list[tuple]:
+    """(first day, last day, path) of every file between two dates."""
+    first, last = run_date(first), run_date(last)
+    starts = [] if isinstance(source, str) else sorted(k for k in map(run_date, source) if first < k <= last)
+    begins = [first, *starts]
+    ends = [*[k - _dt.timedelta(days=1) for k in starts], last]
+    return [(b, e, path_on(source, b)) for b, e in zip(begins, ends)]
+
+
+def ingest_full_range(spark: SparkSession, source, table: str, first, last) -> DataFrame:
+    """:func:`ingest_full` of every day between two dates: each file is
+    scanned once, its rows fan out to the days on which it is valid."""
+    out = None
+    for begin, end, path in periods(source, first, last):
+        days = F.sequence(F.lit(begin), F.lit(end), F.expr("interval 1 day"))
+        part = read_csv(spark, path, raw_schema(table)).withColumn(PART_COL, F.explode(days))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def ingest_event_range(spark: SparkSession, path: str, table: str, first, last) -> DataFrame:
+    """:func:`ingest_events` of every day between two dates from one scan: an
+    event goes to the days of its start and its stop that lie between them,
+    an event without any day to the undated partition."""
+    start, stop = EVENT_TABLES[table]
+    raw = read_csv(spark, path, raw_schema(table))
+    days = F.array_distinct(F.array(F.to_date(parse_timestamp(start)), F.to_date(parse_timestamp(stop))))
+    dated = F.filter(days, lambda x: x.isNotNull())
+    inside = F.filter(dated, lambda x: x.between(F.lit(run_date(first)), F.lit(run_date(last))))
+    slices = F.when(F.size(dated) == 0, F.array(F.lit(None).cast("date"))).otherwise(inside)
+    return raw.withColumn(PART_COL, F.explode(slices))
+
+
 def ingest(spark: SparkSession, path: str, table: str, d) -> DataFrame:
     if table in EVENT_TABLES:
         return ingest_events(spark, path, table, d)

@@ -619,3 +619,32 @@ SELECT fe.date, fe.dim_patient_key, fe.dim_payer_key, fe.encounter_class, fe.pur
        round(sum(fe.patient_pay_amount), 2) AS total_patient_pay_amount
 FROM run_fe fe LEFT JOIN run_pc pc ON fe.encounter_id = pc.encounter_id AND fe.date = pc.date
 GROUP BY ALL""")
+
+# the range run: a patient's versions, of which the second one starts with the
+# second extract
+_RANGE = "BETWEEN DATE '1998-03-01' AND DATE '1998-04-30'"
+CTE["range_dim"] = f"""
+SELECT {_guid('c_custkey')} AS patient_id, md5({_guid('c_custkey')} || '::1998-03-01') AS dim_patient_key,
+       DATE '1998-03-01' AS start_date,
+       CASE WHEN c_custkey % 10 = 0 AND c_custkey % 97 <> 0 THEN DATE '1998-03-21' END AS end_date
+FROM customer
+UNION ALL
+SELECT {_guid('c_custkey')}, md5({_guid('c_custkey')} || '::1998-03-21'), DATE '1998-03-21', NULL
+FROM customer WHERE c_custkey % 10 = 0 AND c_custkey % 97 <> 0"""
+CTE["range_payer"] = f"""
+SELECT {_guid('s_suppkey')} AS payer_id, md5({_guid('s_suppkey')} || '::1998-03-01') AS dim_payer_key FROM supplier"""
+CTE["range_fe"] = f"""
+SELECT e.date, encounter_id, dim_patient_key, dim_payer_key, encounter_class, purpose,
+       claim_amount, coverage_amount, claim_amount - coverage_amount AS patient_pay_amount
+FROM (SELECT *, CAST(TRY_CAST(stop_time AS TIMESTAMP) AS DATE) AS date, coalesce(reason_description, description) AS purpose
+      FROM (SELECT * REPLACE (TRY_CAST(claim_amount AS DOUBLE) AS claim_amount,
+                              TRY_CAST(coverage_amount AS DOUBLE) AS coverage_amount) FROM conf_e) c) e
+LEFT JOIN range_dim p ON p.patient_id = e.patient_id AND p.start_date <= e.date
+     AND (p.end_date IS NULL OR p.end_date > e.date)
+LEFT JOIN range_payer y ON y.payer_id = e.payer_id
+WHERE e.date {_RANGE}"""
+CTE["range_pc"] = CTE["run_pc"].replace(f"IN {_DAYS}", _RANGE)
+ORDER += ["range_dim", "range_payer", "range_fe", "range_pc"]
+DEPS.update({"range_fe": ["conf_e", "range_dim", "range_payer"], "range_pc": ["proc"]})
+SQL["daily_run_range"] = with_ctes(["range_fe", "range_pc"], SQL["daily_run"][SQL["daily_run"].rindex("\nSELECT fe.date"):]
+                                   .replace("run_fe", "range_fe").replace("run_pc", "range_pc"))

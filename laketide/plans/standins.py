@@ -231,6 +231,14 @@ def raw_patients(spark: SparkSession, sf_dir: str, d=D1) -> DataFrame:
     )
 
 
+def raw_patients_later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later raw patients extract: every 10th patient has moved, every 97th
+    is missing."""
+    k = F.regexp_extract("ADDRESS", r"^\d+", 0).cast("long")
+    moved = F.when(k % 10 == 0, F.concat("ADDRESS", F.lit(" rear"))).otherwise(F.col("ADDRESS"))
+    return raw_patients(spark, sf_dir).where(k % 97 != 0).withColumn("ADDRESS", moved)
+
+
 def odd_code(k) -> "F.Column":
     """The code, for some keys with a sign that codes may hold (a hyphen) or
     may not hold (a slash, a star)."""
@@ -291,12 +299,13 @@ def write_raw_extracts(spark: SparkSession, sf_dir: str, base: str) -> dict[str,
     column layout, all text) derived from the driver tables."""
     from laketide.sources.schemas import RAW
     frames = {"patients": raw_patients(spark, sf_dir).drop("partition_date"),
+              "patients_later": raw_patients_later(spark, sf_dir).drop("partition_date"),
               "payers": raw_payers(spark, sf_dir),
               "encounters": raw_encounters(spark, sf_dir).drop("partition_date"),
               "procedures": raw_procedures(spark, sf_dir)}
     paths = {}
     for name, df in frames.items():
-        cols = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in RAW[name]]
+        cols = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in RAW[name.split("_")[0]]]
         paths[name] = f"{base.rstrip('/')}/{name}"
         df.select(*cols).write.option("header", True).csv(paths[name])
     return paths

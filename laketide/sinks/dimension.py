@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laketide.functions.dates import run_date
-from laketide.operators.scd2 import DimSpec, scd2_apply
-from laketide.sinks.write import overwrite_partition
+from laketide.operators.scd2 import DimSpec, scd2_apply, scd2_continue, scd2_from_snapshots
+from laketide.sinks.write import overwrite_partition, overwrite_range
 from laketide.sources.tables import read_table, table_exists
 
 LOAD_DATE = "load_date"
@@ -98,6 +98,33 @@ class DimensionTables:
         overwrite_partition(step.where(~active), self.closed_table, end, d)
         overwrite_partition(step.where(active), self.open_table, LOAD_DATE, d)
 
+    def step_range(self, snapshots: DataFrame, first, date_col: str) -> tuple[DataFrame, DataFrame | None]:
+        """What the loads of many days, all from ``first`` on, change (see
+        :func:`scd2_continue`), and the open versions that they start from;
+        nothing is written."""
+        before = self.active(before=first)
+        if before is None:
+            return scd2_from_snapshots(snapshots, self.spec, date_col), None
+        return scd2_continue(before, snapshots, self.spec, date_col), before
+
+    def store_range(self, changed: DataFrame, before: DataFrame | None, last) -> None:
+        """Store :meth:`step_range` (``changed`` a stored copy) as one load of
+        the date ``last``: the versions that it closes by their end dates,
+        then, in one partition, the open ones.  Like :meth:`store` it can be
+        run again, and has no effect when it dies half way."""
+        last = run_date(last)
+        spec, active = self.spec, F.col(self.spec.active_col)
+        opened = changed.where(active)
+        if before is not None:
+            opened = before.join(changed.select(spec.surrogate_key), spec.surrogate_key, "left_anti").unionByName(opened)
+        if self.last_load() == last:
+            overwrite_partition(changed.limit(0), self.open_table, LOAD_DATE, last)
+        finished = self.last_load()
+        begin = None if finished is None else finished + _dt.timedelta(days=1)
+        # dates behind the last finished load belong to this one or to one that died
+        overwrite_range(changed.where(~active), self.closed_table, spec.end_col, begin, None)
+        overwrite_partition(opened.select(*spec.columns), self.open_table, LOAD_DATE, last)
+
     def create_views(self, database: str, name: str) -> str:
         """Catalog tables ``<name>_open`` and ``<name>_closed`` over the
         files, and the view ``<name>`` of the whole dimension; returns the

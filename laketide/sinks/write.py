@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from laketide.functions.dates import run_date
@@ -138,6 +138,38 @@ def overwrite_partition(df: DataFrame, target: str, part_col: str, d, *,
         spark.catalog.dropTempView(view)
 
 
+def overwrite_range(df: DataFrame, target: str, part_col: str, first, last, *, undated: bool = False) -> int:
+    """All date partitions from ``first`` to ``last`` (with ``undated`` also
+    the NULL partition) of a path table end up holding exactly the rows of
+    ``df``, which has no others; returns the number of rows.  A bound that is
+    None is open.
+
+    One dynamic overwrite writes the days that have rows, and the days that
+    have none any more are cleared behind it.  The dates written come from
+    the write itself (``observe``); only dates reach the driver.
+    """
+    spark = df.sparkSession
+    held = set()
+    between = F.col(part_col).isNotNull()
+    if first is not None:
+        between = between & (F.col(part_col) >= F.lit(run_date(first)))
+    if last is not None:
+        between = between & (F.col(part_col) <= F.lit(run_date(last)))
+    if table_exists(spark, target):
+        some = between | F.col(part_col).isNull() if undated else between
+        held = {r[0] for r in read_table(spark, target).where(some).select(part_col).distinct().collect()}
+    obs = Observation()
+    day = F.coalesce(F.col(part_col).cast("string"), F.lit(NULL_PARTITION))
+    seen = cluster_for_write(df, part_col).observe(
+        obs, F.collect_set(day).alias("days"), F.count(F.lit(1)).alias("n"))
+    overwrite_partitions(seen, target, part_col, clustered=True)
+    written = {None if x == NULL_PARTITION else run_date(x) for x in obs.get["days"]}
+    empty = read_table(spark, target).limit(0)
+    for d in held - written:
+        overwrite_partition(empty, target, part_col, d)
+    return int(obs.get["n"])
+
+
 def append(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> None:
     """Append rows (SNK4); with ``columns``, only those columns (SNK5)."""
     if columns:
