@@ -21,10 +21,10 @@ with a Jaccard similarity of t share at least t * n tokens, so at most
 3. *Verification*: among the sets with a common signature the smallest one is
    compared with the others, on the words themselves.  Compared, it leaves the
    signature's group; groups whose sets are all in one component are done.
-   After ``STARS`` such rounds every set that is not in the component of its
-   group's first one is compared with the others of the group.  So a group of
-   n near copies costs about n comparisons, and no link between components is
-   left out.
+   Sets outside the component of their group's first one are compared with
+   ``PIVOTS`` members of it, and those that are still outside with all others
+   that may be linked.  So a group of n near copies costs about n comparisons,
+   and no link between components is left out.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ RARE = 32           # sets up to which a token is a signature by itself
 COMMON = 1024       # sets from which combinations of three are taken
 PART = 2_000_000    # tokens that are counted in one go
 SENT = 1_000_000    # tokens that a task deals out in one go
-STARS = 4
+PIVOTS = 8          # of a component, for the sets that its first ones do not reach
 PAIRS_A_TASK = 64   # comparisons with one set before it is sent to another task
 
 
@@ -284,43 +284,71 @@ def _links(signed: DataFrame, sets: DataFrame, words: int, num: int, den: int) -
     """Written links (a, b) that join all sets that links reach."""
     sizes = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig")
     at = written(signed.join(sizes, "sig"), "groups")
-    scratch, links, tested = [at], None, None
-    for turn in range(STARS + 1):
-        first = at.groupBy("sig").agg(F.min(F.struct("v", "n", *(["label"] if turn else []))).alias("f"))
-        met = at.join(first, "sig").where(F.col("v") != F.col("f.v"))
-        if turn < STARS:
-            fresh = met.where(_fits(F.col("n"), F.col("f.n"), num, den))
-            if turn:
-                fresh = fresh.where(F.col("label") != F.col("f.label"))
-            pairs = fresh.select(F.col("f.v").alias("a"), F.col("v").alias("b"))
-        else:
-            # sets outside the component of the first one, with all others
-            out = met.where(F.col("label") != F.col("f.label")).select(
-                "sig", F.col("v").alias("x"), F.col("n").alias("xn"), F.col("label").alias("xl"))
-            both = at.join(out, "sig").where((F.col("label") != F.col("xl")) & _fits(F.col("n"), F.col("xn"), num, den))
-            pairs = both.select(F.least("v", "x").alias("a"), F.greatest("v", "x").alias("b"))
-        pairs = pairs.distinct()
-        if tested is not None:
+    discard(signed)
+    done, scratch = [], [at]
+
+    def verify(pairs):
+        for tested, _ in done:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
-        found = written(_verified(pairs, sets, words, num, den), "links")
-        scratch += [pairs, found]
-        tested = pairs if tested is None else tested.union(pairs)
-        links = found if links is None else links.union(found)
-        if turn == STARS:
-            break
-        labels = components(links)
-        # the first one has met all others of its group
-        rest = met.select("sig", "v", "n").join(labels, "v", "left")
+        done.append((pairs, written(_verified(pairs, sets, words, num, den), "links")))
+
+    def ordered(x, y):
+        return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+    def still_open(rows):
+        """Rows (sig, v, n, label, near) of groups with several components;
+        near is the component of the first one."""
+        labels = components(found())
+        rest = rows.select("sig", "v", "n").join(labels, "v", "left")
         rest = rest.withColumn("label", F.coalesce("label", "v"))
-        open_groups = (rest.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-                       .where("x <> y").select("sig"))
-        at = written(rest.join(open_groups, "sig", "left_semi"), "open_groups")
-        scratch.append(at)
-        if at.isEmpty():
-            break
-    out = written(links, "all_links")
-    discard(*scratch)
+        groups = (rest.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"),
+                                          F.min(F.struct("v", "label")).alias("f"))
+                  .where("x <> y").select("sig", F.col("f.label").alias("near")))
+        out = written(rest.join(groups, "sig"), "open_groups")
+        scratch.append(out)
+        return out
+
+    def found():
+        links = done[0][1]
+        for _, more in done[1:]:
+            links = links.union(more)
+        return links
+    first = at.groupBy("sig").agg(F.min(F.struct("v", "n")).alias("f"))
+    met = at.join(first, "sig").where(F.col("v") != F.col("f.v"))
+    verify(met.where(_fits(F.col("n"), F.col("f.n"), num, den)).select(*ordered("v", "f.v")).distinct())
+    at = still_open(met)        # the first one has met all others of its group
+    if not at.isEmpty():
+        # sets outside a component, with some that have much in common with it
+        share = F.pmod(F.xxhash64("v"), F.lit(PIVOTS))
+        inside = (at.where("label = near").groupBy("near", "v").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"))
+                  .withColumn("share", share))
+        pivots = (inside.groupBy("near", "share").agg(F.max(F.struct("c", "v", "n")).alias("p"))
+                  .select("near", F.col("p.v").alias("pv"), F.col("p.n").alias("pn")))
+        outside = at.where("label <> near").select("near", "v", "n").distinct()
+        verify(outside.join(pivots, "near").where(_fits(F.col("n"), F.col("pn"), num, den))
+               .select(*ordered("v", "pv")).distinct())
+        at = still_open(at)
+    if not at.isEmpty():
+        # every set outside with all others of its groups, or with all that
+        # have to do with the component, whichever are fewer
+        out = at.where("label <> near")
+        by_sig = (at.groupBy("near", "sig").agg(F.count(F.lit(1)).alias("c"),
+                                                F.sum((F.col("label") != F.col("near")).cast("long")).alias("o"))
+                  .groupBy("near").agg(F.sum(F.col("c") * F.col("o")).alias("by_sig")))
+        members = at.select("near", "v", "n", "label").distinct()
+        by_near = (members.groupBy("near").agg(F.count(F.lit(1)).alias("c"),
+                                               F.sum((F.col("label") != F.col("near")).cast("long")).alias("o")))
+        way = by_sig.join(by_near, "near").select("near", (F.col("by_sig") <= F.col("c") * F.col("o")).alias("narrow"))
+        x = [F.col("v").alias("x"), F.col("n").alias("xn"), F.col("label").alias("xl")]
+        apart = (F.col("label") != F.col("xl")) & _fits(F.col("n"), F.col("xn"), num, den)
+        narrow, wide = way.where("narrow").select("near"), way.where(~F.col("narrow")).select("near")
+        pairs = (at.join(out.join(narrow, "near", "left_semi").select("sig", *x), "sig").where(apart).select(*ordered("v", "x"))
+                 .union(members.join(members.where("label <> near").join(wide, "near", "left_semi").select("near", *x), "near")
+                        .where(apart).select(*ordered("v", "x"))))
+        verify(pairs.distinct())
+    out = written(found(), "all_links")
+    discard(*scratch, *[t for both in done for t in both])
     return out
 
 
@@ -368,7 +396,7 @@ def ngram_join(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (8
     signed = written(_signed(counted, num, den, classes), "signatures")
     discard(singles)
     links = _links(signed, sets, words, num, den)
-    discard(signed, sets)
+    discard(sets)
     labels = components(links)
 
     own = full.select("doc_id", "text_hash", "n_shingles", "v").join(labels, "v", "left")
