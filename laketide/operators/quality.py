@@ -128,10 +128,12 @@ def quarantine(df: DataFrame, rules: Sequence[Rule], col: str = "dq_failures") -
     Both halves come from the same tagged plan; together they hold every
     input row exactly once.
     """
-    tagged = with_failures(df, rules, col)
-    clean = tagged.where(F.size(col) == 0).drop(col)
-    bad = tagged.where(F.size(col) > 0)
-    return clean, bad
+    return halves(with_failures(df, rules, col), col)
+
+
+def halves(tagged: DataFrame, col: str = "dq_failures") -> tuple[DataFrame, DataFrame]:
+    """(clean rows, failing rows) of a plan tagged by :func:`with_failures`."""
+    return tagged.where(F.size(col) == 0).drop(col), tagged.where(F.size(col) > 0)
 
 
 def unique_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -583,6 +583,23 @@ _FACT_RULES = [_nn(c) for c in ("date", "encounter_id", "dim_patient_key", "dim_
                                 "start_time", "base_cost_amount", "length_of_stay_num")]
 SQL["gold_quality"] = with_ctes(["fe"], _counts_sql("fe", _FACT_RULES))
 
+SQL["gold_uniqueness"] = """
+WITH li AS (SELECT l_orderkey AS encounter_id, CAST(date_trunc('month', l_shipdate) AS DATE) AS date FROM lineitem),
+loads(load, first, last) AS (VALUES (1, DATE '1992-01-01', DATE '1996-12-01'),
+    (2, DATE '1998-01-01', DATE '2099-12-01'), (3, DATE '1997-01-01', DATE '1997-12-01')),
+placed AS (SELECT encounter_id, date, load FROM li JOIN loads ON date BETWEEN first AND last)
+SELECT t.load, p.encounter_id, CAST(count(*) AS BIGINT) AS n_rows, count(DISTINCT p.date) AS n_dates,
+       min(p.date) AS first_date, max(p.date) AS last_date
+FROM (SELECT DISTINCT load, encounter_id FROM placed) t JOIN placed p
+  ON p.encounter_id = t.encounter_id AND p.load <= t.load
+GROUP BY t.load, p.encounter_id HAVING count(*) > 1"""
+
+SQL["publish_audited"] = """
+SELECT o_orderkey, round(CASE WHEN date BETWEEN DATE '1995-03-01' AND DATE '1995-06-01'
+                              THEN o_totalprice + 1 ELSE o_totalprice END, 2) AS o_totalprice, date
+FROM (SELECT o_orderkey, o_totalprice, CAST(date_trunc('month', o_orderdate) AS DATE) AS date FROM orders) o
+WHERE date <> DATE '1995-05-01'"""
+
 # ---------------------------------------------------------- whole pipeline
 _P_D1 = "DATE '1998-03-01'"
 _DAYS = "(DATE '1998-03-01', DATE '1998-03-02')"

@@ -21,6 +21,8 @@ from laketide.plans import bronze, gold, silver
 from laketide.session import cut_lineage, scratch_path, stored
 from laketide.sinks import write as W
 from laketide.sinks.dimension import DimensionTables
+from laketide.sinks.keyindex import KeyIndex
+from laketide.sinks.published import PublishedTable
 from laketide.sources.files import read_csv
 from laketide.sources.tables import read_table
 from laketide.plans import standins as si
@@ -404,6 +406,62 @@ def q_gold_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return DQ.quality_counts(q_fact_encounter(spark, sf_dir), gold.FACT_ENCOUNTER_RULES)
 
 
+def _procedure_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items by the month in which they were shipped."""
+    return si.table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("encounter_id"), F.col("l_extendedprice").alias("base_cost_amount"),
+        F.trunc(F.col("l_shipdate").cast("date"), "MM").alias("date"))
+
+
+# loads of whole months: first and last month
+INDEX_LOADS = (("1992-01-01", "1996-12-01"), ("1998-01-01", "2099-12-01"), ("1997-01-01", "1997-12-01"))
+
+
+def q_gold_uniqueness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ5 over the whole table on incremental loads: line items loaded in
+    three loads of months, the last one late; every load names its orders
+    that the table then holds more than once, found in the key index."""
+    rows = _procedure_months(spark, sf_dir)
+    index = KeyIndex(spark, scratch_path(spark, "key_index"), ["encounter_id"])
+    out = None
+    for i, (first, last) in enumerate(INDEX_LOADS, 1):
+        load = rows.where(F.col("date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
+        found = cut_lineage(index.violations(load, first, last).select(F.lit(i).alias("load"), "*"), "violations")
+        index.store(load, first, last)
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+PUBLISHED = ("1992-01-01", "2099-12-01")
+REPUBLISHED = ("1995-03-01", "1995-06-01")
+
+
+def q_publish_audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK1, SNK3 and DQ4 as write, audit, publish: all orders published by
+    month; four months are sent again, first with an order without a price,
+    which the audit refuses, then with other prices and an empty month, which
+    readers see; a last load is staged and never published."""
+    orders = si.table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.trunc(F.col("o_orderdate").cast("date"), "MM").alias("date"))
+    base = scratch_path(spark, "published")
+    table = PublishedTable(spark, "published_" + base.rsplit("-", 1)[-1], base)
+    rules = DQ.not_null("o_orderkey", "o_totalprice")
+    table.load(orders, *PUBLISHED, rules, [["o_orderkey"]])
+    again = orders.where(F.col("date").between(*[F.lit(d).cast("date") for d in REPUBLISHED]))
+    bad = again.withColumn("o_totalprice", F.when(F.col("o_orderkey") != again.agg(
+        F.min("o_orderkey")).first()[0], F.lit(1.0)))
+    try:
+        table.load(bad, *REPUBLISHED, rules)
+    except DQ.QualityError:
+        pass
+    else:
+        raise AssertionError("a failing load was published")
+    sent = again.where(F.month("date") != 5).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    table.load(sent, *REPUBLISHED, rules, [["o_orderkey"]])
+    table.stage(again.withColumn("o_totalprice", F.lit(0.0)), *REPUBLISHED)
+    return table.read().select("o_orderkey", F.round("o_totalprice", 2).alias("o_totalprice"), "date")
+
+
 # ---------------------------------------------------------- whole pipeline
 RUN_DAYS = ("1998-03-01", "1998-03-02")
 
@@ -490,6 +548,8 @@ QUERIES = {
     "conform_procedures": q_conform_procedures,
     "payer_quality": q_payer_quality,
     "procedure_quality": q_procedure_quality,
+    "gold_uniqueness": q_gold_uniqueness,
+    "publish_audited": q_publish_audited,
     "gold_quality": q_gold_quality,
     "daily_run": q_daily_run,
     "daily_run_range": q_daily_run_range,

@@ -27,6 +27,7 @@ from laketide.operators.scd2 import one_row_per_key, unusable_rows
 from laketide.plans import bronze, gold, silver
 from laketide.session import stored
 from laketide.sinks.dimension import DimensionTables, catalog_table
+from laketide.sinks.keyindex import KeyIndex
 from laketide.sinks.write import materialize, overwrite_partition, overwrite_range
 from laketide.sources.tables import read_slice, read_table, table_exists
 
@@ -52,6 +53,9 @@ class Layout:
     def gold(self, t: str) -> str:
         return f"{self.root.rstrip('/')}/gold/{t}"
 
+    def keys(self, t: str, keys) -> str:
+        return f"{self.root.rstrip('/')}/keys/{t}/{'+'.join(keys)}"
+
 
 @dataclass
 class DayReport:
@@ -91,9 +95,12 @@ def run_silver(spark: SparkSession, d, layout: Layout, report: DayReport, policy
         observed, obs = DQ.observe_quality(conformed, rules, name=f"dq_{t}")
         # static overwrite of the day: a re-run replaces the day completely
         if policy == "quarantine":
-            clean, bad = DQ.quarantine(observed, rules)
-            overwrite_partition(bad, layout.quarantine(t), silver.PART_COL, d)
-            overwrite_partition(typed(clean), layout.silver(t), silver.PART_COL, d)
+            # the rows are read, tagged and counted once; both tables take
+            # their half from the tagged copy
+            with stored(DQ.with_failures(observed, rules), t) as tagged:
+                clean, bad = DQ.halves(tagged)
+                overwrite_partition(bad, layout.quarantine(t), silver.PART_COL, d)
+                overwrite_partition(typed(clean), layout.silver(t), silver.PART_COL, d)
         else:
             overwrite_partition(typed(observed), layout.silver(t), silver.PART_COL, d)
         report.quality[t] = {k: int(v or 0) for k, v in obs.get.items()}
@@ -153,20 +160,41 @@ def run_dimensions(spark: SparkSession, d, layout: Layout, report: DayReport,
         report.quality[name] = checks
 
 
-def _store_gold(spark: SparkSession, df, name: str, d, layout: Layout, report: DayReport, policy: str) -> None:
-    """One gold table's day, with its declared checks: counted on the
-    partition just written (a pruned read of one date), or under ``fail`` on
-    a stored copy, so that a failing day is never written."""
+def _store_gold(spark: SparkSession, df, name: str, first, last, layout: Layout, report: DayReport, policy: str,
+                write) -> None:
+    """One gold table's dates from ``first`` to ``last``, stored by
+    ``write``, with its declared checks.
+
+    Rules are counted on the partitions just written (a pruned read), or
+    under ``fail`` on a stored copy, so that a failing load is never written.
+    Declared keys are unique over the whole table: the load's keys are looked
+    up in the table's key index (:class:`KeyIndex`), and the count is that of
+    the load's keys that the table holds more than once, whatever the dates.
+    The index is written after the table; a load that died between the two is
+    indexed by the next.
+    """
     rules, unique = gold.GOLD_RULES[name], gold.UNIQUE_KEYS.get(name, [])
     target = layout.gold(name)
+    indexes = [KeyIndex(spark, layout.keys(name, keys), keys, "date") for keys in unique]
+
+    def counts(rows) -> dict[str, int]:
+        found = _rule_counts(rows, rules)
+        for index in indexes:
+            index.catch_up(target, first, last)
+            found[f"{'+'.join(index.keys)}:unique"] = index.violations(rows, first, last).count()
+        return found
     if policy == "fail":
         with stored(df, name) as rows:
-            report.quality[name] = _rule_counts(rows, rules, unique)
+            report.quality[name] = counts(rows)
             DQ.check(report.quality[name], policy)
-            report.writes[f"gold/{name}"] = materialize(rows, target, "date", d)
+            write(rows, target)
     else:
-        report.writes[f"gold/{name}"] = materialize(df, target, "date", d)
-        report.quality[name] = _rule_counts(read_slice(spark, target, d, "date"), rules, unique)
+        write(df, target)
+        written = read_table(spark, target).where(F.col("date").between(F.lit(first), F.lit(last)))
+        report.quality[name] = counts(written)
+    for index in indexes:
+        written = read_table(spark, target).where(F.col("date").between(F.lit(first), F.lit(last)))
+        index.store(written, first, last)
 
 
 def run_facts(spark: SparkSession, d, layout: Layout, report: DayReport, policy: str = "report") -> None:
@@ -178,11 +206,16 @@ def run_facts(spark: SparkSession, d, layout: Layout, report: DayReport, policy:
     report.quality["open_events"] = {
         "encounters": enc.where(F.col("stop_time").isNull()).count(),
         "procedures": proc.where(F.col("stop_time").isNull()).count()}
-    _store_gold(spark, gold.fact_encounter(enc, dim_patient, dim_payer, d), "fact_encounter", d, layout, report, policy)
-    _store_gold(spark, gold.fact_procedure(proc, dim_patient, d), "fact_procedure", d, layout, report, policy)
+
+    def store(name, df):
+        def write(rows, target):
+            report.writes[f"gold/{name}"] = materialize(rows, target, "date", d)
+        _store_gold(spark, df, name, d, d, layout, report, policy, write)
+    store("fact_encounter", gold.fact_encounter(enc, dim_patient, dim_payer, d))
+    store("fact_procedure", gold.fact_procedure(proc, dim_patient, d))
     roll = gold.daily_rollup(read_table(spark, layout.gold("fact_encounter")),
                              read_table(spark, layout.gold("fact_procedure")), d)
-    _store_gold(spark, roll, "daily_encounter", d, layout, report, policy)
+    store("daily_encounter", roll)
 
 
 def publish_gold(spark: SparkSession, layout: Layout, database: str = "gold") -> list[str]:
@@ -259,9 +292,10 @@ def run_range(spark: SparkSession, first, last, raw: dict, layout: Layout, polic
             DQ.check({r["rule"]: r["failed_rows"] for r in DQ.quality_counts(conformed, rules).collect()}, "fail")
         observed, obs = DQ.observe_quality(conformed, rules, name=f"dq_{t}")
         if policy == "quarantine":
-            clean, bad = DQ.quarantine(observed, rules)
-            write(bad, layout.quarantine(t), silver.PART_COL)
-            write(typed(clean), layout.silver(t), silver.PART_COL)
+            with stored(DQ.with_failures(observed, rules), t) as tagged:
+                clean, bad = DQ.halves(tagged)
+                write(bad, layout.quarantine(t), silver.PART_COL)
+                write(typed(clean), layout.silver(t), silver.PART_COL)
         else:
             write(typed(observed), layout.silver(t), silver.PART_COL)
         report.quality[t] = {k: int(v or 0) for k, v in obs.get.items()}
@@ -299,15 +333,8 @@ def run_range(spark: SparkSession, first, last, raw: dict, layout: Layout, polic
                                      "procedures": proc.where(F.col("stop_time").isNull()).count()}
 
     def store(name, df):
-        rules, unique = gold.GOLD_RULES[name], gold.UNIQUE_KEYS.get(name, [])
-        if policy == "fail":
-            with stored(df, name) as rows:
-                report.quality[name] = _rule_counts(rows, rules, unique)
-                DQ.check(report.quality[name], policy)
-                write(rows, layout.gold(name), "date")
-        else:
-            write(df, layout.gold(name), "date")
-            report.quality[name] = _rule_counts(between(read_table(spark, layout.gold(name)), "date"), rules, unique)
+        _store_gold(spark, df, name, first, last, layout, report, policy,
+                    lambda rows, target: write(rows, target, "date"))
     store("fact_encounter", gold.fact_encounter(enc, dim_patient, dim_payer))
     store("fact_procedure", gold.fact_procedure(proc, dim_patient))
     store("daily_encounter", gold.daily_rollup(*(between(read_table(spark, layout.gold(n)), "date")

@@ -45,6 +45,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def partition_values(spark: SparkSession, target: str, part_col: str) -> set[str]:
+    """Values of a path table's first partition column, as text, from its
+    folder names: no file is opened.  A missing table has none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return set()
+    names = [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()]
+    return {n.split("=", 1)[1] for n in names if n.startswith(f"{part_col}=")}
+
+
 def table_exists(spark: SparkSession, target: str) -> bool:
     """Catalog lookup for names; for paths, whether a committed write is
     there: the ``_SUCCESS`` marker every successful Spark write job leaves
