@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laketide.llm.common import running_sums
+from laketide.llm.common import let, running_sums
 
 OPEN, COLON, AND, CLOSE = "### ", ": ", "<and>", "</turn>\n"
 # Escapes, the escape sign first.
@@ -39,8 +39,9 @@ def unescape(c: Column, escapes=TEXT_ESCAPES) -> Column:
 
 def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
     """One row per conv_id: conv_id, formatted, loss_spans
-    (array<struct<start, end>>, code points of ``formatted``, end exclusive,
-    one span for each text of ``loss_role``, in order).
+    (array<struct<start, end, part>>, code points of ``formatted``, end
+    exclusive, one span for each text of ``loss_role``, in order; ``part`` is
+    the number of the text among all texts of the conversation).
 
     Rows are sorted by turn; equal turns by role, then text; a null turn
     comes last.  A null text or role is empty.  A null conv_id is a
@@ -67,10 +68,11 @@ def format_chats(turns: DataFrame, loss_role: str = "assistant") -> DataFrame:
     placed = pieces.withColumn("sizes", sizes).withColumn("before", running_sums(F.col("sizes")))
     spans = F.transform("pieces", lambda p, i: F.struct(
         (F.get(F.col("before"), i) + F.length(p["lead"])).alias("start"),
-        (F.get(F.col("before"), i) + F.get(F.col("sizes"), i)).alias("end"), p["loss"].alias("loss")))
+        (F.get(F.col("before"), i) + F.get(F.col("sizes"), i)).alias("end"), i.alias("part"), p["loss"].alias("loss")))
     return placed.select("conv_id", flat.alias("formatted"), F.transform(
         F.filter(spans, lambda s: s["loss"]),
-        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))).alias("loss_spans"))
+        lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"),
+                           s["part"].alias("part"))).alias("loss_spans"))
 
 
 def read_back(formatted: Column) -> Column:
@@ -79,12 +81,15 @@ def read_back(formatted: Column) -> Column:
 
     def turns(block: Column) -> Column:
         role = unescape(F.substring_index(F.substr(block, F.lit(len(OPEN) + 1)), COLON, 1), ROLE_ESCAPES)
-        body = F.substr(block, F.locate(COLON, block) + len(COLON))
-        return F.transform(F.split(body, AND), lambda t: F.struct(role.alias("role"), unescape(t).alias("text")))
+        texts = F.split(F.substr(block, F.locate(COLON, block) + len(COLON)), AND)
+        return let(F.struct(role.alias("role"), texts.alias("texts")), lambda b: F.transform(
+            b["texts"], lambda t: F.struct(b["role"].alias("role"), unescape(t).alias("text"))))
     return F.flatten(F.transform(blocks, turns))
 
 
 def under_mask(formatted: Column, spans: Column) -> Column:
-    """The text under the loss mask, unescaped."""
-    return F.array_join(F.transform(spans, lambda s: unescape(F.substr(
-        formatted, (s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")))), "")
+    """The text under the loss mask, unescaped.  The string is cut at its
+    control strings once; a span is the end of its part, so the work is
+    linear in the string's length."""
+    return let(F.split(formatted, f"{CLOSE}|{AND}"), lambda parts: F.array_join(F.transform(
+        spans, lambda s: unescape(F.right(F.get(parts, s["part"]), (s["end"] - s["start"]).cast("int")))), ""))

@@ -93,6 +93,13 @@ def lower_ascii(c: Column) -> Column:
             .otherwise(F.translate(c, upper, upper.lower())))
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once.  Spark computes what a
+    lambda function takes from outside again for every element, unless it is
+    a column or a variable; here it is a variable."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def running_sums(arr: Column, block: int = 64) -> Column:
     """For an array of longs: the sum of all elements before each element.
 
@@ -104,14 +111,16 @@ def running_sums(arr: Column, block: int = 64) -> Column:
         # [0, a0, a0+a1, ...]: one element more than ``a``
         return F.aggregate(a, F.array(F.lit(0).cast("long")),
                            lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x))
-    n = F.size(arr)
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / F.lit(block)).cast("int")),
-                         lambda b: scan(F.slice(arr, b * block + 1, block)))
-    offsets = scan(F.transform(blocks, lambda b: F.element_at(b, -1)))
-    out = F.flatten(F.transform(
-        blocks, lambda b, i: F.transform(F.slice(b, F.lit(1), F.size(b) - 1),
-                                         lambda x: x + F.element_at(offsets, i + 1))))
-    return F.when(n > 0, out).otherwise(F.array().cast("array<bigint>"))
+
+    def sums(a: Column) -> Column:
+        last = F.floor((F.size(a) - 1) / F.lit(block)).cast("int")
+        return let(F.transform(F.sequence(F.lit(0), last), lambda b: scan(F.slice(a, b * block + 1, block))), joined)
+
+    def joined(blocks: Column) -> Column:
+        return let(scan(F.transform(blocks, lambda b: F.element_at(b, -1))), lambda offsets: F.flatten(
+            F.transform(blocks, lambda b, i: let(F.get(offsets, i), lambda before: F.transform(
+                F.slice(b, F.lit(1), F.size(b) - 1), lambda x: x + before)))))
+    return F.when(F.size(arr) > 0, let(arr, sums)).otherwise(F.array().cast("array<bigint>"))
 
 
 def utf8(arr) -> tuple[np.ndarray, np.ndarray]:

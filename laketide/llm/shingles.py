@@ -1,5 +1,9 @@
 """Word shingles of many texts at once, as 64-bit hashes.
 
+Words are hashed by xxHash of their bytes (see ``words``), so no two words are
+equal by structure; a shingle is a sum of its words' hashes, each times an odd
+constant, which is as good as random for different runs of words.
+
 A word is a run of bytes other than the six white-space characters, after
 A-Z are lower-cased.  A text's shingles are all runs of ``k`` words; a text
 with fewer words has its whole sequence as its one shingle; a text without
@@ -11,12 +15,12 @@ from __future__ import annotations
 import numpy as np
 
 from laketide.llm.common import WHITE_BYTES, mixed, odd_constants
+from laketide.llm.words import hashed
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SPACE = np.zeros(256, bool)
 _SPACE[list(WHITE_BYTES)] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+STRETCH = 4 << 20     # bytes of a text whose words are held as objects at a time
 
 _powers = np.ones(1, np.uint64)
 _inverse = np.ones(1, np.uint64)
@@ -33,31 +37,37 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[:n], _inverse[:n]
 
 
+def _stretches(data: np.ndarray, start: int, end: int):
+    """Cut a long text behind white space (a word longer than a stretch stays
+    whole)."""
+    size = STRETCH
+    while end - start > size:
+        white = np.flatnonzero(_SPACE[data[start:start + size]])
+        if not len(white):
+            size *= 2
+            continue
+        cut = start + int(white[-1]) + 1
+        yield start, cut
+        start, size = cut, STRETCH
+    yield start, end
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of every word, number of words of every text)."""
-    n = len(data)
-    n_docs = len(offsets) - 1
-    if n == 0:
-        return np.zeros(0, np.uint64), np.zeros(n_docs, np.int64)
-    inside = ~_SPACE[data]
-    first = np.zeros(n + 1, bool)
-    first[offsets[:-1]] = True          # an empty text marks its neighbour's start
-    before = np.empty(n, bool)
-    before[0] = False
-    before[1:] = inside[:-1]
-    starts = np.flatnonzero(inside & (~before | first[:-1]))
-    after = np.empty(n, bool)
-    after[-1] = False
-    after[:-1] = inside[1:]
-    first[n] = True
-    ends = np.flatnonzero(inside & (~after | first[1:]))
-    powers, inverse = _power_tables(n)
-    total = np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * powers, dtype=np.uint64)
-    upto = total[ends]
-    upto[starts > 0] -= total[starts[starts > 0] - 1]
-    hashes = mixed(upto * inverse[starts] + (ends - starts).astype(np.uint64))
-    counts = np.searchsorted(starts, offsets[1:]) - np.searchsorted(starts, offsets[:-1])
-    return hashes, counts
+    out, counts = [], np.zeros(len(offsets) - 1, np.int64)
+    few, held = [], 0       # words of small texts, hashed together
+    ends = offsets.tolist()
+    for i, (start, end) in enumerate(zip(ends, ends[1:])):
+        for a, b in _stretches(data, start, end):
+            words = data[a:b].tobytes().lower().split()
+            counts[i] += len(words)
+            few.extend(words)
+            held += b - a
+            if held >= STRETCH:
+                out.append(hashed(few))
+                few, held = [], 0
+    out.append(hashed(few))
+    return np.concatenate(out), counts
 
 
 def shingle_hashes(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

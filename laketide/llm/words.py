@@ -29,6 +29,13 @@ class _Words(dict):
 _known = _Words()
 
 
+def hashed(words: list[bytes]) -> np.ndarray:
+    """Hashes of words, in order."""
+    if len(_known) > REMEMBERED:
+        _known.clear()
+    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words of a text; ``bytes.split`` parts at exactly the six characters."""
     return text.encode().lower().split() if text else []
