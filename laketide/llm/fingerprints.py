@@ -59,7 +59,11 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> n
         values[doc[hit], at[hit]] = values[doc[hit], target[hit]]
         doc, at = doc[~hit], at[~hit]
         probe += 1
-    out[some] = (values[some] & np.uint64((1 << BITS) - 1)).astype(np.uint8)
+    # each bin mixes the value before it is cut to its low bits: otherwise the
+    # bins of a text with few shingles, copies of few values, agree by chance
+    # all together
+    turned = mixed(values[some] + mixed(np.arange(1, BINS + 1, dtype=np.uint64)))
+    out[some] = (turned & np.uint64((1 << BITS) - 1)).astype(np.uint8)
     return out
 
 

@@ -2,6 +2,8 @@ import hashlib
 
 import pytest
 
+import numpy as np
+
 from laketide.llm import fingerprints as fp
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -65,3 +67,13 @@ def test_edges(spark, rows):
         texts.setdefault(r.doc_id, set()).add(r.fingerprint)
     if rows and rows[0][0] == 5:
         assert len(texts[5]) == 1
+
+
+def test_short_texts_do_not_agree_by_chance():
+    """Texts of one shingle fill all bins with copies of one value."""
+    texts = [f"word{i} other{i}" for i in range(400)]
+    data = [t.encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(d) for d in data])]).astype(np.int64)
+    prints = fp.fingerprints(np.frombuffer(b"".join(data), np.uint8), offsets)
+    full = np.zeros(len(texts) - 1, bool)
+    assert fp.likeness(prints[1:], prints[:-1], full, full).max() < 0.1
