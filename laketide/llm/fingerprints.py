@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laketide.llm.common import in_pieces, mixed, utf8, written
+from laketide.llm.common import in_pieces, let, mixed, utf8, written
 from laketide.llm.shingles import shingle_hashes
 
 BINS = 256
@@ -109,8 +109,8 @@ def fingerprint(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 _OUT = ("doc_id {id}, n_chars bigint, edited_sha256 string, fingerprint string, "
         "edited_fingerprint string, near_edited double, near_next double")
-# ids sampled for the bounds of the ranges (the only thing they decide is
-# how even the ranges are)
+# distinct ids sampled, about, for the bounds of the ranges (the only thing
+# they decide is how even the ranges are)
 BOUND_SAMPLE = 20_000
 
 
@@ -135,24 +135,24 @@ def compare_neighbours(docs: DataFrame, words: int = WORDS) -> DataFrame:
     spark = docs.sparkSession
     id_type = docs.schema["doc_id"].dataType.simpleString()
     ids = docs.select("doc_id").where("doc_id is not null")
-    some = sorted(r.doc_id for r in ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(BOUND_SAMPLE).collect())
+    # a threshold on the ids' hashes: about as many reach the driver at any size
+    share = min(1.0, BOUND_SAMPLE / max(1, ids.count()))
+    limit = min(2 ** 63 - 1, int((share * 2 - 1) * 2 ** 63))
+    some = ids.where(F.xxhash64("doc_id") <= F.lit(limit)).distinct()
+    some = sorted(r.doc_id for r in some.collect())
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = sorted({some[i * len(some) // ranges] for i in range(1, ranges)}) if some else []
-    part = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1))
-    if bounds:
-        # how many bounds are not above the id: a binary search on constants
-        part = part.otherwise(_rank(F.col("doc_id"), bounds))
-    else:
-        part = part.otherwise(F.lit(0))
-    rows = docs.select(part.cast("int").alias("part"), F.col("doc_id").isNull().alias("z"), "doc_id",
+    table = spark.createDataFrame([(bounds,)], f"bounds array<{id_type}>")
+    part = _rank(F.col("doc_id"), F.col("bounds"), len(bounds)) if bounds else F.lit(0)
+    part = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(part)
+    rows = docs.select("doc_id", "text", table.scalar().alias("bounds"))
+    rows = rows.select(part.cast("int").alias("part"), F.col("doc_id").isNull().alias("z"), "doc_id",
                        F.coalesce(F.col("text"), F.lit("")).alias("text"))
     heads = written(rows.groupBy("part").agg(F.min(F.struct("z", "doc_id", "text")).alias("h"))
                     .select("part", "h.z", "h.doc_id", "h.text"), "range_heads")
     parts = sorted(r.part for r in heads.select("part").collect())      # one number a range
-    before = dict(zip(parts, parts[-1:] + parts[:-1]))
-    if before:
-        previous = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-        heads = heads.withColumn("part", previous[F.col("part")])
+    before = spark.createDataFrame(list(zip(parts, parts[-1:] + parts[:-1])), "part int, previous int")
+    heads = heads.join(before, "part").select(F.col("previous").alias("part"), "z", "doc_id", "text")
     both = (rows.withColumn("ghost", F.lit(False)).unionByName(heads.withColumn("ghost", F.lit(True)))
             .repartition("part").sortWithinPartitions("part", "ghost", "z", "doc_id", "text")
             .select("doc_id", "text", "ghost"))
@@ -171,13 +171,13 @@ def compare_neighbours(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return both.mapInArrow(run, _OUT.format(id=id_type))
 
 
-def _rank(c: Column, bounds: list) -> Column:
-    """Number of ``bounds`` (sorted) that are not above ``c``."""
-    if len(bounds) == 1:
-        return (c >= F.lit(bounds[0])).cast("int")
-    half = len(bounds) // 2
-    low, high = bounds[:half], bounds[half:]
-    return F.when(c < F.lit(high[0]), _rank(c, low)).otherwise(F.lit(half) + _rank(c, high))
+def _rank(c: Column, bounds: Column, n: int) -> Column:
+    """Number of the ``n`` elements of the sorted array ``bounds`` that are
+    not above ``c``: a binary search in halving steps, an expression of the
+    same size whatever ``n``."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(n.bit_length()))])
+    return let(F.struct(bounds.alias("b"), c.alias("c")), lambda v: F.aggregate(
+        steps, F.lit(0), lambda at, step: F.when(F.get(v["b"], at + step - 1) <= v["c"], at + step).otherwise(at)))
 
 
 def _compared(ids, texts, at, words, id_type) -> pa.RecordBatch:

@@ -77,3 +77,18 @@ def test_short_texts_do_not_agree_by_chance():
     prints = fp.fingerprints(np.frombuffer(b"".join(data), np.uint8), offsets)
     full = np.zeros(len(texts) - 1, bool)
     assert fp.likeness(prints[1:], prints[:-1], full, full).max() < 0.1
+
+
+def test_many_shuffle_partitions(spark):
+    """Neither the plan nor its time grows with the number of ranges."""
+    rows = [(i * 3 - 2000, f"t{i % 7} " * (i % 20)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2000")
+        df = fp.compare_neighbours(docs)
+        assert len(df._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+        got = df.collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert max(check(rows, got)) < 0.2
