@@ -408,6 +408,7 @@ ORDER += ["s4", "dim4"]
 DEPS |= {"s4": ["p_base"], "dim4": ["dim3", "s4"]}
 SQL["scd2_continued"] = with_ctes(["dim4"], f"SELECT {_cols(DIM_COLS)} FROM dim4")
 SQL["scd2_late_snapshot"] = SQL["scd2_continued"]
+SQL["dimension_log"] = SQL["scd2_continued"]
 
 SQL["asof_event_date_merge"] = """
 WITH v AS (

@@ -21,6 +21,7 @@ from laketide.plans import bronze, gold, silver
 from laketide.session import cut_lineage, scratch_path, stored
 from laketide.sinks import write as W
 from laketide.sinks.dimension import DimensionTables
+from laketide.sinks.dimension_log import DimensionLog
 from laketide.sinks.keyindex import KeyIndex
 from laketide.sinks.published import PublishedTable
 from laketide.sources.files import read_csv
@@ -313,6 +314,19 @@ def q_dimension_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(tables.create_views("laketide_gold", "dim_patient"))
 
 
+def q_dimension_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SCD-2 state kept as a log of changes: four loads, the second run twice
+    (first from the wrong snapshot), a compaction behind the second and the
+    third run again upon it; read as the catalog view."""
+    tables = DimensionLog(spark, scratch_path(spark, "dim_patient_log"), si.PATIENT)
+    for n, d in ((1, si.D1), (3, si.D2), (2, si.D2), (4, si.D3), (3, si.D3), (4, si.D4)):
+        with stored(tables.step(si.patients_snapshot(spark, sf_dir, n), d)) as step:
+            tables.store(step, d)
+        if n == 2:
+            tables.compact()
+    return spark.table(tables.create_views("laketide_gold", "dim_patient_log"))
+
+
 def q_scd2_null_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SCD4 and SCD5 on snapshots with NULL keys, repeated rows and rows
     that differ for one key: two loads by steps, whose versions must be
@@ -539,6 +553,7 @@ QUERIES = {
     "materialize_modes": q_materialize_modes,
     "materialize_append": q_materialize_append,
     "dimension_versions": q_dimension_versions,
+    "dimension_log": q_dimension_log,
     "scd2_null_duplicate_keys": q_scd2_null_duplicate_keys,
     "conform_patients": q_conform_patients,
     "conform_encounters": q_conform_encounters,

@@ -27,6 +27,7 @@ from laketide.operators.scd2 import one_row_per_key, unusable_rows
 from laketide.plans import bronze, gold, silver
 from laketide.session import stored
 from laketide.sinks.dimension import DimensionTables, catalog_table
+from laketide.sinks.dimension_log import DimensionLog
 from laketide.sinks.keyindex import KeyIndex
 from laketide.sinks.write import materialize, overwrite_partition, overwrite_range
 from laketide.sources.tables import read_slice, read_table, table_exists
@@ -37,9 +38,11 @@ DIMENSIONS = {"patients": ("dim_patient", gold.DIM_PATIENT), "payers": ("dim_pay
 
 @dataclass(frozen=True)
 class Layout:
-    """Where each layer's tables live (a shared storage root)."""
+    """Where each layer's tables live (a shared storage root), and whether
+    the dimensions are kept as logs of changes (:class:`DimensionLog`)."""
 
     root: str
+    dimension_log: bool = False
 
     def bronze(self, t: str) -> str:
         return f"{self.root.rstrip('/')}/bronze/{t}"
@@ -109,7 +112,13 @@ def run_silver(spark: SparkSession, d, layout: Layout, report: DayReport, policy
 
 def dimension(spark: SparkSession, layout: Layout, name: str) -> DimensionTables:
     spec = {n: s for n, s in DIMENSIONS.values()}[name]
-    return DimensionTables(spark, layout.gold(name), spec)
+    tables = DimensionLog if layout.dimension_log else DimensionTables
+    return tables(spark, layout.gold(name), spec)
+
+
+def _compact(tables: DimensionTables) -> None:
+    if isinstance(tables, DimensionLog) and tables.compaction_due():
+        tables.compact()
 
 
 def _rule_counts(df, rules, unique=()) -> dict[str, int]:
@@ -156,6 +165,7 @@ def run_dimensions(spark: SparkSession, d, layout: Layout, report: DayReport,
                 checks["multiple_active"] = DQ.at_most_one_active(step, key).count()
                 DQ.check(checks, policy)
                 tables.store(step, d)
+        _compact(tables)
         report.dimensions[name] = "loaded"
         report.quality[name] = checks
 
@@ -323,7 +333,8 @@ def run_range(spark: SparkSession, first, last, raw: dict, layout: Layout, polic
                 checks |= _rule_counts(step, gold.DIMENSION_RULES[name], [[spec.surrogate_key]])
                 checks["multiple_active"] = DQ.at_most_one_active(step, spec.natural_key).count()
                 DQ.check(checks, policy)
-                tables.store_range(step, before, last)
+                tables.store_range(step, before, last, first)
+        _compact(tables)
         report.dimensions[name] = "loaded"
         report.quality[name] = checks
 

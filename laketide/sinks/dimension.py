@@ -107,11 +107,12 @@ class DimensionTables:
             return scd2_from_snapshots(snapshots, self.spec, date_col), None
         return scd2_continue(before, snapshots, self.spec, date_col), before
 
-    def store_range(self, changed: DataFrame, before: DataFrame | None, last) -> None:
+    def store_range(self, changed: DataFrame, before: DataFrame | None, last, first=None) -> None:
         """Store :meth:`step_range` (``changed`` a stored copy) as one load of
         the date ``last``: the versions that it closes by their end dates,
         then, in one partition, the open ones.  Like :meth:`store` it can be
-        run again, and has no effect when it dies half way."""
+        run again, and has no effect when it dies half way.  ``first`` is not
+        needed here: the set of open versions is complete."""
         last = run_date(last)
         spec, active = self.spec, F.col(self.spec.active_col)
         opened = changed.where(active)
