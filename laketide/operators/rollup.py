@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laketide.functions.dates import run_date
+from laketide.operators.joins import hashable_columns, null_spread
 
 GRAIN = ["date", "dim_patient_key", "dim_payer_key", "encounter_class"]
 
@@ -30,26 +31,35 @@ def _on_date(df: DataFrame, d) -> DataFrame:
 
 
 def procedure_counts(fact_procedure: DataFrame, d=None) -> DataFrame:
-    """Per (encounter, date): number of procedures and of non-NULL codes.
+    """Per (encounter, date): number of procedures and of non-NULL codes;
+    procedures without an encounter belong to none.
 
     Partial aggregation runs before the shuffle, so an encounter with many
     procedures costs one row per task, not one per procedure.
     """
-    return (_on_date(fact_procedure, d)
+    return (_on_date(fact_procedure, d).where(F.col("encounter_id").isNotNull())
             .groupBy("encounter_id", "date")
             .agg(F.count("encounter_id").alias("n_procedures"),
                  F.count("code").alias("n_codes")))
 
 
-def daily_rollup(fact_encounter: DataFrame, fact_procedure: DataFrame, d=None) -> DataFrame:
+def daily_rollup(fact_encounter: DataFrame, fact_procedure: DataFrame, d=None, *,
+                 spread_nulls: bool = True) -> DataFrame:
     """Daily rollup with procedures pre-aggregated (each encounter once).
 
     ``d`` restricts both facts to one date partition (partition pruning on
     both scans); without it every date is rolled up in the same plan.
+    ``spread_nulls=False`` joins on (encounter_id, date) alone: facts that are
+    bucketed by these two columns then meet without an exchange.
     """
     fe = _on_date(fact_encounter, d)
     pc = procedure_counts(fact_procedure, d)
-    j = fe.join(pc, ["encounter_id", "date"], "left")
+    on = ["encounter_id", "date"]
+    if spread_nulls:
+        fe = fe.withColumn("_spread", null_spread(F.col("encounter_id"), hashable_columns(fe)))
+        pc = pc.withColumn("_spread", F.lit(-1).cast("long"))
+        on = [*on, "_spread"]
+    j = fe.join(pc, on, "left")
     return (j.groupBy(*GRAIN, purpose().alias("purpose"))
             .agg(F.count_distinct("encounter_id").alias("total_encounter_num"),
                  F.coalesce(F.sum("n_procedures"), F.lit(0)).cast("long").alias("total_procedure_num"),
@@ -63,10 +73,12 @@ def daily_rollup_joined(fact_encounter: DataFrame, fact_procedure: DataFrame, d=
     """Original form: join procedures first, then sum (amounts repeat per
     procedure; ``total_diagnosis_num`` counts procedure codes)."""
     fe = _on_date(fact_encounter, d)
+    fe = fe.withColumn("_spread", null_spread(F.col("encounter_id"), hashable_columns(fe)))
     fp = _on_date(fact_procedure, d).select(
         F.col("encounter_id").alias("_p_enc"), F.col("date").alias("_p_date"),
-        F.col("code").alias("_p_code"))
-    j = fe.join(fp, (fe["encounter_id"] == fp["_p_enc"]) & (fe["date"] == fp["_p_date"]), "left")
+        F.col("code").alias("_p_code"), F.lit(-1).cast("long").alias("_p_spread"))
+    j = fe.join(fp, (fe["encounter_id"] == fp["_p_enc"]) & (fe["date"] == fp["_p_date"])
+                & (fe["_spread"] == fp["_p_spread"]), "left")
     return (j.groupBy(*GRAIN, purpose().alias("purpose"))
             .agg(F.count_distinct("encounter_id").alias("total_encounter_num"),
                  F.count("_p_enc").alias("total_procedure_num"),

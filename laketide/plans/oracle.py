@@ -88,10 +88,10 @@ SELECT md5(CAST(s_suppkey AS VARCHAR) || '::' || CAST({D1} AS VARCHAR)) AS dim_p
 FROM supplier"""
 
 
-def _enc(coarse: bool) -> str:
+def _enc(coarse: bool, hot: bool = False) -> str:
     start = "date_trunc('quarter', o_orderdate)" if coarse else "o_orderdate"
-    patient = "o_custkey % 5" if coarse else "o_custkey"
-    npay = "2" if coarse else "(SELECT count(*) FROM supplier)"
+    patient = "o_custkey % 5" if hot else "o_custkey"
+    npay = "(SELECT count(*) FROM supplier)"
     return f"""
 SELECT o_orderkey AS encounter_id, {patient} AS patient_id, o_orderkey % {npay} AS payer_id,
        CAST({start} AS TIMESTAMP) AS start_time,
@@ -118,6 +118,7 @@ FROM lineitem l JOIN {enc} e ON l.l_orderkey = e.encounter_id"""
 
 CTE["enc"] = _enc(False)
 CTE["enc_c"] = _enc(True)
+CTE["enc_h"] = _enc(True, hot=True)
 CTE["proc"] = _proc("enc")
 CTE["proc_c"] = _proc("enc_c")
 
@@ -158,7 +159,7 @@ CTE["fp_c"] = _fp("proc_c")
 
 # CTE dependency order (a query pulls in what it needs, in this order).
 ORDER = ["p_base", "s1", "s2", "s3", "dim1", "dim2", "dim3", "dim_payer",
-         "enc", "enc_c", "proc", "proc_c", "fe", "fp", "fe_c", "fp_c"]
+         "enc", "enc_c", "enc_h", "proc", "proc_c", "fe", "fp", "fe_c", "fp_c"]
 DEPS = {
     "s1": ["p_base"], "s2": ["p_base"], "s3": ["p_base"], "dim1": ["s1"],
     "dim2": ["dim1", "s2"], "dim3": ["dim2", "s3"], "proc": ["enc"], "proc_c": ["enc_c"],
@@ -222,12 +223,12 @@ FROM {enc} e LEFT JOIN dim2 d ON e.patient_id = d.patient_id
   AND d.start_date <= CAST(e.start_time AS DATE)
   AND (d.end_date > CAST(e.start_time AS DATE) OR d.is_active IS TRUE)"""
 SQL["asof_event_date"] = with_ctes(["enc", "dim2"], _ASOF_EVENT.format(enc="enc"))
-SQL["asof_event_date_salted"] = with_ctes(["enc_c", "dim2"], _ASOF_EVENT.format(enc="enc_c"))
+SQL["asof_event_date_salted"] = with_ctes(["enc_h", "dim2"], _ASOF_EVENT.format(enc="enc_h"))
 
 SQL["fact_encounter"] = with_ctes(["fe"], "SELECT * FROM fe")
 SQL["fact_procedure"] = with_ctes(["fp"], "SELECT * FROM fp")
 
-SQL["daily_rollup"] = with_ctes(["fe_c", "fp_c"], f"""
+_ROLLUP = f"""
 SELECT {_ROLLUP_GRAIN},
        count(DISTINCT fe.encounter_id) AS total_encounter_num,
        CAST(coalesce(sum(pc.n_procedures), 0) AS BIGINT) AS total_procedure_num,
@@ -239,7 +240,25 @@ FROM fe_c fe
 LEFT JOIN (SELECT encounter_id, date, count(encounter_id) AS n_procedures, count(code) AS n_codes
            FROM fp_c GROUP BY encounter_id, date) pc
   ON fe.encounter_id = pc.encounter_id AND fe.date = pc.date
-GROUP BY ALL""")
+GROUP BY ALL"""
+SQL["daily_rollup"] = with_ctes(["fe_c", "fp_c"], _ROLLUP)
+
+_LOST = "CASE WHEN encounter_id % 50 <> 0 THEN encounter_id END AS encounter_id"
+CTE["fe_l"] = f"SELECT * REPLACE ({_LOST}) FROM fe_c"
+CTE["fp_l"] = f"SELECT * REPLACE ({_LOST}) FROM fp_c"
+ORDER += ["fe_l", "fp_l"]
+DEPS |= {"fe_l": ["fe_c"], "fp_l": ["fp_c"]}
+SQL["daily_rollup_bucketed"] = with_ctes(
+    ["fe_l", "fp_l"], _ROLLUP.replace("fe_c fe", "fe_l fe").replace("FROM fp_c", "FROM fp_l"))
+
+SQL["distinct_reroll"] = with_ctes(["enc"], """
+SELECT 'month' AS level, CAST(date_trunc('month', start_time) AS DATE) AS date, encounter_class, description,
+       count(DISTINCT patient_id) AS n_patients, TRUE AS within_error
+FROM enc GROUP BY ALL
+UNION ALL
+SELECT 'year', CAST(date_trunc('year', start_time) AS DATE), encounter_class, NULL,
+       count(DISTINCT patient_id), TRUE
+FROM enc GROUP BY ALL""")
 
 SQL["daily_rollup_joined"] = with_ctes(["fe_c", "fp_c"], f"""
 SELECT {_ROLLUP_GRAIN},

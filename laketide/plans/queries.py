@@ -17,9 +17,11 @@ from laketide.operators import scd2 as S
 from laketide.operators import slicing as SL
 from laketide.operators.asof import lookup_asof, lookup_asof_merge
 from laketide.operators.rollup import daily_rollup, daily_rollup_joined
+from laketide.operators.sketches import DistinctRollup, relative_error
 from laketide.plans import bronze, gold, silver
 from laketide.session import cut_lineage, scratch_path, stored
 from laketide.sinks import write as W
+from laketide.sinks.bucketed import write_bucketed
 from laketide.sinks.dimension import DimensionTables
 from laketide.sinks.dimension_log import DimensionLog
 from laketide.sinks.keyindex import KeyIndex
@@ -84,9 +86,9 @@ def q_asof_event_date(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_asof_event_date_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Same lookup with hot patients salted over 8 tasks (coarse
-    encounters: 5 patients, each a fifth of all rows)."""
-    enc = si.encounters(spark, sf_dir, coarse=True).select(
+    """Same lookup with hot patients salted over 8 tasks (5 patients, each a
+    fifth of all rows)."""
+    enc = si.encounters(spark, sf_dir, coarse=True, hot=True).select(
         "encounter_id", "patient_id", F.to_date("start_time").alias("event_date"))
     return lookup_asof(enc, si.dim_patient(spark, sf_dir), si.PATIENT, "patient_id", "event_date",
                        salt_buckets=8)
@@ -112,18 +114,58 @@ def q_fact_procedure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact_procedure(spark, sf_dir)
 
 
+def _procedure_days(spark, sf_dir) -> DataFrame:
+    """What a rollup needs of the procedure fact; its patient key is not."""
+    return (si.procedures(spark, sf_dir, True)
+            .select("encounter_id", F.to_date("stop_time").alias("date"), "code").where(F.col("date").isNotNull()))
+
+
 def q_daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dp = si.dim_patient(spark, sf_dir)
-    r = daily_rollup(_fact_encounter(spark, sf_dir, True, dp), _fact_procedure(spark, sf_dir, True, dp))
+    r = daily_rollup(_fact_encounter(spark, sf_dir, True), _procedure_days(spark, sf_dir))
     return _round(r, AMOUNTS)
 
 
 def q_daily_rollup_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dp = si.dim_patient(spark, sf_dir)
-    r = daily_rollup_joined(_fact_encounter(spark, sf_dir, True, dp), _fact_procedure(spark, sf_dir, True, dp))
+    r = daily_rollup_joined(_fact_encounter(spark, sf_dir, True), _procedure_days(spark, sf_dir))
     return _round(r, AMOUNTS)
 
 
+BUCKETS = 16
+
+
+def q_daily_rollup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN5 on facts stored in buckets of the join key: they meet without an
+    exchange (every 50th encounter and its procedures have lost the id)."""
+    def lost(df):
+        return df.withColumn("encounter_id", F.when(F.col("encounter_id") % 50 != 0, F.col("encounter_id")))
+    name = "bucketed_" + scratch_path(spark, "x").rsplit("-", 1)[-1]
+    fe, fp = (write_bucketed(lost(df), f"{name}_{part}", ["encounter_id", "date"], BUCKETS, path=scratch_path(spark, part))
+              for part, df in (("encounters", _fact_encounter(spark, sf_dir, True)),
+                               ("procedures", _procedure_days(spark, sf_dir))))
+    return _round(daily_rollup(fe, fp, spread_nulls=False), AMOUNTS)
+
+
+DISTINCT = DistinctRollup(("encounter_class", "description"), {"n_patients": "patient_id"})
+
+
+def q_distinct_reroll(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG2 by stored sketches: patients a day and group, re-rolled to months
+    (groups so small that the counts are exact) and to years and classes,
+    where the estimate must lie within four standard errors of the count."""
+    enc = si.encounters(spark, sf_dir).withColumn("date", F.to_date("start_time"))
+    sketches = cut_lineage(DISTINCT.daily(enc), "sketches")
+    months = DISTINCT.estimates(DISTINCT.merged(sketches, "month")).select(
+        F.lit("month").alias("level"), "date", "encounter_class", "description", "n_patients",
+        F.lit(True).alias("within_error"))
+    years = DISTINCT.estimates(DISTINCT.merged(sketches, "year", ["encounter_class"]))
+    exact = (enc.groupBy(F.trunc("date", "year").alias("date"), "encounter_class")
+             .agg(F.count_distinct("patient_id").alias("exact")))
+    error = 4 * relative_error(DISTINCT.lg_k)
+    return months.unionByName(years.join(exact, ["date", "encounter_class"], "full").select(
+        F.lit("year").alias("level"), "date", "encounter_class", F.lit(None).cast("string").alias("description"),
+        F.col("exact").alias("n_patients"),
+        (F.abs(F.col("n_patients") - F.col("exact")) <= F.col("exact") * error).alias("within_error")))
+
 
 # ------------------------------------------------------- scalar functions
 def q_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -533,6 +575,8 @@ QUERIES = {
     "fact_procedure": q_fact_procedure,
     "daily_rollup": q_daily_rollup,
     "daily_rollup_joined": q_daily_rollup_joined,
+    "daily_rollup_bucketed": q_daily_rollup_bucketed,
+    "distinct_reroll": q_distinct_reroll,
     "clean_text": q_clean_text,
     "clean_part_names": q_clean_part_names,
     "title_case": q_title_case,

@@ -138,17 +138,17 @@ def _minutes_after(ts, minutes):
     return F.timestamp_add("MINUTE", minutes, ts)
 
 
-def encounters(spark: SparkSession, sf_dir: str, coarse: bool = False) -> DataFrame:
+def encounters(spark: SparkSession, sf_dir: str, coarse: bool = False, hot: bool = False) -> DataFrame:
     """Orders as encounters (silver shape).
 
     coarse=True is the rollup variant: start at the quarter of the order
-    date, 5 patients, 2 payers, so rollup groups hold several encounters.
+    date; hot=True the skewed one: 5 patients hold all encounters.
     """
     o = table(spark, sf_dir, "orders")
-    n_payers = 2 if coarse else table(spark, sf_dir, "supplier").count()  # one value to the driver
+    n_payers = table(spark, sf_dir, "supplier").count()  # one value to the driver
     key = F.col("o_orderkey")
     start = F.date_trunc("quarter", F.col("o_orderdate")) if coarse else F.col("o_orderdate")
-    patient = (F.col("o_custkey") % 5) if coarse else F.col("o_custkey")
+    patient = (F.col("o_custkey") % 5) if hot else F.col("o_custkey")
     stop = _minutes_after(start, (key % 4) * 1440 + key % 1440)
     no_reason = key % 3 == 0
     return o.select(

@@ -78,10 +78,20 @@ def save_schema(spark: SparkSession, target: str, schema: T.StructType) -> None:
 
 
 def table_schema(spark: SparkSession, target: str) -> T.StructType | None:
-    path = f"{target.rstrip('/')}/{SCHEMA_FILE}"
-    if not path_exists(spark, path):
+    """Schema kept by :func:`save_schema`, read without a Spark job (every
+    read of a path table asks for it)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/{SCHEMA_FILE}")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
         return None
-    return T.StructType.fromJson(json.loads(spark.read.text(path).first()[0]))
+    for f in fs.listStatus(p):
+        if f.getPath().getName().startswith("part-"):
+            stream = fs.open(f.getPath())
+            try:
+                return T.StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+            finally:
+                stream.close()
+    return None
 
 
 def read_table(spark: SparkSession, target: str) -> DataFrame:
