@@ -11,9 +11,10 @@ after a digit leaves:
    bits of the digit to buckets, a bucket sorts them, and runs whose anchor
    occurs in one document only are done: their windows are not repeated.
 2. The remaining runs come with their bytes.  A bucket orders their windows
-   by the whole window (a 64-bit hash of its ``depth`` bytes next to the
-   anchor's 56 bits) and then by document: equal groups are exactly the
-   repeated windows, and all members but those of the first document go.
+   by a 64-bit hash of the whole window, then by its bytes, eight at a time
+   from the most significant on; a window that is alone after a digit leaves.
+   Equal groups are exactly the repeated windows, and all members but those
+   of the first document go.
 
 Before either pass a task combines what it has: of an anchor, or of a run
 with the same bytes, one record goes out per batch of documents, and the
@@ -313,13 +314,15 @@ def _repeated_in(part, runs, rank, doc, data, base, size, depth):
     """Single windows (as runs, with their documents) of some runs."""
     runs, rank, doc, size = runs[part], rank[part], doc[part], size[part]
     start = np.cumsum(size) - size
-    prefix = _prefix(data[np.repeat(base[part] - start, size) + np.arange(size.sum())])
+    data = data[np.repeat(base[part] - start, size) + np.arange(size.sum())]
+    prefix = _prefix(data)
     n = runs["n"].astype(np.int64)
     owner = np.repeat(np.arange(len(runs)), n)
     step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
     digest = mixed(_hash_at(prefix, start[owner] + step, depth) ^ mixed(runs["key"])[owner])
-    at = np.argsort(digest, kind="stable")
-    group = _groups(digest[at])
+    at, group = _equal_windows(data, start[owner] + step, digest, depth)
+    if not len(at):
+        return np.empty(0, _RUN), doc[:0]
     ranks = rank[owner[at]]
     gone = at[ranks > np.minimum.reduceat(ranks, np.flatnonzero(np.diff(group, prepend=-1)))[group]]
     out = np.empty(len(gone), _RUN)
@@ -327,6 +330,31 @@ def _repeated_in(part, runs, rank, doc, data, base, size, depth):
     return out, doc[owner[gone]]
 
 
+def _shared_only(at: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Without the members that are alone in their group."""
+    many = np.bincount(group)[group] > 1
+    return at[many], _groups(group[many])
+
+
+def _equal_windows(data: np.ndarray, start: np.ndarray, digest: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows (numbers of them) that equal another one byte by byte,
+    group by group, and the groups."""
+    at = np.argsort(digest, kind="stable")
+    at, group = _shared_only(at, _groups(digest[at]))
+    width = 8 if depth >= 8 else 1
+    digits = np.ndarray((len(data) - width + 1,), f">u{width}", data.tobytes(), 0, (1,)).astype(np.uint64)
+    for k in [*range(0, depth - width, width), depth - width]:
+        digit = digits[start[at] + k]
+        new = group[1:] != group[:-1]
+        if ((digit[1:] != digit[:-1]) & ~new).any():    # one hash for different windows
+            order = np.lexsort((digit, group))
+            at, group, digit = at[order], group[order], digit[order]
+            apart = np.ones(len(at), bool)
+            apart[1:] = (group[1:] != group[:-1]) | (digit[1:] != digit[:-1])
+            at, group = _shared_only(at, np.cumsum(apart) - 1)
+    return at, group
+
+
 def _merged_windows(runs: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Single windows -> runs of adjacent windows (at most 65,535 each)."""
     if not len(runs):
@@ -362,8 +390,9 @@ def repeated_windows(docs: DataFrame, depth: int = DEPTH, buckets: int | None =
         size = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES + 1)
     # a copy is a suffix equal to another in all its length: it needs no
-    # passes, and nothing that it could show is missing from the first copy
-    digests = texts.select("doc_id", "text_hash", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"))
+    # passes, and nothing that it could show is missing from the first copy;
+    # a text shorter than a window has nothing to lose
+    digests = texts.where(F.octet_length("text") >= depth).select("doc_id", "text_hash", F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"))
     firsts = digests.groupBy("sha").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
     copies = written(digests.join(firsts, "sha").where("doc_id > first").select("doc_id", "text_hash").distinct(), "copies")
 
