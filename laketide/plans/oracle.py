@@ -91,7 +91,7 @@ FROM supplier"""
 def _enc(coarse: bool, hot: bool = False) -> str:
     start = "date_trunc('quarter', o_orderdate)" if coarse else "o_orderdate"
     patient = "o_custkey % 5" if hot else "o_custkey"
-    npay = "(SELECT count(*) FROM supplier)"
+    npay = "2" if hot else "(SELECT count(*) FROM supplier)"
     return f"""
 SELECT o_orderkey AS encounter_id, {patient} AS patient_id, o_orderkey % {npay} AS payer_id,
        CAST({start} AS TIMESTAMP) AS start_time,
@@ -244,10 +244,13 @@ GROUP BY ALL"""
 SQL["daily_rollup"] = with_ctes(["fe_c", "fp_c"], _ROLLUP)
 
 _LOST = "CASE WHEN encounter_id % 50 <> 0 THEN encounter_id END AS encounter_id"
-CTE["fe_l"] = f"SELECT * REPLACE ({_LOST}) FROM fe_c"
-CTE["fp_l"] = f"SELECT * REPLACE ({_LOST}) FROM fp_c"
-ORDER += ["fe_l", "fp_l"]
-DEPS |= {"fe_l": ["fe_c"], "fp_l": ["fp_c"]}
+CTE["proc_h"] = _proc("enc_h")
+CTE["fe_h"], CTE["fp_h"] = _fe("enc_h"), _fp("proc_h")
+CTE["fe_l"] = f"SELECT * REPLACE ({_LOST}) FROM fe_h"
+CTE["fp_l"] = f"SELECT * REPLACE ({_LOST}) FROM fp_h"
+ORDER += ["proc_h", "fe_h", "fp_h", "fe_l", "fp_l"]
+DEPS |= {"proc_h": ["enc_h"], "fe_h": ["enc_h", "dim2", "dim_payer"], "fp_h": ["proc_h", "dim2"],
+         "fe_l": ["fe_h"], "fp_l": ["fp_h"]}
 SQL["daily_rollup_bucketed"] = with_ctes(
     ["fe_l", "fp_l"], _ROLLUP.replace("fe_c fe", "fe_l fe").replace("FROM fp_c", "FROM fp_l"))
 

@@ -95,15 +95,13 @@ def q_asof_event_date_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ facts
-def _fact_encounter(spark, sf_dir, coarse=False, dim_patient=None):
-    dp = dim_patient if dim_patient is not None else si.dim_patient(spark, sf_dir)
-    return gold.fact_encounter(si.encounters(spark, sf_dir, coarse), dp,
+def _fact_encounter(spark, sf_dir, coarse=False, hot=False):
+    return gold.fact_encounter(si.encounters(spark, sf_dir, coarse, hot), si.dim_patient(spark, sf_dir),
                                si.dim_payer(spark, sf_dir), patient=si.PATIENT, payer=si.PAYER)
 
 
-def _fact_procedure(spark, sf_dir, coarse=False, dim_patient=None):
-    dp = dim_patient if dim_patient is not None else si.dim_patient(spark, sf_dir)
-    return gold.fact_procedure(si.procedures(spark, sf_dir, coarse), dp, patient=si.PATIENT)
+def _fact_procedure(spark, sf_dir):
+    return gold.fact_procedure(si.procedures(spark, sf_dir), si.dim_patient(spark, sf_dir), patient=si.PATIENT)
 
 
 def q_fact_encounter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,9 +112,9 @@ def q_fact_procedure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fact_procedure(spark, sf_dir)
 
 
-def _procedure_days(spark, sf_dir) -> DataFrame:
+def _procedure_days(spark, sf_dir, hot=False) -> DataFrame:
     """What a rollup needs of the procedure fact; its patient key is not."""
-    return (si.procedures(spark, sf_dir, True)
+    return (si.procedures(spark, sf_dir, True, hot)
             .select("encounter_id", F.to_date("stop_time").alias("date"), "code").where(F.col("date").isNotNull()))
 
 
@@ -135,13 +133,14 @@ BUCKETS = 16
 
 def q_daily_rollup_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JN5 on facts stored in buckets of the join key: they meet without an
-    exchange (every 50th encounter and its procedures have lost the id)."""
+    exchange.  Few patients and payers, so that groups hold several
+    encounters; every 50th encounter and its procedures have lost the id."""
     def lost(df):
         return df.withColumn("encounter_id", F.when(F.col("encounter_id") % 50 != 0, F.col("encounter_id")))
     name = "bucketed_" + scratch_path(spark, "x").rsplit("-", 1)[-1]
     fe, fp = (write_bucketed(lost(df), f"{name}_{part}", ["encounter_id", "date"], BUCKETS, path=scratch_path(spark, part))
-              for part, df in (("encounters", _fact_encounter(spark, sf_dir, True)),
-                               ("procedures", _procedure_days(spark, sf_dir))))
+              for part, df in (("encounters", _fact_encounter(spark, sf_dir, True, True)),
+                               ("procedures", _procedure_days(spark, sf_dir, True))))
     return _round(daily_rollup(fe, fp, spread_nulls=False), AMOUNTS)
 
 

@@ -142,10 +142,11 @@ def encounters(spark: SparkSession, sf_dir: str, coarse: bool = False, hot: bool
     """Orders as encounters (silver shape).
 
     coarse=True is the rollup variant: start at the quarter of the order
-    date; hot=True the skewed one: 5 patients hold all encounters.
+    date; hot=True the skewed one: 5 patients and 2 payers hold all
+    encounters, so rollup groups hold several of them.
     """
     o = table(spark, sf_dir, "orders")
-    n_payers = table(spark, sf_dir, "supplier").count()  # one value to the driver
+    n_payers = 2 if hot else table(spark, sf_dir, "supplier").count()  # one value to the driver
     key = F.col("o_orderkey")
     start = F.date_trunc("quarter", F.col("o_orderdate")) if coarse else F.col("o_orderdate")
     patient = (F.col("o_custkey") % 5) if hot else F.col("o_custkey")
@@ -170,7 +171,7 @@ def encounters(spark: SparkSession, sf_dir: str, coarse: bool = False, hot: bool
     )
 
 
-def procedures(spark: SparkSession, sf_dir: str, coarse: bool = False) -> DataFrame:
+def procedures(spark: SparkSession, sf_dir: str, coarse: bool = False, hot: bool = False) -> DataFrame:
     """Line items as procedures of their order's encounter.
 
     The procedure starts when its encounter stops and lasts l_quantity
@@ -178,7 +179,7 @@ def procedures(spark: SparkSession, sf_dir: str, coarse: bool = False) -> DataFr
     encounter's); returned lines ('R') have no code.
     """
     li = table(spark, sf_dir, "lineitem")
-    enc = encounters(spark, sf_dir, coarse).select("encounter_id", "patient_id",
+    enc = encounters(spark, sf_dir, coarse, hot).select("encounter_id", "patient_id",
                                                    F.col("stop_time").alias("_enc_stop"),
                                                    "reason_code", "reason_description")
     j = li.join(enc, li["l_orderkey"] == enc["encounter_id"], "inner")
