@@ -345,11 +345,14 @@ def components(links: DataFrame) -> DataFrame:
     """(v, label) for every vertex with a link (columns a, b); the label is
     the smallest vertex of its component.
 
-    Each round takes the smallest label of the neighbours (sums of a hot
+    A link may come many times, in either direction (a group of near copies
+    is a cluster of many nodes, and each cluster gives its links); it is
+    followed once.  Each round takes the smallest label of the neighbours (sums of a hot
     vertex are combined map-side) and then the label of that label; a path
     of n vertices takes about log n rounds.
     """
-    both = written(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    once = links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    both = written(once.select("a", "b").union(once.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
     last = written(both.groupBy("a").agg(F.min("b").alias("near"))
                    .select(F.col("a").alias("v"), F.least("a", "near").alias("next")), "labels")
     while True:

@@ -335,3 +335,21 @@ def test_line_dedup(spark, rows, keep_first):
         n = (t or "").count("\n") + 1
         want.append((d, n, n - len(kept), "\n".join(kept)))
     assert sorted(((r.doc_id, int(r.n_lines), r.n_dropped, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
+def test_components_follow_a_link_once(spark, monkeypatch):
+    """A link that many clusters give, in either direction, is one link."""
+    rows = {}
+
+    def counted(df, name):
+        out = written(df, name)
+        rows[name] = out.count()
+        return out
+    written = near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", counted)
+    path = [(bytes([i]), bytes([i + 1])) for i in range(9)] + [(bytes([20]), bytes([21]))]
+    links = [x for a, b in path for x in [(a, b), (b, a)] * 20]
+    got = near_dedup.components(spark.createDataFrame(links, "a binary, b binary")).collect()
+    assert {(bytes(r.v), bytes(r.label)) for r in got} == {
+        (bytes([i]), bytes([0])) for i in range(10)} | {(bytes([i]), bytes([20])) for i in (20, 21)}
+    assert len(got) == 12 and rows["links"] == 2 * len(path)
