@@ -23,8 +23,10 @@ with a Jaccard similarity of t share at least t * n tokens, so at most
    signature's group; groups whose sets are all in one component are done.
    Sets outside the component of their group's first one are compared with
    ``PIVOTS`` members of it, and those that are still outside with all others
-   that may be linked.  So a group of n near copies costs about n comparisons,
-   and no link between components is left out.
+   that may be linked, block by block: in a task, on what the sets do not have
+   in common with one of them, so that no pair is a row.  So a group of n near
+   copies costs about n comparisons, and no link between components is left
+   out.
 """
 
 from __future__ import annotations
@@ -48,6 +50,8 @@ PART = 2_000_000    # tokens that are counted in one go
 SENT = 1_000_000    # tokens that a task deals out in one go
 PIVOTS = 8          # of a component, for the sets that its first ones do not reach
 PAIRS_A_TASK = 64   # comparisons with one set before it is sent to another task
+BLOCK = 512         # sets that meet another block of sets in one go, about
+BLOCK_BYTES = 4 << 20   # of their words, about
 
 
 def allowed(n, num: int, den: int):
@@ -280,6 +284,118 @@ def _fits(a: Column, b: Column, num: int, den: int) -> Column:
     return den * F.least(a, b) >= num * F.greatest(a, b)
 
 
+def _cheaper(at: DataFrame) -> DataFrame:
+    """Rows (key, v, n, label, out) in which every set outside its component
+    meets all that it has to be compared with: those of its signatures'
+    groups, or those of all groups of the component if that is less work."""
+    at = at.withColumn("out", F.col("label") != F.col("near"))
+    out = F.sum(F.col("out").cast("long")).alias("o")
+    groups = at.groupBy("near", "sig").agg(F.count(F.lit(1)).alias("c"), out).where("o > 0")
+    members = at.select("near", "v", "n", "label", "out").distinct()
+    way = (groups.groupBy("near").agg(F.sum(F.col("c") * F.col("o")).alias("by_sig"))
+           .join(members.groupBy("near").agg(F.count(F.lit(1)).alias("c"), out), "near")
+           .select("near", (F.col("by_sig") <= F.col("c") * F.col("o")).alias("narrow")))
+    chosen = groups.select("near", "sig").join(way.where("narrow").select("near"), "near")
+    narrow = at.join(chosen, ["near", "sig"], "left_semi").withColumn("key", F.struct("near", F.col("sig").alias("sig")))
+    wide = (members.join(way.where(~F.col("narrow")).select("near"), "near", "left_semi")
+            .withColumn("key", F.struct("near", F.lit(None).cast("bigint").alias("sig"))))
+    rows = ["key", "v", "n", "label", "out"]
+    return narrow.select(*rows).unionByName(wide.select(*rows))
+
+
+def shared_sizes(sets: list[np.ndarray]):
+    """A function that counts what set i has in common with each of the sets.
+
+    Near copies differ little from any one of them: each set is held as what
+    it and the first one do not share, and only the differences are looked
+    through."""
+    apart = [np.setxor1d(s, sets[0], assume_unique=True) for s in sets]
+    n, d = (np.array([len(x) for x in some]) for some in (sets, apart))
+    tokens = np.concatenate(apart)
+    order = np.argsort(tokens, kind="stable")
+    tokens, owners = tokens[order], np.repeat(np.arange(len(sets)), d)[order]
+
+    def shared(i: int) -> np.ndarray:
+        start, end = (np.searchsorted(tokens, apart[i], side) for side in ("left", "right"))
+        size = end - start
+        hit = owners[np.repeat(start - (np.cumsum(size) - size), size) + np.arange(size.sum())]
+        both = np.bincount(hit, minlength=len(sets))
+        return (n[i] - d[i] + n - d + 2 * both) // 2
+    return shared
+
+
+def _joined(rows: list[tuple], words: int, num: int, den: int):
+    """Links (a, b) of a block's rows (v, label, side, body) that join what
+    links between its two sides join; sets of one label are joined already."""
+    sets = shingle_sets([r[3].split() for r in rows], words)
+    n = np.array([len(s) for s in sets])
+    comp = np.unique([r[1] for r in rows], return_inverse=True)[1]
+    side = np.array([r[2] for r in rows])
+    shared = shared_sizes(sets)
+    for i in np.flatnonzero(side == 1).tolist():
+        both = shared(i)
+        near = (side == 0) & (comp != comp[i]) & (den * both >= num * (n + n[i] - both))
+        own = None
+        for j in np.flatnonzero(near).tolist():
+            if comp[j] == comp[i]:
+                continue
+            # on the words themselves
+            own = own or exact_set(rows[i][3].split(), words)
+            other = exact_set(rows[j][3].split(), words)
+            common = len(own & other)
+            if den * common >= num * (len(own) + len(other) - common):
+                yield rows[i][0], rows[j][0]
+                comp[comp == comp[j]] = comp[i]
+
+
+def _across(rows: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """Links (a, b) between sets of different labels, for every key of
+    ``rows`` (see :func:`_cheaper`): all that are needed to join what links
+    between an outside set and a set of the key join.
+
+    A key's sets are dealt into blocks of about ``BLOCK`` sets or
+    ``BLOCK_BYTES``; every block of outside sets meets every block of sets in
+    one group of rows.  So no pair is a row, a set travels once for each block
+    that it meets, and a task holds two blocks whatever the size of a key.
+    """
+    sized = rows.join(sets.select("v", F.octet_length("body").alias("size")), "v")
+
+    def blocks(which):
+        return F.ceil(F.greatest(F.sum(which.cast("long")) / BLOCK,
+                                 F.sum(F.when(which, F.col("size"))) / BLOCK_BYTES)).cast("int")
+    parts = (sized.groupBy("key").agg(blocks(F.lit(True)).alias("xs"), blocks(F.col("out")).alias("ys")).where("ys > 0"))
+    dealt = rows.join(parts, "key").withColumn("h", F.xxhash64("v"))
+
+    def meets(own, other, at, across):
+        return [F.pmod("h", F.col(own)).cast("int").alias(at),
+                F.explode(F.sequence(F.lit(0), F.col(other) - 1)).alias(across)]
+    inside = dealt.select("key", "v", "label", F.lit(0).alias("side"), *meets("xs", "ys", "x", "y"))
+    outside = dealt.where("out").select("key", "v", "label", F.lit(1).alias("side"), *meets("ys", "xs", "y", "x"))
+    full = (inside.unionByName(outside).join(sets.select("v", "body"), "v")
+            .select("key", "x", "y", "side", "v", "label", "body"))
+
+    def of_blocks(batches):
+        last, held = None, []
+        for b in in_pieces(batches, "body"):
+            for key, x, y, side, v, label, body in zip(*[b.column(c).to_pylist()
+                                                         for c in ("key", "x", "y", "side", "v", "label", "body")]):
+                if (key, x, y) != last and held:
+                    yield held
+                    held = []
+                last = (key, x, y)
+                held.append((v, label, side, body))
+        if held:
+            yield held
+
+    def run(batches):
+        for held in of_blocks(batches):
+            found = list(_joined(held, words, num, den))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], pa.binary()) for i in (0, 1)], ["a", "b"])
+    return (full.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+            .mapInArrow(run, "a binary, b binary"))
+
+
 def _links(signed: DataFrame, sets: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """Written links (a, b) that join all sets that links reach."""
     sizes = signed.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig")
@@ -332,23 +448,9 @@ def _links(signed: DataFrame, sets: DataFrame, words: int, num: int, den: int) -
     if not at.isEmpty():
         # every set outside with all others of its groups, or with all that
         # have to do with the component, whichever are fewer
-        out = at.where("label <> near")
-        by_sig = (at.groupBy("near", "sig").agg(F.count(F.lit(1)).alias("c"),
-                                                F.sum((F.col("label") != F.col("near")).cast("long")).alias("o"))
-                  .groupBy("near").agg(F.sum(F.col("c") * F.col("o")).alias("by_sig")))
-        members = at.select("near", "v", "n", "label").distinct()
-        by_near = (members.groupBy("near").agg(F.count(F.lit(1)).alias("c"),
-                                               F.sum((F.col("label") != F.col("near")).cast("long")).alias("o")))
-        way = by_sig.join(by_near, "near").select("near", (F.col("by_sig") <= F.col("c") * F.col("o")).alias("narrow"))
-        x = [F.col("v").alias("x"), F.col("n").alias("xn"), F.col("label").alias("xl")]
-        apart = (F.col("label") != F.col("xl")) & _fits(F.col("n"), F.col("xn"), num, den)
-        narrow, wide = way.where("narrow").select("near"), way.where(~F.col("narrow")).select("near")
-        pairs = (at.join(out.join(narrow, "near", "left_semi").select("sig", *x), "sig").where(apart).select(*ordered("v", "x"))
-                 .union(members.join(members.where("label <> near").join(wide, "near", "left_semi").select("near", *x), "near")
-                        .where(apart).select(*ordered("v", "x"))))
-        verify(pairs.distinct())
+        done.append((None, written(_across(_cheaper(at), sets, words, num, den), "links")))
     out = written(found(), "all_links")
-    discard(*scratch, *[t for both in done for t in both])
+    discard(*scratch, *[t for both in done for t in both if t])
     return out
 
 

@@ -125,3 +125,40 @@ def test_whole_table(spark, sf):
 def test_sets():
     bodies = [words_of(t) for t in ("a b c", "a b c a b c", "", "x")]
     assert [len(s) for s in shingle_sets(bodies, 3)] == [len(exact_set(b, 3)) for b in bodies]
+
+
+def test_no_row_for_a_pair_under_the_threshold(spark, monkeypatch):
+    """A large group, most pairs of which are just under the threshold: sets
+    that its first ones do not reach meet the others block by block."""
+    rnd = random.Random(11)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for i in range(300):
+        own = list(base)
+        for j in rnd.sample(range(0, 100, 5), 3 if i % 3 else 1):
+            own[j] = f"x{rnd.randrange(40)}"
+        texts.append(" ".join(own))
+    rows, made = list(enumerate(texts)), []
+    written = N.written
+
+    def counted(df, name):
+        out = written(df, name)
+        if name == "pairs":
+            made.append(out.count())
+        return out
+    monkeypatch.setattr(N, "written", counted)
+    for block in (512, 16):
+        monkeypatch.setattr(N, "BLOCK", block, raising=False)
+        made.clear()
+        assert got(spark, rows) == brute(rows)
+        assert len(made) <= 2 and sum(made) <= 2 * N.PIVOTS * len(rows), made
+
+
+def test_shared_sizes():
+    rnd = np.random.default_rng(3)
+    base = np.unique(rnd.integers(0, 2 ** 63, 60).astype(np.uint64))
+    sets = [np.unique(np.concatenate([base[rnd.random(len(base)) < 0.9], rnd.choice(base, 1), [np.uint64(i % 7)]])) for i in range(50)]
+    sets += [sets[0], np.array([1, 2, 3], np.uint64)]
+    shared = N.shared_sizes(sets)
+    for i, s in enumerate(sets):
+        assert shared(i).tolist() == [len(np.intersect1d(s, t)) for t in sets]
