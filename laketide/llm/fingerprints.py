@@ -17,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laketide.llm.common import in_pieces, let, mixed, utf8, written
+from laketide.llm.common import SMALL_PIECE, in_pieces, let, mixed, utf8, written
 from laketide.llm.shingles import shingle_hashes
+from laketide.llm.words import forget
 
 BINS = 256
 BITS = 4
@@ -100,10 +101,11 @@ def fingerprint(docs: DataFrame, words: int = WORDS) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for b in in_pieces(batches):
+        for b in in_pieces(batches, max_bytes=SMALL_PIECE):
             prints = fingerprints(*utf8(b.column("text")), words)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), packed(prints)],
                                              ["doc_id", "fingerprint"])
+        forget()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, fingerprint string")
 
 
@@ -159,7 +161,7 @@ def compare_neighbours(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     def run(batches):
         held_id, held = None, None          # the last row, still without its next
-        for b in in_pieces(batches):
+        for b in in_pieces(batches, max_bytes=SMALL_PIECE):
             texts, ghost = b.column("text").to_pylist(), b.column("ghost").to_pylist()
             ids = b.column("doc_id").to_pylist()
             if held is not None:
@@ -168,6 +170,7 @@ def compare_neighbours(docs: DataFrame, words: int = WORDS) -> DataFrame:
             if at:
                 yield _compared(ids, texts, at, words, b.schema.field("doc_id").type)
             held_id, held = (ids[-1], texts[-1]) if not ghost[-1] else (None, None)
+        forget()
     return both.mapInArrow(run, _OUT.format(id=id_type))
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from laketide.llm.common import in_pieces, utf8
 from laketide.llm.shingles import word_hashes
+from laketide.llm.words import forget
 
 SAMPLE = 3000        # labelled rows learned from, at most half of each label
 DIMS = 48
@@ -125,6 +126,7 @@ def _features_frame(docs: DataFrame) -> DataFrame:
             f = features(*utf8(b.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [b.column("label"), pa.array([r.tobytes() for r in f], pa.binary())], ["label", "counts"])
+        forget()
     return docs.select("label", "text").mapInArrow(run, "label int, counts binary")
 
 
@@ -167,4 +169,5 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
         for b in in_pieces(batches):
             s = m.score(features(*utf8(b.column("text"))))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s)], [*b.schema.names, column])
+        forget()
     return plain.mapInArrow(run, T.StructType([*plain.schema.fields, T.StructField(column, T.DoubleType())]))

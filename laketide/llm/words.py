@@ -36,6 +36,12 @@ def hashed(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 
 
+def forget() -> None:
+    """Give up the remembered words, at the end of a task: a worker that waits
+    for its next one holds none."""
+    _known.clear()
+
+
 def words_of(text: str | None) -> list[bytes]:
     """Words of a text; ``bytes.split`` parts at exactly the six characters."""
     return text.encode().lower().split() if text else []

@@ -4,6 +4,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from laketide.llm import chat, near_dedup, shingles
@@ -65,3 +66,44 @@ def test_a_long_conversation_in_linear_time(spark):
     assert time.time() - begin < 60
     assert r.n == n
     assert r.loss == "".join("# <and>" + "é" * 490 + str(i) for i in range(n) if i % 4 > 1)
+
+
+class Rows:
+    """Stands for a frame whose only batch is ``batch``; its tasks run here."""
+
+    def __init__(self, batch):
+        self.batch = batch
+        self.schema = type("S", (), {"fields": [], "__getitem__": lambda _, c: LongField})()
+        self.sparkSession = self.sparkContext = self
+
+    def broadcast(self, value):
+        return type("B", (), {"value": value})
+
+    def select(self, *_):
+        return self
+
+    drop = select
+
+    def mapInArrow(self, run, _):
+        return list(run([self.batch]))
+
+
+class LongField:
+    class dataType:
+        @staticmethod
+        def simpleString():
+            return "bigint"
+
+
+def test_tasks_leave_no_words_behind():
+    """A worker that has ended its task holds no words; fingerprints are made
+    of small pieces of a batch."""
+    from laketide.llm import fingerprints, quality
+    texts = [f"{'one two ' * 200}{i}" for i in range(999)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(999)), pa.array(texts)], ["doc_id", "text"])
+    model = quality.Model(np.zeros((0, quality.WIDTH), np.float32), np.zeros(0))
+    out = quality.score(Rows(batch), model)
+    assert sum(b.num_rows for b in out) == 999 and not _known
+    out = fingerprints.fingerprint(Rows(batch))
+    assert sum(b.num_rows for b in out) == 999 and not _known
+    assert max(b.num_rows for b in out) * len(texts[0]) <= 1 << 20
