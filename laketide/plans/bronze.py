@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,13 +71,27 @@ def periods(source, first, last) -> list[tuple]:
     return [(b, e, path_on(source, b)) for b, e in zip(begins, ends)]
 
 
-def ingest_full_range(spark: SparkSession, source, table: str, first, last) -> DataFrame:
-    """:func:`ingest_full` of every day between two dates: each file is
-    scanned once, its rows fan out to the days on which it is valid."""
+def on_each_day(df: DataFrame, first, last) -> DataFrame:
+    """All rows, once for every day between two dates.
+
+    A product of the rows' splits and one-day partitions: every task holds
+    one split on one day, so the copies come laid out by day and a write by
+    day moves none of them."""
+    n = (run_date(last) - run_date(first)).days + 1
+    day = F.date_add(F.lit(run_date(first)), F.col("id").cast("int")).alias(PART_COL)
+    days = df.sparkSession.range(0, n, 1, n).select(day)
+    return df.crossJoin(days.hint("shuffle_replicate_nl"))
+
+
+def ingest_full_range(spark: SparkSession, source, table: str, first, last,
+                      once: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """:func:`ingest_full` of every day between two dates, laid out by day:
+    the rows of each file fan out to the days on which it is valid.  Every
+    day reads them anew; with an ``once`` that stores them, the file itself
+    is scanned once."""
     out = None
     for begin, end, path in periods(source, first, last):
-        days = F.sequence(F.lit(begin), F.lit(end), F.expr("interval 1 day"))
-        part = read_csv(spark, path, raw_schema(table)).withColumn(PART_COL, F.explode(days))
+        part = on_each_day(once(read_csv(spark, path, raw_schema(table))), begin, end)
         out = part if out is None else out.unionByName(part)
     return out
 

@@ -14,6 +14,7 @@ Order per day (the original job graph):
 
 from __future__ import annotations
 
+import contextlib
 import datetime as _dt
 from dataclasses import dataclass, field
 
@@ -269,6 +270,9 @@ def run_range(spark: SparkSession, first, last, raw: dict, layout: Layout, polic
       its date on) to the days on which it is valid.
     * Silver and gold are one job a table over the range's partitions, with
       one dynamic overwrite; days that have no rows any more are cleared.
+    * A snapshot has as many copies as days, and none of them is shuffled:
+      bronze makes them day by day from a stored copy of the file, silver
+      keeps bronze's layout.
     * The dimensions' history goes on from the stored open versions, from the
       days on which a snapshot file changes, and is stored as one load.
     * Facts are looked up by each row's date.
@@ -293,10 +297,15 @@ def run_range(spark: SparkSession, first, last, raw: dict, layout: Layout, polic
             undated = read_table(spark, layout.bronze(t)).where(F.col(bronze.PART_COL).isNull())
             report.quality[f"bronze_{t}"] = {"undated_rows": undated.count()}
         else:
-            write(bronze.ingest_full_range(spark, raw[t], t, first, last), layout.bronze(t), bronze.PART_COL)
+            with contextlib.ExitStack() as files:
+                def once(df, name=t):
+                    return files.enter_context(stored(df, name))
+                write(bronze.ingest_full_range(spark, raw[t], t, first, last, once),
+                      layout.bronze(t), bronze.PART_COL, clustered=True)
 
     for t in TABLES:
         conform, typed, rules = silver.STAGES[t]
+        as_read = t in bronze.SNAPSHOT_TABLES  # whole days in bronze's files already
         conformed = conform(between(read_table(spark, layout.bronze(t)), bronze.PART_COL))
         if policy == "fail":
             DQ.check({r["rule"]: r["failed_rows"] for r in DQ.quality_counts(conformed, rules).collect()}, "fail")
@@ -304,10 +313,10 @@ def run_range(spark: SparkSession, first, last, raw: dict, layout: Layout, polic
         if policy == "quarantine":
             with stored(DQ.with_failures(observed, rules), t) as tagged:
                 clean, bad = DQ.halves(tagged)
-                write(bad, layout.quarantine(t), silver.PART_COL)
-                write(typed(clean), layout.silver(t), silver.PART_COL)
+                write(bad, layout.quarantine(t), silver.PART_COL, clustered=as_read)
+                write(typed(clean), layout.silver(t), silver.PART_COL, clustered=as_read)
         else:
-            write(typed(observed), layout.silver(t), silver.PART_COL)
+            write(typed(observed), layout.silver(t), silver.PART_COL, clustered=as_read)
         report.quality[t] = {k: int(v or 0) for k, v in obs.get.items()}
 
     for t, (name, spec) in DIMENSIONS.items():

@@ -297,7 +297,8 @@ def raw_procedures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_raw_extracts(spark: SparkSession, sf_dir: str, base: str) -> dict[str, str]:
     """Write the four raw source files (CSV with header, the source
-    column layout, all text) derived from the driver tables."""
+    column layout, all text, gzip: a file a task) derived from the driver
+    tables."""
     from laketide.sources.schemas import RAW
     frames = {"patients": raw_patients(spark, sf_dir).drop("partition_date"),
               "patients_later": raw_patients_later(spark, sf_dir).drop("partition_date"),
@@ -308,5 +309,5 @@ def write_raw_extracts(spark: SparkSession, sf_dir: str, base: str) -> dict[str,
     for name, df in frames.items():
         cols = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in RAW[name.split("_")[0]]]
         paths[name] = f"{base.rstrip('/')}/{name}"
-        df.select(*cols).write.option("header", True).csv(paths[name])
+        df.select(*cols).write.option("header", True).option("compression", "gzip").csv(paths[name])
     return paths

@@ -7,6 +7,7 @@ repeated run converges to the same table.
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -16,6 +17,14 @@ from laketide.functions.dates import run_date
 from laketide.sources.tables import is_path, read_table, save_schema, table_exists
 
 
+# Codec of the path tables: a table that holds a snapshot a day is mostly
+# repeated text, and zstd about halves what snappy leaves of it.
+CODEC = "zstd"
+# Partitions that a task keeps open while it writes rows laid out by
+# partition: as many files as Spark packs into one split (128 MB, 4 MB each).
+OPEN_PARTITIONS = 32
+
+
 def _dynamic(df: DataFrame) -> None:
     df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
@@ -32,6 +41,20 @@ def _ordered_for(df: DataFrame, target: str, part_col: str | None) -> DataFrame:
     return df.select(*[F.col(c).cast(types[c]).alias(c) for c in cols])
 
 
+@contextlib.contextmanager
+def unsorted_write(spark):
+    """Writes in the block do not sort a task's rows by partition first (and
+    so do not spill them); a task with more than ``OPEN_PARTITIONS``
+    partitions sorts the rest."""
+    key = "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, OPEN_PARTITIONS)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if old is None else spark.conf.set(key, old)
+
+
 def cluster_for_write(df: DataFrame, part_col: str) -> DataFrame:
     """Rebalance rows by the partition column before a partitioned write
     (the ``REBALANCE`` hint).
@@ -63,7 +86,7 @@ def overwrite_partitions(df: DataFrame, target: str, part_col: str, *, clustered
         _ordered_for(data, target, part_col).writeTo(target).overwritePartitions()
     elif is_path(target):
         (_ordered_for(data, target, part_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(part_col).parquet(target))
+         .option("compression", CODEC).partitionBy(part_col).parquet(target))
     else:
         _dynamic(df)
         _ordered_for(data, target, part_col).write.insertInto(target, overwrite=True)
@@ -92,7 +115,7 @@ def create_table_as(df: DataFrame, target: str, part_col: str | None = None,
     if part_col:
         w = w.partitionBy(part_col)
     if is_path(target):
-        w.parquet(target)
+        w.option("compression", CODEC).parquet(target)
         save_schema(df.sparkSession, target, df.schema)
     else:
         w.format(table_format).saveAsTable(target)
@@ -126,7 +149,7 @@ def overwrite_partition(df: DataFrame, target: str, part_col: str, d, *,
     if is_path(target):
         folder = day.isoformat() if day else NULL_PARTITION
         # no partition column inside the folder; rebalance sizes the files
-        (stamped.select(*cols).hint("rebalance").write.mode("overwrite")
+        (stamped.select(*cols).hint("rebalance").write.mode("overwrite").option("compression", CODEC)
          .parquet(f"{target.rstrip('/')}/{part_col}={folder}"))
     elif table_format != "parquet":
         stamped.select(*cols, part_col).writeTo(target).overwrite(F.col(part_col) == F.lit(day))
@@ -138,7 +161,8 @@ def overwrite_partition(df: DataFrame, target: str, part_col: str, d, *,
         spark.catalog.dropTempView(view)
 
 
-def overwrite_range(df: DataFrame, target: str, part_col: str, first, last, *, undated: bool = False) -> int:
+def overwrite_range(df: DataFrame, target: str, part_col: str, first, last, *, undated: bool = False,
+                    clustered: bool = False) -> int:
     """All date partitions from ``first`` to ``last`` (with ``undated`` also
     the NULL partition) of a path table end up holding exactly the rows of
     ``df``, which has no others; returns the number of rows.  A bound that is
@@ -147,6 +171,9 @@ def overwrite_range(df: DataFrame, target: str, part_col: str, first, last, *, u
     One dynamic overwrite writes the days that have rows, and the days that
     have none any more are cleared behind it.  The dates written come from
     the write itself (``observe``); only dates reach the driver.
+
+    ``clustered=True`` when the rows come laid out by day (a task holds few
+    days): they are written where they are, without an exchange or a sort.
     """
     spark = df.sparkSession
     held = set()
@@ -160,9 +187,10 @@ def overwrite_range(df: DataFrame, target: str, part_col: str, first, last, *, u
         held = {r[0] for r in read_table(spark, target).where(some).select(part_col).distinct().collect()}
     obs = Observation()
     day = F.coalesce(F.col(part_col).cast("string"), F.lit(NULL_PARTITION))
-    seen = cluster_for_write(df, part_col).observe(
+    seen = (df if clustered else cluster_for_write(df, part_col)).observe(
         obs, F.collect_set(day).alias("days"), F.count(F.lit(1)).alias("n"))
-    overwrite_partitions(seen, target, part_col, clustered=True)
+    with unsorted_write(spark) if clustered else contextlib.nullcontext():
+        overwrite_partitions(seen, target, part_col, clustered=True)
     written = {None if x == NULL_PARTITION else run_date(x) for x in obs.get["days"]}
     empty = read_table(spark, target).limit(0)
     for d in held - written:

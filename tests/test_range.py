@@ -1,9 +1,12 @@
 """Many days in one pass leave what the day loop leaves."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
 import laketide.sinks.dimension as dimension_module
+import laketide.sinks.write as write_module
 from laketide.operators.quality import QualityError
 from laketide.plans import bronze
 from laketide.plans.run import TABLES, Layout, dimension, run_day, run_days, run_range
@@ -109,6 +112,35 @@ def test_each_file_is_scanned_once(spark, raw):
     assert {tuple(r) for r in plan.groupBy("partition_date").agg(F.count(F.lit(1))).collect()} == {(D1, 2), (D2, 2), (D3, 2)}
 
 
+def test_copies_of_a_snapshot_are_not_shuffled(spark, scratch, raw, monkeypatch):
+    part = bronze.on_each_day(spark.range(40).repartition(4), D1, D3)
+    assert part.groupBy("id").count().where("count = 3").count() == 40
+    days = part.groupBy(F.spark_partition_id()).agg(F.countDistinct(bronze.PART_COL).alias("n"))
+    assert {r["n"] for r in days.collect()} == {1}
+    moved, store = {}, write_module.overwrite_partitions
+
+    def record(df, target, *args, **kw):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        moved["/".join(target.rsplit("/", 2)[1:])] = "RebalancePartitions" in plan
+        store(df, target, *args, **kw)
+    monkeypatch.setattr(write_module, "overwrite_partitions", record)
+    layout = Layout(f"{scratch}/lake")
+    run_range(spark, D1, D3, raw, layout)
+    assert not any(moved[f"{layer}/{t}"] for layer in ("bronze", "silver") for t in bronze.SNAPSHOT_TABLES)
+    assert moved["bronze/encounters"]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_range_written_where_it_is(spark, scratch):
+    """Days that a task holds in any order and number; a day that is gone."""
+    target, n = f"{scratch}/t", write_module.OPEN_PARTITIONS + 8
+    df = spark.range(400, numPartitions=2).withColumn("d", F.date_add(F.lit(D1), (F.col("id") % n).cast("int")))
+    end = D1 + datetime.timedelta(days=n)
+    for kept in (df, df.where(F.col("id") % n != 3)):
+        assert write_module.overwrite_range(kept, target, "d", D1, end, clustered=True) == kept.count()
+        assert rows(read_table(spark, target)) == rows(kept)
+
+
 def test_files_of_a_day(raw):
     first, later = raw["patients"].values()
     assert [bronze.path_on(raw["patients"], d) for d in (D1, D2, D3)] == [first, later, later]
