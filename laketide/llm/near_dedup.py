@@ -122,6 +122,13 @@ def _profiles(docs: DataFrame, words: int) -> DataFrame:
 _PAIR = "a binary, b binary"
 
 
+def _scanned(df: DataFrame) -> DataFrame:
+    """A side of a join that is read from a written table and grows with the
+    input: never broadcast.  Spark goes by the size of the files, and hashes
+    that lie there side by side take about eight times that on the driver."""
+    return df.hint("merge")
+
+
 def _clusters(found: list[list[bytes]]) -> pa.RecordBatch:
     """Clusters with a key made of their members."""
     found = [sorted(c) for c in found]
@@ -172,7 +179,7 @@ def _meet_first(large: DataFrame, sketches: DataFrame, least: float) -> DataFram
                                              ["pivot", "v", "est"]).filter(pa.array(est >= floor))
     first = sketches.select(F.col("v").alias("pivot"), F.col("mark").alias("pivot_mark"))
     pairs = large.where("v <> pivot").select("pivot", "v").distinct()
-    return (pairs.join(sketches.select("v", "mark"), "v").join(first, "pivot")
+    return (pairs.join(_scanned(sketches.select("v", "mark")), "v").join(_scanned(first), "pivot")
             .select("pivot", "v", "mark", "pivot_mark").mapInArrow(run, "pivot binary, v binary, est double"))
 
 
@@ -187,57 +194,65 @@ def _branched(staying: DataFrame, sketches: DataFrame) -> DataFrame:
             kids = children(nodes[:, None], full).view(np.int64)
             v = batch.column("v").take(pa.array(np.repeat(np.arange(len(kids)), BRANCHES)))
             yield pa.RecordBatch.from_arrays([v, pa.array(kids.reshape(-1), pa.int64())], ["v", "node"])
-    return (staying.join(sketches.select("v", "sketch"), "v").select("v", "sketch", "node")
+    return (staying.join(_scanned(sketches.select("v", "sketch")), "v").select("v", "sketch", "node")
             .mapInArrow(run, "v binary, node bigint").distinct())
 
 
 def _candidates(vertices: DataFrame, least: float, confirm) -> tuple[DataFrame, list[DataFrame]]:
     """Distinct clusters (c, vs) of vertices whose sketches agree, written,
     and tables of links that ``confirm`` (clusters -> links, written) has
-    found in large nodes."""
+    found in large nodes.  A depth's clusters are written before the next
+    depth, so no job grows with the number of depths."""
     low = _margin(least)
     sketches = vertices.select("v", "sketch", "mark")
     at = vertices.select("v", F.explode("nodes").alias("node"))
-    found, made, links = [], [], []
+    found, last, links = [], [], []
+
+    def find(groups: DataFrame) -> None:
+        found.append(written(_compare_groups(groups, least).dropDuplicates(["c"]), "clusters"))
     for depth in range(FIRST_DEPTH, DEPTH + 1):
         sizes = at.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("pivot")).where("n > 1")
-        shared = written(at.join(sizes, "node"), "nodes")
-        made.append(shared)
+        shared = written(_scanned(at).join(sizes, "node"), "nodes")
+        discard(*last)
+        last = [shared]
         # the same members in several nodes are compared once
-        small = (_members(shared.where(F.col("n") <= SMALL), sketches, ["node"]).dropDuplicates(["vs"]))
-        found.append(_compare_groups(small, least))
+        find(_members(shared.where(F.col("n") <= SMALL), sketches, ["node"]).dropDuplicates(["vs"]))
         large = shared.where(F.col("n") > SMALL)
         if large.isEmpty():
             break
         if depth == DEPTH:
-            found.append(_compare_groups(_blocks(large, sketches), least))
+            find(_blocks(large, sketches))
             break
         met = written(_meet_first(large, sketches, least), "met_first")
         pair = F.array_sort(F.array("pivot", "v"))
         links.append(confirm(met.where(F.col("est") >= low).select(F.unhex(F.md5(F.concat(pair[0], pair[1]))).alias("c"), pair.alias("vs"))
                              .dropDuplicates(["c"])))
         linked = links[-1].select(F.col("a").alias("pivot"), F.col("b").alias("v"))
-        linked = linked.union(linked.select("v", "pivot"))
+        linked = _scanned(linked.union(linked.select("v", "pivot")))
         staying = large.where("v <> pivot").join(linked, ["pivot", "v"], "left_anti")
         # links of those that leave to those that stay
         refused = met.join(linked, ["pivot", "v"], "left_anti").select("pivot").distinct()
         partners = linked.join(refused, "pivot", "left_semi").select("pivot").distinct()
         near = met.join(partners, "pivot", "left_semi").select(F.col("pivot").alias("node"), "v")
         near = near.join(near.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "node")
-        found.append(_compare_groups(_blocks(near, sketches), least))
+        find(_blocks(near, sketches))
         at = written(_branched(staying, sketches), "children")
-        made += [met, at]
+        discard(shared, met)
+        last = [at]
+    discard(*last)
+    if len(found) == 1:
+        return found[0], links
     clusters = found[0]
     for f in found[1:]:
         clusters = clusters.union(f)
     clusters = written(clusters.dropDuplicates(["c"]), "clusters")
-    discard(*made)
+    discard(*found)
     return clusters, links
 
 
 def _members(nodes: DataFrame, sketches: DataFrame, keys: list[str]) -> DataFrame:
     """(vs, marks) of every node."""
-    return (nodes.join(sketches.select("v", "mark"), "v")
+    return (_scanned(nodes).join(_scanned(sketches.select("v", "mark")), "v")
             .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("v", "mark"))).alias("m"))
             .select(F.col("m.v").alias("vs"), F.col("m.mark").alias("marks")))
 
@@ -337,7 +352,7 @@ def _confirmed(clusters: DataFrame, sets: DataFrame, num: int, den: int) -> Data
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
                 a, b = [], []
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-    full = clusters.select("c", F.explode("vs").alias("v")).join(sets, "v").select("c", "v", "tokens")
+    full = _scanned(clusters.select("c", F.explode("vs").alias("v"))).join(_scanned(sets), "v").select("c", "v", "tokens")
     return full.repartition("c").sortWithinPartitions("c").mapInArrow(run, _PAIR)
 
 
@@ -357,9 +372,9 @@ def components(links: DataFrame) -> DataFrame:
                    .select(F.col("a").alias("v"), F.least("a", "near").alias("next")), "labels")
     while True:
         labels = last.select("v", F.col("next").alias("label"))
-        near = (both.join(labels.select(F.col("v").alias("b"), F.col("label")), "b")
+        near = (_scanned(both).join(_scanned(labels.select(F.col("v").alias("b"), F.col("label"))), "b")
                 .groupBy(F.col("a").alias("v")).agg(F.min("label").alias("near")))
-        stepped = labels.join(near, "v").select("v", "label", F.least("label", "near").alias("next"))
+        stepped = _scanned(labels).join(near, "v").select("v", "label", F.least("label", "near").alias("next"))
         # v's old label also hears of it, so that a whole group moves at once
         roots = (stepped.where(F.col("next") < F.col("label")).groupBy(F.col("label").alias("r"))
                  .agg(F.min("next").alias("r_next")))
@@ -423,7 +438,7 @@ def near_dedup(docs: DataFrame, words: int = 5, similarity: tuple[int, int] = (8
     discard(heads, clusters)
     labels = components(confirmed)
 
-    own = full.select("doc_id", "text_hash", "n_shingles", "v").join(labels, "v", "left")
+    own = full.select("doc_id", "text_hash", "n_shingles", "v").join(_scanned(labels), "v", "left")
     own = own.withColumn("label", F.coalesce("label", "v"))
     lowest = own.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     linked = own.join(lowest, "label").select("doc_id", "text_hash", "n_shingles", "component_id")

@@ -283,6 +283,24 @@ def test_near_dedup_large_nodes(spark, monkeypatch, small):
     assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == sorted(want)
 
 
+def test_near_dedup_jobs_on_the_driver(spark, monkeypatch):
+    """No written table is broadcast by the size of its files, and no job
+    grows with the depths that large nodes go through."""
+    monkeypatch.setattr(near_dedup, "SMALL", 8)
+    plans, write = {}, near_dedup.written
+
+    def planned(df, name):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+    monkeypatch.setattr(near_dedup, "written", planned)
+    near_dedup.near_dedup(frame(spark, near_copies(60, 1, 150, 7)), words=3, similarity=(85, 100)).collect()
+    assert len(plans["nodes"]) > 2
+    for name in ("nodes", "met_first", "clusters", "confirmed", "children"):
+        for plan in plans[name]:
+            assert "BroadcastHashJoin" not in plan, name
+            assert plan.count("MapInArrow") <= 1, name
+
+
 def test_near_dedup_large_clusters(spark, monkeypatch):
     """A cluster of many shingles has the links of a small one."""
     monkeypatch.setattr(near_dedup, "TOKENS", 2000)
