@@ -261,6 +261,11 @@ def run_days(spark: SparkSession, first, last, raw: dict[str, str], layout: Layo
     return reports
 
 
+def _added(counts: list, copies: list[int]) -> dict[str, int]:
+    """Rule counts of parts, added up as often as each part is stored."""
+    return {k: sum(int(c[k] or 0) * n for c, n in zip(counts, copies)) for k in counts[0]}
+
+
 def run_range(spark: SparkSession, first, last, raw: dict, layout: Layout, policy: str = "report") -> DayReport:
     """Every date from ``first`` to ``last`` in one pass a layer; the tables
     end up as :func:`run_days` would leave them.
@@ -271,8 +276,10 @@ def run_range(spark: SparkSession, first, last, raw: dict, layout: Layout, polic
     * Silver and gold are one job a table over the range's partitions, with
       one dynamic overwrite; days that have no rows any more are cleared.
     * A snapshot has as many copies as days, and none of them is shuffled:
-      bronze makes them day by day from a stored copy of the file, silver
-      keeps bronze's layout.
+      bronze makes them day by day from a stored copy of the file.  Silver
+      cleans, types and checks the file's first day, whose rows are those of
+      its other days, and makes its copies from that; a count stands for all
+      days.
     * The dimensions' history goes on from the stored open versions, from the
       days on which a snapshot file changes, and is stored as one load.
     * Facts are looked up by each row's date.
@@ -285,8 +292,8 @@ def run_range(spark: SparkSession, first, last, raw: dict, layout: Layout, polic
     first, last = run_date(first), run_date(last)
     report = DayReport(last)
 
-    def between(df, part_col):
-        return df.where(F.col(part_col).between(F.lit(first), F.lit(last)))
+    def between(df, part_col, begin=first, end=last):
+        return df.where(F.col(part_col).between(F.lit(begin), F.lit(end)))
 
     def write(df, target, part_col, **kw):
         report.writes["/".join(target.rsplit("/", 2)[1:])] = f"{overwrite_range(df, target, part_col, first, last, **kw)} rows"
@@ -305,19 +312,34 @@ def run_range(spark: SparkSession, first, last, raw: dict, layout: Layout, polic
 
     for t in TABLES:
         conform, typed, rules = silver.STAGES[t]
-        as_read = t in bronze.SNAPSHOT_TABLES  # whole days in bronze's files already
-        conformed = conform(between(read_table(spark, layout.bronze(t)), bronze.PART_COL))
+        once = t in bronze.SNAPSHOT_TABLES  # bronze holds the same rows on all days of a file
+        spans = [(b, e) for b, e, _ in bronze.periods(raw[t], first, last)] if once else [(first, last)]
+        copies = [(e - b).days + 1 if once else 1 for b, e in spans]
+        parts = [conform(between(read_table(spark, layout.bronze(t)), bronze.PART_COL, b, b if once else e))
+                 for b, e in spans]
         if policy == "fail":
-            DQ.check({r["rule"]: r["failed_rows"] for r in DQ.quality_counts(conformed, rules).collect()}, "fail")
-        observed, obs = DQ.observe_quality(conformed, rules, name=f"dq_{t}")
-        if policy == "quarantine":
-            with stored(DQ.with_failures(observed, rules), t) as tagged:
-                clean, bad = DQ.halves(tagged)
-                write(bad, layout.quarantine(t), silver.PART_COL, clustered=as_read)
-                write(typed(clean), layout.silver(t), silver.PART_COL, clustered=as_read)
-        else:
-            write(typed(observed), layout.silver(t), silver.PART_COL, clustered=as_read)
-        report.quality[t] = {k: int(v or 0) for k, v in obs.get.items()}
+            DQ.check(_added([{r["rule"]: r["failed_rows"] for r in DQ.quality_counts(part, rules).collect()}
+                             for part in parts], copies), "fail")
+        with contextlib.ExitStack() as files:
+            def kept(df, name=t):
+                return files.enter_context(stored(df, name))
+            seen, good, bad = [], None, None
+            for part, (b, e) in zip(parts, spans):
+                part, obs = DQ.observe_quality(part, rules, name=f"dq_{t}")
+                seen.append(obs)
+                wrong = None
+                if policy == "quarantine":
+                    part, wrong = DQ.halves(kept(DQ.with_failures(part, rules)))
+                part = typed(part)
+                if once:
+                    part, wrong = (x if x is None else bronze.on_each_day(kept(x).drop(silver.PART_COL), b, e)
+                                   for x in (part, wrong))
+                good = part if good is None else good.unionByName(part)
+                bad = wrong if bad is None else bad.unionByName(wrong)
+            if bad is not None:
+                write(bad, layout.quarantine(t), silver.PART_COL, clustered=once)
+            write(good, layout.silver(t), silver.PART_COL, clustered=once)
+            report.quality[t] = _added([obs.get for obs in seen], copies)
 
     for t, (name, spec) in DIMENSIONS.items():
         tables = dimension(spark, layout, name)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import laketide.sinks.dimension as dimension_module
 import laketide.sinks.write as write_module
 from laketide.operators.quality import QualityError
-from laketide.plans import bronze
+from laketide.plans import bronze, silver
 from laketide.plans.run import TABLES, Layout, dimension, run_day, run_days, run_range
 from laketide.sources.tables import read_table
 from tests.test_run import D1, D2, D3, raw_files, snapshot, write_csv
@@ -50,6 +50,24 @@ def test_range_equals_day_loop(spark, scratch, raw):
     assert report.quality["bronze_encounters"] == {"undated_rows": 1}
 
 
+def test_a_snapshot_file_is_conformed_once(spark, scratch, raw, monkeypatch):
+    """Silver cleans one day of a file, and the other days are copies."""
+    conform, typed, rules = silver.STAGES["patients"]
+    days = []
+
+    def counted(rows):
+        days.append(sorted(r[0] for r in rows.select("partition_date").distinct().collect()))
+        return conform(rows)
+    monkeypatch.setitem(silver.STAGES, "patients", (counted, typed, rules))
+    layout = Layout(f"{scratch}/lake")
+    report = run_range(spark, D1, D3, raw, layout)
+    assert days == [[D1], [D2]]
+    table = read_table(spark, layout.silver("patients"))
+    each = {r[0]: r[1] for r in table.groupBy("partition_date").count().collect()}
+    assert sorted(each) == [D1, D2, D3] and len(set(each.values())) == 1
+    assert report.quality["patients"]["total_rows"] == sum(each.values())
+
+
 def test_range_goes_on_from_stored_days(spark, scratch, raw):
     loop, mixed = Layout(f"{scratch}/loop"), Layout(f"{scratch}/mixed")
     run_days(spark, D1, D3, raw, loop)
