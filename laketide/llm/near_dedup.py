@@ -233,8 +233,8 @@ def _candidates(vertices: DataFrame, least: float, confirm) -> tuple[DataFrame,
         # links of those that leave to those that stay
         refused = met.join(linked, ["pivot", "v"], "left_anti").select("pivot").distinct()
         partners = linked.join(refused, "pivot", "left_semi").select("pivot").distinct()
-        near = met.join(partners, "pivot", "left_semi").select(F.col("pivot").alias("node"), "v")
-        near = near.join(near.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "node")
+        near = _scanned(met).join(partners, "pivot", "left_semi").select(F.col("pivot").alias("node"), "v")
+        near = _scanned(near).join(near.groupBy("node").agg(F.count(F.lit(1)).alias("n")), "node")
         find(_blocks(near, sketches))
         at = written(_branched(staying, sketches), "children")
         discard(shared, met)
